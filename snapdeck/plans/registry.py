@@ -165,3 +165,358 @@ def q_dim_date(spark, sf_dir):
 def q_star(spark, sf_dir):
     """Fact to pool, token (twice, LEFT) and date dimensions."""
     return star_mod.star_pool_token_date(spark, sf_dir)
+
+
+# --- checks (C1-C10) -------------------------------------------------------
+import datetime as _dt  # noqa: E402
+
+from snapdeck import config as _c  # noqa: E402
+from snapdeck.operators import checks as ck  # noqa: E402
+from snapdeck.operators.joins import materialize  # noqa: E402
+from snapdeck.plans import serving as sv  # noqa: E402
+
+AS_OF_TS = _dt.datetime.fromisoformat(fx.FIXTURE_AS_OF).replace(tzinfo=_dt.timezone.utc)
+POOL_NOT_NULL = ["snapshot_date", "snapshot_at", "dex_name", "pool_address", "trailing_24h_volume_usd"]
+MARKET_NOT_NULL = ["snapshot_date", "snapshot_at", "dex_name"]
+
+
+def as_of_col():
+    return F.lit(AS_OF_TS)
+
+
+@register(
+    "check_not_null",
+    O.with_ctes(
+        O.row_suite_sql("raw_dex_pools", "fx1", O.not_null_tests(POOL_NOT_NULL))
+        + "\nUNION ALL\n"
+        + O.row_suite_sql("raw_dex_market_share", "raw_ms", O.not_null_tests(MARKET_NOT_NULL))
+        + "\nUNION ALL\n"
+        + O.row_suite_sql("stg_dex_pools", "stg", O.not_null_tests(POOL_NOT_NULL)),
+        O.FX1, O.FX2, O.RAW_MS, O.STG,
+    ),
+)
+def q_check_not_null(spark, sf_dir):
+    """C1 on the raw and staging tables, one aggregate pass per table."""
+    raw = raw_pools(spark, sf_dir)
+    return (
+        ck.row_level_suite(raw, "raw_dex_pools", ck.not_null(POOL_NOT_NULL))
+        .unionByName(ck.row_level_suite(raw_market(spark, sf_dir), "raw_dex_market_share", ck.not_null(MARKET_NOT_NULL)))
+        .unionByName(ck.row_level_suite(models.stg_pools(raw, _cfg()), "stg_dex_pools", ck.not_null(POOL_NOT_NULL)))
+    )
+
+
+O_CHECK_CTES = (O.FX1, O.STG, O.PM, O.FCT)
+
+
+@register(
+    "check_accepted_values",
+    O.with_ctes(
+        O.row_suite_sql("raw_dex_pools", "fx1", [O.accepted_test("dex_name", _c.POOL_VENUES)])
+        + "\nUNION ALL\n"
+        + O.row_suite_sql("stg_dex_pools", "stg", [O.accepted_test("dex_name", _c.POOL_VENUES)])
+        + "\nUNION ALL\n"
+        + O.row_suite_sql("fct_pool_trailing_24h", "fct", [O.accepted_test("dex_name", _c.POOL_VENUES)]),
+        *O_CHECK_CTES,
+    ),
+)
+def q_check_accepted_values(spark, sf_dir):
+    """dex_name in the tracked venues on raw, staging and fact."""
+    raw = raw_pools(spark, sf_dir)
+    s = models.stg_pools(raw, _cfg())
+    t = [ck.accepted_values("dex_name", _c.POOL_VENUES)]
+    return (
+        ck.row_level_suite(raw, "raw_dex_pools", t)
+        .unionByName(ck.row_level_suite(s, "stg_dex_pools", t))
+        .unionByName(ck.row_level_suite(models.fct_pool(models.pool_metrics(s, _cfg())), "fct_pool_trailing_24h", t))
+    )
+
+
+@register(
+    "check_unique",
+    O.with_ctes(
+        "\nUNION ALL\n".join(
+            [
+                O.unique_sql("fct_pool_trailing_24h", "fct", ["pool_snapshot_key"]),
+                O.unique_sql("fct_dex_market_share_daily", "fct_ms", ["market_share_snapshot_key"]),
+                O.unique_sql("dim_pool", "dim_pool", ["pool_key"]),
+                O.unique_sql("dim_pool", "dim_pool", ["pool_address"]),
+                O.unique_sql("dim_token", "dim_token", ["token_key"]),
+                O.unique_sql("dim_token", "dim_token", ["token_address"]),
+            ]
+        ),
+        *O_CHECK_CTES, O.FX2, O.RAW_MS, O.STG_MS, O.MSM, O.FCT_MS, O.DIM_POOL, O.DIM_TOKEN,
+    ),
+)
+def q_check_unique(spark, sf_dir):
+    """C2 on the declared keys of facts and dimensions."""
+    s = materialize(stg(spark, sf_dir))
+    fct = models.fct_pool(models.pool_metrics(s, _cfg()))
+    dp, dt_ = dims.dim_pool(s), dims.dim_token(s)
+    parts = [
+        ck.unique_combination(fct, "fct_pool_trailing_24h", ["pool_snapshot_key"]),
+        ck.unique_combination(fct_ms(spark, sf_dir), "fct_dex_market_share_daily", ["market_share_snapshot_key"]),
+        ck.unique_combination(dp, "dim_pool", ["pool_key"]),
+        ck.unique_combination(dp, "dim_pool", ["pool_address"]),
+        ck.unique_combination(dt_, "dim_token", ["token_key"]),
+        ck.unique_combination(dt_, "dim_token", ["token_address"]),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register(
+    "check_unique_combination",
+    O.with_ctes(
+        O.unique_sql("stg_dex_pools", "stg", ["snapshot_date", "dex_name", "pool_address"])
+        + "\nUNION ALL\n"
+        + O.unique_sql("stg_dex_market_share", "stg_ms", ["snapshot_date", "dex_name"]),
+        O.FX1, O.STG, O.FX2, O.RAW_MS, O.STG_MS,
+    ),
+)
+def q_check_unique_combination(spark, sf_dir):
+    """C4 on both staging models."""
+    return ck.unique_combination(stg(spark, sf_dir), "stg_dex_pools", ["snapshot_date", "dex_name", "pool_address"]).unionByName(
+        ck.unique_combination(stg_ms(spark, sf_dir), "stg_dex_market_share", ["snapshot_date", "dex_name"])
+    )
+
+
+@register(
+    "check_no_future",
+    O.with_ctes(O.row_suite_sql("stg_dex_pools", "stg", [("no_future", "snapshot_date", f"snapshot_date > CAST({O.AS_OF} AS DATE)")]), O.FX1, O.STG),
+)
+def q_check_no_future(spark, sf_dir):
+    """No snapshot dated after as_of."""
+    return ck.row_level_suite(stg(spark, sf_dir), "stg_dex_pools", [ck.no_future("snapshot_date", F.to_date(as_of_col()))])
+
+
+@register(
+    "check_no_negative_volume",
+    O.with_ctes(O.row_suite_sql("stg_dex_pools", "stg", [("no_negative", "trailing_24h_volume_usd", "trailing_24h_volume_usd < 0")]), O.FX1, O.STG),
+)
+def q_check_no_negative_volume(spark, sf_dir):
+    """C6."""
+    return ck.row_level_suite(stg(spark, sf_dir), "stg_dex_pools", [ck.no_negative("trailing_24h_volume_usd")])
+
+
+@register(
+    "check_suite_stg_pools",
+    O.with_ctes(
+        O.row_suite_sql(
+            "stg_dex_pools",
+            "stg",
+            O.not_null_tests(POOL_NOT_NULL)
+            + [
+                O.accepted_test("dex_name", _c.POOL_VENUES),
+                ("no_future", "snapshot_date", f"snapshot_date > CAST({O.AS_OF} AS DATE)"),
+                ("no_negative", "trailing_24h_volume_usd", "trailing_24h_volume_usd < 0"),
+            ],
+        ),
+        O.FX1,
+        O.STG,
+    ),
+)
+def q_check_suite_stg_pools(spark, sf_dir):
+    """C1, C3, C5, C6 of the staging model in ONE scan and aggregate."""
+    tests = ck.not_null(POOL_NOT_NULL) + [
+        ck.accepted_values("dex_name", _c.POOL_VENUES),
+        ck.no_future("snapshot_date", F.to_date(as_of_col())),
+        ck.no_negative("trailing_24h_volume_usd"),
+    ]
+    return ck.row_level_suite(stg(spark, sf_dir), "stg_dex_pools", tests)
+
+
+@register("check_pools_all_dexes_latest", O.with_ctes(O.latest_distinct_sql("stg", "dex_name", 3), O.FX1, O.STG))
+def q_check_pools_all_dexes_latest(spark, sf_dir):
+    """A row (the venue count) only when the latest pool snapshot misses a venue."""
+    return ck.latest_min_distinct(stg(spark, sf_dir), "dex_name", _c.MIN_LATEST_VENUES)
+
+
+@register(
+    "check_market_all_dexes_latest",
+    O.with_ctes(O.latest_distinct_sql("fct_ms", "dex_name", 3), O.FX2, O.RAW_MS, O.STG_MS, O.MSM, O.FCT_MS),
+)
+def q_check_market_all_dexes_latest(spark, sf_dir):
+    """C8."""
+    return ck.latest_min_distinct(fct_ms(spark, sf_dir), "dex_name", _c.MIN_LATEST_VENUES)
+
+
+@register("check_pools_min_rows_latest", O.with_ctes(O.latest_rows_sql("stg", 50), O.FX1, O.STG))
+def q_check_pools_min_rows_latest(spark, sf_dir):
+    """Fires on the fixture (its last day has fewer than 50 pools)."""
+    return ck.latest_min_rows(stg(spark, sf_dir), _c.MIN_LATEST_ROWS)
+
+
+@register(
+    "check_freshness",
+    O.with_ctes(O.freshness_sql({"raw_dex_pools": "fx1", "raw_dex_market_share": "raw_ms"}, 26, 48), O.FX1, O.FX2, O.RAW_MS),
+)
+def q_check_freshness(spark, sf_dir):
+    """C10 over both raw tables at a fixed as_of."""
+    return ck.freshness(
+        {"raw_dex_pools": raw_pools(spark, sf_dir), "raw_dex_market_share": raw_market(spark, sf_dir)},
+        as_of_col(),
+        _c.FRESH_WARN_HOURS,
+        _c.FRESH_ERROR_HOURS,
+    )
+
+
+# --- serving (V1-V12) ------------------------------------------------------
+
+@register(
+    "status_freshness",
+    O.with_ctes(
+        f"SELECT h AS hours_since_last_snapshot, {O.band_sql('h')} AS status FROM "
+        f"(SELECT CAST(date_sub('hour', MAX(snapshot_at), {O.AS_OF}) AS BIGINT) AS h FROM fx1) AS _h",
+        O.FX1,
+    ),
+)
+def q_status_freshness(spark, sf_dir):
+    """V1 (A9, F17, P16)."""
+    return sv.hours_since_last_snapshot(raw_pools(spark, sf_dir), as_of_col())
+
+
+@register(
+    "status_tables",
+    O.with_ctes(
+        "SELECT * FROM (SELECT 'raw_dex_pools' AS tbl, MAX(snapshot_date) AS last_snapshot, COUNT(*) AS rows_total FROM fx1 "
+        "UNION ALL SELECT 'raw_dex_market_share', MAX(snapshot_date), COUNT(*) FROM raw_ms "
+        "UNION ALL SELECT 'fct_pool_trailing_24h', MAX(snapshot_date), COUNT(*) FROM fct "
+        "UNION ALL SELECT 'fct_dex_market_share_daily', MAX(snapshot_date), COUNT(*) FROM fct_ms) AS _t ORDER BY tbl",
+        O.FX1, O.STG, O.PM, O.FCT, O.FX2, O.RAW_MS, O.STG_MS, O.MSM, O.FCT_MS,
+    ),
+)
+def q_status_tables(spark, sf_dir):
+    """V2 (A8, U2, O3)."""
+    return sv.table_status(
+        {
+            "raw_dex_pools": raw_pools(spark, sf_dir),
+            "raw_dex_market_share": raw_market(spark, sf_dir),
+            "fct_pool_trailing_24h": fct_pool(spark, sf_dir),
+            "fct_dex_market_share_daily": fct_ms(spark, sf_dir),
+        }
+    )
+
+
+@register(
+    "status_rows_vs_7d",
+    O.with_ctes(
+        "SELECT (SELECT c FROM daily ORDER BY snapshot_date DESC LIMIT 1) AS rows_today, "
+        "(SELECT ROUND(AVG(c)) FROM (SELECT c FROM daily ORDER BY snapshot_date DESC LIMIT 7) AS _l) AS rows_7d_avg",
+        O.FX1,
+        "daily AS (SELECT snapshot_date, COUNT(*) AS c FROM fx1 GROUP BY snapshot_date)",
+    ),
+    ["rows_7d_avg"],
+)
+def q_status_rows_vs_7d(spark, sf_dir):
+    """V3 (A6, A7, O1, O2, J4)."""
+    return sv.rows_vs_7d(raw_pools(spark, sf_dir))
+
+
+_TOP_FEES_COLS = ["snapshot_date", "dex_name", "pool_address", "base_token_symbol", "quote_token_symbol", "trailing_24h_fees_usd", "trailing_24h_volume_usd", "fee_rate_pct"]
+_EFF_COLS = ["snapshot_date", "dex_name", "pool_address", "trailing_24h_volume_usd", "tvl_usd", "volume_to_tvl_ratio"]
+
+
+@register(
+    "top_pools_by_fees",
+    O.with_ctes(O.top_latest_sql("fct", "trailing_24h_fees_usd", _TOP_FEES_COLS, "fee_rank", 10), O.FX1, O.STG, O.PM, O.FCT),
+    ["fee_rate_pct"],
+)
+def q_top_pools_by_fees(spark, sf_dir):
+    """V5 (J3, O5): top 10 pools by fees in the latest snapshot."""
+    return sv.top_pools_by_fees(fct_pool(spark, sf_dir), 10)
+
+
+FEE_RATE_MIN_DAYS = 400
+
+
+@register(
+    "fee_rates",
+    O.with_ctes(
+        "SELECT p.pool_address, p.dex_name, p.snapshot_days_count, f.avg_fee_rate_pct, "
+        "CASE WHEN p.lifetime_observed_volume_usd > 0 THEN CAST(p.lifetime_observed_fees_usd AS DOUBLE) / "
+        "CAST(p.lifetime_observed_volume_usd AS DOUBLE) * 100 ELSE 0.0 END AS lifetime_fee_rate_pct "
+        "FROM dim_pool p JOIN (SELECT pool_key, AVG(fee_rate_pct) AS avg_fee_rate_pct FROM fct GROUP BY pool_key) f "
+        f"ON p.pool_key = f.pool_key WHERE p.snapshot_days_count >= {FEE_RATE_MIN_DAYS}",
+        O.FX1, O.STG, O.PM, O.FCT, O.DIM_POOL,
+    ),
+    ["avg_fee_rate_pct", "lifetime_fee_rate_pct"],
+)
+def q_fee_rates(spark, sf_dir):
+    """V6 (J5): fee rates of established pools (seen on >= 400 days)."""
+    s = materialize(stg(spark, sf_dir))
+    return sv.fee_rates_established(fct_pool(spark, sf_dir, s), dims.dim_pool(s), FEE_RATE_MIN_DAYS)
+
+
+@register(
+    "capital_efficiency",
+    O.with_ctes(O.top_latest_sql("fct", "volume_to_tvl_ratio", _EFF_COLS, "efficiency_rank", 10), O.FX1, O.STG, O.PM, O.FCT),
+    ["volume_to_tvl_ratio"],
+)
+def q_capital_efficiency(spark, sf_dir):
+    """V7 (J3, O5)."""
+    return sv.capital_efficiency(fct_pool(spark, sf_dir), 10)
+
+
+@register(
+    "pool_trajectory",
+    O.with_ctes(
+        "SELECT snapshot_date, pool_address, dex_name, trailing_24h_volume_usd, volume_7d_avg FROM fct "
+        "WHERE pool_key = (SELECT pool_key FROM dim_pool ORDER BY lifetime_observed_volume_usd DESC NULLS LAST, pool_address ASC LIMIT 1)",
+        O.FX1, O.STG, O.PM, O.FCT, O.DIM_POOL,
+    ),
+    ["volume_7d_avg"],
+)
+def q_pool_trajectory(spark, sf_dir):
+    """V8: daily volume and 7-row average of the pool with the largest lifetime volume."""
+    s = materialize(stg(spark, sf_dir))
+    return sv.pool_trajectory(fct_pool(spark, sf_dir, s), dim_pool=dims.dim_pool(s))
+
+
+_MS_CTES = (O.FX2, O.RAW_MS, O.STG_MS, O.MSM, O.FCT_MS)
+
+
+@register("venue_volume", O.with_ctes("SELECT snapshot_date, dex_name, trailing_24h_volume_usd FROM fct_ms", *_MS_CTES))
+def q_venue_volume(spark, sf_dir):
+    """V9."""
+    return sv.venue_volume(fct_ms(spark, sf_dir))
+
+
+@register(
+    "share_over_time",
+    O.with_ctes("SELECT snapshot_date, dex_name, dex_market_share_pct, share_7d_avg FROM fct_ms", *_MS_CTES),
+    ["dex_market_share_pct", "share_7d_avg"],
+)
+def q_share_over_time(spark, sf_dir):
+    """V10."""
+    return sv.share_over_time(fct_ms(spark, sf_dir))
+
+
+@register(
+    "venue_current",
+    O.with_ctes(
+        "SELECT snapshot_date, dex_name, trailing_24h_volume_usd, dex_market_share_pct FROM fct_ms "
+        "WHERE snapshot_date = (SELECT MAX(snapshot_date) FROM fct_ms)",
+        *_MS_CTES,
+    ),
+    ["dex_market_share_pct"],
+)
+def q_venue_current(spark, sf_dir):
+    """V11 (J3)."""
+    return sv.venue_current(fct_ms(spark, sf_dir))
+
+
+@register(
+    "share_change",
+    O.with_ctes(
+        "SELECT snapshot_date, dex_name, dex_market_share_pct, share_7d_avg, share_change_vs_7d_avg_pct, "
+        "CASE WHEN share_change_vs_7d_avg_pct > 0 THEN 'gaining' WHEN share_change_vs_7d_avg_pct < 0 THEN 'losing' ELSE 'flat' END AS trend "
+        "FROM fct_ms WHERE snapshot_date = (SELECT MAX(snapshot_date) FROM fct_ms) ORDER BY share_change_vs_7d_avg_pct DESC",
+        *_MS_CTES,
+    ),
+    MS_DOUBLES,
+)
+def q_share_change(spark, sf_dir):
+    """V12 (J3)."""
+    return sv.share_change(fct_ms(spark, sf_dir))
