@@ -520,3 +520,163 @@ def q_venue_current(spark, sf_dir):
 def q_share_change(spark, sf_dir):
     """V12 (J3)."""
     return sv.share_change(fct_ms(spark, sf_dir))
+
+
+# --- ingest (I1-I13, S2) -------------------------------------------------------
+from snapdeck.functions import safe_double, split_pair  # noqa: E402
+from snapdeck.sources import ingest as ing  # noqa: E402
+from snapdeck.sources.lake import market_slice_path  # noqa: E402
+
+_PAGES_CTES = (O.FX1, O.pages_ctes())
+RAW_DOUBLES = ["trailing_24h_volume_usd", "trailing_24h_fees_usd", "tvl_usd"]
+
+
+def _pages(spark, sf_dir):
+    return fx.fx5_pages(spark, sf_dir), fx.fx5_manifest(spark, sf_dir)
+
+
+def _parse(source):
+    def q(spark, sf_dir):
+        pages, manifest = _pages(spark, sf_dir)
+        return ing.ingest_pool_pages(pages, manifest, source, _cfg())
+
+    q.__doc__ = f"I1, I3-I5, I7, I8, I12 for the {source} feed: landed pages -> raw pool rows."
+    return q
+
+
+for _src in ("raydium", "orca", "meteora"):
+    register(f"parse_{_src}", O.with_ctes(O.parsed_sql(f"source = '{_src}'"), *_PAGES_CTES), RAW_DOUBLES)(_parse(_src))
+
+
+@register("union_sources", O.with_ctes(O.parsed_sql("TRUE"), *_PAGES_CTES), RAW_DOUBLES)
+def q_union_sources(spark, sf_dir):
+    """The three venues' rows as one raw table."""
+    pages, manifest = _pages(spark, sf_dir)
+    return ing.ingest_all_pools(pages, manifest, _cfg())
+
+
+@register("page_stop_at_floor", O.with_ctes("SELECT * FROM pg_status", *_PAGES_CTES))
+def q_page_stop_at_floor(spark, sf_dir):
+    """Per landed page, whether it stops its feed and whether it is kept."""
+    pages = fx.fx5_pages(spark, sf_dir)
+    parts = []
+    for s in ("raydium", "orca", "meteora"):
+        status, _ = ing.assemble_pages(pages, s, _cfg())
+        parts.append(status.select("source", "snapshot_date", "page_no", F.col("n_items").cast("long").alias("n_items"), "is_stop", "kept"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register(
+    "dedup_first",
+    O.with_ctes("SELECT snapshot_date, pool_address, page_no, pos FROM pg_kept_items WHERE source = 'orca'", *_PAGES_CTES),
+)
+def q_dedup_first(spark, sf_dir):
+    """Orca pools after first-occurrence dedup (the repeated page adds none)."""
+    _, items = ing.assemble_pages(fx.fx5_pages(spark, sf_dir), "orca", _cfg())
+    return items.select("snapshot_date", F.col("item.address").alias("pool_address"), F.col("page_no").cast("long").alias("page_no"), F.col("pos").cast("long").alias("pos"))
+
+
+@register(
+    "parse_market_share",
+    O.with_ctes(
+        "SELECT snapshot_at, snapshot_date, dex_name, CAST(trailing_24h_volume_usd AS DOUBLE) AS trailing_24h_volume_usd, "
+        "CAST(trailing_7d_volume_usd AS DOUBLE) AS trailing_7d_volume_usd, CAST(total_volume_usd AS DOUBLE) AS total_volume_usd, "
+        "'raw/dex_market_share/date=' || CAST(snapshot_date AS VARCHAR) || '/defillama_' || strftime(snapshot_date, '%Y%m%d') || '.json' AS source_file "
+        "FROM raw_ms",
+        O.FX2,
+        O.RAW_MS,
+    ),
+    ["trailing_24h_volume_usd", "trailing_7d_volume_usd", "total_volume_usd"],
+)
+def q_parse_market_share(spark, sf_dir):
+    """I6, I11, I12 from JSON documents (numbers and numeric strings)."""
+    return ing.parse_market_documents(fx.fx4_market_documents(spark, sf_dir), _cfg())
+
+
+@register(
+    "quality_floor",
+    O.with_ctes(
+        "SELECT * FROM fx1 WHERE COALESCE(trailing_24h_volume_usd, 0) >= 1000 AND COALESCE(tvl_usd, 0) >= 1000",
+        O.FX1,
+    ),
+)
+def q_quality_floor(spark, sf_dir):
+    """I8 over the raw pool rows: volume and TVL at or above the floor, NULL as 0."""
+    return ing.quality_floor(raw_pools(spark, sf_dir), _cfg())
+
+
+def _numeric_texts(spark, sf_dir):
+    li = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    p = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
+    form = F.col("l_linenumber") % 7
+    text = (
+        F.when(form == 0, p)
+        .when(form == 1, F.concat(F.lit("  "), p, F.lit(" ")))
+        .when(form == 2, F.concat(p, F.lit("e-2")))
+        .when(form == 3, F.concat(p, F.lit("d")))
+        .when(form == 4, F.lit("NaN"))
+        .when(form == 5, F.regexp_replace(p, r"\.", "_"))
+        .otherwise(F.lit(None).cast("string"))
+    )
+    return li.select("l_orderkey", "l_linenumber", text.alias("text"))
+
+
+_NUM_TEXT_SQL = """num_texts AS (
+  SELECT l_orderkey, l_linenumber,
+    CASE l_linenumber % 7
+      WHEN 0 THEN p WHEN 1 THEN '  ' || p || ' ' WHEN 2 THEN p || 'e-2' WHEN 3 THEN p || 'd'
+      WHEN 4 THEN 'NaN' WHEN 5 THEN replace(p, '.', '_') ELSE NULL END AS text
+  FROM (SELECT l_orderkey, l_linenumber, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS p FROM lineitem) AS _p
+)"""
+
+
+@register(
+    "safe_double",
+    O.with_ctes(f"SELECT l_orderkey, l_linenumber, text, {O.safe_double_sql('text')} AS value FROM num_texts", _NUM_TEXT_SQL),
+    ["value"],
+)
+def q_safe_double(spark, sf_dir):
+    """Numeric coercion of texts derived from every line item (plain,
+    padded, scientific, Spark-only suffix, NaN, digit separators, NULL)."""
+    return _numeric_texts(spark, sf_dir).withColumn("value", safe_double("text"))
+
+
+_PAIR_SQL = """pairs AS (
+  SELECT pool_address, snapshot_date,
+    CASE CAST(substr(pool_address, 5) AS BIGINT) % 5
+      WHEN 0 THEN base_token_symbol || '-' || quote_token_symbol
+      WHEN 1 THEN '-' || quote_token_symbol
+      WHEN 2 THEN base_token_symbol || '-'
+      WHEN 3 THEN base_token_symbol || '-' || quote_token_symbol || '-X'
+      ELSE base_token_symbol END AS pool_name
+  FROM fx1
+)"""
+
+
+@register(
+    "split_pair",
+    O.with_ctes(
+        "SELECT pool_address, snapshot_date, pool_name, "
+        "CASE WHEN position('-' IN pool_name) > 0 THEN CASE WHEN position('-' IN pool_name) = 1 THEN 'UNKNOWN' "
+        "ELSE substr(pool_name, 1, position('-' IN pool_name) - 1) END END AS base_symbol, "
+        "CASE WHEN position('-' IN pool_name) > 0 THEN NULLIF(substr(pool_name, position('-' IN pool_name) + 1), '') END AS quote_symbol "
+        "FROM pairs",
+        O.FX1,
+        _PAIR_SQL,
+    ),
+)
+def q_split_pair(spark, sf_dir):
+    """Pair names (derived per pool: full, no base, no quote, extra dash, no dash) split on the first '-'."""
+    raw = raw_pools(spark, sf_dir)
+    form = F.substring("pool_address", 5, 100).cast("long") % 5
+    b, q = F.col("base_token_symbol"), F.col("quote_token_symbol")
+    name = (
+        F.when(form == 0, F.concat(b, F.lit("-"), q))
+        .when(form == 1, F.concat(F.lit("-"), q))
+        .when(form == 2, F.concat(b, F.lit("-")))
+        .when(form == 3, F.concat(b, F.lit("-"), q, F.lit("-X")))
+        .otherwise(b)
+    )
+    named = raw.select("pool_address", "snapshot_date", name.alias("pool_name"))
+    base, quote = split_pair("pool_name")
+    return named.select("pool_address", "snapshot_date", "pool_name", base.alias("base_symbol"), quote.alias("quote_symbol"))

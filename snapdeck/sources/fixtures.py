@@ -116,3 +116,117 @@ def fx2_protocols(spark: SparkSession, sf_dir: str) -> DataFrame:
         (v * 100).cast("decimal(38,9)").alias("totalAllTime"),
         F.concat(F.lit("fx/market/date="), d.cast("string")).alias("source_file"),
     )
+
+
+# ---------------------------------------------------------------------------
+# FX4/FX5: the feeds as landed JSON (market documents, pool pages)
+# ---------------------------------------------------------------------------
+
+FIXTURE_PAGE_SIZE = 5
+
+
+def _venue_item(venue: str) -> Column:
+    """One FX1 row as the venue's API pool object (FX3 encoding: Orca sends
+    measures as strings, Raydium as numbers, Meteora TVL as a string)."""
+    vol, fees, tvl = F.col("trailing_24h_volume_usd"), F.col("trailing_24h_fees_usd"), F.col("tvl_usd")
+
+    def tok(sym: str, addr: str) -> Column:
+        return F.struct(F.col(sym).alias("symbol"), F.col(addr).alias("address"))
+
+    if venue == "raydium":
+        return F.struct(
+            F.col("pool_address").alias("id"),
+            tok("base_token_symbol", "base_token_address").alias("mintA"),
+            tok("quote_token_symbol", "quote_token_address").alias("mintB"),
+            F.struct(vol.alias("volume"), fees.alias("volumeFee")).alias("day"),
+            tvl.alias("tvl"),
+        )
+    if venue == "orca":
+        return F.struct(
+            F.col("pool_address").alias("address"),
+            tok("base_token_symbol", "base_token_address").alias("tokenA"),
+            tok("quote_token_symbol", "quote_token_address").alias("tokenB"),
+            F.struct(F.struct(vol.cast("string").alias("volume"), fees.cast("string").alias("fees")).alias("24h")).alias("stats"),
+            tvl.cast("string").alias("tvlUsdc"),
+        )
+    return F.struct(
+        F.col("pool_address").alias("pool_address"),
+        F.concat(F.col("base_token_symbol"), F.lit("-"), F.col("quote_token_symbol")).alias("pool_name"),
+        F.array(F.col("base_token_address"), F.col("quote_token_address")).alias("pool_token_mints"),
+        vol.alias("trading_volume"),
+        fees.alias("fee_volume"),
+        tvl.cast("string").alias("pool_tvl"),
+    )
+
+
+def fx5_pages(spark: SparkSession, sf_dir: str, page_size: int = FIXTURE_PAGE_SIZE) -> DataFrame:
+    """FX5: landed pool pages (source, snapshot_date, page_no, body).
+
+    FX1 without NULL volumes, ordered per (venue, day) by volume desc then
+    address, cut into pages of ``page_size``; each page carries its feed's
+    paging metadata, and Orca's last page is landed twice (the API repeats
+    its last cursor). Positions come from the skew-safe ranking, and a page
+    is collected from at most ``page_size`` rows.
+    """
+    from snapdeck.operators.joins import join_small
+    from snapdeck.operators.ranking import row_number_within
+
+    pools = fx1_pools(spark, sf_dir).filter(F.col("trailing_24h_volume_usd").isNotNull())
+    ranked = row_number_within(pools, ["dex_name", "snapshot_date"], [F.desc("trailing_24h_volume_usd"), F.asc("pool_address")])
+    ranked = ranked.withColumn("page_no", F.floor((F.col("rn") - 1) / page_size).cast("long")).withColumn(
+        "pos", ((F.col("rn") - 1) % page_size).cast("int")
+    )
+    slices = pools.groupBy("dex_name", "snapshot_date").agg(F.count(F.lit(1)).alias("n_pools"))
+    slices = slices.withColumn("last_page", F.floor((F.col("n_pools") - 1) / page_size).cast("long"))
+    out = []
+    for venue in FIXTURE_VENUES:
+        rows = ranked.filter(F.col("dex_name") == venue).select("snapshot_date", "page_no", "pos", _venue_item(venue).alias("item"))
+        pages = rows.groupBy("snapshot_date", "page_no").agg(F.sort_array(F.collect_list(F.struct("pos", "item"))).alias("_pi"))
+        pages = pages.withColumn("items", F.transform("_pi", lambda x: x.getField("item"))).drop("_pi")
+        meta = slices.filter(F.col("dex_name") == venue).drop("dex_name")
+        pages = join_small(pages, meta, ["snapshot_date"], "inner")
+        if venue == "raydium":
+            body = F.struct(F.struct(F.col("items").alias("data"), (F.col("page_no") < F.col("last_page")).alias("hasNextPage")).alias("data"))
+        elif venue == "orca":
+            cursor = F.struct(F.struct(F.concat(F.lit("c"), (F.col("page_no") + 1).cast("string")).alias("next")).alias("cursor"))
+            body = F.struct(F.col("items").alias("data"), cursor.alias("meta"))
+        else:
+            body = F.struct(F.col("items").alias("data"), F.col("n_pools").alias("total_count"))
+        landed = pages.select(F.lit(venue).alias("source"), "snapshot_date", "page_no", F.to_json(body).alias("body"), "last_page")
+        if venue == "orca":
+            # the repeated last page: same items and cursor, next page number
+            repeat = landed.filter(F.col("page_no") == F.col("last_page")).withColumn("page_no", F.col("page_no") + 1)
+            landed = landed.unionByName(repeat)
+        out.append(landed.drop("last_page"))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def fx5_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of the FX5 slices: the landing run's snapshot_at and pool count."""
+    pools = fx1_pools(spark, sf_dir).filter(F.col("trailing_24h_volume_usd").isNotNull())
+    m = pools.groupBy(F.col("dex_name").alias("source"), "snapshot_date").agg(F.count(F.lit(1)).alias("raw_record_count"))
+    return m.select("source", "snapshot_date", run_stamp(F.col("snapshot_date")).alias("snapshot_at"), "raw_record_count")
+
+
+def fx4_market_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX4: one market document per day, ``{"protocols": [...]}``.
+
+    A day holds at most one row per protocol (8 by construction), so the
+    collected document is bounded. 24h as a number, 7d as a string.
+    """
+    from snapdeck.sources.lake import market_slice_path
+
+    p = fx2_protocols(spark, sf_dir)
+    proto = F.struct(
+        F.col("protocol_name").alias("name"),
+        F.col("total24h").alias("total24h"),
+        F.col("total7d").cast("string").alias("total7d"),
+        F.col("totalAllTime").alias("totalAllTime"),
+    )
+    docs = p.groupBy("snapshot_date").agg(F.max("snapshot_at").alias("snapshot_at"), F.collect_list(proto).alias("protocols"))
+    return docs.select(
+        "snapshot_at",
+        "snapshot_date",
+        market_slice_path(F.lit("raw"), F.col("snapshot_date")).alias("source_file"),
+        F.to_json(F.struct("protocols")).alias("body"),
+    )

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from snapdeck.config import DEFAULT, Config
 from snapdeck.functions import contains_any, safe_double, split_pair
+from snapdeck.operators.joins import join_small
 from snapdeck.sources import schemas
 
 # ---------------------------------------------------------------------------
@@ -41,3 +42,206 @@ def market_rows_from_protocols(protocols: DataFrame, cfg: Config = DEFAULT) -> D
         F.col("totalAllTime").alias("total_volume_usd"),
         "source_file",
     )
+
+
+def parse_market_documents(docs: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """I6 from JSON: one ``{"protocols": [...]}`` document per row.
+
+    Input columns: body, snapshot_at, snapshot_date, source_file. Measures
+    may be numbers or strings; both coerce through ``safe_double``.
+    """
+    parsed = docs.select(
+        "snapshot_at", "snapshot_date", "source_file", F.explode(F.from_json("body", schemas.MARKET_DOCUMENT).protocols).alias("p")
+    )
+    protocols = parsed.select(
+        "snapshot_at",
+        "snapshot_date",
+        F.coalesce(F.col("p.name"), F.lit("")).alias("protocol_name"),
+        safe_double("p.total24h").alias("total24h"),
+        safe_double("p.total7d").alias("total7d"),
+        safe_double("p.totalAllTime").alias("totalAllTime"),
+        "source_file",
+    )
+    return market_rows_from_protocols(protocols, cfg)
+
+
+# ---------------------------------------------------------------------------
+# Pool feeds: landed pages -> assembled items
+# ---------------------------------------------------------------------------
+
+SLICE = ["source", "snapshot_date"]
+
+
+def _last_volume(source: str, items: Column) -> Column:
+    last = F.element_at(items, -1)
+    if source == "raydium":
+        v = last.getField("day").getField("volume")
+    elif source == "orca":
+        v = last.getField("stats").getField("24h").getField("volume")
+    else:
+        v = last.getField("trading_volume")
+    return F.coalesce(safe_double(v), F.lit(0.0))
+
+
+def parse_pages(pages: DataFrame, source: str) -> DataFrame:
+    """Parse page bodies of one feed: (source, snapshot_date, page_no, items, meta...)."""
+    pg = F.from_json("body", schemas.POOL_PAGE[source]).alias("pg")
+    p = pages.filter(F.col("source") == source).select("source", "snapshot_date", "page_no", pg)
+    if source == "raydium":
+        return p.select(*SLICE, "page_no", F.col("pg.data.data").alias("items"), F.col("pg.data.hasNextPage").alias("has_next"))
+    if source == "orca":
+        return p.select(*SLICE, "page_no", F.col("pg.data").alias("items"), F.col("pg.meta.cursor.next").alias("cursor"))
+    return p.select(*SLICE, "page_no", F.col("pg.data").alias("items"), F.col("pg.total_count").alias("total_count"))
+
+
+def item_key(source: str) -> str:
+    return {"raydium": "id", "orca": "address", "meteora": "pool_address"}[source]
+
+
+def assemble_pages(pages: DataFrame, source: str, cfg: Config = DEFAULT, floor: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """I1 (+ I2 for Orca): cut each (source, day) feed at its stop page.
+
+    A feed stops after the first page whose last pool is below the volume
+    floor, or that has no next page (Raydium), reaches the advertised total
+    (Meteora), has no cursor or adds no new pool (Orca); and at the page cap.
+    Returns (page_status, items):
+      page_status: one row per landed page with ``is_stop`` and ``kept``;
+      items: one row per kept pool (source, snapshot_date, page_no, pos, item),
+      Orca items deduplicated to the first occurrence of each address.
+
+    The stop decision runs on page-level rows only (one per page); pools are
+    never sorted per day.
+    """
+    floor = cfg.volume_floor if floor is None else floor
+    cap = cfg.page_caps[source]
+    parsed = parse_pages(pages, source)
+    n_items = F.coalesce(F.size("items"), F.lit(0))
+    below = (n_items > 0) & (_last_volume(source, F.col("items")) < floor)
+    exploded = parsed.select(*SLICE, "page_no", F.posexplode_outer("items").alias("pos", "item")).filter(F.col("item").isNotNull())
+
+    if source == "orca":
+        key = F.col("item").getField("address")
+        addressed = exploded.filter(key.isNotNull() & (key != ""))
+        # first page where each address appears; a page's "new" count is the
+        # number of addresses first seen on it (prefix-consistent with a
+        # page-by-page seen-set)
+        first = addressed.groupBy(*SLICE, key.alias("_addr")).agg(
+            F.min_by(F.struct("page_no", "pos", "item"), F.struct("page_no", "pos")).alias("_f")
+        )
+        new_per_page = first.groupBy(*SLICE, F.col("_f.page_no").alias("page_no")).agg(F.count(F.lit(1)).alias("_new"))
+        meta = parsed.select(*SLICE, "page_no", n_items.alias("n_items"), below.alias("_below"), "cursor").join(
+            new_per_page, [*SLICE, "page_no"], "left"
+        )
+        stop = F.col("_below") | F.col("cursor").isNull() | (F.col("cursor") == "") | (F.coalesce(F.col("_new"), F.lit(0)) == 0)
+        meta = meta.withColumn("is_stop", stop).drop("_below", "cursor", "_new")
+        candidates = first.select(*SLICE, F.col("_f.page_no").alias("page_no"), F.col("_f.pos").alias("pos"), F.col("_f.item").alias("item"))
+    elif source == "meteora":
+        w = Window.partitionBy(*SLICE).orderBy("page_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        meta = parsed.select(*SLICE, "page_no", n_items.alias("n_items"), below.alias("_below"), "total_count")
+        meta = meta.withColumn("_seen", F.sum("n_items").over(w))
+        meta = meta.withColumn("is_stop", F.col("_below") | (F.col("_seen") >= F.coalesce(F.col("total_count"), F.lit(0)))).drop(
+            "_below", "total_count", "_seen"
+        )
+        candidates = exploded
+    else:
+        meta = parsed.select(*SLICE, "page_no", n_items.alias("n_items"), (below | ~F.coalesce(F.col("has_next"), F.lit(False))).alias("is_stop"))
+        candidates = exploded
+
+    # first stop page per feed (page-level rows, one small aggregate)
+    stops = meta.groupBy(*SLICE).agg(F.min(F.when(F.col("is_stop"), F.col("page_no"))).alias("_stop"))
+    last_kept = F.least(F.coalesce(F.col("_stop"), F.lit(cap - 1)), F.lit(cap - 1))
+    # stops has one row per (source, day): checked broadcast, no shuffle of pages by day
+    status = join_small(meta, stops, SLICE, "left", max_rows=cfg.broadcast_max_rows).withColumn("kept", F.col("page_no") <= last_kept).drop("_stop")
+    kept_pages = status.filter("kept").select(*SLICE, "page_no")
+    items = candidates.join(kept_pages, [*SLICE, "page_no"], "left_semi")
+    return status, items
+
+
+# ---------------------------------------------------------------------------
+# Normalization to the raw table
+# ---------------------------------------------------------------------------
+
+
+def normalize_items(items: DataFrame, source: str) -> DataFrame:
+    """Venue pool objects -> the common pool columns (measures as DOUBLE)."""
+    it = F.col("item")
+    if source == "raydium":
+        cols = {
+            "pool_address": it.getField("id"),
+            "base_token_symbol": it.getField("mintA").getField("symbol"),
+            "base_token_address": it.getField("mintA").getField("address"),
+            "quote_token_symbol": it.getField("mintB").getField("symbol"),
+            "quote_token_address": it.getField("mintB").getField("address"),
+            "trailing_24h_volume_usd": safe_double(it.getField("day").getField("volume")),
+            "trailing_24h_fees_usd": safe_double(it.getField("day").getField("volumeFee")),
+            "tvl_usd": safe_double(it.getField("tvl")),
+        }
+    elif source == "orca":
+        day = it.getField("stats").getField("24h")
+        cols = {
+            "pool_address": it.getField("address"),
+            "base_token_symbol": it.getField("tokenA").getField("symbol"),
+            "base_token_address": it.getField("tokenA").getField("address"),
+            "quote_token_symbol": it.getField("tokenB").getField("symbol"),
+            "quote_token_address": it.getField("tokenB").getField("address"),
+            "trailing_24h_volume_usd": safe_double(day.getField("volume")),
+            "trailing_24h_fees_usd": safe_double(day.getField("fees")),
+            "tvl_usd": safe_double(it.getField("tvlUsdc")),
+        }
+    else:
+        base, quote = split_pair(it.getField("pool_name"))
+        mints = it.getField("pool_token_mints")
+        cols = {
+            "pool_address": it.getField("pool_address"),
+            "base_token_symbol": base,
+            "base_token_address": F.get(mints, 0),
+            "quote_token_symbol": quote,
+            "quote_token_address": F.get(mints, 1),
+            "trailing_24h_volume_usd": safe_double(it.getField("trading_volume")),
+            "trailing_24h_fees_usd": safe_double(it.getField("fee_volume")),
+            "tvl_usd": safe_double(it.getField("pool_tvl")),
+        }
+    return items.select(*SLICE, *[c.alias(n) for n, c in cols.items()])
+
+
+def has_id(c: str = "pool_address") -> Column:
+    """Rows without an id (NULL or '') are dropped."""
+    return F.col(c).isNotNull() & (F.col(c) != "")
+
+
+def quality_floor(df: DataFrame, cfg: Config = DEFAULT, volume: str = "trailing_24h_volume_usd", tvl: str = "tvl_usd") -> DataFrame:
+    """I8: keep rows with volume >= floor AND tvl >= floor; NULL counts as 0."""
+    return df.filter(
+        (F.coalesce(F.col(volume), F.lit(0)) >= F.lit(cfg.volume_floor)) & (F.coalesce(F.col(tvl), F.lit(0)) >= F.lit(cfg.tvl_floor))
+    )
+
+
+def stamp(rows: DataFrame, manifest: DataFrame, source_file: Column, max_rows: int = DEFAULT.broadcast_max_rows) -> DataFrame:
+    """snapshot_at from the slice manifest (the run that landed it),
+    venue literal and source path. The manifest has one row per slice."""
+    m = manifest.select(*SLICE, F.col("snapshot_at").alias("_mat"))
+    # one row per slice: broadcast after a size check, so a hot day's rows never shuffle
+    j = join_small(rows, m, SLICE, "left", max_rows=max_rows)
+    return j.select(
+        F.coalesce(F.col("_mat"), F.current_timestamp()).alias("snapshot_at"),
+        F.col("snapshot_date"),
+        F.col("source").alias("dex_name"),
+        *[F.col(c) for c in schemas.POOL_COLUMNS[3:11]],
+        source_file.alias("source_file"),
+    )
+
+
+def ingest_pool_pages(pages: DataFrame, manifest: DataFrame, source: str, cfg: Config = DEFAULT, source_file: Column | None = None) -> DataFrame:
+    """I1-I5, I7, I8, I12 for one venue: landed pages -> raw pool rows."""
+    from snapdeck.sources.lake import pool_slice_path
+
+    _, items = assemble_pages(pages, source, cfg)
+    rows = quality_floor(normalize_items(items, source).filter(has_id()), cfg)
+    sf = source_file if source_file is not None else pool_slice_path(F.lit("raw"), F.col("source"), F.col("snapshot_date"))
+    return stamp(rows, manifest, sf, cfg.broadcast_max_rows)
+
+
+def ingest_all_pools(pages: DataFrame, manifest: DataFrame, cfg: Config = DEFAULT, sources: tuple[str, ...] | None = None) -> DataFrame:
+    """The venues' normalized rows as one raw table."""
+    srcs = sources or tuple(cfg.pool_venues)
+    return reduce(DataFrame.unionByName, [ingest_pool_pages(pages, manifest, s, cfg) for s in srcs])
