@@ -680,3 +680,132 @@ def q_split_pair(spark, sf_dir):
     named = raw.select("pool_address", "snapshot_date", name.alias("pool_name"))
     base, quote = split_pair("pool_name")
     return named.select("pool_address", "snapshot_date", "pool_name", base.alias("base_symbol"), quote.alias("quote_symbol"))
+
+
+# --- lake, slice loads, retention, storage (S1-S14, V4) ------------------------
+from snapdeck.session import scratch_path  # noqa: E402
+from snapdeck.sources import lake  # noqa: E402
+from snapdeck.sources import schemas as sch  # noqa: E402
+
+
+def _stale(raw: DataFrame) -> DataFrame:
+    """An older landing of the same slices (tagged in source_file, volumes halved)."""
+    return raw.withColumn("source_file", F.concat(F.lit("stale/"), "source_file")).withColumn(
+        "trailing_24h_volume_usd", (F.col("trailing_24h_volume_usd") / 2).cast("decimal(38,9)")
+    )
+
+
+_RAW_COLS = ", ".join(sch.POOL_COLUMNS)
+_RAW_AS_TABLE = (
+    "SELECT snapshot_at, snapshot_date, dex_name, pool_address, base_token_symbol, base_token_address, "
+    "quote_token_symbol, quote_token_address, CAST(trailing_24h_volume_usd AS DOUBLE) AS trailing_24h_volume_usd, "
+    "CAST(trailing_24h_fees_usd AS DOUBLE) AS trailing_24h_fees_usd, CAST(tvl_usd AS DOUBLE) AS tvl_usd, source_file FROM {src}"
+)
+_STALE_SQL = """stale AS (
+  SELECT snapshot_at, snapshot_date, dex_name, pool_address, base_token_symbol, base_token_address,
+    quote_token_symbol, quote_token_address, CAST(trailing_24h_volume_usd / 2 AS DECIMAL(38,9)) AS trailing_24h_volume_usd,
+    trailing_24h_fees_usd, tvl_usd, 'stale/' || source_file AS source_file
+  FROM fx1
+)"""
+
+
+@register(
+    "slice_load_skip",
+    O.with_ctes(
+        _RAW_AS_TABLE.format(src="stale WHERE dex_name IN ('raydium', 'orca')")
+        + " UNION ALL "
+        + _RAW_AS_TABLE.format(src="fx1 WHERE dex_name = 'meteora'"),
+        O.FX1,
+        _STALE_SQL,
+    ),
+    RAW_DOUBLES,
+)
+def q_slice_load_skip(spark, sf_dir):
+    """An older load holds raydium/orca; reloading every slice
+    without overwrite skips those and appends only meteora's."""
+    raw = raw_pools(spark, sf_dir)
+    path = scratch_path(spark, "raw_dex_pools")
+    lake.load_slices(_stale(raw).filter(F.col("dex_name").isin("raydium", "orca")), path, overwrite=False, schema=sch.RAW_POOLS)
+    lake.load_slices(raw, path, overwrite=False, schema=sch.RAW_POOLS)
+    return spark.read.parquet(path).select(*sch.POOL_COLUMNS)
+
+
+@register(
+    "slice_load_overwrite",
+    O.with_ctes(
+        _RAW_AS_TABLE.format(src="stale WHERE dex_name <> 'raydium'") + " UNION ALL " + _RAW_AS_TABLE.format(src="fx1 WHERE dex_name = 'raydium'"),
+        O.FX1,
+        _STALE_SQL,
+    ),
+    RAW_DOUBLES,
+)
+def q_slice_load_overwrite(spark, sf_dir):
+    """Overwrite replaces exactly the reloaded (raydium) slices; the
+    other venues' slices stay as they were."""
+    raw = raw_pools(spark, sf_dir)
+    path = scratch_path(spark, "raw_dex_pools")
+    lake.load_slices(_stale(raw), path, overwrite=False, schema=sch.RAW_POOLS)
+    lake.load_slices(raw.filter(F.col("dex_name") == "raydium"), path, overwrite=True, schema=sch.RAW_POOLS)
+    return spark.read.parquet(path).select(*sch.POOL_COLUMNS)
+
+
+def _landed(spark, sf_dir):
+    root = scratch_path(spark, "lake")
+    lake.land_pages(fx.fx5_pages(spark, sf_dir), root)
+    return lake.read_landed_pages(spark, root)
+
+
+def _items_in_page() -> "F.Column":
+    path = F.when(F.col("source") == "raydium", F.lit("$.data.data")).otherwise(F.lit("$.data"))
+    return F.json_array_length(F.expr("get_json_object(body, CASE WHEN source = 'raydium' THEN '$.data.data' ELSE '$.data' END)"))
+
+
+@register(
+    "landing_manifest",
+    O.with_ctes(
+        "SELECT source, snapshot_date, CAST(COUNT(*) AS BIGINT) AS pages, CAST(SUM(n_items) AS BIGINT) AS raw_record_count, "
+        "CAST(snapshot_date AS TIMESTAMP) + INTERVAL 26 HOUR AS snapshot_at FROM pg_pages GROUP BY source, snapshot_date",
+        *_PAGES_CTES,
+    ),
+)
+def q_landing_manifest(spark, sf_dir):
+    """Land every page as JSON lines under dex=/date=, read the lake
+    back and derive each slice's manifest row (pages, pool records, run time)."""
+    landed = _landed(spark, sf_dir)
+    m = landed.groupBy("source", "snapshot_date").agg(
+        F.count(F.lit(1)).alias("pages"), F.sum(_items_in_page()).cast("long").alias("raw_record_count")
+    )
+    return m.withColumn("snapshot_at", fx.run_stamp(F.col("snapshot_date")))
+
+
+@register(
+    "retention_expired",
+    O.with_ctes(
+        f"SELECT source, snapshot_date FROM pg_slices WHERE snapshot_date < CAST({O.AS_OF} AS DATE) - 90",
+        *_PAGES_CTES,
+    ),
+)
+def q_retention_expired(spark, sf_dir):
+    """Landed slices older than the 90-day retention at as_of."""
+    landed = _landed(spark, sf_dir)
+    manifest = landed.select("source", "snapshot_date").distinct()
+    return lake.expired_slices(manifest, as_of_col(), _c.RETENTION_DAYS).select("source", "snapshot_date")
+
+
+@register("status_storage", None)
+def q_status_storage(spark, sf_dir):
+    """V4: storage by table (schema, name, type, rows, bytes) over the tables a
+    load wrote; facts are views and hold no bytes. Rows-only check."""
+    root = scratch_path(spark, "warehouse")
+    lake.load_slices(raw_pools(spark, sf_dir), f"{root}/raw_dex_pools", schema=sch.RAW_POOLS)
+    lake.load_slices(
+        raw_market(spark, sf_dir), f"{root}/raw_dex_market_share", cluster=(), schema=sch.RAW_MARKET_SHARE
+    )
+    return sv.storage_by_table(
+        spark,
+        {
+            ("snap_raw", "raw_dex_pools"): f"{root}/raw_dex_pools",
+            ("snap_raw", "raw_dex_market_share"): f"{root}/raw_dex_market_share",
+        },
+        {("snap_marts", "fct_pool_trailing_24h"): fct_pool(spark, sf_dir), ("snap_marts", "fct_dex_market_share_daily"): fct_ms(spark, sf_dir)},
+    )

@@ -125,3 +125,30 @@ def share_change(fct_ms: DataFrame) -> DataFrame:
         )
         .orderBy(F.desc("share_change_vs_7d_avg_pct"))
     )
+
+
+def storage_by_table(spark, tables: dict[tuple[str, str], str], views: dict[tuple[str, str], DataFrame] | None = None) -> DataFrame:
+    """V4: rows and bytes per stored table (bytes = sum of its distinct files'
+    sizes from the scan metadata); views are listed with zero rows and bytes."""
+    parts = []
+    for (schema_name, name), path in tables.items():
+        df = spark.read.parquet(path)
+        files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
+        size = files.agg(F.sum("file_size").cast("long").alias("bytes"))
+        rows = df.agg(F.count(F.lit(1)).alias("total_rows"))
+        parts.append(
+            rows.crossJoin(size).select(
+                F.lit(schema_name).alias("table_schema"), F.lit(name).alias("table_name"), F.lit("TABLE").alias("table_type"), "total_rows", "bytes"
+            )
+        )
+    for (schema_name, name), _df in (views or {}).items():
+        parts.append(
+            spark.range(1).select(
+                F.lit(schema_name).alias("table_schema"),
+                F.lit(name).alias("table_name"),
+                F.lit("VIEW").alias("table_type"),
+                F.lit(0).cast("long").alias("total_rows"),
+                F.lit(0).cast("long").alias("bytes"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts).orderBy(F.desc("bytes"))
