@@ -809,3 +809,27 @@ def q_status_storage(spark, sf_dir):
         },
         {("snap_marts", "fct_pool_trailing_24h"): fct_pool(spark, sf_dir), ("snap_marts", "fct_dex_market_share_daily"): fct_ms(spark, sf_dir)},
     )
+
+
+# --- streaming alert (A10, ST1) ------------------------------------------------
+from snapdeck.streaming import alerts  # noqa: E402
+
+_ALERT_SQL = (
+    "SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, "
+    "CAST(COUNT(*) FILTER (WHERE lower(event_type) = 'error') AS BIGINT) AS error_count, "
+    "COUNT(*) FILTER (WHERE lower(event_type) = 'error') > 0 AS alert "
+    "FROM events GROUP BY 1, 2"
+)
+
+
+@register("error_alert_hourly", _ALERT_SQL)
+def q_error_alert_hourly(spark, sf_dir):
+    """A10/ST1 batch form: error events per aligned hour, alert when > 0."""
+    return alerts.hourly_error_counts(fx.table(spark, sf_dir, "events"))
+
+
+@register("error_alert_stream", _ALERT_SQL)
+def q_error_alert_stream(spark, sf_dir):
+    """ST1 as a stream: events replayed as time-ordered daily files through the
+    watermarked windowed count in update mode; final state per window."""
+    return alerts.replay_alert_stream(spark, fx.table(spark, sf_dir, "events"), scratch_path(spark, "alert_stream"))
