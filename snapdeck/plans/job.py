@@ -123,7 +123,7 @@ def load_market_share(spark: SparkSession, paths: Paths, docs: DataFrame, overwr
     """Market feed: documents -> filtered protocol rows -> slice load by date."""
     rows = ingest.parse_market_documents(docs, cfg)
     return lake.load_slices(
-        rows, paths.raw_table("raw_dex_market_share"), overwrite=overwrite, partitions=("snapshot_date",), cluster=("dex_name",),
+        rows, paths.raw_table("raw_dex_market_share"), overwrite=overwrite, slice_keys=("snapshot_date",), cluster=("dex_name",),
         schema=schemas.RAW_MARKET_SHARE, cfg=cfg,
     )
 

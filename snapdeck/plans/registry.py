@@ -756,7 +756,6 @@ def _landed(spark, sf_dir):
 
 
 def _items_in_page() -> "F.Column":
-    path = F.when(F.col("source") == "raydium", F.lit("$.data.data")).otherwise(F.lit("$.data"))
     return F.json_array_length(F.expr("get_json_object(body, CASE WHEN source = 'raydium' THEN '$.data.data' ELSE '$.data' END)"))
 
 
@@ -799,7 +798,7 @@ def q_status_storage(spark, sf_dir):
     root = scratch_path(spark, "warehouse")
     lake.load_slices(raw_pools(spark, sf_dir), f"{root}/raw_dex_pools", schema=sch.RAW_POOLS)
     lake.load_slices(
-        raw_market(spark, sf_dir), f"{root}/raw_dex_market_share", cluster=(), schema=sch.RAW_MARKET_SHARE
+        raw_market(spark, sf_dir), f"{root}/raw_dex_market_share", slice_keys=("snapshot_date",), cluster=("dex_name",), schema=sch.RAW_MARKET_SHARE
     )
     return sv.storage_by_table(
         spark,

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapdeck.config import DEFAULT, Config
-from snapdeck.operators.joins import join_small
+from snapdeck.operators.joins import bounded_broadcast, join_small, materialize
 
 # ---------------------------------------------------------------------------
 # The lake layout.
@@ -28,7 +28,10 @@ POOLS_DIR = "dex_pools"
 MARKET_DIR = "dex_market_share"
 MARKET_FILE_PREFIX = "defillama"
 
-TABLE_PARTITIONS = ("snapshot_date", "dex_name")
+# Raw tables are DAY-partitioned on snapshot_date; rows inside a day are
+# clustered by (dex_name, pool_address). A slice is one (date, venue).
+PARTITION_COL = "snapshot_date"
+SLICE_KEYS = ("snapshot_date", "dex_name")
 
 
 def pool_slice_path(root: Column, dex: Column, date: Column) -> Column:
@@ -127,43 +130,59 @@ def clustered(df: DataFrame, partitions: Sequence[str], cluster: Sequence[str],
     return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
 
 
-def table_slices(spark: SparkSession, table_path: str, partitions: Sequence[str] = TABLE_PARTITIONS) -> DataFrame:
-    """Slices present in a partitioned table (partition columns only)."""
-    if not path_exists(spark, table_path):
-        return spark.createDataFrame([], T.StructType([T.StructField(p, T.DateType() if p == "snapshot_date" else T.StringType()) for p in partitions]))
-    return spark.read.parquet(table_path).select(*partitions).distinct()
+def table_slices(spark: SparkSession, table_path: str, slice_keys: Sequence[str] = SLICE_KEYS) -> DataFrame:
+    """Slices present in a table (reads the slice key columns only)."""
+    return spark.read.parquet(table_path).select(*slice_keys).distinct()
 
 
 def load_slices(
     rows: DataFrame,
     table_path: str,
     overwrite: bool = False,
-    partitions: Sequence[str] = TABLE_PARTITIONS,
-    cluster: Sequence[str] = ("pool_address",),
+    slice_keys: Sequence[str] = SLICE_KEYS,
+    partition_col: str = PARTITION_COL,
+    cluster: Sequence[str] = ("dex_name", "pool_address"),
     schema: T.StructType | None = None,
     cfg: Config = DEFAULT,
 ) -> dict[str, int]:
-    """S11 for every slice in ``rows``: skip slices already loaded unless
-    ``overwrite``; replace them when overwriting; append new ones.
-
-    Returns ``{"rows_loaded": n, "slices_skipped": s}`` (R5 metrics, counted
-    with an Observation during the write, not by a second pass).
+    """S11 for every (date, venue) slice in ``rows``.
+
+    - slice present, no overwrite: skipped (its rows are not written);
+    - slice present, overwrite: replaced. The table is DAY-partitioned, so
+      the affected date partitions are rewritten with the other venues'
+      existing rows kept; dynamic partition overwrite swaps each date folder
+      when the job commits (the old data stays readable until then);
+    - slice absent: appended.
+
+    Only the date partitions named by ``rows`` are read (partition pruning).
+    Returns ``{"rows_loaded", "slices_skipped"}`` (R5), counted with an
+    Observation during the write.
     """
     spark = rows.sparkSession
     if schema is not None:
         rows = conform(rows, schema)
-    present = table_slices(spark, table_path, partitions)
+    keys = list(slice_keys)
     skipped = 0
-    if not overwrite:
-        incoming = rows.select(*partitions).distinct()
-        skipped_df = join_small(incoming, present, list(partitions), "left_semi", max_rows=cfg.broadcast_max_rows)
-        skipped = skipped_df.count()
-        rows = join_small(rows, present, list(partitions), "left_anti", max_rows=cfg.broadcast_max_rows)
+    keep: DataFrame | None = None
+    if path_exists(spark, table_path):
+        incoming, _ = bounded_broadcast(rows.select(*keys).distinct(), cfg.broadcast_max_rows)
+        table = spark.read.parquet(table_path)
+        affected = table.join(incoming.select(partition_col).distinct(), partition_col, "left_semi")
+        if not overwrite:
+            present = affected.select(*keys).distinct()
+            skipped = join_small(incoming, present, keys, "left_semi", max_rows=cfg.broadcast_max_rows).count()
+            rows = join_small(rows, present, keys, "left_anti", max_rows=cfg.broadcast_max_rows)
+        else:
+            # rows of the affected dates that belong to other slices; written
+            # out first because the job then overwrites the folders it read
+            keep = materialize(affected.join(incoming, keys, "left_anti").select(*rows.columns))
     cl = [c for c in cluster if c in rows.columns]
-    # observed above the range exchange: the boundary-sampling job does not count
     obs = Observation("load")
-    laid_out = clustered(rows, partitions, cl).observe(obs, F.count(F.lit(1)).alias("rows_loaded"))
-    writer = laid_out.write.partitionBy(*partitions)
+    # observed above the range exchange: the boundary-sampling job does not count
+    laid_out = clustered(rows, [partition_col], cl).observe(obs, F.count(F.lit(1)).alias("rows_loaded"))
+    if keep is not None:
+        laid_out = laid_out.unionByName(clustered(keep, [partition_col], cl))
+    writer = laid_out.write.partitionBy(partition_col)
     if overwrite:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(table_path)
     else:
@@ -179,27 +198,31 @@ def slice_exists(spark: SparkSession, table_path: str, snapshot_date: dt.date, d
     """Does the table hold rows for (date[, venue])? Partition-pruned probe."""
     if not path_exists(spark, table_path):
         return False
-    df = spark.read.parquet(table_path).filter(F.col("snapshot_date") == F.lit(snapshot_date))
+    df = spark.read.parquet(table_path).filter(F.col(PARTITION_COL) == F.lit(snapshot_date))
     if dex_name is not None:
         df = df.filter(F.col("dex_name") == dex_name)
     return len(df.limit(1).collect()) > 0
 
 
 def delete_slice(spark: SparkSession, table_path: str, snapshot_date: dt.date, dex_name: str | None = None) -> int:
-    """Drop a slice's partition folder(s); returns the rows it held.
+    """Remove a slice; returns the rows it held.
 
-    Dynamic overwrite cannot clear a slice that becomes empty, so this drops
-    the partition explicitly."""
+    A whole date is dropped with its folder. A (date, venue) slice is removed
+    by rewriting that date's folder without the venue (dynamic overwrite),
+    or dropping the folder when nothing else remains."""
     if not path_exists(spark, table_path):
         return 0
-    df = spark.read.parquet(table_path).filter(F.col("snapshot_date") == F.lit(snapshot_date))
-    if dex_name is not None:
-        df = df.filter(F.col("dex_name") == dex_name)
-    n = df.count()
-    part = f"{table_path}/snapshot_date={snapshot_date.isoformat()}"
-    if dex_name is not None:
-        part += f"/dex_name={dex_name}"
-    delete_path(spark, part)
+    day = spark.read.parquet(table_path).filter(F.col(PARTITION_COL) == F.lit(snapshot_date))
+    gone = day if dex_name is None else day.filter(F.col("dex_name") == dex_name)
+    n = gone.count()
+    folder = f"{table_path}/{PARTITION_COL}={snapshot_date.isoformat()}"
+    if n == 0:
+        return 0
+    rest = None if dex_name is None else materialize(day.filter(~F.col("dex_name").eqNullSafe(F.lit(dex_name))))
+    if rest is None or rest.count() == 0:
+        delete_path(spark, folder)
+    else:
+        rest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COL).parquet(table_path)
     return n
 
 
