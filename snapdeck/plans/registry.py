@@ -780,7 +780,7 @@ def q_landing_manifest(spark, sf_dir):
 @register(
     "retention_expired",
     O.with_ctes(
-        f"SELECT source, snapshot_date FROM pg_slices WHERE snapshot_date < CAST({O.AS_OF} AS DATE) - 90",
+        f"SELECT source, snapshot_date FROM pg_slices WHERE snapshot_date <= CAST({O.AS_OF} AS DATE) - 90",
         *_PAGES_CTES,
     ),
 )

@@ -232,8 +232,8 @@ def delete_slice(spark: SparkSession, table_path: str, snapshot_date: dt.date, d
 
 
 def expired_slices(manifest: DataFrame, as_of: Column, retention_days: int = DEFAULT.retention_days) -> DataFrame:
-    """Slices older than the retention window relative to ``as_of``."""
-    return manifest.filter(F.col("snapshot_date") < F.date_sub(F.to_date(as_of), retention_days))
+    """Slices whose age at ``as_of`` has reached the retention (age >= days)."""
+    return manifest.filter(F.col("snapshot_date") <= F.date_sub(F.to_date(as_of), retention_days))
 
 
 # ---------------------------------------------------------------------------
