@@ -532,7 +532,9 @@ RAW_DOUBLES = ["trailing_24h_volume_usd", "trailing_24h_fees_usd", "tvl_usd"]
 
 
 def _pages(spark, sf_dir):
-    return fx.fx5_pages(spark, sf_dir), fx.fx5_manifest(spark, sf_dir)
+    """The landed pages and their manifest. Landed data is data at rest, so
+    the fixture is materialized once instead of being re-derived per stage."""
+    return materialize(fx.fx5_pages(spark, sf_dir)), fx.fx5_manifest(spark, sf_dir)
 
 
 def _parse(source):
@@ -558,12 +560,10 @@ def q_union_sources(spark, sf_dir):
 @register("page_stop_at_floor", O.with_ctes("SELECT * FROM pg_status", *_PAGES_CTES))
 def q_page_stop_at_floor(spark, sf_dir):
     """Per landed page, whether it stops its feed and whether it is kept."""
-    pages = fx.fx5_pages(spark, sf_dir)
-    parts = []
-    for s in ("raydium", "orca", "meteora"):
-        status, _ = ing.assemble_pages(pages, s, _cfg())
-        parts.append(status.select("source", "snapshot_date", "page_no", F.col("n_items").cast("long").alias("n_items"), "is_stop", "kept"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    pages, _ = _pages(spark, sf_dir)
+    metas = [ing.page_meta(pages, s, _cfg())[0] for s in ("raydium", "orca", "meteora")]
+    status = ing.page_status(metas[0].unionByName(metas[1]).unionByName(metas[2]), _cfg())
+    return status.select("source", "snapshot_date", "page_no", F.col("n_items").cast("long").alias("n_items"), "is_stop", "kept")
 
 
 @register(
@@ -572,7 +572,7 @@ def q_page_stop_at_floor(spark, sf_dir):
 )
 def q_dedup_first(spark, sf_dir):
     """Orca pools after first-occurrence dedup (the repeated page adds none)."""
-    _, items = ing.assemble_pages(fx.fx5_pages(spark, sf_dir), "orca", _cfg())
+    _, items = ing.assemble_pages(_pages(spark, sf_dir)[0], "orca", _cfg())
     return items.select("snapshot_date", F.col("item.address").alias("pool_address"), F.col("page_no").cast("long").alias("page_no"), F.col("pos").cast("long").alias("pos"))
 
 

@@ -168,7 +168,7 @@ def fx5_pages(spark: SparkSession, sf_dir: str, page_size: int = FIXTURE_PAGE_SI
     its last cursor). Positions come from the skew-safe ranking, and a page
     is collected from at most ``page_size`` rows.
     """
-    from snapdeck.operators.joins import join_small
+    from snapdeck.operators.joins import bounded_broadcast
     from snapdeck.operators.ranking import row_number_within
 
     pools = fx1_pools(spark, sf_dir).filter(F.col("trailing_24h_volume_usd").isNotNull())
@@ -178,13 +178,14 @@ def fx5_pages(spark: SparkSession, sf_dir: str, page_size: int = FIXTURE_PAGE_SI
     )
     slices = pools.groupBy("dex_name", "snapshot_date").agg(F.count(F.lit(1)).alias("n_pools"))
     slices = slices.withColumn("last_page", F.floor((F.col("n_pools") - 1) / page_size).cast("long"))
+    # one row per (venue, day): size-checked once, broadcast to every venue's pages
+    slices, _ = bounded_broadcast(slices, 1_000_000)
     out = []
     for venue in FIXTURE_VENUES:
         rows = ranked.filter(F.col("dex_name") == venue).select("snapshot_date", "page_no", "pos", _venue_item(venue).alias("item"))
         pages = rows.groupBy("snapshot_date", "page_no").agg(F.sort_array(F.collect_list(F.struct("pos", "item"))).alias("_pi"))
         pages = pages.withColumn("items", F.transform("_pi", lambda x: x.getField("item"))).drop("_pi")
-        meta = slices.filter(F.col("dex_name") == venue).drop("dex_name")
-        pages = join_small(pages, meta, ["snapshot_date"], "inner")
+        pages = pages.withColumn("dex_name", F.lit(venue)).join(slices, ["dex_name", "snapshot_date"], "inner")
         if venue == "raydium":
             body = F.struct(F.struct(F.col("items").alias("data"), (F.col("page_no") < F.col("last_page")).alias("hasNextPage")).alias("data"))
         elif venue == "orca":

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from snapdeck.config import DEFAULT, Config
 from snapdeck.functions import contains_any, safe_double, split_pair
-from snapdeck.operators.joins import join_small
+from snapdeck.operators.joins import join_small, materialize
 from snapdeck.sources import schemas
 
 # ---------------------------------------------------------------------------
@@ -98,22 +98,17 @@ def item_key(source: str) -> str:
     return {"raydium": "id", "orca": "address", "meteora": "pool_address"}[source]
 
 
-def assemble_pages(pages: DataFrame, source: str, cfg: Config = DEFAULT, floor: float | None = None) -> tuple[DataFrame, DataFrame]:
-    """I1 (+ I2 for Orca): cut each (source, day) feed at its stop page.
+def page_meta(pages: DataFrame, source: str, cfg: Config = DEFAULT, floor: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """Per-page stop flags of one feed and its candidate pool items.
 
     A feed stops after the first page whose last pool is below the volume
     floor, or that has no next page (Raydium), reaches the advertised total
-    (Meteora), has no cursor or adds no new pool (Orca); and at the page cap.
-    Returns (page_status, items):
-      page_status: one row per landed page with ``is_stop`` and ``kept``;
-      items: one row per kept pool (source, snapshot_date, page_no, pos, item),
-      Orca items deduplicated to the first occurrence of each address.
-
-    The stop decision runs on page-level rows only (one per page); pools are
-    never sorted per day.
+    (Meteora), has no cursor or adds no new pool (Orca). Returns
+    (meta: source, snapshot_date, page_no, n_items, is_stop;
+     candidates: source, snapshot_date, page_no, pos, item), Orca candidates
+    reduced to the first occurrence of each address (I2).
     """
     floor = cfg.volume_floor if floor is None else floor
-    cap = cfg.page_caps[source]
     parsed = parse_pages(pages, source)
     n_items = F.coalesce(F.size("items"), F.lit(0))
     below = (n_items > 0) & (_last_volume(source, F.col("items")) < floor)
@@ -124,7 +119,7 @@ def assemble_pages(pages: DataFrame, source: str, cfg: Config = DEFAULT, floor:
         addressed = exploded.filter(key.isNotNull() & (key != ""))
         # first page where each address appears; a page's "new" count is the
         # number of addresses first seen on it (prefix-consistent with a
-        # page-by-page seen-set)
+        # page-by-page seen-set). Copies of one address combine map-side.
         first = addressed.groupBy(*SLICE, key.alias("_addr")).agg(
             F.min_by(F.struct("page_no", "pos", "item"), F.struct("page_no", "pos")).alias("_f")
         )
@@ -136,6 +131,7 @@ def assemble_pages(pages: DataFrame, source: str, cfg: Config = DEFAULT, floor:
         meta = meta.withColumn("is_stop", stop).drop("_below", "cursor", "_new")
         candidates = first.select(*SLICE, F.col("_f.page_no").alias("page_no"), F.col("_f.pos").alias("pos"), F.col("_f.item").alias("item"))
     elif source == "meteora":
+        # page-level rows only (one per page): the running count is cheap
         w = Window.partitionBy(*SLICE).orderBy("page_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         meta = parsed.select(*SLICE, "page_no", n_items.alias("n_items"), below.alias("_below"), "total_count")
         meta = meta.withColumn("_seen", F.sum("n_items").over(w))
@@ -146,15 +142,36 @@ def assemble_pages(pages: DataFrame, source: str, cfg: Config = DEFAULT, floor:
     else:
         meta = parsed.select(*SLICE, "page_no", n_items.alias("n_items"), (below | ~F.coalesce(F.col("has_next"), F.lit(False))).alias("is_stop"))
         candidates = exploded
-
-    # first stop page per feed (page-level rows, one small aggregate)
+    return meta, candidates
+
+
+def page_status(meta: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """``kept`` = page at or before its feed's first stop page and within
+    the feed's page cap. ``meta`` may hold several feeds."""
+    cap = None
+    for src, n in cfg.page_caps.items():
+        cap = (F.when if cap is None else cap.when)(F.col("source") == src, F.lit(n - 1))
+    # page-level rows (one per page, not per pool): written once so the
+    # page bodies are not parsed again for the stop decision
+    meta = materialize(meta)
+    # first stop page per feed: one small aggregate over page-level rows
     stops = meta.groupBy(*SLICE).agg(F.min(F.when(F.col("is_stop"), F.col("page_no"))).alias("_stop"))
-    last_kept = F.least(F.coalesce(F.col("_stop"), F.lit(cap - 1)), F.lit(cap - 1))
+    last_kept = F.least(F.coalesce(F.col("_stop"), cap), cap)
     # stops has one row per (source, day): checked broadcast, no shuffle of pages by day
-    status = join_small(meta, stops, SLICE, "left", max_rows=cfg.broadcast_max_rows).withColumn("kept", F.col("page_no") <= last_kept).drop("_stop")
-    kept_pages = status.filter("kept").select(*SLICE, "page_no")
-    items = candidates.join(kept_pages, [*SLICE, "page_no"], "left_semi")
-    return status, items
+    return join_small(meta, stops, SLICE, "left", max_rows=cfg.broadcast_max_rows).withColumn("kept", F.col("page_no") <= last_kept).drop("_stop")
+
+
+def kept_items(candidates: DataFrame, status: DataFrame) -> DataFrame:
+    """Items on kept pages (semi join on the page key: a hot day spreads
+    over its many pages)."""
+    return candidates.join(status.filter("kept").select(*SLICE, "page_no"), [*SLICE, "page_no"], "left_semi")
+
+
+def assemble_pages(pages: DataFrame, source: str, cfg: Config = DEFAULT, floor: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """I1 (+ I2 for Orca) for one feed: (page_status, kept items)."""
+    meta, candidates = page_meta(pages, source, cfg, floor)
+    status = page_status(meta, cfg)
+    return status, kept_items(candidates, status)
 
 
 # ---------------------------------------------------------------------------
@@ -162,7 +179,7 @@ def assemble_pages(pages: DataFrame, source: str, cfg: Config = DEFAULT, floor:
 # ---------------------------------------------------------------------------
 
 
-def normalize_items(items: DataFrame, source: str) -> DataFrame:
+def normalize_items(items: DataFrame, source: str, keep: list[str] | None = None) -> DataFrame:
     """Venue pool objects -> the common pool columns (measures as DOUBLE)."""
     it = F.col("item")
     if source == "raydium":
@@ -201,7 +218,7 @@ def normalize_items(items: DataFrame, source: str) -> DataFrame:
             "trailing_24h_fees_usd": safe_double(it.getField("fee_volume")),
             "tvl_usd": safe_double(it.getField("pool_tvl")),
         }
-    return items.select(*SLICE, *[c.alias(n) for n, c in cols.items()])
+    return items.select(*SLICE, *(keep or []), *[c.alias(n) for n, c in cols.items()])
 
 
 def has_id(c: str = "pool_address") -> Column:
@@ -233,15 +250,28 @@ def stamp(rows: DataFrame, manifest: DataFrame, source_file: Column, max_rows: i
 
 def ingest_pool_pages(pages: DataFrame, manifest: DataFrame, source: str, cfg: Config = DEFAULT, source_file: Column | None = None) -> DataFrame:
     """I1-I5, I7, I8, I12 for one venue: landed pages -> raw pool rows."""
-    from snapdeck.sources.lake import pool_slice_path
+    return ingest_all_pools(pages, manifest, cfg, (source,), source_file)
 
-    _, items = assemble_pages(pages, source, cfg)
-    rows = quality_floor(normalize_items(items, source).filter(has_id()), cfg)
-    sf = source_file if source_file is not None else pool_slice_path(F.lit("raw"), F.col("source"), F.col("snapshot_date"))
-    return stamp(rows, manifest, sf, cfg.broadcast_max_rows)
 
+def ingest_all_pools(
+    pages: DataFrame, manifest: DataFrame, cfg: Config = DEFAULT, sources: tuple[str, ...] | None = None, source_file: Column | None = None
+) -> DataFrame:
+    """Every venue's pages -> one raw table.
+
+    Stop pages of all feeds are decided in one pass over page-level rows;
+    venue items are normalized to the common columns, unioned, cut to the
+    kept pages, filtered (id, floor) and stamped once.
+    """
+    from snapdeck.sources.lake import pool_slice_path
 
-def ingest_all_pools(pages: DataFrame, manifest: DataFrame, cfg: Config = DEFAULT, sources: tuple[str, ...] | None = None) -> DataFrame:
-    """The venues' normalized rows as one raw table."""
     srcs = sources or tuple(cfg.pool_venues)
-    return reduce(DataFrame.unionByName, [ingest_pool_pages(pages, manifest, s, cfg) for s in srcs])
+    metas, rows = [], []
+    for s in srcs:
+        meta, candidates = page_meta(pages, s, cfg)
+        metas.append(meta)
+        rows.append(normalize_items(candidates, s, keep=["page_no"]))
+    status = page_status(reduce(DataFrame.unionByName, metas), cfg)
+    kept = kept_items(reduce(DataFrame.unionByName, rows), status).drop("page_no")
+    kept = quality_floor(kept.filter(has_id()), cfg)
+    sf = source_file if source_file is not None else pool_slice_path(F.lit("raw"), F.col("source"), F.col("snapshot_date"))
+    return stamp(kept, manifest, sf, cfg.broadcast_max_rows)
