@@ -43,3 +43,16 @@ def split_pair(c: Column | str) -> tuple[Column, Column]:
     base = F.when(has_dash, F.when(head == "", F.lit(UNKNOWN_BASE)).otherwise(head))
     quote = F.when(has_dash, F.nullif(tail, F.lit("")))
     return base, quote
+
+
+# Storage listing type codes -> labels (anything else is OTHER).
+TABLE_TYPE_LABELS = {1: "TABLE", 2: "VIEW"}
+
+
+def table_type_label(code: Column | str) -> Column:
+    """integer table-type code to its label."""
+    c = col(code)
+    expr = None
+    for k, v in TABLE_TYPE_LABELS.items():
+        expr = (F.when if expr is None else expr.when)(c == k, F.lit(v))
+    return expr.otherwise(F.lit("OTHER"))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapdeck.config import DEFAULT, Config
-from snapdeck.functions import hours_between, ratio_or_zero, status_band
+from snapdeck.functions import hours_between, ratio_or_zero, status_band, table_type_label
 from snapdeck.operators.checks import latest_slice
 
 
@@ -138,7 +138,7 @@ def storage_by_table(spark, tables: dict[tuple[str, str], str], views: dict[tupl
         rows = df.agg(F.count(F.lit(1)).alias("total_rows"))
         parts.append(
             rows.crossJoin(size).select(
-                F.lit(schema_name).alias("table_schema"), F.lit(name).alias("table_name"), F.lit("TABLE").alias("table_type"), "total_rows", "bytes"
+                F.lit(schema_name).alias("table_schema"), F.lit(name).alias("table_name"), table_type_label(F.lit(1)).alias("table_type"), "total_rows", "bytes"
             )
         )
     for (schema_name, name), _df in (views or {}).items():
@@ -146,7 +146,7 @@ def storage_by_table(spark, tables: dict[tuple[str, str], str], views: dict[tupl
             spark.range(1).select(
                 F.lit(schema_name).alias("table_schema"),
                 F.lit(name).alias("table_name"),
-                F.lit("VIEW").alias("table_type"),
+                table_type_label(F.lit(2)).alias("table_type"),
                 F.lit(0).cast("long").alias("total_rows"),
                 F.lit(0).cast("long").alias("bytes"),
             )

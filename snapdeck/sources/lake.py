@@ -130,6 +130,37 @@ def clustered(df: DataFrame, partitions: Sequence[str], cluster: Sequence[str],
     return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
 
 
+def ensure_table(spark: SparkSession, table_path: str, schema: T.StructType, partition_col: str = PARTITION_COL) -> bool:
+    """Create an empty DAY-partitioned table with ``schema`` if absent.
+    Returns True when it was created (safe to call on every run)."""
+    if path_exists(spark, table_path):
+        return False
+    # an empty partitioned write leaves no data file to carry the schema:
+    # create the folder; readers pass the declared schema (read_table)
+    p, fs = _fs(spark, table_path)
+    fs.mkdirs(p)
+    return True
+
+
+def read_table(spark: SparkSession, table_path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Read a raw table; with ``schema`` an empty (just created) table reads as empty."""
+    r = spark.read.schema(schema) if schema is not None else spark.read
+    return r.parquet(table_path)
+
+
+def has_rows_on_disk(spark: SparkSession, table_path: str) -> bool:
+    """The table folder exists and holds at least one data file."""
+    if not path_exists(spark, table_path):
+        return False
+    p, fs = _fs(spark, table_path)
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        name = files.next().getPath().getName()
+        if not name.startswith(("_", ".")):
+            return True
+    return False
+
+
 def table_slices(spark: SparkSession, table_path: str, slice_keys: Sequence[str] = SLICE_KEYS) -> DataFrame:
     """Slices present in a table (reads the slice key columns only)."""
     return spark.read.parquet(table_path).select(*slice_keys).distinct()
@@ -164,10 +195,13 @@ def load_slices(
     keys = list(slice_keys)
     skipped = 0
     keep: DataFrame | None = None
-    if path_exists(spark, table_path):
-        incoming, _ = bounded_broadcast(rows.select(*keys).distinct(), cfg.broadcast_max_rows)
+    if has_rows_on_disk(spark, table_path):
+        incoming, small = bounded_broadcast(rows.select(*keys).distinct(), cfg.broadcast_max_rows)
         table = spark.read.parquet(table_path)
-        affected = table.join(incoming.select(partition_col).distinct(), partition_col, "left_semi")
+        dates = incoming.select(partition_col).distinct()
+        # the dates are no more than the slices just counted: broadcast them,
+        # so only the named date partitions are read (no shuffle of the table)
+        affected = table.join(F.broadcast(dates) if small else dates, partition_col, "left_semi")
         if not overwrite:
             present = affected.select(*keys).distinct()
             skipped = join_small(incoming, present, keys, "left_semi", max_rows=cfg.broadcast_max_rows).count()
@@ -196,7 +230,7 @@ def load_slices(
 
 def slice_exists(spark: SparkSession, table_path: str, snapshot_date: dt.date, dex_name: str | None = None) -> bool:
     """Does the table hold rows for (date[, venue])? Partition-pruned probe."""
-    if not path_exists(spark, table_path):
+    if not has_rows_on_disk(spark, table_path):
         return False
     df = spark.read.parquet(table_path).filter(F.col(PARTITION_COL) == F.lit(snapshot_date))
     if dex_name is not None:
@@ -210,7 +244,7 @@ def delete_slice(spark: SparkSession, table_path: str, snapshot_date: dt.date, d
     A whole date is dropped with its folder. A (date, venue) slice is removed
     by rewriting that date's folder without the venue (dynamic overwrite),
     or dropping the folder when nothing else remains."""
-    if not path_exists(spark, table_path):
+    if not has_rows_on_disk(spark, table_path):
         return 0
     day = spark.read.parquet(table_path).filter(F.col(PARTITION_COL) == F.lit(snapshot_date))
     gone = day if dex_name is None else day.filter(F.col("dex_name") == dex_name)

@@ -80,3 +80,15 @@ def test_retention(spark):
 
 def test_paths():
     assert lake.pool_slice_path_str("raw", "orca", dt.date(2026, 6, 3)) == "raw/dex_pools/dex=orca/date=2026-06-03/orca_20260603.json"
+
+
+def test_ensure_table_and_type_labels(spark, scratch):
+    from snapdeck.functions import table_type_label
+
+    path = scratch("empty")
+    assert lake.ensure_table(spark, path, schemas.RAW_POOLS) and not lake.ensure_table(spark, path, schemas.RAW_POOLS)
+    assert lake.read_table(spark, path, schemas.RAW_POOLS).count() == 0 and not lake.slice_exists(spark, path, dt.date(2026, 1, 1))
+    month_one = spark.createDataFrame([], schemas.RAW_POOLS)
+    assert lake.load_slices(month_one, path)["rows_loaded"] == 0
+    codes = spark.createDataFrame([(1,), (2,), (3,)], "c int")
+    assert [r[0] for r in codes.select(table_type_label("c")).collect()] == ["TABLE", "VIEW", "OTHER"]
