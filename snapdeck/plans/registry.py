@@ -23,11 +23,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def present(df: DataFrame) -> DataFrame:
-    """Round DOUBLE columns to 6 places for cross-engine comparison."""
+    """Round DOUBLE columns to 6 places for cross-engine comparison.
+
+    Done as round(x * 1e6) / 1e6: the same IEEE steps in both engines, so an
+    exact tie at the 7th place (common with fixed-decimal inputs) rounds the
+    same way; ``round(x, 6)`` is rounded from the decimal expansion in Spark
+    but after a multiplication in DuckDB."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DoubleType):
-            cols.append(F.round(F.col(f.name), 6).alias(f.name))
+            cols.append((F.round(F.col(f.name) * F.lit(1e6)) / F.lit(1e6)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
