@@ -1,9 +1,10 @@
 """Registered queries: each callable takes (spark, sf_dir) and returns a DataFrame.
 
 Every query reads the driver tables through the fixtures and runs over the
-whole tables. DOUBLE metrics are presented rounded to 6 places (the oracle
-does the same): the two engines may differ in the last bits of a
-decimal-to-double conversion, never in the first 6 places.
+whole tables. DOUBLE metrics and DECIMAL measures are presented as DOUBLE
+rounded to 6 places (the oracle does the same): the two engines may differ
+in the last bits of a decimal-to-double conversion, never in the first 6
+places, and a double reads back the same through every result path.
 """
 
 from __future__ import annotations
@@ -31,8 +32,11 @@ def present(df: DataFrame) -> DataFrame:
     but after a multiplication in DuckDB."""
     cols = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, T.DoubleType):
-            cols.append((F.round(F.col(f.name) * F.lit(1e6)) / F.lit(1e6)).alias(f.name))
+        if isinstance(f.dataType, (T.DoubleType, T.DecimalType)):
+            # decimal measures are presented as DOUBLE too: a double survives every
+            # result path (rows, pandas, Arrow) unchanged in both engines
+            x = F.col(f.name).cast("double")
+            cols.append((F.round(x * F.lit(1e6)) / F.lit(1e6)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -78,6 +82,26 @@ def fct_ms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- registry --------------------------------------------------------------
 
+# Decimal measure columns per query (presented as rounded DOUBLE, as above).
+_POOL_MEASURES = ["trailing_24h_volume_usd", "trailing_24h_fees_usd", "tvl_usd"]
+_MS_MEASURES = ["trailing_24h_volume_usd", "trailing_7d_volume_usd", "total_volume_usd"]
+DECIMAL_MEASURES = {
+    "stg_pools": _POOL_MEASURES,
+    "pool_metrics": _POOL_MEASURES + ["dex_total_24h_volume", "market_total_24h_volume"],
+    "fct_pool": _POOL_MEASURES + ["dex_total_24h_volume", "market_total_24h_volume"],
+    "stg_market_share": _MS_MEASURES,
+    "market_share_metrics": _MS_MEASURES + ["total_market_24h_volume"],
+    "fct_market_share": _MS_MEASURES + ["total_market_24h_volume"],
+    "dim_pool": ["lifetime_observed_volume_usd", "lifetime_observed_fees_usd"],
+    "star_pool_token_date": ["trailing_24h_volume_usd"],
+    "top_pools_by_fees": ["trailing_24h_fees_usd", "trailing_24h_volume_usd"],
+    "capital_efficiency": ["trailing_24h_volume_usd", "tvl_usd"],
+    "pool_trajectory": ["trailing_24h_volume_usd"],
+    "venue_volume": ["trailing_24h_volume_usd"],
+    "venue_current": ["trailing_24h_volume_usd"],
+    "quality_floor": _POOL_MEASURES,
+}
+
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
@@ -91,7 +115,7 @@ def register(name: str, sql: str | None, doubles: list[str] | None = None):
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         if sql is not None:
-            ORACLE[name] = O.rounded(sql, doubles or [])
+            ORACLE[name] = O.rounded(sql, (doubles or []) + DECIMAL_MEASURES.get(name, []))
         return run
 
     return deco
