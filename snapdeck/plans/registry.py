@@ -9,6 +9,7 @@ places, and a double reads back the same through every result path.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,16 @@ from snapdeck.plans import dims, models, oracle as O
 from snapdeck.plans import star as star_mod
 from snapdeck.sources import fixtures as fx
 from snapdeck.sources.ingest import market_rows_from_protocols
+from snapdeck import config as _c
+from snapdeck.functions import safe_double, split_pair
+from snapdeck.operators import checks as ck
+from snapdeck.operators.joins import materialize
+from snapdeck.plans import serving as sv
+from snapdeck.session import scratch_path
+from snapdeck.sources import ingest as ing
+from snapdeck.sources import lake
+from snapdeck.sources import schemas as sch
+from snapdeck.streaming import alerts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -197,12 +208,7 @@ def q_star(spark, sf_dir):
 
 
 # --- checks (C1-C10) -------------------------------------------------------
-import datetime as _dt  # noqa: E402
 
-from snapdeck import config as _c  # noqa: E402
-from snapdeck.operators import checks as ck  # noqa: E402
-from snapdeck.operators.joins import materialize  # noqa: E402
-from snapdeck.plans import serving as sv  # noqa: E402
 
 AS_OF_TS = _dt.datetime.fromisoformat(fx.FIXTURE_AS_OF).replace(tzinfo=_dt.timezone.utc)
 POOL_NOT_NULL = ["snapshot_date", "snapshot_at", "dex_name", "pool_address", "trailing_24h_volume_usd"]
@@ -552,9 +558,6 @@ def q_share_change(spark, sf_dir):
 
 
 # --- ingest (I1-I13, S2) -------------------------------------------------------
-from snapdeck.functions import safe_double, split_pair  # noqa: E402
-from snapdeck.sources import ingest as ing  # noqa: E402
-from snapdeck.sources.lake import market_slice_path  # noqa: E402
 
 _PAGES_CTES = (O.FX1, O.pages_ctes())
 RAW_DOUBLES = ["trailing_24h_volume_usd", "trailing_24h_fees_usd", "tvl_usd"]
@@ -712,9 +715,6 @@ def q_split_pair(spark, sf_dir):
 
 
 # --- lake, slice loads, retention, storage (S1-S14, V4) ------------------------
-from snapdeck.session import scratch_path  # noqa: E402
-from snapdeck.sources import lake  # noqa: E402
-from snapdeck.sources import schemas as sch  # noqa: E402
 
 
 def _stale(raw: DataFrame) -> DataFrame:
@@ -840,7 +840,6 @@ def q_status_storage(spark, sf_dir):
 
 
 # --- streaming alert (A10, ST1) ------------------------------------------------
-from snapdeck.streaming import alerts  # noqa: E402
 
 _ALERT_SQL = (
     "SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, "
