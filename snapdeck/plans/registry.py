@@ -860,3 +860,19 @@ def q_error_alert_stream(spark, sf_dir):
     """ST1 as a stream: events replayed as time-ordered daily files through the
     watermarked windowed count in update mode; final state per window."""
     return alerts.replay_alert_stream(spark, fx.table(spark, sf_dir, "events"), scratch_path(spark, "alert_stream"))
+
+
+@register(
+    "landing_missing",
+    O.with_ctes(
+        "SELECT DISTINCT dex_name AS source, snapshot_date FROM fx1 "
+        "EXCEPT SELECT DISTINCT dex_name, snapshot_date FROM fx1 WHERE trailing_24h_volume_usd IS NOT NULL",
+        O.FX1,
+    ),
+)
+def q_landing_missing(spark, sf_dir):
+    """Requested (venue, day) slices with no landed pages (a feed whose
+    every pool lacked a volume lands nothing)."""
+    requested = raw_pools(spark, sf_dir).select(F.col("dex_name").alias("source"), "snapshot_date").distinct()
+    landed = fx.fx5_manifest(spark, sf_dir)
+    return lake.missing_slices(requested, landed)
