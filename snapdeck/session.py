@@ -27,6 +27,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # task outputs go straight to their final folder; the job commit does not
         # move every file again (many small daily slices)
         .config("spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version", "2")
+        # checkpoint files of materialized sides are removed once unreferenced
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # local disk only: skip the .crc side file written next to every file
         .config("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
         .config("spark.hadoop.fs.file.impl.disable.cache", "true")
