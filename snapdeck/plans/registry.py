@@ -566,7 +566,8 @@ RAW_DOUBLES = ["trailing_24h_volume_usd", "trailing_24h_fees_usd", "tvl_usd"]
 def _pages(spark, sf_dir):
     """The landed pages and their manifest. Landed data is data at rest, so
     the fixture is materialized once instead of being re-derived per stage."""
-    return materialize(fx.fx5_pages(spark, sf_dir)), fx.fx5_manifest(spark, sf_dir)
+    pages = materialize(fx.fx5_pages(spark, sf_dir))
+    return pages, fx.manifest_from_pages(pages)
 
 
 def _parse(source):

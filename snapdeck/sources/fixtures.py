@@ -168,10 +168,11 @@ def fx5_pages(spark: SparkSession, sf_dir: str, page_size: int = FIXTURE_PAGE_SI
     its last cursor). Positions come from the skew-safe ranking, and a page
     is collected from at most ``page_size`` rows.
     """
-    from snapdeck.operators.joins import bounded_broadcast
+    from snapdeck.operators.joins import bounded_broadcast, materialize
     from snapdeck.operators.ranking import row_number_within
 
-    pools = fx1_pools(spark, sf_dir).filter(F.col("trailing_24h_volume_usd").isNotNull())
+    # read by the range sampler, the ranking and the slice counts: compute once
+    pools = materialize(fx1_pools(spark, sf_dir).filter(F.col("trailing_24h_volume_usd").isNotNull()))
     ranked = row_number_within(pools, ["dex_name", "snapshot_date"], [F.desc("trailing_24h_volume_usd"), F.asc("pool_address")])
     ranked = ranked.withColumn("page_no", F.floor((F.col("rn") - 1) / page_size).cast("long")).withColumn(
         "pos", ((F.col("rn") - 1) % page_size).cast("int")
@@ -202,6 +203,14 @@ def fx5_pages(spark: SparkSession, sf_dir: str, page_size: int = FIXTURE_PAGE_SI
     return out[0].unionByName(out[1]).unionByName(out[2])
 
 
+def manifest_from_pages(pages: DataFrame) -> DataFrame:
+    """The manifest a landing run records for FX5 pages: one row per slice
+    with the run's snapshot_at and the number of pool records landed."""
+    items = F.json_array_length(F.expr("get_json_object(body, CASE WHEN source = 'raydium' THEN '$.data.data' ELSE '$.data' END)"))
+    m = pages.groupBy("source", "snapshot_date").agg(F.sum(items).cast("long").alias("raw_record_count"))
+    return m.select("source", "snapshot_date", run_stamp(F.col("snapshot_date")).alias("snapshot_at"), "raw_record_count")
+
+
 def fx5_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest of the FX5 slices: the landing run's snapshot_at and pool count."""
     pools = fx1_pools(spark, sf_dir).filter(F.col("trailing_24h_volume_usd").isNotNull())
