@@ -80,7 +80,8 @@ def stg_ms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pool_metrics(spark: SparkSession, sf_dir: str, stg_df: DataFrame | None = None) -> DataFrame:
-    return models.pool_metrics(stg_df if stg_df is not None else stg(spark, sf_dir), _cfg())
+    # staging is a table in the layered build; the totals and the windows both read it
+    return models.pool_metrics(stg_df if stg_df is not None else materialize(stg(spark, sf_dir)), _cfg())
 
 
 def fct_pool(spark: SparkSession, sf_dir: str, stg_df: DataFrame | None = None) -> DataFrame:
