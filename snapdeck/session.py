@@ -24,9 +24,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         # local profile: list partition folders with a few tasks, not one per folder
         .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(max(8, 2 * _cores(cores))))
-        # task outputs go straight to their final folder; the job commit does not
-        # move every file again (many small daily slices)
-        .config("spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version", "2")
         # checkpoint files of materialized sides are removed once unreferenced
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # local disk only: skip the .crc side file written next to every file

@@ -72,7 +72,15 @@ def replay_alert_stream(spark: SparkSession, events: DataFrame, work_dir: str, f
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(src)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
+        # idempotent per micro-batch: a batch replayed after a failure replaces
+        # its own folder instead of appending its rows twice
+        (
+            batch.withColumn("batch_id", F.lit(batch_id))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(out)
+        )
 
     q = (
         error_alert_stream(stream)
