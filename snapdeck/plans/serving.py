@@ -133,11 +133,13 @@ def storage_by_table(spark, tables: dict[tuple[str, str], str], views: dict[tupl
     parts = []
     for (schema_name, name), path in tables.items():
         df = spark.read.parquet(path)
-        files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
-        size = files.agg(F.sum("file_size").cast("long").alias("bytes"))
-        rows = df.agg(F.count(F.lit(1)).alias("total_rows"))
+        # rows per file, then totals: one aggregation chain gives both numbers
+        per_file = df.groupBy(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("file_size")).agg(
+            F.count(F.lit(1)).alias("n")
+        )
+        totals = per_file.agg(F.sum("n").cast("long").alias("total_rows"), F.sum("file_size").cast("long").alias("bytes"))
         parts.append(
-            rows.crossJoin(size).select(
+            totals.select(
                 F.lit(schema_name).alias("table_schema"), F.lit(name).alias("table_name"), table_type_label(F.lit(1)).alias("table_type"), "total_rows", "bytes"
             )
         )
