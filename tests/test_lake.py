@@ -92,3 +92,20 @@ def test_ensure_table_and_type_labels(spark, scratch):
     assert lake.load_slices(month_one, path)["rows_loaded"] == 0
     codes = spark.createDataFrame([(1,), (2,), (3,)], "c int")
     assert [r[0] for r in codes.select(table_type_label("c")).collect()] == ["TABLE", "VIEW", "OTHER"]
+
+
+def test_storage_report_counts_rows_and_bytes(spark, scratch, month):
+    import os
+
+    from snapdeck.plans.serving import storage_by_table
+
+    path = scratch("raw")
+    lake.load_slices(month, path)
+    rep = storage_by_table(spark, {("raw", "raw_dex_pools"): path}, {("marts", "fct"): month}).collect()
+    table = [r for r in rep if r.table_type == "TABLE"][0]
+    local = path.removeprefix("file:")
+    on_disk = sum(
+        os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(local) for f in fs if f.endswith(".parquet")
+    )
+    assert table.total_rows == month.count() and table.bytes == on_disk
+    assert [r.table_type for r in rep] == ["TABLE", "VIEW"]
