@@ -816,9 +816,10 @@ def q_landing_manifest(spark, sf_dir):
     ),
 )
 def q_retention_expired(spark, sf_dir):
-    """Landed slices older than the 90-day retention at as_of."""
-    landed = _landed(spark, sf_dir)
-    manifest = landed.select("source", "snapshot_date").distinct()
+    """Landed slices whose age at as_of reached the 90-day retention,
+    read from the landing manifest (the rule consults the manifest, not a
+    listing of the lake)."""
+    _, manifest = _pages(spark, sf_dir)
     return lake.expired_slices(manifest, as_of_col(), _c.RETENTION_DAYS).select("source", "snapshot_date")
 
 
