@@ -113,6 +113,18 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def enforce_required(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Fail the job on a NULL in a REQUIRED field, in the same pass as the
+    write (a failed write job publishes nothing)."""
+    req = [f.name for f in schema.fields if not f.nullable and f.name in df.columns]
+    if not req:
+        return df
+    ok = F.lit(True)
+    for c in req:
+        ok = ok & F.col(c).isNotNull()
+    return df.filter(F.assert_true(ok, F.lit(f"NULL in a required field of {','.join(req)}")).isNull())
+
+
 def required_violations(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows breaking a REQUIRED (non-nullable) field, counted per field in one pass."""
     req = [f.name for f in schema.fields if not f.nullable]
@@ -191,7 +203,7 @@ def load_slices(
     """
     spark = rows.sparkSession
     if schema is not None:
-        rows = conform(rows, schema)
+        rows = enforce_required(conform(rows, schema), schema)
     keys = list(slice_keys)
     skipped = 0
     keep: DataFrame | None = None

@@ -109,3 +109,12 @@ def test_storage_report_counts_rows_and_bytes(spark, scratch, month):
     )
     assert table.total_rows == month.count() and table.bytes == on_disk
     assert [r.table_type for r in rep] == ["TABLE", "VIEW"]
+
+
+def test_required_fields_are_enforced(spark, scratch, month):
+    path = scratch("raw")
+    bad = month.limit(3).withColumn("pool_address", F.when(F.col("tvl_usd").isNotNull(), F.lit(None)).cast("string"))
+    with pytest.raises(Exception, match="required"):
+        lake.load_slices(bad, path, schema=schemas.RAW_POOLS)
+    assert not lake.has_rows_on_disk(spark, path)
+    assert lake.load_slices(month.limit(3), path, schema=schemas.RAW_POOLS)["rows_loaded"] == 3
