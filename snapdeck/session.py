@@ -25,7 +25,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # local profile: list partition folders with a few tasks, not one per folder
         .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(max(8, 2 * _cores(cores))))
         # checkpoint files of materialized sides are removed once unreferenced
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", os.environ.get("SNAPDECK_CLEAN_CHECKPOINTS", "true"))
         # local disk only: skip the .crc side file written next to every file
         .config("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
         .config("spark.hadoop.fs.file.impl.disable.cache", "true")
