@@ -111,7 +111,3 @@ def freshness(tables: dict[str, DataFrame], as_of: Column, warn_hours: int, erro
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.withColumn("status", freshness_status("age_seconds", warn_hours, error_hours))
-
-
-def failing(results: DataFrame) -> DataFrame:
-    return results.filter(F.col("failures") > 0)

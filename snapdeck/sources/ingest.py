@@ -94,10 +94,6 @@ def parse_pages(pages: DataFrame, source: str) -> DataFrame:
     return p.select(*SLICE, "page_no", F.col("pg.data").alias("items"), F.col("pg.total_count").alias("total_count"))
 
 
-def item_key(source: str) -> str:
-    return {"raydium": "id", "orca": "address", "meteora": "pool_address"}[source]
-
-
 def page_meta(pages: DataFrame, source: str, cfg: Config = DEFAULT, floor: float | None = None) -> tuple[DataFrame, DataFrame]:
     """Per-page stop flags of one feed and its candidate pool items.
 

@@ -125,12 +125,6 @@ def enforce_required(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.filter(F.assert_true(ok, F.lit(f"NULL in a required field of {','.join(req)}")).isNull())
 
 
-def required_violations(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rows breaking a REQUIRED (non-nullable) field, counted per field in one pass."""
-    req = [f.name for f in schema.fields if not f.nullable]
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in req])
-
-
 def clustered(df: DataFrame, partitions: Sequence[str], cluster: Sequence[str], num_partitions: int | None = None) -> DataFrame:
     """Lay rows out by (partition, cluster) ranges so each file holds a
     sorted run (parquet min/max skipping); a hot slice spans several tasks.
@@ -173,11 +167,6 @@ def has_rows_on_disk(spark: SparkSession, table_path: str) -> bool:
     return False
 
 
-def table_slices(spark: SparkSession, table_path: str, slice_keys: Sequence[str] = SLICE_KEYS) -> DataFrame:
-    """Slices present in a table (reads the slice key columns only)."""
-    return spark.read.parquet(table_path).select(*slice_keys).distinct()
-
-
 def load_slices(
     rows: DataFrame,
     table_path: str,
