@@ -78,7 +78,10 @@ def dim_pool(stg: DataFrame) -> DataFrame:
         F.max("snapshot_date").alias("last_seen_date"),
         F.sum("trailing_24h_volume_usd").alias("lifetime_observed_volume_usd"),
         F.sum("trailing_24h_fees_usd").alias("lifetime_observed_fees_usd"),
-        F.countDistinct("snapshot_date").cast("long").alias("snapshot_days_count"),
+        # distinct days as a per-pool set (bounded by the days a pool lives):
+        # keeps ONE exchange, where count(DISTINCT) adds a (pool, day) shuffle
+        # that carries nearly every staging row
+        F.size(F.collect_set("snapshot_date")).cast("long").alias("snapshot_days_count"),
     )
     return agg.select(
         surrogate_key("pool_address").alias("pool_key"),
