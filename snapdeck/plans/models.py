@@ -6,7 +6,7 @@ one query unless a layer is materialized.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapdeck.config import DEFAULT, Config
@@ -177,3 +177,28 @@ def fct_market_share(metrics: DataFrame) -> DataFrame:
         "share_change_vs_7d_avg_pct",
         "source_file",
     )
+
+
+def last_rows_per_pool(df: DataFrame, rows: int = 7) -> DataFrame:
+    """The newest ``rows`` staging rows of every pool (the state an incremental
+    metric build needs; at most ``rows`` x pools). Spark plans the rank filter
+    with a per-partition group limit before the shuffle."""
+    w = Window.partitionBy("pool_address").orderBy(F.desc("snapshot_date"), F.desc("dex_name"))
+    return df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= rows).drop("_r")
+
+
+def pool_metrics_since(stg: DataFrame, since, cfg: Config = DEFAULT, history: DataFrame | None = None) -> DataFrame:
+    """M3 for snapshot dates >= ``since`` only, equal to ``pool_metrics`` over
+    all of staging restricted to those dates.
+
+    Reads the staging rows from ``since`` on (partition-pruned on a
+    DAY-partitioned table) plus each pool's last 7 rows before ``since``:
+    ``history`` (a state table kept by the previous run, see
+    :func:`last_rows_per_pool`) or, when absent, derived from the older
+    staging rows. Totals are per date, so the new dates' totals are complete.
+    """
+    start = since if isinstance(since, Column) else F.lit(since)
+    current = stg.filter(F.col("snapshot_date") >= start)
+    older = (stg if history is None else history).filter(F.col("snapshot_date") < start)
+    prior = last_rows_per_pool(older.join(current.select("pool_address").distinct(), "pool_address", "left_semi"))
+    return pool_metrics(current.unionByName(prior), cfg).filter(F.col("snapshot_date") >= start)

@@ -100,6 +100,7 @@ _MS_MEASURES = ["trailing_24h_volume_usd", "trailing_7d_volume_usd", "total_volu
 DECIMAL_MEASURES = {
     "stg_pools": _POOL_MEASURES,
     "pool_metrics": _POOL_MEASURES + ["dex_total_24h_volume", "market_total_24h_volume"],
+    "pool_metrics_incremental": _POOL_MEASURES + ["dex_total_24h_volume", "market_total_24h_volume"],
     "fct_pool": _POOL_MEASURES + ["dex_total_24h_volume", "market_total_24h_volume"],
     "stg_market_share": _MS_MEASURES,
     "market_share_metrics": _MS_MEASURES + ["total_market_24h_volume"],
@@ -879,3 +880,16 @@ def q_landing_missing(spark, sf_dir):
     requested = raw_pools(spark, sf_dir).select(F.col("dex_name").alias("source"), "snapshot_date").distinct()
     landed = fx.fx5_manifest(spark, sf_dir)
     return lake.missing_slices(requested, landed)
+
+
+@register(
+    "pool_metrics_incremental",
+    O.with_ctes("SELECT * FROM pm WHERE snapshot_date >= (SELECT MAX(snapshot_date) FROM stg) - 29", O.FX1, O.STG, O.PM),
+    PM_DOUBLES,
+)
+def q_pool_metrics_incremental(spark, sf_dir):
+    """M3 rebuilt incrementally for the last 30 snapshot days: the new rows
+    plus each pool's last 7 earlier rows, equal to the full rebuild there."""
+    s = materialize(stg(spark, sf_dir))
+    since = F.date_sub(s.select(F.max("snapshot_date")).scalar(), 29)
+    return models.pool_metrics_since(s, since, _cfg())
