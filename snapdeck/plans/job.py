@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from snapdeck.config import DEFAULT, Config
 from snapdeck.operators import checks as ck
-from snapdeck.operators.joins import join_small
+from snapdeck.operators.joins import join_small, materialize
 from snapdeck.plans import dims, models
 from snapdeck.sources import ingest, lake, schemas
 
@@ -144,7 +144,50 @@ def _gate(results: DataFrame, into: list[dict]) -> None:
         raise CheckFailed(bad)
 
 
-def build_models(spark: SparkSession, paths: Paths, cfg: Config = DEFAULT, as_of: dt.datetime | None = None) -> dict[str, DataFrame]:
+STATE_TABLE = "_pool_last_rows"
+
+
+def build_pool_metrics(spark: SparkSession, paths: Paths, stg: DataFrame, cfg: Config = DEFAULT, since: dt.date | None = None) -> DataFrame:
+    """int_pool_metrics as a DAY-partitioned table.
+
+    Full build (``since`` is None or no table yet): every date. Incremental
+    build: only dates >= ``since`` are recomputed and their partitions
+    replaced; each pool's 7 prior rows come from the state table when it
+    ends before ``since`` (else from staging). The state table (last 7 rows
+    per pool) is refreshed after every build.
+    """
+    pm_path, state_path = paths.model_table("int_pool_metrics"), paths.model_table(STATE_TABLE)
+    incremental = since is not None and lake.has_rows_on_disk(spark, pm_path)
+    history = None
+    if incremental:
+        if lake.has_rows_on_disk(spark, state_path):
+            state = spark.read.parquet(state_path)
+            last = state.agg(F.max("snapshot_date")).first()[0]
+            if last is not None and last < since:
+                history = state
+        metrics = models.pool_metrics_since(stg, since, cfg, history=history)
+        mode = "dynamic"
+    else:
+        metrics = models.pool_metrics(stg, cfg)
+        mode = "static"
+    lake.clustered(metrics, ["snapshot_date"], ["pool_address"]).write.mode("overwrite").option(
+        "partitionOverwriteMode", mode
+    ).partitionBy("snapshot_date").parquet(pm_path)
+    # state for the next incremental run. From the old state plus the new
+    # days when the state covered the run, else from all of staging;
+    # materialized first, since it is rewritten in place.
+    if history is not None:
+        basis = history.unionByName(stg.filter(F.col("snapshot_date") >= F.lit(since)))
+    else:
+        basis = stg
+    fresh = materialize(models.last_rows_per_pool(basis))
+    fresh.write.mode("overwrite").parquet(state_path)
+    return spark.read.parquet(pm_path).select(*models.POOL_METRIC_COLUMNS)
+
+
+def build_models(
+    spark: SparkSession, paths: Paths, cfg: Config = DEFAULT, as_of: dt.datetime | None = None, since: dt.date | None = None
+) -> dict[str, DataFrame]:
     """Staging -> intermediate -> marts, checks after each layer.
 
     Staging and intermediate are written as tables, marts registered as
@@ -156,8 +199,18 @@ def build_models(spark: SparkSession, paths: Paths, cfg: Config = DEFAULT, as_of
     raw_ms_path = paths.raw_table("raw_dex_market_share")
     has_market = lake.path_exists(spark, raw_ms_path)
 
-    # staging
-    stg = _write_table(models.stg_pools(raw_pools, cfg), paths.model_table("stg_dex_pools"), ["snapshot_date", "pool_address"])
+    # staging: DAY-partitioned; an incremental build replaces the days >= since
+    stg_path = paths.model_table("stg_dex_pools")
+    if since is not None and lake.has_rows_on_disk(spark, stg_path):
+        fresh_stg = models.stg_pools(raw_pools.filter(F.col("snapshot_date") >= F.lit(since)), cfg)
+        stg_mode = "dynamic"
+    else:
+        fresh_stg = models.stg_pools(raw_pools, cfg)
+        stg_mode = "static"
+    lake.clustered(fresh_stg, ["snapshot_date"], ["dex_name", "pool_address"]).write.mode("overwrite").option(
+        "partitionOverwriteMode", stg_mode
+    ).partitionBy("snapshot_date").parquet(stg_path)
+    stg = spark.read.parquet(stg_path).select(*schemas.POOL_COLUMNS)
     suite = ck.not_null(["snapshot_date", "snapshot_at", "dex_name", "pool_address", "trailing_24h_volume_usd"]) + [
         ck.accepted_values("dex_name", cfg.pool_venues),
         ck.no_future("snapshot_date", F.to_date(as_of_ts)),
@@ -173,7 +226,7 @@ def build_models(spark: SparkSession, paths: Paths, cfg: Config = DEFAULT, as_of
         out["stg_dex_market_share"] = stg_ms
 
     # intermediate
-    pm = _write_table(models.pool_metrics(stg, cfg), paths.model_table("int_pool_metrics"), ["pool_address", "snapshot_date"])
+    pm = build_pool_metrics(spark, paths, stg, cfg, since)
     out["int_pool_metrics"] = pm
     if has_market:
         out["int_market_share_metrics"] = _write_table(
@@ -233,6 +286,7 @@ def run(
     market_docs: DataFrame | None = None,
     cfg: Config = DEFAULT,
     as_of: dt.datetime | None = None,
+    incremental: bool = False,
 ) -> RunResult:
     """Each source loads in isolation; the transform runs on whatever
     loaded; the run fails at the end if any source failed."""
@@ -256,7 +310,7 @@ def run(
             result.failures["market_share"] = str(exc)
     log.info("rows_loaded %s", result.rows_loaded)
     if not skip_transform:
-        built = build_models(spark, paths, cfg, as_of)
+        built = build_models(spark, paths, cfg, as_of, since=day if incremental else None)
         if built.get("_checks") is not None:
             result.checks = [r.asDict() for r in built["_checks"].collect()]
     if result.failures:
