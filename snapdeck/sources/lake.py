@@ -89,6 +89,28 @@ def read_landed_pages(spark: SparkSession, lake_root: str) -> DataFrame:
     )
 
 
+def land_market_documents(docs: DataFrame, lake_root: str, overwrite: bool = False) -> None:
+    """Land market documents (one JSON document per line) under date= folders."""
+    out = docs.select(F.col("snapshot_date").alias("date"), F.col("body").alias("value"))
+    w = out.write.partitionBy("date")
+    if overwrite:
+        w.mode("overwrite").option("partitionOverwriteMode", "dynamic").text(f"{lake_root}/{MARKET_DIR}")
+    else:
+        w.mode("append").text(f"{lake_root}/{MARKET_DIR}")
+
+
+def read_market_documents(spark: SparkSession, lake_root: str, snapshot_at: Column | None = None) -> DataFrame:
+    """S2 for the market feed: one document per line. ``snapshot_at`` is the
+    run's stamp when given, else the current time."""
+    df = spark.read.option("basePath", f"{lake_root}/{MARKET_DIR}").text(f"{lake_root}/{MARKET_DIR}")
+    return df.select(
+        (snapshot_at if snapshot_at is not None else F.current_timestamp()).alias("snapshot_at"),
+        F.col("date").cast("date").alias("snapshot_date"),
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("value").alias("body"),
+    )
+
+
 def manifest_for(pages: DataFrame, snapshot_at: Column, count_items: Column | None = None) -> DataFrame:
     """One manifest row per landed slice: the run's snapshot_at and the raw
     record count (sum of page sizes, partially aggregated)."""

@@ -90,3 +90,17 @@ def test_incremental_build_equals_full(spark):
     sa = spark.read.parquet(inc.model_table(job.STATE_TABLE))
     sb = spark.read.parquet(full.model_table(job.STATE_TABLE))
     assert sa.exceptAll(sb).count() == 0 and sb.exceptAll(sa).count() == 0
+
+
+def test_cli_run_and_freshness(spark, landed):
+    """The command line drives the same job (in this test's session)."""
+    import snapdeck.__main__ as cli
+
+    stop = spark.stop
+    spark.stop = lambda: None  # keep the shared test session alive
+    try:
+        args = ["--lake", landed.lake, "--raw", landed.raw, "--models", landed.models, "--date", DAYS[0].isoformat()]
+        assert cli.main(["run", *args, "--skip-transform", "--sources", "raydium,orca"]) == 0
+        assert cli.main(["freshness", *args]) == 1  # the fixture's days are long past: stale
+    finally:
+        spark.stop = stop

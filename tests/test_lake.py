@@ -118,3 +118,17 @@ def test_required_fields_are_enforced(spark, scratch, month):
         lake.load_slices(bad, path, schema=schemas.RAW_POOLS)
     assert not lake.has_rows_on_disk(spark, path)
     assert lake.load_slices(month.limit(3), path, schema=schemas.RAW_POOLS)["rows_loaded"] == 3
+
+
+def test_market_documents_round_trip(spark, scratch):
+    from snapdeck.sources import ingest
+
+    docs = fx.fx4_market_documents(spark, SF_SMALL).filter(F.col("snapshot_date").between(dt.date(1998, 3, 1), dt.date(1998, 3, 10)))
+    root = scratch("lake")
+    lake.land_market_documents(docs, root)
+    back = lake.read_market_documents(spark, root, F.lit(dt.datetime(2026, 1, 1)))
+    cols = ["snapshot_date", "dex_name", "trailing_24h_volume_usd", "trailing_7d_volume_usd", "total_volume_usd"]
+    a = ingest.parse_market_documents(back).select(cols)
+    b = ingest.parse_market_documents(docs).select(cols)
+    assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0
+    assert back.filter(~F.col("source_file").contains("/dex_market_share/date=")).count() == 0
