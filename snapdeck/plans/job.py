@@ -66,6 +66,7 @@ class RunResult:
 
     rows_loaded: dict[str, int] = field(default_factory=dict)
     slices_skipped: dict[str, int] = field(default_factory=dict)
+    rows_deleted: dict[str, int] = field(default_factory=dict)
     failures: dict[str, str] = field(default_factory=dict)
     checks: list[dict] = field(default_factory=list)
 
@@ -90,9 +91,10 @@ def land(
         if not overwrite:
             pages = join_small(pages, manifest.select("source", "snapshot_date").distinct(), ["source", "snapshot_date"], "left_anti")
     lake.land_pages(pages, paths.lake, overwrite=overwrite)
-    rows = pages.groupBy("source", "snapshot_date").agg(F.count(F.lit(1)).cast("long").alias("pages")).withColumn(
-        "snapshot_at", F.lit(snapshot_at)
-    )
+    rows = pages.groupBy("source", "snapshot_date").agg(
+        F.count(F.lit(1)).cast("long").alias("pages"),
+        F.sum(lake.page_record_count(F.col("source"), F.col("body"))).cast("long").alias("raw_record_count"),
+    ).withColumn("snapshot_at", F.lit(snapshot_at))
     rows.write.mode("append").parquet(paths.manifest)
     return rows
 
@@ -104,7 +106,7 @@ def load_source(spark: SparkSession, paths: Paths, source: str, run_date: dt.dat
     can be replayed without fetching."""
     raw_path = paths.raw_table("raw_dex_pools")
     if lake.slice_exists(spark, raw_path, run_date, source) and not overwrite:
-        return {"rows_loaded": 0, "slices_skipped": 1}
+        return {"rows_loaded": 0, "slices_skipped": 1, "rows_deleted": 0}
     pages = lake.read_landed_pages(spark, paths.lake).filter((F.col("source") == source) & (F.col("snapshot_date") == F.lit(run_date)))
     manifest = spark.read.parquet(paths.manifest) if lake.path_exists(spark, paths.manifest) else pages.select(
         "source", "snapshot_date", F.lit(None).cast("timestamp").alias("snapshot_at")
@@ -113,10 +115,12 @@ def load_source(spark: SparkSession, paths: Paths, source: str, run_date: dt.dat
     manifest = manifest.groupBy("source", "snapshot_date").agg(F.max("snapshot_at").alias("snapshot_at"))
     path_col = lake.pool_slice_path(F.lit(paths.lake), F.col("source"), F.col("snapshot_date"))
     rows = ingest.ingest_pool_pages(pages, manifest, source, cfg, source_file=path_col)
+    deleted = 0
     if overwrite and lake.slice_exists(spark, raw_path, run_date, source):
         # an overwrite that yields no rows must still clear the slice
-        lake.delete_slice(spark, raw_path, run_date, source)
-    return lake.load_slices(rows, raw_path, overwrite=overwrite, schema=schemas.RAW_POOLS, cfg=cfg)
+        deleted = lake.delete_slice(spark, raw_path, run_date, source)
+    m = lake.load_slices(rows, raw_path, overwrite=overwrite, schema=schemas.RAW_POOLS, cfg=cfg)
+    return {**m, "rows_deleted": deleted}
 
 
 def load_market_share(spark: SparkSession, paths: Paths, docs: DataFrame, overwrite: bool, cfg: Config = DEFAULT) -> dict[str, int]:
@@ -298,6 +302,7 @@ def run(
             m = load_source(spark, paths, src, day, overwrite, cfg)
             result.rows_loaded[src] = m["rows_loaded"]
             result.slices_skipped[src] = m["slices_skipped"]
+            result.rows_deleted[src] = m.get("rows_deleted", 0)
         except Exception as exc:  # noqa: BLE001 - isolation is the point
             log.error("source_failed source=%s error=%s", src, exc)
             result.failures[src] = str(exc)

@@ -788,7 +788,7 @@ def _landed(spark, sf_dir):
 
 
 def _items_in_page() -> "F.Column":
-    return F.json_array_length(F.expr("get_json_object(body, CASE WHEN source = 'raydium' THEN '$.data.data' ELSE '$.data' END)"))
+    return lake.page_record_count(F.col("source"), F.col("body"))
 
 
 @register(

@@ -206,7 +206,9 @@ def fx5_pages(spark: SparkSession, sf_dir: str, page_size: int = FIXTURE_PAGE_SI
 def manifest_from_pages(pages: DataFrame) -> DataFrame:
     """The manifest a landing run records for FX5 pages: one row per slice
     with the run's snapshot_at and the number of pool records landed."""
-    items = F.json_array_length(F.expr("get_json_object(body, CASE WHEN source = 'raydium' THEN '$.data.data' ELSE '$.data' END)"))
+    from snapdeck.sources.lake import page_record_count
+
+    items = page_record_count(F.col("source"), F.col("body"))
     m = pages.groupBy("source", "snapshot_date").agg(F.sum(items).cast("long").alias("raw_record_count"))
     return m.select("source", "snapshot_date", run_stamp(F.col("snapshot_date")).alias("snapshot_at"), "raw_record_count")
 

@@ -111,6 +111,13 @@ def read_market_documents(spark: SparkSession, lake_root: str, snapshot_at: Colu
     )
 
 
+def page_record_count(source: Column, body: Column) -> Column:
+    """Pool records in one landed page body (Raydium nests them one level deeper)."""
+    raydium = F.json_array_length(F.get_json_object(body, "$.data.data"))
+    others = F.json_array_length(F.get_json_object(body, "$.data"))
+    return F.when(source == "raydium", raydium).otherwise(others)
+
+
 def manifest_for(pages: DataFrame, snapshot_at: Column, count_items: Column | None = None) -> DataFrame:
     """One manifest row per landed slice: the run's snapshot_at and the raw
     record count (sum of page sizes, partially aggregated)."""

@@ -64,6 +64,8 @@ def test_source_failure_is_isolated(spark, landed):
     with pytest.raises(job.PipelineFailed) as e:
         job.run(spark, landed, run_date=DAYS[0], sources=["raydium", "nosuch"], skip_transform=True, overwrite=True, cfg=cfg)
     assert "nosuch" in e.value.failures and "raydium" not in e.value.failures
+    manifest = spark.read.parquet(landed.manifest)
+    assert manifest.filter(F.col("raw_record_count") > 0).count() == manifest.count() > 0
 
 
 def test_incremental_build_equals_full(spark):
