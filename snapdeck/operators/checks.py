@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 
 from snapdeck.functions import freshness_status, seconds_between
 
-RESULT_COLUMNS = ["model", "test", "column_name", "failures"]
-
-
 @dataclass(frozen=True)
 class RowTest:
     """A test decided row by row: ``bad`` is true on a violating row."""

@@ -118,14 +118,6 @@ def page_record_count(source: Column, body: Column) -> Column:
     return F.when(source == "raydium", raydium).otherwise(others)
 
 
-def manifest_for(pages: DataFrame, snapshot_at: Column, count_items: Column | None = None) -> DataFrame:
-    """One manifest row per landed slice: the run's snapshot_at and the raw
-    record count (sum of page sizes, partially aggregated)."""
-    n = count_items if count_items is not None else F.lit(None).cast("long")
-    return pages.groupBy("source", "snapshot_date").agg(
-        F.sum(n).cast("long").alias("raw_record_count"),
-    ).withColumn("snapshot_at", snapshot_at)
-
 
 def missing_slices(requested: DataFrame, manifest: DataFrame, keys: Sequence[str] = ("source", "snapshot_date"), max_rows: int = DEFAULT.broadcast_max_rows) -> DataFrame:
     """Requested slices that are not landed yet (anti join on the small manifest)."""

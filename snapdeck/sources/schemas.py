@@ -39,9 +39,6 @@ RAW_MARKET_SHARE = T.StructType(
 )
 
 POOL_COLUMNS = [f.name for f in RAW_POOLS.fields]
-MARKET_COLUMNS = [f.name for f in RAW_MARKET_SHARE.fields]
-REQUIRED_POOL_COLUMNS = [f.name for f in RAW_POOLS.fields if not f.nullable]
-REQUIRED_MARKET_COLUMNS = [f.name for f in RAW_MARKET_SHARE.fields if not f.nullable]
 
 _TOKEN = "struct<symbol: string, address: string>"
 
@@ -57,12 +54,7 @@ METEORA_POOL = (
 )
 PROTOCOL = "struct<name: string, total24h: string, total7d: string, totalAllTime: string>"
 
-# An assembled document: {"pools": [...]} per venue, {"protocols": [...]} for the market feed.
-POOL_DOCUMENT = {
-    "raydium": f"struct<pools: array<{RAYDIUM_POOL}>>",
-    "orca": f"struct<pools: array<{ORCA_POOL}>>",
-    "meteora": f"struct<pools: array<{METEORA_POOL}>>",
-}
+# The market feed document: {"protocols": [...]}.
 MARKET_DOCUMENT = f"struct<protocols: array<{PROTOCOL}>>"
 
 # One API page per feed, before assembly.
@@ -71,24 +63,3 @@ POOL_PAGE = {
     "orca": f"struct<data: array<{ORCA_POOL}>, meta: struct<cursor: struct<next: string>>>",
     "meteora": f"struct<data: array<{METEORA_POOL}>, total_count: bigint>",
 }
-
-# Landed page table: one API page per row, so a day's feed splits across tasks.
-LANDED_PAGES = T.StructType(
-    [
-        T.StructField("source", T.StringType(), False),
-        T.StructField("snapshot_date", T.DateType(), False),
-        T.StructField("page_no", T.LongType(), False),
-        T.StructField("body", T.StringType(), True),
-    ]
-)
-
-# Attributes stored beside each landed slice.
-MANIFEST = T.StructType(
-    [
-        T.StructField("source", T.StringType(), False),
-        T.StructField("snapshot_date", T.DateType(), False),
-        T.StructField("snapshot_at", T.TimestampType(), False),
-        T.StructField("raw_record_count", T.LongType(), True),
-        T.StructField("path", T.StringType(), True),
-    ]
-)
