@@ -191,7 +191,7 @@ def build_pool_metrics(spark: SparkSession, paths: Paths, stg: DataFrame, cfg: C
 
 def build_models(
     spark: SparkSession, paths: Paths, cfg: Config = DEFAULT, as_of: dt.datetime | None = None, since: dt.date | None = None
-) -> dict[str, DataFrame]:
+) -> dict:
     """Staging -> intermediate -> marts, checks after each layer.
 
     Staging and intermediate are written as tables, marts registered as
@@ -275,7 +275,7 @@ def build_models(
             bad.append({"test": name, "rows": rows})
     if bad:
         raise CheckFailed(bad)
-    out["_checks"] = spark.createDataFrame(results) if results else None
+    out["_checks"] = results
     return out
 
 
@@ -316,8 +316,7 @@ def run(
     log.info("rows_loaded %s", result.rows_loaded)
     if not skip_transform:
         built = build_models(spark, paths, cfg, as_of, since=day if incremental else None)
-        if built.get("_checks") is not None:
-            result.checks = [r.asDict() for r in built["_checks"].collect()]
+        result.checks = list(built.get("_checks") or [])
     if result.failures:
         raise PipelineFailed(result.failures)
     return result
