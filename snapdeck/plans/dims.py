@@ -69,30 +69,11 @@ def dim_pool(stg: DataFrame) -> DataFrame:
 
     Replaces window(row_number) + aggregate + join: a single shuffle on
     pool_address, partially aggregated map-side. Latest = newest date, ties
-    broken by venue then the metadata values.
+    broken by venue then the metadata values. Distinct days are a per-pool
+    set (bounded by the days a pool lives): count(DISTINCT) would add a
+    (pool, day) shuffle carrying nearly every staging row.
     """
-    latest = first_by([newest_first("snapshot_date"), F.col("dex_name")], POOL_META)
-    agg = stg.groupBy("pool_address").agg(
-        latest.alias("_m"),
-        F.min("snapshot_date").alias("first_seen_date"),
-        F.max("snapshot_date").alias("last_seen_date"),
-        F.sum("trailing_24h_volume_usd").alias("lifetime_observed_volume_usd"),
-        F.sum("trailing_24h_fees_usd").alias("lifetime_observed_fees_usd"),
-        # distinct days as a per-pool set (bounded by the days a pool lives):
-        # keeps ONE exchange, where count(DISTINCT) adds a (pool, day) shuffle
-        # that carries nearly every staging row
-        F.size(F.collect_set("snapshot_date")).cast("long").alias("snapshot_days_count"),
-    )
-    return agg.select(
-        surrogate_key("pool_address").alias("pool_key"),
-        "pool_address",
-        *[F.col(f"_m.{c}").alias(c) for c in POOL_META],
-        "first_seen_date",
-        "last_seen_date",
-        "lifetime_observed_volume_usd",
-        "lifetime_observed_fees_usd",
-        "snapshot_days_count",
-    )
+    return dim_pool_from_state(pool_state(stg))
 
 
 def token_appearances(stg: DataFrame) -> DataFrame:
@@ -120,15 +101,77 @@ def dim_token(stg: DataFrame) -> DataFrame:
     the partial aggregate, never sorted in one task. Latest symbol: newest
     date, then symbol ascending with NULLs last.
     """
+    return dim_token_from_state(token_state(stg))
+
+
+# ---------------------------------------------------------------------------
+# Incremental dimensions: mergeable state
+# ---------------------------------------------------------------------------
+
+
+def pool_state(stg: DataFrame) -> DataFrame:
+    """Per-pool state of dim_pool: every field merges exactly across
+    disjoint day ranges (min of the latest-struct, min/max dates, sums, day
+    counts)."""
+    latest = first_by([newest_first("snapshot_date"), F.col("dex_name")], POOL_META)
+    return stg.groupBy("pool_address").agg(
+        latest.alias("_m"),
+        F.min("snapshot_date").alias("first_seen_date"),
+        F.max("snapshot_date").alias("last_seen_date"),
+        F.sum("trailing_24h_volume_usd").alias("lifetime_observed_volume_usd"),
+        F.sum("trailing_24h_fees_usd").alias("lifetime_observed_fees_usd"),
+        F.size(F.collect_set("snapshot_date")).cast("long").alias("snapshot_days_count"),
+    )
+
+
+def merge_pool_state(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Combine two pool states built from disjoint day ranges."""
+    return old.unionByName(new).groupBy("pool_address").agg(
+        F.min("_m").alias("_m"),
+        F.min("first_seen_date").alias("first_seen_date"),
+        F.max("last_seen_date").alias("last_seen_date"),
+        F.sum("lifetime_observed_volume_usd").cast("decimal(38,9)").alias("lifetime_observed_volume_usd"),
+        F.sum("lifetime_observed_fees_usd").cast("decimal(38,9)").alias("lifetime_observed_fees_usd"),
+        F.sum("snapshot_days_count").cast("long").alias("snapshot_days_count"),
+    )
+
+
+def dim_pool_from_state(state: DataFrame) -> DataFrame:
+    return state.select(
+        surrogate_key("pool_address").alias("pool_key"),
+        "pool_address",
+        *[F.col(f"_m.{c}").alias(c) for c in POOL_META],
+        "first_seen_date",
+        "last_seen_date",
+        "lifetime_observed_volume_usd",
+        "lifetime_observed_fees_usd",
+        "snapshot_days_count",
+    )
+
+
+def token_state(stg: DataFrame) -> DataFrame:
     latest = first_by([newest_first("snapshot_date"), *nulls_last("token_symbol")], ["token_symbol"])
-    agg = token_appearances(stg).groupBy("token_address").agg(
+    return token_appearances(stg).groupBy("token_address").agg(
         latest.alias("_m"),
         F.min("snapshot_date").alias("first_seen_date"),
         F.max("snapshot_date").alias("last_seen_date"),
         F.sum("is_base").cast("long").alias("appears_as_base_count"),
         F.sum("is_quote").cast("long").alias("appears_as_quote_count"),
     )
-    return agg.select(
+
+
+def merge_token_state(old: DataFrame, new: DataFrame) -> DataFrame:
+    return old.unionByName(new).groupBy("token_address").agg(
+        F.min("_m").alias("_m"),
+        F.min("first_seen_date").alias("first_seen_date"),
+        F.max("last_seen_date").alias("last_seen_date"),
+        F.sum("appears_as_base_count").cast("long").alias("appears_as_base_count"),
+        F.sum("appears_as_quote_count").cast("long").alias("appears_as_quote_count"),
+    )
+
+
+def dim_token_from_state(state: DataFrame) -> DataFrame:
+    return state.select(
         surrogate_key("token_address").alias("token_key"),
         "token_address",
         F.col("_m.token_symbol").alias("token_symbol"),

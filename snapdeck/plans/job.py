@@ -189,6 +189,35 @@ def build_pool_metrics(spark: SparkSession, paths: Paths, stg: DataFrame, cfg: C
     return spark.read.parquet(pm_path).select(*models.POOL_METRIC_COLUMNS)
 
 
+POOL_DIM_STATE, TOKEN_DIM_STATE = "_pool_dim_state", "_token_dim_state"
+
+
+def build_dimensions(spark: SparkSession, paths: Paths, stg: DataFrame, since: dt.date | None = None) -> tuple[DataFrame, DataFrame]:
+    """dim_pool and dim_token from mergeable state tables.
+
+    The state covers staging up to its newest ``last_seen_date``. A run that
+    starts after that day merges only the newer staging days into it.
+    Otherwise (first run, or a rerun of a covered day) the state is rebuilt
+    from all of staging.
+    """
+    p_path, t_path = paths.model_table(POOL_DIM_STATE), paths.model_table(TOKEN_DIM_STATE)
+    ps = ts = None
+    if since is not None and lake.has_rows_on_disk(spark, p_path) and lake.has_rows_on_disk(spark, t_path):
+        old_p, old_t = spark.read.parquet(p_path), spark.read.parquet(t_path)
+        last = old_p.agg(F.max("last_seen_date")).first()[0]
+        if last is not None and last < since:
+            newer = stg.filter(F.col("snapshot_date") > F.lit(last))
+            ps = dims.merge_pool_state(old_p, dims.pool_state(newer))
+            ts = dims.merge_token_state(old_t, dims.token_state(newer))
+    if ps is None:
+        ps, ts = dims.pool_state(stg), dims.token_state(stg)
+    # materialized first: the state folders are rewritten in place
+    ps, ts = materialize(ps), materialize(ts)
+    ps.write.mode("overwrite").parquet(p_path)
+    ts.write.mode("overwrite").parquet(t_path)
+    return dims.dim_pool_from_state(ps), dims.dim_token_from_state(ts)
+
+
 def build_models(
     spark: SparkSession, paths: Paths, cfg: Config = DEFAULT, as_of: dt.datetime | None = None, since: dt.date | None = None
 ) -> dict:
@@ -239,7 +268,7 @@ def build_models(
 
     # marts (views)
     fct = models.fct_pool(pm)
-    dp, dtok = dims.dim_pool(stg), dims.dim_token(stg)
+    dp, dtok = build_dimensions(spark, paths, stg, since)
     dd = dims.date_dim(spark, cfg.calendar_start, (as_of or dt.datetime.now(dt.timezone.utc)).date(), cfg.calendar_days_ahead)
     marts = {"fct_pool_trailing_24h": fct, "dim_pool": dp, "dim_token": dtok, "dim_date": dd}
     if has_market:

@@ -83,8 +83,11 @@ def test_incremental_build_equals_full(spark):
     lake.load_slices(raw.filter(F.col("snapshot_date") < cut), full.raw_table("raw_dex_pools"), schema=schemas.RAW_POOLS)
     job.build_models(spark, inc, cfg, as_of)  # full build over the older days
     lake.load_slices(raw.filter(F.col("snapshot_date") >= cut), full.raw_table("raw_dex_pools"), schema=schemas.RAW_POOLS)
-    job.build_models(spark, inc, cfg, as_of, since=cut)  # incremental: state covers the run
-    job.build_models(spark, full, cfg, as_of)  # full rebuild over everything
+    inc_out = job.build_models(spark, inc, cfg, as_of, since=cut)  # incremental: state covers the run
+    full_out = job.build_models(spark, full, cfg, as_of)  # full rebuild over everything
+    for d in ("dim_pool", "dim_token"):
+        x, y = inc_out[d], full_out[d]
+        assert x.count() == y.count() > 0 and x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
     a = spark.read.parquet(inc.model_table("int_pool_metrics"))
     b = spark.read.parquet(full.model_table("int_pool_metrics"))
     assert a.count() == b.count() > 0

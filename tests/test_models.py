@@ -115,3 +115,16 @@ def test_incremental_metrics_equal_full_rebuild(spark, stg):
     state = models.last_rows_per_pool(stg.filter(F.col("snapshot_date") < F.lit(since)))
     inc2 = models.pool_metrics_since(stg.filter(F.col("snapshot_date") >= F.lit(since)), since, cfg, history=state)
     assert inc2.exceptAll(full).count() == 0 and full.exceptAll(inc2).count() == 0
+
+
+def test_dimension_state_merges_equal_full(spark, stg):
+    import datetime as dt
+
+    cut = dt.date(2000, 1, 1)
+    old, new = stg.filter(F.col("snapshot_date") < cut), stg.filter(F.col("snapshot_date") >= cut)
+    dp = dims.dim_pool_from_state(dims.merge_pool_state(dims.pool_state(old), dims.pool_state(new)))
+    full = dims.dim_pool(stg)
+    assert dp.exceptAll(full).count() == 0 and full.exceptAll(dp).count() == 0
+    dt_ = dims.dim_token_from_state(dims.merge_token_state(dims.token_state(old), dims.token_state(new)))
+    full_t = dims.dim_token(stg)
+    assert dt_.exceptAll(full_t).count() == 0 and full_t.exceptAll(dt_).count() == 0
