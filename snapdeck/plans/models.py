@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from snapdeck.config import DEFAULT, Config
 from snapdeck.functions import canonical_label, ratio_or_null, ratio_or_zero, surrogate_key
 from snapdeck.operators.group_share import add_group_totals, add_group_totals_window
+from snapdeck.operators.joins import bounded_broadcast
 from snapdeck.operators.rolling import lag_rows, rolling_rows_avg
 
 MEASURE = "decimal(38,9)"
@@ -200,5 +201,9 @@ def pool_metrics_since(stg: DataFrame, since, cfg: Config = DEFAULT, history: Da
     start = since if isinstance(since, Column) else F.lit(since)
     current = stg.filter(F.col("snapshot_date") >= start)
     older = (stg if history is None else history).filter(F.col("snapshot_date") < start)
-    prior = last_rows_per_pool(older.join(current.select("pool_address").distinct(), "pool_address", "left_semi"))
+    # pools of the new days as a size-checked broadcast: the older rows are not
+    # shuffled for the semi join, and the top-7-per-pool limit runs partially
+    # before the one exchange the window needs
+    pools, _ = bounded_broadcast(current.select("pool_address").distinct(), cfg.broadcast_max_rows)
+    prior = last_rows_per_pool(older.join(pools, "pool_address", "left_semi"))
     return pool_metrics(current.unionByName(prior), cfg).filter(F.col("snapshot_date") >= start)
