@@ -102,7 +102,10 @@ def land_market_documents(docs: DataFrame, lake_root: str, overwrite: bool = Fal
 def read_market_documents(spark: SparkSession, lake_root: str, snapshot_at: Column | None = None) -> DataFrame:
     """S2 for the market feed: one document per line. ``snapshot_at`` is the
     run's stamp when given, else the current time."""
-    df = spark.read.option("basePath", f"{lake_root}/{MARKET_DIR}").text(f"{lake_root}/{MARKET_DIR}")
+    # declared schema (the line plus the date partition): an empty landing
+    # reads as an empty frame instead of failing partition discovery
+    schema = T.StructType([T.StructField("value", T.StringType()), T.StructField("date", T.StringType())])
+    df = spark.read.schema(schema).option("basePath", f"{lake_root}/{MARKET_DIR}").text(f"{lake_root}/{MARKET_DIR}")
     return df.select(
         (snapshot_at if snapshot_at is not None else F.current_timestamp()).alias("snapshot_at"),
         F.col("date").cast("date").alias("snapshot_date"),

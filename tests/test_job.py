@@ -114,3 +114,26 @@ def test_cli_run_and_freshness(spark, landed):
         assert cli.main(["freshness", *args]) == 1  # the fixture's days are long past: stale
     finally:
         spark.stop = stop
+
+
+def test_market_share_path(spark):
+    from snapdeck.session import scratch_path
+    from snapdeck.sources import lake
+
+    root = scratch_path(spark, "ms")
+    paths = job.Paths(lake=f"{root}/lake", raw=f"{root}/raw", models=f"{root}/models")
+    # an empty landing reads as an empty frame
+    lake.land_market_documents(fx.fx4_market_documents(spark, SF_SMALL).limit(0), f"{root}/empty")
+    assert lake.read_market_documents(spark, f"{root}/empty").count() == 0
+    day = dt.date(2001, 7, 31)  # the orders table ends on 2001-08-01
+    pages = fx.fx5_pages(spark, SF_SMALL).filter(F.col("snapshot_date") == day)
+    job.land(spark, paths, pages, dt.datetime.combine(day + dt.timedelta(days=1), dt.time(2), dt.timezone.utc))
+    docs = fx.fx4_market_documents(spark, SF_SMALL).filter(F.col("snapshot_date") == day)
+    lake.land_market_documents(docs, paths.lake)
+    cfg = Config(staging_start=dt.date(2001, 1, 1), calendar_start=dt.date(2001, 10, 1), min_latest_rows=1, min_latest_venues=1)
+    as_of = dt.datetime(2001, 11, 2, 3, tzinfo=dt.timezone.utc)
+    market = lake.read_market_documents(spark, paths.lake, F.lit(as_of))
+    r = job.run(spark, paths, run_date=day, market_docs=market, cfg=cfg, as_of=as_of)
+    assert r.rows_loaded["market_share"] > 0
+    fct = spark.table("fct_dex_market_share_daily")
+    assert fct.count() > 0 and set(x[0] for x in fct.select("dex_name").distinct().collect()) <= {"raydium", "orca", "meteora"}
