@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from snapdeck.llm import bpe, token_counts
+from snapdeck.llm import bpe, licenses, secret_scan, simhash, token_counts
 from snapdeck.llm._common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,9 +29,27 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: the rules' counts, all spans."""
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_token_counts": op3_token_counts,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_simhash": op9_simhash,
+    "op10_license_scan": op10_license_scan,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
