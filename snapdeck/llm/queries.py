@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from snapdeck.llm import bpe, licenses, secret_scan, simhash, token_counts
+from snapdeck.llm import bpe, decontaminate, licenses, quality, secret_scan, simhash, token_counts
 from snapdeck.llm._common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,17 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document against every benchmark item."""
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and divergence verdict of every document."""
+    scored = quality.score(table(spark, sf_dir, "documents"))
+    return scored.drop("char_distance", "word_distance")
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: the rules' counts, all spans."""
     return secret_scan.scan(table(spark, sf_dir, "documents"))
@@ -47,6 +58,8 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_token_counts": op3_token_counts,
+    "op5_winnowing": op5_winnowing,
+    "op6_quality_divergence": op6_quality_divergence,
     "op8_secret_scan": op8_secret_scan,
     "op9_simhash": op9_simhash,
     "op10_license_scan": op10_license_scan,
