@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from pathlib import Path
 from typing import Any
 
 import pyarrow as pa
@@ -51,6 +53,18 @@ def fits_broadcast(df: DataFrame, max_bytes: int) -> bool:
     return (total or 0) <= max_bytes
 
 
+def importable(df: DataFrame) -> DataFrame:
+    """``df``, after telling the session's Python workers where this package
+    lies: a driver that found it by ``sys.path`` alone has workers that don't.
+    (On a cluster the package comes with --py-files or the image.)"""
+    root = str(Path(__file__).resolve().parents[2])
+    env = df.sparkSession.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return df
+
+
 def map_rows(
     df: DataFrame,
     columns: Sequence[str],
@@ -75,7 +89,7 @@ def map_rows(
                         [pa.array(c, type=f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow
                     )
 
-    return df.select(*columns).mapInArrow(run, schema)
+    return importable(df).select(*columns).mapInArrow(run, schema)
 
 
 class TwoAgeCache:

@@ -6,13 +6,30 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from snapdeck.llm import bpe, decontaminate, licenses, quality, secret_scan, simhash, token_counts
+from pyspark.sql import functions as F
+
+from snapdeck.llm import (
+    bpe,
+    chat_collapse,
+    decontaminate,
+    html_wrappers,
+    licenses,
+    quality,
+    secret_scan,
+    simhash,
+    token_counts,
+    warc,
+)
 from snapdeck.llm._common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_chat_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rendered parts of every maximal conversation."""
+    return chat_collapse.collapse_and_render(table(spark, sf_dir, "conversations"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, decoded again and digested."""
     return bpe.round_trip_digests(
@@ -29,6 +46,12 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata and the conversion record of every page, their bytes digested."""
+    made = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")), compress=False)
+    return made.withColumnRenamed("id", "page_id").withColumn("warc_sha256", F.sha2("warc", 256)).drop("warc")
+
+
 def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document against every benchmark item."""
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -40,6 +63,11 @@ def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.drop("char_distance", "word_distance")
 
 
+def op7_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: the rules' counts, all spans."""
     return secret_scan.scan(table(spark, sf_dir, "documents"))
@@ -56,14 +84,39 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_chat_collapse": op1_chat_collapse,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_token_counts": op3_token_counts,
+    "op4_warc_derivatives": op4_warc_derivatives,
     "op5_winnowing": op5_winnowing,
     "op6_quality_divergence": op6_quality_divergence,
+    "op7_html_wrappers": op7_html_wrappers,
     "op8_secret_scan": op8_secret_scan,
     "op9_simhash": op9_simhash,
     "op10_license_scan": op10_license_scan,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_chat_collapse": """
+        WITH turns AS (
+            SELECT conv_id, turn, role, text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pos,
+                   count(*) OVER (PARTITION BY conv_id) AS n_turns,
+                   list(struct_pack(r := role, t := text)) OVER (
+                       PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS so_far
+            FROM conversations),
+        whole AS (
+            SELECT so_far, min(conv_id) AS conv_id, count(*) AS n_copies
+            FROM turns WHERE pos = n_turns GROUP BY so_far),
+        kept AS (
+            SELECT conv_id, n_copies FROM whole
+            WHERE so_far NOT IN (SELECT so_far FROM turns WHERE pos < n_turns))
+        SELECT conv_id, any_value(n_turns) AS n_turns, any_value(n_copies) AS n_copies,
+               dense_rank() OVER (PARTITION BY conv_id ORDER BY block) - 1 AS part,
+               string_agg('<|im_start|>' || coalesce(role, 'unknown') || chr(10) || coalesce(text, '')
+                          || '<|im_end|>' || chr(10), '' ORDER BY turn) AS text
+        FROM (SELECT *, floor(turn / 256.0) AS block FROM turns JOIN kept USING (conv_id))
+        GROUP BY conv_id, block
+    """,
+}

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapdeck.llm._common import map_rows
+from snapdeck.llm._common import importable, map_rows
 
 # The rules' forms and least lengths.
 KINDS = ("assign", "access", "hex", "entropy")
@@ -200,4 +200,4 @@ def redact(
     def clean(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: redacted(t, rule, mark), na_action="ignore")
 
-    return df.withColumn(text_col, clean(F.col(text_col)))
+    return importable(df).withColumn(text_col, clean(F.col(text_col)))

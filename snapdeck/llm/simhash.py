@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapdeck.llm._common import fits_broadcast, map_rows, stage
+from snapdeck.llm._common import fits_broadcast, importable, map_rows, stage
 
 SEED = 42
 #: Shingles whose bits are counted at once.
@@ -231,7 +231,7 @@ def near_links(nodes: DataFrame, max_bits: int = 4, cell_rows: int = CELL_ROWS)
     # sorted as unsigned numbers: the sign bit turned over
     unsigned = F.col("fp").bitwiseXOR(F.lit(-(1 << 63)))
     ordered = split.repartition("cell").sortWithinPartitions("cell", unsigned)
-    return ordered.mapInArrow(partial(_join_partition, max_bits), "a long, b long")
+    return importable(ordered).mapInArrow(partial(_join_partition, max_bits), "a long, b long")
 
 
 def _joined(big: DataFrame, small: DataFrame, on: str, how: str = "inner") -> DataFrame:
