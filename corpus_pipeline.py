@@ -4,25 +4,59 @@
 returns a DataFrame; ``run`` writes each stage's rows as Parquet into the
 shared checkpoint folder and hands them, read again, to the next. All but the
 last return the columns of ``documents``.
+
+Null texts count as empty and fall to the quality rules, as do texts of a few
+words. Every stage takes empty tables, repeated rows and further columns.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from snapdeck.llm import bpe
+from snapdeck.llm import bpe, decontaminate, quality, secret_scan, simhash
 from snapdeck.llm._common import stage, table
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality.keep(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each SimHash component, the document with the smallest id stays."""
+    return simhash.keep_representatives(docs, shingle=4, max_bits=4)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a window of a benchmark item go."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; n_chars follows the new text."""
+    clean = secret_scan.redact(docs)
+    if "n_chars" not in docs.columns:
+        return clean
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left."""
+    """(doc_id, ids): token ids of every document that is left."""
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-STAGES = [("byte_bpe", encode)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("simhash_near_duplicates", near_duplicates),
+    ("benchmark_decontamination", decontamination),
+    ("secret_scan", secrets),
+    ("byte_bpe", encode),
+]
 
-#: Tokenization is not expressible in SQL; tests/llm compares with brute force.
+#: SimHash components and tokenization are not expressible in SQL; tests/llm
+#: compares each stage with brute force.
 ORACLE_SQL = None
 
 
