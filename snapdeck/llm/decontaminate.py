@@ -45,10 +45,9 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(lowered, NOT_WORD), lambda w: w != "")
 
 
-def _grams(words: Column, n: int, salt: str | None = None) -> Column:
+def _grams(words: Column, n: int) -> Column:
     """Hashes of the n words from each position."""
-    head = [F.lit(salt)] if salt else []
-    at = lambda i: F.xxhash64(*head, *[F.get(words, i + j) for j in range(n)])
+    at = lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(n)])
     return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(0), F.size(words) - n), at)).otherwise(
         F.array().cast("array<bigint>")
     )
@@ -90,15 +89,24 @@ def _with_fingerprints(df: DataFrame, k: int, window: int, lengths: list[int]) -
             window, F.get("grams", i), i, i - first(i), F.slice("grams", first(i) + 1, i - first(i) + window - k + k + 1)
         ),
     )
+    marks_type = "array<struct<len:int,key:bigint,pos:int,at:int,around:array<bigint>>>"
     short = []
     for n in lengths:
-        h = h.withColumns({f"keys_{n}": _grams(F.col("words"), n), f"other_{n}": _grams(F.col("words"), n, "2")})
-        short.append(_short_marks(n, mark))
+        none = F.array().cast(marks_type)
+        short.append(F.coalesce(_short_marks(n, mark), none))
     return h.withColumn("marks", F.concat(long, *short))
 
 
 def _short_marks(n: int, mark) -> Column:
-    return F.transform(f"keys_{n}", lambda x, i: mark(n, x, i, F.lit(0), F.array(F.get(F.col(f"other_{n}"), i))))
+    """Two hashes of the n words from each position, as marks."""
+    at = lambda i, *salt: F.xxhash64(*salt, *[F.get(F.col("words"), i + j) for j in range(n)])
+    return F.when(
+        F.size("words") >= n,
+        F.transform(
+            F.sequence(F.lit(0), F.size("words") - n),
+            lambda i: mark(n, at(i), i, F.lit(0), F.array(at(i, F.lit("2")))),
+        ),
+    )
 
 
 def _windows_around(at: Column, around: Column, k: int, window: int) -> Column:
