@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from snapdeck.config import DEFAULT, Config
 from snapdeck.operators import checks as ck
 from snapdeck.operators.joins import join_small, materialize
-from snapdeck.plans import dims, models
+from snapdeck.plans import declared, dims, models
 from snapdeck.sources import ingest, lake, schemas
 
 log = logging.getLogger("snapdeck.job")
@@ -85,16 +85,19 @@ def land(
     overwrite: bool = False,
 ) -> DataFrame:
     """Land pages and append their manifest rows. Without ``overwrite``
-    slices already in the manifest are left untouched (write-once)."""
-    if lake.path_exists(spark, paths.manifest):
-        manifest = spark.read.parquet(paths.manifest)
-        if not overwrite:
-            pages = join_small(pages, manifest.select("source", "snapshot_date").distinct(), ["source", "snapshot_date"], "left_anti")
+    slices that the lake holds are left untouched (write-once). A slice that
+    was landed by a run that ended before its manifest row gets it now."""
+    slices = materialize(pages.select("source", "snapshot_date").distinct())
     lake.land_pages(pages, paths.lake, overwrite=overwrite)
-    rows = pages.groupBy("source", "snapshot_date").agg(
+    if not overwrite and lake.path_exists(spark, paths.manifest):
+        listed = spark.read.parquet(paths.manifest).select("source", "snapshot_date").distinct()
+        slices = materialize(join_small(slices, listed, ["source", "snapshot_date"], "left_anti"))
+    landed = join_small(lake.read_landed_pages(spark, paths.lake), slices, ["source", "snapshot_date"], "left_semi")
+    rows = landed.groupBy("source", "snapshot_date").agg(
         F.count(F.lit(1)).cast("long").alias("pages"),
         F.sum(lake.page_record_count(F.col("source"), F.col("body"))).cast("long").alias("raw_record_count"),
     ).withColumn("snapshot_at", F.lit(snapshot_at))
+    rows = materialize(rows)
     rows.write.mode("append").parquet(paths.manifest)
     return rows
 
@@ -116,10 +119,14 @@ def load_source(spark: SparkSession, paths: Paths, source: str, run_date: dt.dat
     path_col = lake.pool_slice_path(F.lit(paths.lake), F.col("source"), F.col("snapshot_date"))
     rows = ingest.ingest_pool_pages(pages, manifest, source, cfg, source_file=path_col)
     deleted = 0
-    if overwrite and lake.slice_exists(spark, raw_path, run_date, source):
-        # an overwrite that yields no rows must still clear the slice
-        deleted = lake.delete_slice(spark, raw_path, run_date, source)
+    if overwrite and lake.has_rows_on_disk(spark, raw_path):
+        old = spark.read.parquet(raw_path)
+        deleted = old.filter((F.col("snapshot_date") == F.lit(run_date)) & (F.col("dex_name") == source)).count()
+    # replaces the slice when the write commits; a failure before leaves it as it was
     m = lake.load_slices(rows, raw_path, overwrite=overwrite, schema=schemas.RAW_POOLS, cfg=cfg)
+    if deleted and not m["rows_loaded"]:
+        # a feed that parsed and holds no rows clears the slice
+        lake.delete_slice(spark, raw_path, run_date, source)
     return {**m, "rows_deleted": deleted}
 
 
@@ -151,6 +158,24 @@ def _gate(results: DataFrame, into: list[dict]) -> None:
 STATE_TABLE = "_pool_last_rows"
 
 
+def first_unbuilt_day(spark: SparkSession, paths: Paths, raw_pools: DataFrame, since: dt.date, cfg: Config = DEFAULT) -> dt.date:
+    """The day that an incremental build starts from: ``since``, or the first
+    earlier raw day that a build left out (loaded with the transform skipped,
+    or stopped by a check), so that no gap enters the tables or their state."""
+    tables = [paths.model_table("stg_dex_pools"), paths.model_table("int_pool_metrics")]
+    days = raw_pools.select("snapshot_date").filter(
+        (F.col("snapshot_date") >= F.lit(cfg.staging_start)) & (F.col("snapshot_date") < F.lit(since))
+    ).distinct()
+    missing = []
+    for path in tables:
+        if not lake.has_rows_on_disk(spark, path):
+            return since  # no table yet: the build is a full one
+        built = spark.read.parquet(path).select("snapshot_date").distinct()
+        missing.append(days.join(built, "snapshot_date", "left_anti"))
+    first = missing[0].union(missing[1]).agg(F.min("snapshot_date")).first()[0]
+    return min(since, first) if first else since
+
+
 def build_pool_metrics(spark: SparkSession, paths: Paths, stg: DataFrame, cfg: Config = DEFAULT, since: dt.date | None = None) -> DataFrame:
     """int_pool_metrics as a DAY-partitioned table.
 
@@ -232,8 +257,16 @@ def build_models(
     raw_ms_path = paths.raw_table("raw_dex_market_share")
     has_market = lake.path_exists(spark, raw_ms_path)
 
+    # raw tables are tested before anything is built from them
+    raw_tables = {"raw_dex_pools": raw_pools}
+    if has_market:
+        raw_tables["raw_dex_market_share"] = spark.read.parquet(raw_ms_path)
+    _gate(declared.not_null_results(raw_tables), results)
+
     # staging: DAY-partitioned; an incremental build replaces the days >= since
     stg_path = paths.model_table("stg_dex_pools")
+    if since is not None:
+        since = first_unbuilt_day(spark, paths, raw_pools, since, cfg)
     if since is not None and lake.has_rows_on_disk(spark, stg_path):
         fresh_stg = models.stg_pools(raw_pools.filter(F.col("snapshot_date") >= F.lit(since)), cfg)
         stg_mode = "dynamic"
@@ -244,7 +277,7 @@ def build_models(
         "partitionOverwriteMode", stg_mode
     ).partitionBy("snapshot_date").parquet(stg_path)
     stg = spark.read.parquet(stg_path).select(*schemas.POOL_COLUMNS)
-    suite = ck.not_null(["snapshot_date", "snapshot_at", "dex_name", "pool_address", "trailing_24h_volume_usd"]) + [
+    suite = ck.not_null(declared.NOT_NULL["stg_dex_pools"]) + [
         ck.accepted_values("dex_name", cfg.pool_venues),
         ck.no_future("snapshot_date", F.to_date(as_of_ts)),
         ck.no_negative("trailing_24h_volume_usd"),
@@ -255,7 +288,9 @@ def build_models(
     out: dict[str, DataFrame] = {"stg_dex_pools": stg}
     if has_market:
         stg_ms = _write_table(models.stg_market_share(spark.read.parquet(raw_ms_path), cfg), paths.model_table("stg_dex_market_share"), ["snapshot_date", "dex_name"])
-        _gate(ck.unique_combination(stg_ms, "stg_dex_market_share", ["snapshot_date", "dex_name"]), results)
+        _gate(ck.unique_combination(stg_ms, "stg_dex_market_share", ["snapshot_date", "dex_name"]).unionByName(
+            declared.not_null_results({"stg_dex_market_share": stg_ms})
+        ), results)
         out["stg_dex_market_share"] = stg_ms
 
     # intermediate
@@ -273,22 +308,20 @@ def build_models(
     marts = {"fct_pool_trailing_24h": fct, "dim_pool": dp, "dim_token": dtok, "dim_date": dd}
     if has_market:
         marts["fct_dex_market_share_daily"] = models.fct_market_share(out["int_market_share_metrics"])
+    # marts are tables too, so that they outlive the session that built them
+    mart_keys = {"fct_pool_trailing_24h": ["snapshot_date", "dex_name"], "fct_dex_market_share_daily": ["snapshot_date", "dex_name"],
+                 "dim_pool": ["pool_address"], "dim_token": ["token_address"], "dim_date": ["calendar_date"]}
+    marts = {name: _write_table(df, paths.model_table(name), mart_keys[name]) for name, df in marts.items()}
+    fct = marts["fct_pool_trailing_24h"]
     for name, df in marts.items():
         df.createOrReplaceTempView(name)
     out.update(marts)
-    mart_checks = [
-        ck.unique_combination(fct, "fct_pool_trailing_24h", ["pool_snapshot_key"]),
-        ck.row_level_suite(fct, "fct_pool_trailing_24h", ck.not_null(["pool_snapshot_key", "snapshot_date", "dex_name", "pool_address", "trailing_24h_volume_usd"]) + [ck.accepted_values("dex_name", cfg.pool_venues)]),
-        ck.unique_combination(dp, "dim_pool", ["pool_key"]),
-        ck.unique_combination(dtok, "dim_token", ["token_key"]),
-        ck.unique_combination(dd, "dim_date", ["date_key"]),
-    ]
-    if has_market:
-        mart_checks.append(ck.unique_combination(marts["fct_dex_market_share_daily"], "fct_dex_market_share_daily", ["market_share_snapshot_key"]))
-    res = mart_checks[0]
-    for m in mart_checks[1:]:
-        res = res.unionByName(m)
-    _gate(res, results)
+    _gate(
+        declared.unique_results(marts)
+        .unionByName(declared.not_null_results(marts))
+        .unionByName(ck.row_level_suite(fct, "fct_pool_trailing_24h", [ck.accepted_values("dex_name", cfg.pool_venues)])),
+        results,
+    )
     # singular tests on the latest snapshot (a returned row is a failure)
     latest = [
         ("assert_pools_all_dexes_latest", ck.latest_min_distinct(stg, "dex_name", cfg.min_latest_venues)),

@@ -21,7 +21,7 @@ from snapdeck.functions import safe_double, split_pair
 from snapdeck.operators import checks as ck
 from snapdeck.operators.joins import materialize
 from snapdeck.plans import serving as sv
-from snapdeck.plans import dims, models, oracle as O
+from snapdeck.plans import declared, dims, models, oracle as O
 from snapdeck.plans import star as star_mod
 from snapdeck.session import scratch_path
 from snapdeck.sources import ingest as ing
@@ -213,33 +213,50 @@ def q_star(spark, sf_dir):
 
 
 AS_OF_TS = _dt.datetime.fromisoformat(fx.FIXTURE_AS_OF).replace(tzinfo=_dt.timezone.utc)
-POOL_NOT_NULL = ["snapshot_date", "snapshot_at", "dex_name", "pool_address", "trailing_24h_volume_usd"]
-MARKET_NOT_NULL = ["snapshot_date", "snapshot_at", "dex_name"]
+POOL_NOT_NULL = declared.NOT_NULL["stg_dex_pools"]
 
 
 def as_of_col():
     return F.lit(AS_OF_TS)
 
 
+_CTE_OF = {
+    "raw_dex_pools": "fx1", "raw_dex_market_share": "raw_ms", "stg_dex_pools": "stg", "stg_dex_market_share": "stg_ms",
+    "fct_pool_trailing_24h": "fct", "fct_dex_market_share_daily": "fct_ms", "dim_pool": "dim_pool", "dim_token": "dim_token",
+    "dim_date": "dim_date",
+}
+_ALL_CTES = (O.FX1, O.STG, O.PM, O.FCT, O.FX2, O.RAW_MS, O.STG_MS, O.MSM, O.FCT_MS, O.DIM_POOL, O.DIM_TOKEN, O.DIM_DATE)
+
+
+def _all_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    """Every raw table and model that carries declarations."""
+    raw = raw_pools(spark, sf_dir)
+    s = materialize(models.stg_pools(raw, _cfg()))
+    return {
+        "raw_dex_pools": raw,
+        "raw_dex_market_share": raw_market(spark, sf_dir),
+        "stg_dex_pools": s,
+        "stg_dex_market_share": stg_ms(spark, sf_dir),
+        "fct_pool_trailing_24h": fct_pool(spark, sf_dir, s),
+        "fct_dex_market_share_daily": fct_ms(spark, sf_dir),
+        "dim_pool": dims.dim_pool(s),
+        "dim_token": dims.dim_token(s),
+        "dim_date": QUERIES["dim_date"](spark, sf_dir),
+    }
+
+
 @register(
     "check_not_null",
     O.with_ctes(
-        O.row_suite_sql("raw_dex_pools", "fx1", O.not_null_tests(POOL_NOT_NULL))
-        + "\nUNION ALL\n"
-        + O.row_suite_sql("raw_dex_market_share", "raw_ms", O.not_null_tests(MARKET_NOT_NULL))
-        + "\nUNION ALL\n"
-        + O.row_suite_sql("stg_dex_pools", "stg", O.not_null_tests(POOL_NOT_NULL)),
-        O.FX1, O.FX2, O.RAW_MS, O.STG,
+        "\nUNION ALL\n".join(
+            O.row_suite_sql(name, _CTE_OF[name], O.not_null_tests(cols)) for name, cols in declared.NOT_NULL.items()
+        ),
+        *_ALL_CTES,
     ),
 )
 def q_check_not_null(spark, sf_dir):
-    """C1 on the raw and staging tables, one aggregate pass per table."""
-    raw = raw_pools(spark, sf_dir)
-    return (
-        ck.row_level_suite(raw, "raw_dex_pools", ck.not_null(POOL_NOT_NULL))
-        .unionByName(ck.row_level_suite(raw_market(spark, sf_dir), "raw_dex_market_share", ck.not_null(MARKET_NOT_NULL)))
-        .unionByName(ck.row_level_suite(models.stg_pools(raw, _cfg()), "stg_dex_pools", ck.not_null(POOL_NOT_NULL)))
-    )
+    """All 28 declarations, one aggregate pass per table."""
+    return declared.not_null_results(_all_tables(spark, sf_dir))
 
 
 O_CHECK_CTES = (O.FX1, O.STG, O.PM, O.FCT)
@@ -272,35 +289,14 @@ def q_check_accepted_values(spark, sf_dir):
     "check_unique",
     O.with_ctes(
         "\nUNION ALL\n".join(
-            [
-                O.unique_sql("fct_pool_trailing_24h", "fct", ["pool_snapshot_key"]),
-                O.unique_sql("fct_dex_market_share_daily", "fct_ms", ["market_share_snapshot_key"]),
-                O.unique_sql("dim_pool", "dim_pool", ["pool_key"]),
-                O.unique_sql("dim_pool", "dim_pool", ["pool_address"]),
-                O.unique_sql("dim_token", "dim_token", ["token_key"]),
-                O.unique_sql("dim_token", "dim_token", ["token_address"]),
-            ]
+            O.unique_sql(name, _CTE_OF[name], [c]) for name, cols in declared.UNIQUE.items() for c in cols
         ),
-        *O_CHECK_CTES, O.FX2, O.RAW_MS, O.STG_MS, O.MSM, O.FCT_MS, O.DIM_POOL, O.DIM_TOKEN,
+        *_ALL_CTES,
     ),
 )
 def q_check_unique(spark, sf_dir):
-    """C2 on the declared keys of facts and dimensions."""
-    s = materialize(stg(spark, sf_dir))
-    fct = models.fct_pool(models.pool_metrics(s, _cfg()))
-    dp, dt_ = dims.dim_pool(s), dims.dim_token(s)
-    parts = [
-        ck.unique_combination(fct, "fct_pool_trailing_24h", ["pool_snapshot_key"]),
-        ck.unique_combination(fct_ms(spark, sf_dir), "fct_dex_market_share_daily", ["market_share_snapshot_key"]),
-        ck.unique_combination(dp, "dim_pool", ["pool_key"]),
-        ck.unique_combination(dp, "dim_pool", ["pool_address"]),
-        ck.unique_combination(dt_, "dim_token", ["token_key"]),
-        ck.unique_combination(dt_, "dim_token", ["token_address"]),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """All 8 declared keys of facts and dimensions."""
+    return declared.unique_results(_all_tables(spark, sf_dir))
 
 
 @register(
@@ -812,7 +808,7 @@ def q_landing_manifest(spark, sf_dir):
 @register(
     "retention_expired",
     O.with_ctes(
-        f"SELECT source, snapshot_date FROM pg_slices WHERE snapshot_date <= CAST({O.AS_OF} AS DATE) - 90",
+        f"SELECT source, snapshot_date FROM pg_slices WHERE snapshot_date + 1 <= CAST({O.AS_OF} AS DATE) - 90",
         *_PAGES_CTES,
     ),
 )

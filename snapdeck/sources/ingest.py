@@ -20,6 +20,13 @@ from snapdeck.functions import contains_any, safe_double, split_pair
 from snapdeck.operators.joins import join_small, materialize
 from snapdeck.sources import schemas
 
+def strict_json(body: str, schema, message: str) -> Column:
+    """Parse a landed body; an empty or malformed one fails the source instead
+    of reading as a page without rows."""
+    blank = F.trim(F.coalesce(F.col(body), F.lit(""))) == ""
+    return F.from_json(F.when(blank, F.raise_error(F.lit(message))).otherwise(F.col(body)), schema, {"mode": "FAILFAST"})
+
+
 # ---------------------------------------------------------------------------
 # Market feed (relational form and JSON form)
 # ---------------------------------------------------------------------------
@@ -51,7 +58,7 @@ def parse_market_documents(docs: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     may be numbers or strings; both coerce through ``safe_double``.
     """
     parsed = docs.select(
-        "snapshot_at", "snapshot_date", "source_file", F.explode(F.from_json("body", schemas.MARKET_DOCUMENT).protocols).alias("p")
+        "snapshot_at", "snapshot_date", "source_file", F.explode(strict_json("body", schemas.MARKET_DOCUMENT, "unparsable market document").protocols).alias("p")
     )
     protocols = parsed.select(
         "snapshot_at",
@@ -85,7 +92,7 @@ def _last_volume(source: str, items: Column) -> Column:
 
 def parse_pages(pages: DataFrame, source: str) -> DataFrame:
     """Parse page bodies of one feed: (source, snapshot_date, page_no, items, meta...)."""
-    pg = F.from_json("body", schemas.POOL_PAGE[source]).alias("pg")
+    pg = strict_json("body", schemas.POOL_PAGE[source], f"unparsable {source} page").alias("pg")
     p = pages.filter(F.col("source") == source).select("source", "snapshot_date", "page_no", pg)
     if source == "raydium":
         return p.select(*SLICE, "page_no", F.col("pg.data.data").alias("items"), F.col("pg.data.hasNextPage").alias("has_next"))
@@ -142,19 +149,17 @@ def page_meta(pages: DataFrame, source: str, cfg: Config = DEFAULT, floor: float
 
 
 def page_status(meta: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """``kept`` = page at or before its feed's first stop page and within
-    the feed's page cap. ``meta`` may hold several feeds."""
-    cap = None
-    for src, n in cfg.page_caps.items():
-        cap = (F.when if cap is None else cap.when)(F.col("source") == src, F.lit(n - 1))
+    """``kept`` = page at or before its feed's first stop page; a feed
+    without one is kept whole. ``meta`` may hold several feeds."""
     # page-level rows (one per page, not per pool): written once so the
     # page bodies are not parsed again for the stop decision
     meta = materialize(meta)
     # first stop page per feed: one small aggregate over page-level rows
     stops = meta.groupBy(*SLICE).agg(F.min(F.when(F.col("is_stop"), F.col("page_no"))).alias("_stop"))
-    last_kept = F.least(F.coalesce(F.col("_stop"), cap), cap)
     # stops has one row per (source, day): checked broadcast, no shuffle of pages by day
-    return join_small(meta, stops, SLICE, "left", max_rows=cfg.broadcast_max_rows).withColumn("kept", F.col("page_no") <= last_kept).drop("_stop")
+    return join_small(meta, stops, SLICE, "left", max_rows=cfg.broadcast_max_rows).withColumn(
+        "kept", F.col("_stop").isNull() | (F.col("page_no") <= F.col("_stop"))
+    ).drop("_stop")
 
 
 def kept_items(candidates: DataFrame, status: DataFrame) -> DataFrame:

@@ -61,11 +61,13 @@ def land_pages(pages: DataFrame, lake_root: str, overwrite: bool = False) -> Non
     """S3: write landed pages as JSON lines under dex=/date= partitions.
 
     One page per line, so a day's feed is split across files and tasks.
-    Without ``overwrite`` the write refuses to touch existing slices: it
-    appends only slices absent from the lake (callers pass new slices; see
-    :func:`missing_slices`). With ``overwrite`` only the slices present in
+    Without ``overwrite``, slices that the lake already holds are left as they
+    are (write-once), whether or not a manifest lists them. With ``overwrite`` only the slices present in
     ``pages`` are replaced.
     """
+    if not overwrite and path_exists(pages.sparkSession, f"{lake_root}/{POOLS_DIR}"):
+        there = read_landed_pages(pages.sparkSession, lake_root).select("source", "snapshot_date").distinct()
+        pages = join_small(pages, there, ["source", "snapshot_date"], "left_anti")
     out = pages.select(F.col("source").alias("dex"), F.col("snapshot_date").alias("date"), "page_no", "body")
     n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     w = out.repartitionByRange(n, "dex", "date", "page_no").sortWithinPartitions("dex", "date", "page_no").write
@@ -90,9 +92,13 @@ def read_landed_pages(spark: SparkSession, lake_root: str) -> DataFrame:
 
 
 def land_market_documents(docs: DataFrame, lake_root: str, overwrite: bool = False) -> None:
-    """Land market documents (one JSON document per line) under date= folders."""
+    """Land market documents, one file for each, under date= folders. Without
+    ``overwrite``, dates that the lake already holds are left as they are."""
+    if not overwrite and path_exists(docs.sparkSession, f"{lake_root}/{MARKET_DIR}"):
+        there = read_market_documents(docs.sparkSession, lake_root).select("snapshot_date").distinct()
+        docs = join_small(docs, there, ["snapshot_date"], "left_anti")
     out = docs.select(F.col("snapshot_date").alias("date"), F.col("body").alias("value"))
-    w = out.write.partitionBy("date")
+    w = out.write.option("maxRecordsPerFile", 1).partitionBy("date")
     if overwrite:
         w.mode("overwrite").option("partitionOverwriteMode", "dynamic").text(f"{lake_root}/{MARKET_DIR}")
     else:
@@ -100,12 +106,12 @@ def land_market_documents(docs: DataFrame, lake_root: str, overwrite: bool = Fal
 
 
 def read_market_documents(spark: SparkSession, lake_root: str, snapshot_at: Column | None = None) -> DataFrame:
-    """S2 for the market feed: one document per line. ``snapshot_at`` is the
-    run's stamp when given, else the current time."""
-    # declared schema (the line plus the date partition): an empty landing
+    """S2 for the market feed: each file is one document, on one line or
+    several. ``snapshot_at`` is the run's stamp when given, else the current time."""
+    # declared schema (the text plus the date partition): an empty landing
     # reads as an empty frame instead of failing partition discovery
     schema = T.StructType([T.StructField("value", T.StringType()), T.StructField("date", T.StringType())])
-    df = spark.read.schema(schema).option("basePath", f"{lake_root}/{MARKET_DIR}").text(f"{lake_root}/{MARKET_DIR}")
+    df = spark.read.schema(schema).option("basePath", f"{lake_root}/{MARKET_DIR}").text(f"{lake_root}/{MARKET_DIR}", wholetext=True)
     return df.select(
         (snapshot_at if snapshot_at is not None else F.current_timestamp()).alias("snapshot_at"),
         F.col("date").cast("date").alias("snapshot_date"),
@@ -291,8 +297,11 @@ def delete_slice(spark: SparkSession, table_path: str, snapshot_date: dt.date, d
 
 
 def expired_slices(manifest: DataFrame, as_of: Column, retention_days: int = DEFAULT.retention_days) -> DataFrame:
-    """Slices whose age at ``as_of`` has reached the retention (age >= days)."""
-    return manifest.filter(F.col("snapshot_date") <= F.date_sub(F.to_date(as_of), retention_days))
+    """Slices whose age at ``as_of`` has reached the retention (age >= days).
+    A slice ages from the run that landed it (``snapshot_at``); a manifest
+    without that column falls back on the day after the snapshot date."""
+    created = F.to_date("snapshot_at") if "snapshot_at" in manifest.columns else F.date_add("snapshot_date", 1)
+    return manifest.filter(created <= F.date_sub(F.to_date(as_of), retention_days))
 
 
 # ---------------------------------------------------------------------------

@@ -1,13 +1,14 @@
 """Feed ingest on hand-made pages: string/number measures, NaN, missing ids,
-NULL structs, stop rules, Orca's repeated page, page caps."""
+NULL structs, stop rules, Orca's repeated page, landings without a cap."""
 
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from snapdeck.config import Config
-from snapdeck.sources import ingest
+from snapdeck.sources import ingest, lake
 
 D = dt.date(2026, 6, 2)
 
@@ -77,11 +78,32 @@ def test_meteora_total_count_and_pairs(spark):
     assert (rows["z"].base_token_symbol, rows["z"].quote_token_symbol) == ("A", "B-C")
 
 
-def test_page_cap(spark):
-    bodies = [{"data": {"data": [ray(f"p{i}", 10000 - i)], "hasNextPage": True}} for i in range(5)]
-    cfg = Config(page_caps={"raydium": 2, "orca": 1000, "meteora": 50})
-    _, items = ingest.assemble_pages(pages_df(spark, "raydium", bodies), "raydium", cfg)
-    assert sorted(r.item.id for r in items.collect()) == ["p0", "p1"]
+def test_landed_pages_are_not_capped(spark):
+    bodies = [{"data": {"data": [ray(f"p{i}", 10000 - i)], "hasNextPage": i < 79}} for i in range(80)]
+    _, items = ingest.assemble_pages(pages_df(spark, "raydium", bodies), "raydium", Config())
+    assert sorted(r.item.id for r in items.collect()) == sorted(f"p{i}" for i in range(80))
+
+
+def test_cut_page_fails_the_source(spark):
+    good = json.dumps({"data": {"data": [ray("p", 5000)], "hasNextPage": True}})
+    for bad in (good[:-20], "", None):
+        rows = [("raydium", D, 0, bad), ("raydium", D, 1, good)]
+        pages = spark.createDataFrame(rows, "source string, snapshot_date date, page_no long, body string")
+        with pytest.raises(Exception):
+            ingest.assemble_pages(pages, "raydium", Config())[1].collect()
+
+
+def test_market_documents_whole_and_once(spark, scratch):
+    doc = {"protocols": [{"name": "Raydium AMM", "total24h": 100}]}
+    root = scratch("market-lake")
+    docs = spark.createDataFrame([(D, json.dumps(doc, indent=2))], "snapshot_date date, body string")
+    for _ in range(2):  # the second landing changes nothing
+        lake.land_market_documents(docs, root)
+    rows = ingest.parse_market_documents(lake.read_market_documents(spark, root)).collect()
+    assert [(r.dex_name, r.trailing_24h_volume_usd) for r in rows] == [("raydium amm", 100.0)]
+    cut = spark.createDataFrame([(dt.datetime(2026, 6, 3), D, "f", json.dumps(doc)[:-3])], "snapshot_at timestamp, snapshot_date date, source_file string, body string")
+    with pytest.raises(Exception):
+        ingest.parse_market_documents(cut).collect()
 
 
 def test_market_documents(spark):

@@ -74,8 +74,12 @@ def test_delete_slice_and_probe(spark, scratch, month):
 
 def test_retention(spark):
     m = spark.createDataFrame([("orca", dt.date(2026, 1, 1)), ("orca", dt.date(2026, 3, 1))], "source string, snapshot_date date")
-    exp = lake.expired_slices(m, F.lit(dt.datetime(2026, 4, 1)), 90).collect()
-    assert [r.snapshot_date for r in exp] == [dt.date(2026, 1, 1)]
+    # a slice ages from its landing, the day after its date
+    expired = lambda frame, day: [r.snapshot_date for r in lake.expired_slices(frame, F.lit(day), 90).collect()]
+    assert expired(m, dt.datetime(2026, 4, 1)) == []
+    assert expired(m, dt.datetime(2026, 4, 2)) == [dt.date(2026, 1, 1)]
+    late = m.withColumn("snapshot_at", F.lit(dt.datetime(2026, 1, 10, 2)))
+    assert expired(late, dt.datetime(2026, 4, 2)) == []
 
 
 def test_paths():
