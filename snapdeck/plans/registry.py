@@ -820,16 +820,31 @@ def q_retention_expired(spark, sf_dir):
     return lake.expired_slices(manifest, as_of_col(), _c.RETENTION_DAYS).select("source", "snapshot_date")
 
 
-@register("status_storage", None)
+@register(
+    "status_storage",
+    O.with_ctes(
+        "\nUNION ALL\n".join(
+            [
+                "SELECT 'snap_raw' AS table_schema, 'raw_dex_pools' AS table_name, 'TABLE' AS table_type, "
+                "CAST(COUNT(*) AS BIGINT) AS total_rows, COUNT(*) > 0 AS has_bytes FROM fx1",
+                "SELECT 'snap_raw', 'raw_dex_market_share', 'TABLE', CAST(COUNT(*) AS BIGINT), COUNT(*) > 0 FROM raw_ms",
+                "SELECT 'snap_marts', 'fct_pool_trailing_24h', 'VIEW', CAST(0 AS BIGINT), FALSE",
+                "SELECT 'snap_marts', 'fct_dex_market_share_daily', 'VIEW', CAST(0 AS BIGINT), FALSE",
+            ]
+        ),
+        O.FX1, O.FX2, O.RAW_MS,
+    ),
+)
 def q_status_storage(spark, sf_dir):
-    """V4: storage by table (schema, name, type, rows, bytes) over the tables a
-    load wrote; facts are views and hold no bytes. Rows-only check."""
+    """V4: storage by table (schema, name, type, rows, any bytes) over the
+    tables a load wrote; views hold no bytes. How many bytes depends on the
+    writer, so the query shows whether there are any."""
     root = scratch_path(spark, "warehouse")
     lake.load_slices(raw_pools(spark, sf_dir), f"{root}/raw_dex_pools", schema=sch.RAW_POOLS)
     lake.load_slices(
         raw_market(spark, sf_dir), f"{root}/raw_dex_market_share", slice_keys=("snapshot_date",), cluster=("dex_name",), schema=sch.RAW_MARKET_SHARE
     )
-    return sv.storage_by_table(
+    stored = sv.storage_by_table(
         spark,
         {
             ("snap_raw", "raw_dex_pools"): f"{root}/raw_dex_pools",
@@ -837,6 +852,7 @@ def q_status_storage(spark, sf_dir):
         },
         {("snap_marts", "fct_pool_trailing_24h"): fct_pool(spark, sf_dir), ("snap_marts", "fct_dex_market_share_daily"): fct_ms(spark, sf_dir)},
     )
+    return stored.withColumn("has_bytes", F.col("bytes") > 0).drop("bytes")
 
 
 # --- streaming alert (A10, ST1) ------------------------------------------------

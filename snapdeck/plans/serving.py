@@ -86,12 +86,14 @@ def fee_rates_established(fact: DataFrame, dim_pool: DataFrame, min_snapshot_day
 
 def pool_trajectory(fact: DataFrame, pool_address: str | None = None, dim_pool: DataFrame | None = None) -> DataFrame:
     """V8: one pool's daily volume and 7-row average. Without an explicit
-    address, the pool with the largest lifetime volume (a 1-row side)."""
+    address, the pool with the largest lifetime volume. Its address is a
+    scalar subquery: a predicate on the windows' partition key, which Spark
+    takes below them, so that only this pool's rows are windowed."""
     if pool_address is not None:
         chosen = fact.filter(F.col("pool_address") == pool_address)
     else:
-        top = dim_pool.orderBy(F.desc_nulls_last("lifetime_observed_volume_usd"), F.asc("pool_address")).limit(1).select("pool_key")
-        chosen = fact.join(F.broadcast(top), "pool_key", "left_semi")  # limit(1): size bound by construction
+        top = dim_pool.orderBy(F.desc_nulls_last("lifetime_observed_volume_usd"), F.asc("pool_address")).limit(1).select("pool_address")
+        chosen = fact.filter(F.col("pool_address") == top.scalar())
     return chosen.select("snapshot_date", "pool_address", "dex_name", "trailing_24h_volume_usd", "volume_7d_avg").orderBy("snapshot_date")
 
 
