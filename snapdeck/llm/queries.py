@@ -21,6 +21,7 @@ from snapdeck.llm import (
     warc,
 )
 from snapdeck.llm._common import table
+from snapdeck.llm.oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -96,27 +97,4 @@ QUERIES: dict[str, Query] = {
     "op10_license_scan": op10_license_scan,
 }
 
-#: DuckDB SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {
-    "op1_chat_collapse": """
-        WITH turns AS (
-            SELECT conv_id, turn, role, text,
-                   row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pos,
-                   count(*) OVER (PARTITION BY conv_id) AS n_turns,
-                   list(struct_pack(r := role, t := text)) OVER (
-                       PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS so_far
-            FROM conversations),
-        whole AS (
-            SELECT so_far, min(conv_id) AS conv_id, count(*) AS n_copies
-            FROM turns WHERE pos = n_turns GROUP BY so_far),
-        kept AS (
-            SELECT conv_id, n_copies FROM whole
-            WHERE so_far NOT IN (SELECT so_far FROM turns WHERE pos < n_turns))
-        SELECT conv_id, any_value(n_turns) AS n_turns, any_value(n_copies) AS n_copies,
-               dense_rank() OVER (PARTITION BY conv_id ORDER BY block) - 1 AS part,
-               string_agg('<|im_start|>' || coalesce(role, 'unknown') || chr(10) || coalesce(text, '')
-                          || '<|im_end|>' || chr(10), '' ORDER BY turn) AS text
-        FROM (SELECT *, floor(turn / 256.0) AS block FROM turns JOIN kept USING (conv_id))
-        GROUP BY conv_id, block
-    """,
-}
+__all__ = ["ORACLE", "QUERIES"]
