@@ -18,7 +18,8 @@ def duck():
     import duckdb
 
     con = duckdb.connect()
-    for t in ["lineitem", "supplier", "orders", "events", "part", "customer", "nation", "region"]:
+    for t in ["lineitem", "supplier", "orders", "events", "part", "customer", "nation", "region",
+              "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return con
 
