@@ -29,9 +29,8 @@ from pyspark.sql import types as T
 
 from snapdeck.llm._common import TwoAgeCache, map_rows
 
-CACHE_ENTRIES = 1_500_000
-WORD_ENTRIES = 300_000
-CACHE_PIECE_CHARS = 48
+PIECE_ENTRIES, WORD_ENTRIES = 1_500_000, 1_000_000
+CACHE_CHARS = 48
 SEAM_ENTRIES = 400_000
 END = "</w>"
 OPEN, CLOSED = 1, 2
@@ -86,9 +85,9 @@ class PrefixCounter:
         self.symbols = byte_symbols()
         self.last_spine: dict[str, list[tuple[str, float]]] = {}
         self.first_spine: dict[str, list[tuple[str, float]]] = {}
-        self.seam = TwoAgeCache(self._seam, SEAM_ENTRIES, 2)
-        self.word = TwoAgeCache(self._closed_counts, WORD_ENTRIES, CACHE_PIECE_CHARS)
-        self.piece = TwoAgeCache(self._piece_count, CACHE_ENTRIES, CACHE_PIECE_CHARS)
+        self.seams: dict[tuple[str, str], bool] = {}
+        self.word = TwoAgeCache(self._word_count, WORD_ENTRIES, CACHE_CHARS)
+        self.piece = TwoAgeCache(self._piece_count, PIECE_ENTRIES, CACHE_CHARS)
 
     # -- the seam test ------------------------------------------------------
 
@@ -126,38 +125,64 @@ class PrefixCounter:
 
     # -- prefix tables ------------------------------------------------------
 
-    def _closed_counts(self, word: str) -> list[int] | bytes:
-        """For each character prefix of a pre-token, its tokens as a whole word."""
-        s, ends = [], []
-        for ch in word:
-            s.extend(self.symbols[b] for b in ch.encode("utf-8"))
-            ends.append(len(s))
-        text, n = "".join(s), len(s)
+    def _holds(self, pair: tuple[str, str]) -> bool:
+        got = self.seams.get(pair)
+        if got is None:
+            if len(self.seams) >= SEAM_ENTRIES:
+                self.seams.clear()
+            got = self.seams[pair] = self._seam(pair)
+        return got
+
+    def _table(self, word: str, every: bool) -> list[int]:
+        """For each character prefix of a pre-token, its tokens as a whole word;
+        without ``every``, for the last one (the pre-token itself) only."""
+        symbols, ends = self.symbols, []
+        if word.isascii():
+            text = "".join([symbols[b] for b in word.encode("ascii")])
+            ends = range(1, len(word) + 1)
+        else:
+            text = "".join([symbols[b] for b in word.encode("utf-8")])
+            at = 0
+            for ch in word:
+                at += len(ch.encode("utf-8"))
+                ends.append(at)
+        n = len(text)
         last: list[str | None] = [None] * (n + 1)
-        count = [0] * (n + 1)
-        closed = [0] * (n + 1)
-        entry, seam = self.entry, self.seam
+        count, closed = [0] * (n + 1), [0] * (n + 1)
+        entry, seams, holds = self.entry, self.seams, self._holds
         for j in range(n):
             before = last[j]
             if j and before is None:
-                continue  # inside a character that the vocabulary can't open
+                continue
+            tokens = count[j] + 1
             for i in range(j + 1, n + 1):
                 t = text[j:i]
                 kind = entry.get(t)
                 if kind is None:
                     break
-                if kind & OPEN and last[i] is None and (not j or seam((before, t))):
-                    last[i], count[i] = t, count[j] + 1
-                if kind & CLOSED and not closed[i] and (not j or seam((before, t + END))):
-                    closed[i] = count[j] + 1
-        out = [closed[i] for i in ends]
-        return bytes(out) if max(out) < 256 else out
+                if kind & OPEN and last[i] is None:
+                    if not j or (seams.get((before, t)) if (before, t) in seams else holds((before, t))):
+                        last[i], count[i] = t, tokens
+                if kind & CLOSED and (every or i == n) and not closed[i]:
+                    if not j or holds((before, t + END)):
+                        closed[i] = tokens
+        return [closed[i] for i in ends] if every else [closed[n]]
 
-    def word_counts(self, word: str):
-        return self.word(word)
+    def _word_count(self, word: str) -> int:
+        return self._table(word, every=False)[-1]
 
     def _piece_count(self, piece: str) -> int:
-        return sum(self.word_counts(w)[-1] for w in self.words.findall(piece))
+        return sum(map(self.word, self.words.findall(piece)))
+
+    def word_counts(self, word: str) -> list[int]:
+        """For each character prefix of a pre-token, its tokens; a contraction
+        that is cut short is a quote and letters."""
+        counts = self._table(word, every=True)
+        if word in _CONTRACTIONS:
+            quote = self._word_count("'")
+            for k in range(1, len(word)):
+                counts[k - 1] = quote + (self._word_count(word[1:k]) if k > 1 else 0)
+        return counts
 
     # -- texts --------------------------------------------------------------
 
@@ -185,6 +210,7 @@ class PrefixCounter:
             if special:
                 total += 1
                 continue
+            # pre-tokens never hold white space: a text may be cut at any of it
             young = self.piece.young
             for p in self.normalize(part).replace("\n", " ").split(" "):
                 got = young.get(p)
@@ -201,32 +227,40 @@ class PrefixCounter:
         out, base = [0], 0
         for special, part in self.segments(text or ""):
             norm = self.normalize(part)
-            counts = [base] * len(norm)
             at, total = 0, base
             for m in self.words.finditer(norm):
-                counts[at : m.start()] = [total] * (m.start() - at)
-                w = m.group()
-                for k, c in enumerate(self.word_counts(w)):
-                    counts[m.start() + k] = total + c
-                if w in _CONTRACTIONS:  # cut short, it is a quote and letters
-                    quote = self.word_counts("'")[-1]
-                    for k in range(1, len(w)):
-                        counts[m.start() + k - 1] = total + quote + (self.word_counts(w[1:k])[-1] if k > 1 else 0)
-                total += self.word_counts(w)[-1]
+                out += [total] * (m.start() - at)
+                counts = self.word_counts(m.group())
+                out += [total + c for c in counts]
+                total += counts[-1]
                 at = m.end()
-            counts[at:] = [total] * (len(norm) - at)
+            out += [total] * (len(norm) - at)
             if special:
-                total = base + 1
-                counts[-1] = total
-            out += counts
+                total = out[-1] = base + 1
             base = total
         return out
 
     def fitting(self, text: str | None, budget: int) -> int:
         """Characters of the longest prefix of the normalized text within a
-        budget of tokens."""
-        counts = self.prefix_counts(text)
-        return max(k for k, c in enumerate(counts) if c <= budget)
+        budget of tokens. Reads up to the word that goes over it; the prefix
+        table of that word says where."""
+        total, length = 0, 0
+        for special, part in self.segments(text or ""):
+            norm = self.normalize(part)
+            if special:
+                if total + 1 > budget:
+                    counts = self.prefix_counts(part)
+                    return length + max(k for k, c in enumerate(counts[:-1]) if total + c <= budget)
+                total += 1
+            else:
+                for m in self.words.finditer(norm):
+                    n = self.word(m.group())
+                    if total + n > budget:
+                        fits = [k for k, c in enumerate([0, *self.word_counts(m.group())]) if total + c <= budget]
+                        return length + m.start() + fits[-1]
+                    total += n
+            length += len(norm)
+        return length
 
 
 @lru_cache(maxsize=2)
