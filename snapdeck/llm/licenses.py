@@ -15,6 +15,7 @@ and text columns are not read.
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -78,7 +79,7 @@ class Scanner:
     def __init__(self, phrases=PHRASES, notices=NOTICES):
         self.phrases = phrases
         self.notices = [
-            (n, parts_of(n), regex.compile(f"(?b)(?:{regex.escape(n.text)}){{e<={n.edits}}}")) for n in notices
+            (n, parts_of(n), regex.compile(f"(?e)(?:{regex.escape(n.text)}){{e<={n.edits}}}")) for n in notices
         ]
 
     @staticmethod
@@ -113,8 +114,12 @@ class Scanner:
                         out.append((m.start(), m.end(), notice.label, 1 - sum(m.fuzzy_counts) / n))
         out.sort(key=lambda f: (-f[3], f[0] - f[1], f))
         kept: list[tuple[int, int, str, float]] = []
+        number = {label: k for k, label in enumerate(sorted({f[2] for f in out}), 1)}
+        taken = array("H", bytes(2 * len(flat))) if out else array("H")  # the label that stands at each character
         for f in out:
-            if all(f[2] == g[2] or f[1] <= g[0] or g[1] <= f[0] for g in kept):
+            a, b, own = f[0], f[1], number[f[2]]
+            if set(taken[a:b]) <= {0, own}:
+                taken[a:b] = array("H", [own]) * (b - a)
                 kept.append(f)
         return kept
 

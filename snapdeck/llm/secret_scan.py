@@ -21,9 +21,11 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import partial
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -131,14 +133,21 @@ def base_spans(text: str) -> list[Span]:
 
 
 def entropy_spans(text: str, base: Iterable[Span], rule: EntropyRule) -> list[Span]:
-    covered = [(a, b) for _, a, b in base]
+    spans = sorted((a, b) for _, a, b in base)
+    starts, ends = [a for a, _ in spans], list(accumulate((b for _, b in spans), max))
+
+    def covered(a: int, b: int) -> bool:
+        """Whether a rule's span that starts at or before a ends at or after b."""
+        k = bisect_right(starts, a)
+        return k > 0 and ends[k - 1] >= b
+
     out = []
     for m in re.finditer(rf"(?<!{_CANDIDATE}){_CANDIDATE}{{{rule.window},}}", text):
         if rule.allowed(m.group()):
             continue
         for a, b in entropy_windows(m.group(), rule):
             a, b = a + m.start(), b + m.start()
-            if not any(x <= a and b <= y for x, y in covered) and not rule.allowed(text[a:b]):
+            if not covered(a, b) and not rule.allowed(text[a:b]):
                 out.append(("entropy", a, b))
     return out
 
