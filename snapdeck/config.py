@@ -55,7 +55,7 @@ class Config:
     retention_days: int = RETENTION_DAYS
     # Largest number of rows a join side may have to be broadcast. Sides are
     # counted after materialization (see operators.joins.bounded_broadcast).
-    broadcast_max_rows: int = 2_000_000
+    broadcast_max_bytes: int = 64 << 20
     # Table namespaces (the reference binds them from environment settings).
     raw_namespace: str = "snap_raw"
     staging_namespace: str = "snap_staging"

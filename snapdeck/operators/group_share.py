@@ -13,14 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapdeck.operators.joins import join_small
+from snapdeck.operators.joins import BROADCAST_BYTES, join_small
 
 
 def add_group_totals(
     df: DataFrame,
     measure: str,
     levels: Sequence[tuple[Sequence[str], str]],
-    max_rows: int = 1_000_000,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add one total column per level; levels must nest (finest first).
 
@@ -35,7 +35,7 @@ def add_group_totals(
             raise ValueError("levels must nest inside the finest level")
         # the totals table has one row per finest group: a window over it is cheap
         totals = totals.withColumn(name, F.sum(finest_name).over(Window.partitionBy(*keys)))
-    return join_small(df, totals, finest_keys, how="inner", max_rows=max_rows, null_safe=True)
+    return join_small(df, totals, finest_keys, how="inner", max_bytes=max_bytes, null_safe=True)
 
 
 def add_group_totals_window(df: DataFrame, measure: str, levels: Sequence[tuple[Sequence[str], str]]) -> DataFrame:

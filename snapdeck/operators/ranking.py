@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapdeck.operators.joins import join_small, materialize
+from snapdeck.operators.joins import BROADCAST_BYTES, join_small, materialize
 
 
 def row_number_within(
@@ -23,7 +23,7 @@ def row_number_within(
     order: Sequence[Column],
     name: str = "rn",
     num_partitions: int | None = None,
-    max_offset_rows: int = 1_000_000,
+    max_offset_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add ``name`` = 1-based position of each row within its ``keys`` group
     under ``order`` (which must be a total order within the group).
@@ -45,6 +45,6 @@ def row_number_within(
     # one row per (partition, group) pair: at most #groups + #partitions rows
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = firsts.select("_pid", *keys, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    out = join_small(local, offsets, ["_pid", *keys], "inner", max_rows=max_offset_rows, null_safe=True)
+    out = join_small(local, offsets, ["_pid", *keys], "inner", max_bytes=max_offset_bytes, null_safe=True)
     rn = F.col("_off") + (F.col("_idx") - F.col("_first")) + 1
     return out.withColumn(name, rn.cast("long")).drop("_mid", "_pid", "_idx", "_first", "_off")

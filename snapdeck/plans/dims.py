@@ -150,13 +150,22 @@ def dim_pool_from_state(state: DataFrame) -> DataFrame:
 
 
 def token_state(stg: DataFrame) -> DataFrame:
-    latest = first_by([newest_first("snapshot_date"), *nulls_last("token_symbol")], ["token_symbol"])
-    return token_appearances(stg).groupBy("token_address").agg(
-        latest.alias("_m"),
+    """Per-token state of dim_token, in two steps: appearances reduce by
+    (address, symbol) in hash aggregates of fixed-width values, then the
+    latest symbol is picked over the few symbols that an address ever had."""
+    named = token_appearances(stg).groupBy("token_address", "token_symbol").agg(
         F.min("snapshot_date").alias("first_seen_date"),
         F.max("snapshot_date").alias("last_seen_date"),
-        F.sum("is_base").cast("long").alias("appears_as_base_count"),
-        F.sum("is_quote").cast("long").alias("appears_as_quote_count"),
+        F.sum("is_base").alias("n_base"),
+        F.sum("is_quote").alias("n_quote"),
+    )
+    latest = first_by([newest_first("last_seen_date"), *nulls_last("token_symbol")], ["token_symbol"])
+    return named.groupBy("token_address").agg(
+        latest.alias("_m"),
+        F.min("first_seen_date").alias("first_seen_date"),
+        F.max("last_seen_date").alias("last_seen_date"),
+        F.sum("n_base").cast("long").alias("appears_as_base_count"),
+        F.sum("n_quote").cast("long").alias("appears_as_quote_count"),
     )
 
 

@@ -76,7 +76,7 @@ def pool_metrics(stg: DataFrame, cfg: Config = DEFAULT, totals_form: str = "scal
     vol = "trailing_24h_volume_usd"
     levels = [(["snapshot_date", "dex_name"], "dex_total_24h_volume"), (["snapshot_date"], "market_total_24h_volume")]
     if totals_form == "scale":
-        base = add_group_totals(stg, vol, levels, max_rows=cfg.broadcast_max_rows)
+        base = add_group_totals(stg, vol, levels, max_bytes=cfg.broadcast_max_bytes)
     else:
         base = add_group_totals_window(stg, vol, levels)
     # rows per pool are bounded by the number of snapshot days; dex_name breaks
@@ -204,6 +204,6 @@ def pool_metrics_since(stg: DataFrame, since, cfg: Config = DEFAULT, history: Da
     # pools of the new days as a size-checked broadcast: the older rows are not
     # shuffled for the semi join, and the top-7-per-pool limit runs partially
     # before the one exchange the window needs
-    pools, _ = bounded_broadcast(current.select("pool_address").distinct(), cfg.broadcast_max_rows)
+    pools, _ = bounded_broadcast(current.select("pool_address").distinct(), cfg.broadcast_max_bytes)
     prior = last_rows_per_pool(older.join(pools, "pool_address", "left_semi"))
     return pool_metrics(current.unionByName(prior), cfg).filter(F.col("snapshot_date") >= start)

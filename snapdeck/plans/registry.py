@@ -592,7 +592,7 @@ def q_union_sources(spark, sf_dir):
 def q_page_stop_at_floor(spark, sf_dir):
     """Per landed page, whether it stops its feed and whether it is kept."""
     pages, _ = _pages(spark, sf_dir)
-    metas = [ing.page_meta(pages, s, _cfg())[0] for s in ("raydium", "orca", "meteora")]
+    metas = [ing.page_meta(ing.parse_pages(pages, s), s, _cfg()) for s in ("raydium", "orca", "meteora")]
     status = ing.page_status(metas[0].unionByName(metas[1]).unionByName(metas[2]), _cfg())
     return status.select("source", "snapshot_date", "page_no", F.col("n_items").cast("long").alias("n_items"), "is_stop", "kept")
 

@@ -10,10 +10,10 @@ from snapdeck.operators.joins import bounded_broadcast, materialize
 from snapdeck.plans import dims, models
 
 
-def join_dimension(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str, max_rows: int) -> DataFrame:
+def join_dimension(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str, max_bytes: int) -> DataFrame:
     """Broadcast the dimension when its checked size allows; otherwise a shuffle
     join (AQE splits a hot key's partition on the fact side)."""
-    side, _ = bounded_broadcast(dim, max_rows)
+    side, _ = bounded_broadcast(dim, max_bytes)
     return fact.join(side, fact[fact_key] == side[dim_key], how)
 
 
@@ -34,7 +34,7 @@ def star(fact: DataFrame, dim_pool: DataFrame, dim_token: DataFrame, dim_date: D
         "fee_rate_pct",
         "pool_share_of_market_pct",
     )
-    m = cfg.broadcast_max_rows
+    m = cfg.broadcast_max_bytes
     j = join_dimension(f, p, "pool_key", "pool_key", "inner", m).drop(p["pool_key"])
     j = join_dimension(j, bt, "base_token_key", "bt_key", "left", m)
     j = join_dimension(j, qt, "quote_token_key", "qt_key", "left", m)

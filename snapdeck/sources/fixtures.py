@@ -180,7 +180,7 @@ def fx5_pages(spark: SparkSession, sf_dir: str, page_size: int = FIXTURE_PAGE_SI
     slices = pools.groupBy("dex_name", "snapshot_date").agg(F.count(F.lit(1)).alias("n_pools"))
     slices = slices.withColumn("last_page", F.floor((F.col("n_pools") - 1) / page_size).cast("long"))
     # one row per (venue, day): size-checked once, broadcast to every venue's pages
-    slices, _ = bounded_broadcast(slices, 1_000_000)
+    slices, _ = bounded_broadcast(slices)
     out = []
     for venue in FIXTURE_VENUES:
         rows = ranked.filter(F.col("dex_name") == venue).select("snapshot_date", "page_no", "pos", _venue_item(venue).alias("item"))

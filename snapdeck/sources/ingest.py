@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from snapdeck.config import DEFAULT, Config
 from snapdeck.functions import contains_any, safe_double, split_pair
-from snapdeck.operators.joins import join_small, materialize
+from snapdeck.operators.joins import bounded_broadcast, join_small, materialize
 from snapdeck.sources import schemas
 
 def strict_json(body: str, schema, message: str) -> Column:
@@ -101,51 +101,38 @@ def parse_pages(pages: DataFrame, source: str) -> DataFrame:
     return p.select(*SLICE, "page_no", F.col("pg.data").alias("items"), F.col("pg.total_count").alias("total_count"))
 
 
-def page_meta(pages: DataFrame, source: str, cfg: Config = DEFAULT, floor: float | None = None) -> tuple[DataFrame, DataFrame]:
-    """Per-page stop flags of one feed and its candidate pool items.
+def page_meta(parsed: DataFrame, source: str, cfg: Config = DEFAULT, floor: float | None = None) -> DataFrame:
+    """Per-page stop flags of one feed: (source, snapshot_date, page_no, n_items, is_stop).
 
     A feed stops after the first page whose last pool is below the volume
     floor, or that has no next page (Raydium), reaches the advertised total
-    (Meteora), has no cursor or adds no new pool (Orca). Returns
-    (meta: source, snapshot_date, page_no, n_items, is_stop;
-     candidates: source, snapshot_date, page_no, pos, item), Orca candidates
-    reduced to the first occurrence of each address (I2).
+    (Meteora), has no cursor or adds no new pool (Orca).
     """
     floor = cfg.volume_floor if floor is None else floor
-    parsed = parse_pages(pages, source)
     n_items = F.coalesce(F.size("items"), F.lit(0))
     below = (n_items > 0) & (_last_volume(source, F.col("items")) < floor)
-    exploded = parsed.select(*SLICE, "page_no", F.posexplode_outer("items").alias("pos", "item")).filter(F.col("item").isNotNull())
 
     if source == "orca":
-        key = F.col("item").getField("address")
-        addressed = exploded.filter(key.isNotNull() & (key != ""))
         # first page where each address appears; a page's "new" count is the
         # number of addresses first seen on it (prefix-consistent with a
-        # page-by-page seen-set). Copies of one address combine map-side.
-        first = addressed.groupBy(*SLICE, key.alias("_addr")).agg(
-            F.min_by(F.struct("page_no", "pos", "item"), F.struct("page_no", "pos")).alias("_f")
-        )
-        new_per_page = first.groupBy(*SLICE, F.col("_f.page_no").alias("page_no")).agg(F.count(F.lit(1)).alias("_new"))
+        # page-by-page seen-set). Only addresses and page numbers are shuffled.
+        addresses = parsed.select(*SLICE, "page_no", F.explode(F.col("items.address")).alias("_addr"))
+        first = addresses.filter(F.col("_addr") != "").groupBy(*SLICE, "_addr").agg(F.min("page_no").alias("page_no"))
+        new_per_page = first.groupBy(*SLICE, "page_no").agg(F.count(F.lit(1)).alias("_new"))
         meta = parsed.select(*SLICE, "page_no", n_items.alias("n_items"), below.alias("_below"), "cursor").join(
             new_per_page, [*SLICE, "page_no"], "left"
         )
         stop = F.col("_below") | F.col("cursor").isNull() | (F.col("cursor") == "") | (F.coalesce(F.col("_new"), F.lit(0)) == 0)
-        meta = meta.withColumn("is_stop", stop).drop("_below", "cursor", "_new")
-        candidates = first.select(*SLICE, F.col("_f.page_no").alias("page_no"), F.col("_f.pos").alias("pos"), F.col("_f.item").alias("item"))
-    elif source == "meteora":
+        return meta.withColumn("is_stop", stop).drop("_below", "cursor", "_new")
+    if source == "meteora":
         # page-level rows only (one per page): the running count is cheap
         w = Window.partitionBy(*SLICE).orderBy("page_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         meta = parsed.select(*SLICE, "page_no", n_items.alias("n_items"), below.alias("_below"), "total_count")
         meta = meta.withColumn("_seen", F.sum("n_items").over(w))
-        meta = meta.withColumn("is_stop", F.col("_below") | (F.col("_seen") >= F.coalesce(F.col("total_count"), F.lit(0)))).drop(
+        return meta.withColumn("is_stop", F.col("_below") | (F.col("_seen") >= F.coalesce(F.col("total_count"), F.lit(0)))).drop(
             "_below", "total_count", "_seen"
         )
-        candidates = exploded
-    else:
-        meta = parsed.select(*SLICE, "page_no", n_items.alias("n_items"), (below | ~F.coalesce(F.col("has_next"), F.lit(False))).alias("is_stop"))
-        candidates = exploded
-    return meta, candidates
+    return parsed.select(*SLICE, "page_no", n_items.alias("n_items"), (below | ~F.coalesce(F.col("has_next"), F.lit(False))).alias("is_stop"))
 
 
 def page_status(meta: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
@@ -157,22 +144,38 @@ def page_status(meta: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     # first stop page per feed: one small aggregate over page-level rows
     stops = meta.groupBy(*SLICE).agg(F.min(F.when(F.col("is_stop"), F.col("page_no"))).alias("_stop"))
     # stops has one row per (source, day): checked broadcast, no shuffle of pages by day
-    return join_small(meta, stops, SLICE, "left", max_rows=cfg.broadcast_max_rows).withColumn(
+    return join_small(meta, stops, SLICE, "left", max_bytes=cfg.broadcast_max_bytes).withColumn(
         "kept", F.col("_stop").isNull() | (F.col("page_no") <= F.col("_stop"))
     ).drop("_stop")
 
 
-def kept_items(candidates: DataFrame, status: DataFrame) -> DataFrame:
-    """Items on kept pages (semi join on the page key: a hot day spreads
-    over its many pages)."""
-    return candidates.join(status.filter("kept").select(*SLICE, "page_no"), [*SLICE, "page_no"], "left_semi")
+def kept_pages(status: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """Keys of the kept pages, broadcast where their measured size allows."""
+    return bounded_broadcast(status.filter("kept").select(*SLICE, "page_no"), cfg.broadcast_max_bytes)[0]
+
+
+def kept_items(parsed: DataFrame, kept: DataFrame, source: str) -> DataFrame:
+    """Items (source, snapshot_date, page_no, pos, item) of one feed's kept
+    pages: pages are dropped before their items unfold. Orca's are reduced to
+    the first occurrence of each address (I2); kept pages are a prefix, so
+    that is the first of all pages."""
+    pages = parsed.join(kept, [*SLICE, "page_no"], "left_semi")
+    items = pages.select(*SLICE, "page_no", F.posexplode("items").alias("pos", "item")).filter(F.col("item").isNotNull())
+    if source != "orca":
+        return items
+    # copies of one address combine map-side
+    key = F.col("item").getField("address")
+    first = items.filter(key.isNotNull() & (key != "")).groupBy(*SLICE, key.alias("_addr")).agg(
+        F.min_by(F.struct("page_no", "pos", "item"), F.struct("page_no", "pos")).alias("_f")
+    )
+    return first.select(*SLICE, F.col("_f.page_no").alias("page_no"), F.col("_f.pos").alias("pos"), F.col("_f.item").alias("item"))
 
 
 def assemble_pages(pages: DataFrame, source: str, cfg: Config = DEFAULT, floor: float | None = None) -> tuple[DataFrame, DataFrame]:
     """I1 (+ I2 for Orca) for one feed: (page_status, kept items)."""
-    meta, candidates = page_meta(pages, source, cfg, floor)
-    status = page_status(meta, cfg)
-    return status, kept_items(candidates, status)
+    parsed = materialize(parse_pages(pages, source))  # parsed once, for the stops and the items
+    status = page_status(page_meta(parsed, source, cfg, floor), cfg)
+    return status, kept_items(parsed, kept_pages(status, cfg), source)
 
 
 # ---------------------------------------------------------------------------
@@ -234,12 +237,12 @@ def quality_floor(df: DataFrame, cfg: Config = DEFAULT, volume: str = "trailing_
     )
 
 
-def stamp(rows: DataFrame, manifest: DataFrame, source_file: Column, max_rows: int = DEFAULT.broadcast_max_rows) -> DataFrame:
+def stamp(rows: DataFrame, manifest: DataFrame, source_file: Column, max_bytes: int = DEFAULT.broadcast_max_bytes) -> DataFrame:
     """snapshot_at from the slice manifest (the run that landed it),
     venue literal and source path. The manifest has one row per slice."""
     m = manifest.select(*SLICE, F.col("snapshot_at").alias("_mat"))
     # one row per slice: broadcast after a size check, so a hot day's rows never shuffle
-    j = join_small(rows, m, SLICE, "left", max_rows=max_rows)
+    j = join_small(rows, m, SLICE, "left", max_bytes=max_bytes)
     return j.select(
         F.coalesce(F.col("_mat"), F.current_timestamp()).alias("snapshot_at"),
         F.col("snapshot_date"),
@@ -260,19 +263,17 @@ def ingest_all_pools(
     """Every venue's pages -> one raw table.
 
     Stop pages of all feeds are decided in one pass over page-level rows;
-    venue items are normalized to the common columns, unioned, cut to the
-    kept pages, filtered (id, floor) and stamped once.
+    items of the kept pages are normalized to the common columns, unioned,
+    filtered (id, floor) and stamped once.
     """
     from snapdeck.sources.lake import pool_slice_path
 
     srcs = sources or tuple(cfg.pool_venues)
-    metas, rows = [], []
-    for s in srcs:
-        meta, candidates = page_meta(pages, s, cfg)
-        metas.append(meta)
-        rows.append(normalize_items(candidates, s, keep=["page_no"]))
-    status = page_status(reduce(DataFrame.unionByName, metas), cfg)
-    kept = kept_items(reduce(DataFrame.unionByName, rows), status).drop("page_no")
+    parsed = {s: materialize(parse_pages(pages, s)) for s in srcs}  # each page is parsed once
+    metas = [page_meta(p, s, cfg) for s, p in parsed.items()]
+    pages_kept = kept_pages(page_status(reduce(DataFrame.unionByName, metas), cfg), cfg)
+    rows = [normalize_items(kept_items(p, pages_kept, s), s) for s, p in parsed.items()]
+    kept = reduce(DataFrame.unionByName, rows)
     kept = quality_floor(kept.filter(has_id()), cfg)
     sf = source_file if source_file is not None else pool_slice_path(F.lit("raw"), F.col("source"), F.col("snapshot_date"))
-    return stamp(kept, manifest, sf, cfg.broadcast_max_rows)
+    return stamp(kept, manifest, sf, cfg.broadcast_max_bytes)

@@ -128,9 +128,9 @@ def page_record_count(source: Column, body: Column) -> Column:
 
 
 
-def missing_slices(requested: DataFrame, manifest: DataFrame, keys: Sequence[str] = ("source", "snapshot_date"), max_rows: int = DEFAULT.broadcast_max_rows) -> DataFrame:
+def missing_slices(requested: DataFrame, manifest: DataFrame, keys: Sequence[str] = ("source", "snapshot_date"), max_bytes: int = DEFAULT.broadcast_max_bytes) -> DataFrame:
     """Requested slices that are not landed yet (anti join on the small manifest)."""
-    return join_small(requested, manifest.select(*keys).distinct(), list(keys), "left_anti", max_rows=max_rows)
+    return join_small(requested, manifest.select(*keys).distinct(), list(keys), "left_anti", max_bytes=max_bytes)
 
 
 # ---------------------------------------------------------------------------
@@ -223,11 +223,13 @@ def load_slices(
     spark = rows.sparkSession
     if schema is not None:
         rows = enforce_required(conform(rows, schema), schema)
+    # read for the slice keys, the range sample and the write: computed once
+    rows = materialize(rows)
     keys = list(slice_keys)
     skipped = 0
     keep: DataFrame | None = None
     if has_rows_on_disk(spark, table_path):
-        incoming, small = bounded_broadcast(rows.select(*keys).distinct(), cfg.broadcast_max_rows)
+        incoming, small = bounded_broadcast(rows.select(*keys).distinct(), cfg.broadcast_max_bytes)
         table = spark.read.parquet(table_path)
         dates = incoming.select(partition_col).distinct()
         # the dates are no more than the slices just counted: broadcast them,
@@ -235,8 +237,8 @@ def load_slices(
         affected = table.join(F.broadcast(dates) if small else dates, partition_col, "left_semi")
         if not overwrite:
             present = affected.select(*keys).distinct()
-            skipped = join_small(incoming, present, keys, "left_semi", max_rows=cfg.broadcast_max_rows).count()
-            rows = join_small(rows, present, keys, "left_anti", max_rows=cfg.broadcast_max_rows)
+            skipped = join_small(incoming, present, keys, "left_semi", max_bytes=cfg.broadcast_max_bytes).count()
+            rows = join_small(rows, present, keys, "left_anti", max_bytes=cfg.broadcast_max_bytes)
         else:
             # rows of the affected dates that belong to other slices; written
             # out first because the job then overwrites the folders it read
