@@ -10,9 +10,10 @@ the same, so tasks infer wrappers of their own pages and those are aligned
 again, per host and salt first, then per host.
 
 Slots know how much text the pages had in them. The host's main region is the
-article-like element, else the block element, that holds most slot text
-outside of elements that are never main text (menus, headers, footers,
-sidebars, notices, adverts, forms, comments). Every page is then read whole by
+article or main element, the element of a telling name, or else the smallest
+container, that holds a large share of the slot text outside of elements that
+are never main text (menus, headers, footers, sidebars, notices, adverts,
+forms, comments). Every page is then read whole by
 its host's wrapper. A page without the host's region is read by a wrapper of
 its own.
 
@@ -71,6 +72,8 @@ _NEVER_NAMES = re.compile(
     r"breadcrumbs?|cookies?|consent|notices?|popup|modal|newsletter|subscribe|signup|login|search|share|sharing|social|"
     r"comments?|disqus|replies|respond|related|recommend\w*|widget|toolbar|pagination|pager|copyright|legal)(?=$|[\s_.-])"
 )
+#: What can be a main region, or a named part that is none.
+_CONTAINERS = frozenset("html body article main section div center table".split())
 _MAIN_NAMES = re.compile(r"(?i)(?:^|[\s_#.-])(?:article|articlebody|post|entry|content|main|story|text|body)(?=$|[\s_.-])")
 
 ONCE, OPTIONAL, REPEATED, ANY = "", "?", "+", "*"
@@ -232,34 +235,39 @@ def _likely(key: str) -> int:
     tag, _, names = key.partition(" ")
     if tag in ("article", "main"):
         return 2
-    return 1 if tag not in ("body", "html") and names and _MAIN_NAMES.search(names) else 0
+    return 1 if tag in _CONTAINERS and tag not in ("body", "html") and names and _MAIN_NAMES.search(names) else 0
 
 
 def region(wrapper: list) -> tuple[str, ...] | None:
-    """The path of keys of the main region: of article-like elements the one
-    with most slot text (the outermost of equals), else the innermost block
-    element that holds over half of all of it."""
-    found: list[tuple[int, int, tuple[str, ...]]] = []
-
-    def walk(nodes: list, path: tuple[str, ...]) -> int:
-        total = 0
+    """The path of keys of the main region: the article or main element with
+    most text if it has a quarter of it, else the element of a telling name
+    with most text if it has two thirds, else the smallest container that has
+    nine tenths and every h1 (the outermost of equals with a name)."""
+    found: list[tuple[int, int, int, tuple[str, ...]]] = []
+
+    def walk(nodes: list, path: tuple[str, ...]) -> tuple[int, int]:
+        total = titles = 0
         for key, _, children, _, chars in nodes:
             if key is None:
                 total += chars
             elif not _never(key):
                 here = (*path, key)
-                inside = walk(children, here)
-                if inside:
-                    found.append((_likely(key), inside, here))
-                total += inside
-        return total
-
-    total = walk(wrapper, ())
-    likely = [f for f in found if f[0]]
-    if likely:
-        return max(likely, key=lambda f: (f[0], f[1], -len(f[2])))[2]
-    blocks = [f for f in found if 2 * f[1] > total and f[2][-1].split(" ")[0] in _BLOCKS]
-    return max(blocks, key=lambda f: len(f[2]), default=(0, 0, None))[2]
+                inside, titles_inside = walk(children, here)
+                tag = key.split(" ")[0]
+                if tag == "h1":
+                    titles_inside = inside
+                if inside and tag in _CONTAINERS:
+                    found.append((_likely(key), inside, titles_inside, here))
+                total, titles = total + inside, titles + titles_inside
+        return total, titles
+
+    total, titles = walk(wrapper, ())
+    for level, share in ((2, 0.25), (1, 2 / 3)):
+        likely = [f for f in found if f[0] == level and f[1] >= share * total]
+        if likely:
+            return max(likely, key=lambda f: (f[1], -len(f[3])))[3]
+    whole = [f for f in found if f[1] >= 0.9 * total and f[2] == titles]
+    return max(whole, key=lambda f: len(f[3]), default=(0, 0, 0, None))[3]
 
 
 def _collect(nodes: list, out: list[str]) -> None:

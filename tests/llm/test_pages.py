@@ -44,6 +44,16 @@ def test_pages_without_an_article():
     assert H.read("<body><nav>a</nav></body>", None) == ""
 
 
+def test_regions_without_an_article_are_whole():
+    inner = "<h1>Title</h1><span class='post-date'>3 May</span><p>{}</p><p>second</p><h2>Part</h2><ul><li>one<li>two</ul><pre>code</pre>"
+    page = "<body><ul class='menu'><li>m</ul><div class='c1'>" + inner.format("long words " * 30) + "</div><footer>f</footer></body>"
+    want = "Title 3 May " + "long words " * 30 + "second Part one two code"
+    assert H.read(page, None) == want
+    assert H.read(page, H.region(wrapper(page, page.replace("second", "other")))) == want
+    assert H.read(page.replace("class='c1'", ""), None) == want
+    assert H.read("<div><div><h1>T</h1></div><div><p>" + "x " * 99 + "</p></div></div>", None).startswith("T x")
+
+
 def test_articles_word_for_word(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     for r in H.extract(df).join(df.select("page_id", "html"), "page_id").collect():
