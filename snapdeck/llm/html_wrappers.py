@@ -13,9 +13,13 @@ Slots know how much text the pages had in them. The host's main region is the
 article or main element, the element of a telling name, or else the smallest
 container, that holds a large share of the slot text outside of elements that
 are never main text (menus, headers, footers, sidebars, notices, adverts,
-forms, comments). Every page is then read whole by
-its host's wrapper. A page without the host's region is read by a wrapper of
-its own.
+forms, comments). Every page is then read by its host's region: all of it but
+blocks that the wrapper has on every page with the same text. That needs three
+different pages of the host; with two, text that is the same on both doesn't
+choose the region, but is read, and if slots have less than a tenth of the
+text, the two are copies and all text counts. A page without the host's region
+is read by a wrapper of its own, by all its text. Pages without any token say
+nothing of their host's wrapper.
 
 Defined results: a null or empty page, and one without main text, gives an
 empty text. A null or unusable URL: such pages share one nameless host.
@@ -27,6 +31,7 @@ from __future__ import annotations
 import html
 import json
 import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -78,8 +83,10 @@ _MAIN_NAMES = re.compile(r"(?i)(?:^|[\s_#.-])(?:article|articlebody|post|entry|c
 
 ONCE, OPTIONAL, REPEATED, ANY = "", "?", "+", "*"
 
-# A node is [key, mark, children, None, 0] for an element, [None, mark, [], text, chars]
-# for text; text None is a slot.
+# A node is [key, mark, children, None, 0, seen] for an element, [None, mark, [], text,
+# chars, seen] for text; text None is a slot. ``seen`` has the least digests, SEEN at
+# most, of the different pages that have the node.
+SEEN = 3
 
 
 # -- pages to trees of tokens --------------------------------------------------
@@ -115,7 +122,7 @@ def parse(page: str) -> list:
                 children[-1][3] += s
                 children[-1][4] = len(children[-1][3].strip())
             else:
-                children.append([None, ONCE, [], s, len(s.strip())])
+                children.append([None, ONCE, [], s, len(s.strip()), []])
             continue
         tag = tag.lower()
         if m["end"]:
@@ -126,7 +133,7 @@ def parse(page: str) -> list:
             close({"p"}, {"table", "td", "div", "li", "article", "section", "body", "blockquote", "button"} - {tag})
         if tag in _CLOSES:
             close(*_CLOSES[tag])
-        node = [_key(tag, m["attrs"]), ONCE, [], None, 0]
+        node = [_key(tag, m["attrs"]), ONCE, [], None, 0, []]
         stack[-1][1].append(node)
         if tag not in _VOID and not m["attrs"].endswith("/") and len(stack) < MAX_DEPTH:
             stack.append((tag, node[2]))
@@ -151,9 +158,10 @@ def _maybe(node: list) -> list:
 
 def _one(a: list, b: list) -> list:
     """Two nodes of the same key as one."""
+    seen = a[5] if a[5] == b[5] else sorted({*a[5], *b[5]})[:SEEN]
     if a[0] is None:
-        return [None, _both(a[1], b[1]), [], a[3] if a[3] == b[3] else None, a[4] + b[4]]
-    return [a[0], _both(a[1], b[1]), align(a[2], b[2]), None, 0]
+        return [None, _both(a[1], b[1]), [], a[3] if a[3] == b[3] else None, a[4] + b[4], seen]
+    return [a[0], _both(a[1], b[1]), align(a[2], b[2]), None, 0, seen]
 
 
 def _fold(nodes: list) -> list:
@@ -176,15 +184,16 @@ def _fold(nodes: list) -> list:
     return out
 
 
-def generalize(nodes: list) -> list:
+def generalize(nodes: list, digest: int | None = None) -> list:
     """A page's tree as a wrapper: folded from the inside out. Blank text is no token."""
+    digest = zlib.crc32(repr(nodes).encode("utf-8", "replace")) if digest is None else digest
     out = []
-    for key, mark, children, text, chars in nodes:
+    for key, mark, children, text, chars, _ in nodes:
         if key is None:
             if chars:
-                out.append([None, mark, [], " ".join(text.split()), chars])
+                out.append([None, mark, [], " ".join(text.split()), chars, [digest]])
         else:
-            out.append([key, mark, generalize(children), None, 0])
+            out.append([key, mark, generalize(children, digest), None, 0, [digest]])
     return _fold(out)
 
 
@@ -215,7 +224,7 @@ def align(a: list, b: list) -> list:
 def expression(wrapper: list) -> str:
     """The wrapper in regular-expression notation."""
     out = []
-    for key, mark, children, text, _ in wrapper:
+    for key, mark, children, text, *_ in wrapper:
         one = ("#" if text is None else json.dumps(text)) if key is None else f"<{key}>{expression(children)}</>"
         out.append(f"({one}){mark}" if mark else one)
     return "".join(out)
@@ -238,21 +247,55 @@ def _likely(key: str) -> int:
     return 1 if tag in _CONTAINERS and tag not in ("body", "html") and names and _MAIN_NAMES.search(names) else 0
 
 
+def _n_seen(wrapper: list) -> int:
+    """How many different pages the wrapper is of, SEEN at most."""
+    return len({d for node in wrapper for d in node[5]})
+
+
+def _by_slots(wrapper: list) -> bool:
+    """Whether slots tell main text from the host's own: not on a host of one
+    page, of pages without any slot, or of two that are nearly copies."""
+    n = _n_seen(wrapper)
+    if n < 2:
+        return False
+    slots, total = _amount(wrapper, True), _amount(wrapper, False)
+    return slots > 0 and (n > 2 or 10 * slots >= total)
+
+
+def _is_text(text: str | None, optional: bool, slots: bool) -> bool:
+    """Whether a text node counts: with ``slots``, one that is the same on every page doesn't."""
+    return not slots or text is None or optional
+
+
+def _amount(nodes: list, slots: bool, optional: bool = False) -> int:
+    total = 0
+    for key, mark, children, text, chars, _ in nodes:
+        maybe = optional or mark in (OPTIONAL, ANY)
+        if key is None:
+            total += chars if _is_text(text, maybe, slots) else 0
+        elif not _never(key):
+            total += _amount(children, slots, maybe)
+    return total
+
+
 def region(wrapper: list) -> tuple[str, ...] | None:
     """The path of keys of the main region: the article or main element with
     most text if it has a quarter of it, else the element of a telling name
     with most text if it has two thirds, else the smallest container that has
-    nine tenths and every h1 (the outermost of equals with a name)."""
+    nine tenths and every h1 (the outermost of equals with a name). Text that
+    is the same on every page of the host doesn't count."""
     found: list[tuple[int, int, int, tuple[str, ...]]] = []
+    slots = _by_slots(wrapper)
 
-    def walk(nodes: list, path: tuple[str, ...]) -> tuple[int, int]:
+    def walk(nodes: list, path: tuple[str, ...], optional: bool) -> tuple[int, int]:
         total = titles = 0
-        for key, _, children, _, chars in nodes:
+        for key, mark, children, text, chars, _ in nodes:
+            maybe = optional or mark in (OPTIONAL, ANY)
             if key is None:
-                total += chars
+                total += chars if _is_text(text, maybe, slots) else 0
             elif not _never(key):
                 here = (*path, key)
-                inside, titles_inside = walk(children, here)
+                inside, titles_inside = walk(children, here, maybe)
                 tag = key.split(" ")[0]
                 if tag == "h1":
                     titles_inside = inside
@@ -261,7 +304,7 @@ def region(wrapper: list) -> tuple[str, ...] | None:
                 total, titles = total + inside, titles + titles_inside
         return total, titles
 
-    total, titles = walk(wrapper, ())
+    total, titles = walk(wrapper, (), False)
     for level, share in ((2, 0.25), (1, 2 / 3)):
         likely = [f for f in found if f[0] == level and f[1] >= share * total]
         if likely:
@@ -270,43 +313,93 @@ def region(wrapper: list) -> tuple[str, ...] | None:
     return max(whole, key=lambda f: len(f[3]), default=(0, 0, 0, None))[3]
 
 
-def _collect(nodes: list, out: list[str]) -> None:
-    for key, _, children, text, _ in nodes:
+def _texts(nodes: list) -> set[str]:
+    out: set[str] = set()
+    for key, _, children, text, chars, _ in nodes:
+        if key is None:
+            if chars:
+                out.add(" ".join(text.split()))
+        elif not _never(key):
+            out |= _texts(children)
+    return out
+
+
+def constants(wrapper: list, path: tuple[str, ...] | None) -> list[list]:
+    """[tag, texts] of the outermost blocks below ``path`` that are on every page
+    of the host with the same text, known of hosts with SEEN different pages or more."""
+    found: list[list] = []
+
+    def walk(nodes: list, optional: bool, rest: tuple[str, ...]) -> bool:
+        same = True
+        for key, mark, children, text, *_ in nodes:
+            if rest and key != rest[0] or key is not None and _never(key):
+                continue
+            maybe, at = optional or mark in (OPTIONAL, ANY), len(found)
+            here = text is not None if key is None else walk(children, maybe, rest[1:])
+            if not rest and key is not None and here and not maybe and key.split(" ")[0] in _BLOCKS and (texts := _texts(children)):
+                found[at:] = [[key.split(" ")[0], sorted(texts)]]
+            same = same and here and mark in (ONCE, REPEATED)
+        return same
+
+    if path and _n_seen(wrapper) >= SEEN and _by_slots(wrapper):
+        walk(wrapper, False, path)
+    return found
+
+
+def plan(wrapper: list) -> dict:
+    """What reading a page needs of its host's wrapper."""
+    path = region(wrapper)
+    return {"path": path, "constant": constants(wrapper, path)}
+
+
+def _collect(nodes: list, out: list[str], constant: dict[str, list[set]]) -> None:
+    for key, _, children, text, *_ in nodes:
         if key is None:
             out.append(text)
         elif not _never(key):
-            gap = key.split(" ")[0] in _BLOCKS
+            tag = key.split(" ")[0]
+            if tag in constant and _texts(children) in constant[tag]:
+                continue
+            gap = tag in _BLOCKS
             if gap:
                 out.append("\n")
-            _collect(children, out)
+            _collect(children, out, constant)
             if gap:
                 out.append("\n")
 
 
-def _in_region(nodes: list, path: tuple[str, ...], out: list[str]) -> None:
+def _in_region(nodes: list, path: tuple[str, ...], out: list[str], constant: dict[str, list[set]]) -> None:
     for node in nodes:
         if node[0] is None or node[0] != path[0]:
             continue
         if len(path) == 1:
-            _collect([node], out)
+            _collect([node], out, constant)
         else:
-            _in_region(node[2], path[1:], out)
+            _in_region(node[2], path[1:], out, constant)
 
 
-def read(page: str | None, path: tuple[str, ...] | None) -> str:
-    """The main text of a page, by its host's region or, lacking that, its own."""
+def read(page: str | None, path: tuple[str, ...] | None, constant: list[list] = ()) -> str:
+    """The main text of a page: its host's region without the blocks that are
+    the same on every page of the host, or with them where nothing else is
+    there; lacking the region, the page's own."""
     if not page:
         return ""
     tree, out = parse(page), []
     if path:
-        _in_region(tree, path, out)
+        by_tag: dict[str, list[set]] = {}
+        for tag, texts in constant:
+            by_tag.setdefault(tag, []).append(set(texts))
+        _in_region(tree, path, out, by_tag)
+        if by_tag and not "".join(out).strip():
+            out = []
+            _in_region(tree, path, out, {})
     if not "".join(out).strip():
         own = region(generalize(tree))
         out = []
         if own:
-            _in_region(tree, own, out)
+            _in_region(tree, own, out, {})
         else:
-            _collect(tree, out)
+            _collect(tree, out, {})
     return " ".join(html.unescape("".join(out)).split())
 
 
@@ -323,8 +416,8 @@ def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            w = generalize(parse(page or ""))
-            held[host] = align(held[host], w) if host in held else w
+            w = generalize(parse(page or ""), zlib.crc32((page or "").encode("utf-8", "replace")))
+            held[host] = align(held[host], w) if w and held.get(host) else w or held.get(host, [])
         if len(held) > HOSTS_AT_ONCE:
             yield give()
             held = {}
@@ -336,7 +429,8 @@ def _align_group(pdf: pd.DataFrame) -> pd.DataFrame:
     texts = sorted(set(pdf["wrapper"]))
     out = json.loads(texts[0])
     for t in texts[1:]:
-        out = align(out, json.loads(t))
+        w = json.loads(t)
+        out = align(out, w) if out and w else out or w
     first = pdf.iloc[:1].copy()
     first["wrapper"] = json.dumps(out, ensure_ascii=False)
     return first
@@ -356,17 +450,19 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     return by_salt.select("host", "wrapper").groupBy("host").applyInPandas(_align_group, "host string, wrapper string")
 
 
-@lru_cache(maxsize=10_000)
-def _region_of(wrapper: str) -> tuple[str, ...] | None:
-    return region(json.loads(wrapper))
+def _regions(host, wrapper):
+    w = json.loads(wrapper)
+    return ((host, json.dumps(plan(w), ensure_ascii=False), expression(w)),)
 
 
-def _regions(host, wrapper):
-    return ((host, json.dumps(_region_of(wrapper)), expression(json.loads(wrapper))),)
+@lru_cache(maxsize=1_000)
+def _plan(text: str) -> tuple[tuple[str, ...], list[list]]:
+    read_by = json.loads(text)
+    return tuple(read_by["path"] or ()), read_by["constant"]
 
 
 def _reader(key, url, page, path):
-    text = read(page, tuple(json.loads(path) or ()) if path else None)
+    text = read(page, *(_plan(path) if path else (None,)))
     return ((key, url, text, len(text)),)
 
 

@@ -54,6 +54,18 @@ def test_regions_without_an_article_are_whole():
     assert H.read("<div><div><h1>T</h1></div><div><p>" + "x " * 99 + "</p></div></div>", None).startswith("T x")
 
 
+def test_constant_blocks_are_not_the_article(spark):
+    page = "<body><div class='a1'><h1>T{0}</h1><p>first {0}<p>then {0}</p><div class='x'><p>the same notice</div></div><div class='b1'><p>{1}</div></body>"
+    host = [page.format(w, "terms and conditions " * 40) for w in ("one", "two", "three", "four")]
+    rows = [(i, f"http://h.example/{i}", p) for i, p in enumerate(host)] + [(i, f"http://two.example/{i}", p) for i, p in enumerate((page.format("one", "our terms " * 15), page.format("two", "our terms " * 15)), 10)]
+    rows += [(20, "http://one.example/", host[0]), (21, "http://one.example/", host[0])]
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, w in enumerate(("one", "two", "three", "four")):
+        assert got[i] == f"T{w} first {w} then {w}"
+    assert got[10] == "Tone first one then one the same notice"
+    assert got[20] == got[21] == "Tone first one then one the same notice " + ("terms and conditions " * 40).strip()
+
+
 def test_articles_word_for_word(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     for r in H.extract(df).join(df.select("page_id", "html"), "page_id").collect():
