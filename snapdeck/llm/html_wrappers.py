@@ -13,7 +13,8 @@ Slots know how much text the pages had in them. The host's main region is the
 article or main element, the element of a telling name, or else the smallest
 container, that holds a large share of the slot text outside of elements that
 are never main text (menus, headers, footers, sidebars, notices, adverts,
-forms, comments). Every page is then read by its host's region: all of it but
+forms, comments): by their tag, or containers by a whole name that more than
+one page of the host has (of a host with one page, any). Every page is then read by its host's region: all of it but
 blocks that the wrapper has on every page with the same text. That needs three
 different pages of the host; with two, text that is the same on both doesn't
 choose the region, but is read, and if slots have less than a tenth of the
@@ -56,7 +57,7 @@ _TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)|<|[^<]+",
     re.S | re.I,
 )
-_ATTR = re.compile(r"(?i)\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+_ATTR = re.compile(r"(?i)(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCKS = frozenset(
     "address article aside blockquote body br caption dd details div dl dt fieldset figcaption figure footer form h1 h2 "
@@ -72,12 +73,18 @@ _NEVER_TAGS = frozenset(
     "head title nav header footer aside form button select option input label menu dialog iframe object svg canvas "
     "audio video map script style template noscript textarea".split()
 )
-_NEVER_NAMES = re.compile(
-    r"(?i)(?:^|[\s_#.-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu|header|footer|masthead|side-?bar|aside|"
-    r"breadcrumbs?|cookies?|consent|notices?|popup|modal|newsletter|subscribe|signup|login|search|share|sharing|social|"
-    r"comments?|disqus|replies|respond|related|recommend\w*|widget|toolbar|pagination|pager|copyright|legal)(?=$|[\s_.-])"
+#: Elements whose names can say that they are no main text, by whole names (a
+#: section by class and role only: its id is often made of its heading).
+_NAMED_TAGS = frozenset("div section center table ul ol dl details fieldset".split())
+_NEVER_NAME = re.compile(
+    r"(?i)(?:(?:site|page|main|top|bottom|left|right|global|primary|secondary|cookie|user|reader)[-_])*"
+    r"(?:ads?|advert(?:s|isements?|ising)?|banner|sponsor(?:s|ed)?|promos?|nav|nav-?bar|navi|navigation|menu|header|footer|"
+    r"masthead|side-?bar|aside|breadcrumbs?|cookies?|consent|notices?|popup|modal|newsletter|subscribe|signup|login|search|"
+    r"share|sharing|social|comments?|disqus|replies|respond|related|recommend(?:ed|ations?)|widget|toolbar|pagination|pager|"
+    r"copyright|legal|complementary|contentinfo)"
+    r"(?:[-_](?:bar|box|list|links?|buttons?|posts|items?|wrap|wrapper|container|area|block|panel|inner|form|0))*"
 )
-#: What can be a main region, or a named part that is none.
+#: What can be a main region.
 _CONTAINERS = frozenset("html body article main section div center table".split())
 _MAIN_NAMES = re.compile(r"(?i)(?:^|[\s_#.-])(?:article|articlebody|post|entry|content|main|story|text|body)(?=$|[\s_.-])")
 
@@ -93,8 +100,13 @@ SEEN = 3
 
 
 def _key(tag: str, attrs: str) -> str:
-    names = [re.sub(r"\d+", "0", a or b or c).strip() for _, a, b, c in _ATTR.findall(attrs)] if "=" in attrs else []
-    return " ".join([tag, *filter(None, names)])
+    """The tag, and the names of class and role, and of id with a # before each."""
+    names: list[str] = []
+    if "=" in attrs:
+        for kind, a, b, c in _ATTR.findall(attrs):
+            mark = "#" if kind.lower() == "id" else ""
+            names += [mark + n for n in re.sub(r"\d+", "0", a or b or c).split()]
+    return " ".join([tag, *names])
 
 
 def parse(page: str) -> list:
@@ -234,9 +246,18 @@ def expression(wrapper: list) -> str:
 
 
 @lru_cache(maxsize=100_000)
-def _never(key: str) -> bool:
-    tag, _, names = key.partition(" ")
-    return tag in _NEVER_TAGS or bool(names and tag not in ("body", "html", "article", "main") and _NEVER_NAMES.search(names))
+def _named(key: str) -> bool:
+    """Whether the names of a container say that it is no main text."""
+    tag, *names = key.split(" ")
+    if tag not in _NAMED_TAGS:
+        return False
+    return any(_NEVER_NAME.fullmatch(n.lstrip("#")) for n in names if not (tag == "section" and n[0] == "#"))
+
+
+def _never(key: str, own: frozenset[str] = frozenset()) -> bool:
+    """Whether an element is never main text; ``own`` are keys that only one
+    of the host's pages has: such a block belongs to its page."""
+    return key.split(" ", 1)[0] in _NEVER_TAGS or _named(key) and key not in own
 
 
 @lru_cache(maxsize=100_000)
@@ -252,13 +273,30 @@ def _n_seen(wrapper: list) -> int:
     return len({d for node in wrapper for d in node[5]})
 
 
+def own_blocks(wrapper: list) -> frozenset[str]:
+    """Keys of named blocks that only one of the host's several pages has. With
+    a page alone its names decide."""
+    seen: dict[str, set[int]] = {}
+
+    def walk(nodes: list) -> None:
+        for node in nodes:
+            if node[0] is not None and node[0].split(" ", 1)[0] not in _NEVER_TAGS:
+                if _named(node[0]):
+                    seen.setdefault(node[0], set()).update(node[5])
+                walk(node[2])
+
+    walk(wrapper)
+    return frozenset(k for k, pages in seen.items() if len(pages) < 2) if _n_seen(wrapper) > 1 else frozenset()
+
+
 def _by_slots(wrapper: list) -> bool:
     """Whether slots tell main text from the host's own: not on a host of one
     page, of pages without any slot, or of two that are nearly copies."""
     n = _n_seen(wrapper)
     if n < 2:
         return False
-    slots, total = _amount(wrapper, True), _amount(wrapper, False)
+    own = own_blocks(wrapper)
+    slots, total = _amount(wrapper, True, own), _amount(wrapper, False, own)
     return slots > 0 and (n > 2 or 10 * slots >= total)
 
 
@@ -267,14 +305,14 @@ def _is_text(text: str | None, optional: bool, slots: bool) -> bool:
     return not slots or text is None or optional
 
 
-def _amount(nodes: list, slots: bool, optional: bool = False) -> int:
+def _amount(nodes: list, slots: bool, own: frozenset[str], optional: bool = False) -> int:
     total = 0
     for key, mark, children, text, chars, _ in nodes:
         maybe = optional or mark in (OPTIONAL, ANY)
         if key is None:
             total += chars if _is_text(text, maybe, slots) else 0
-        elif not _never(key):
-            total += _amount(children, slots, maybe)
+        elif not _never(key, own):
+            total += _amount(children, slots, own, maybe)
     return total
 
 
@@ -285,7 +323,7 @@ def region(wrapper: list) -> tuple[str, ...] | None:
     nine tenths and every h1 (the outermost of equals with a name). Text that
     is the same on every page of the host doesn't count."""
     found: list[tuple[int, int, int, tuple[str, ...]]] = []
-    slots = _by_slots(wrapper)
+    slots, own = _by_slots(wrapper), own_blocks(wrapper)
 
     def walk(nodes: list, path: tuple[str, ...], optional: bool) -> tuple[int, int]:
         total = titles = 0
@@ -293,7 +331,7 @@ def region(wrapper: list) -> tuple[str, ...] | None:
             maybe = optional or mark in (OPTIONAL, ANY)
             if key is None:
                 total += chars if _is_text(text, maybe, slots) else 0
-            elif not _never(key):
+            elif not _never(key, own):
                 here = (*path, key)
                 inside, titles_inside = walk(children, here, maybe)
                 tag = key.split(" ")[0]
@@ -349,36 +387,38 @@ def constants(wrapper: list, path: tuple[str, ...] | None) -> list[list]:
 def plan(wrapper: list) -> dict:
     """What reading a page needs of its host's wrapper."""
     path = region(wrapper)
-    return {"path": path, "constant": constants(wrapper, path)}
+    return {"path": path, "constant": constants(wrapper, path), "own": sorted(own_blocks(wrapper))}
 
 
-def _collect(nodes: list, out: list[str], constant: dict[str, list[set]]) -> None:
+def _collect(nodes: list, out: list[str], constant: dict[str, list[set]], own: frozenset[str]) -> None:
     for key, _, children, text, *_ in nodes:
         if key is None:
             out.append(text)
-        elif not _never(key):
-            tag = key.split(" ")[0]
+        elif not _never(key, own):
+            tag = key.split(" ", 1)[0]
             if tag in constant and _texts(children) in constant[tag]:
                 continue
             gap = tag in _BLOCKS
             if gap:
                 out.append("\n")
-            _collect(children, out, constant)
+            _collect(children, out, constant, own)
             if gap:
                 out.append("\n")
 
 
-def _in_region(nodes: list, path: tuple[str, ...], out: list[str], constant: dict[str, list[set]]) -> None:
+def _in_region(nodes: list, path: tuple[str, ...], out: list[str], constant: dict[str, list[set]], own: frozenset[str]) -> None:
     for node in nodes:
         if node[0] is None or node[0] != path[0]:
             continue
         if len(path) == 1:
-            _collect([node], out, constant)
+            _collect([node], out, constant, own)
         else:
-            _in_region(node[2], path[1:], out, constant)
+            _in_region(node[2], path[1:], out, constant, own)
 
 
-def read(page: str | None, path: tuple[str, ...] | None, constant: list[list] = ()) -> str:
+def read(
+    page: str | None, path: tuple[str, ...] | None, constant: list[list] = (), own: frozenset[str] = frozenset()
+) -> str:
     """The main text of a page: its host's region without the blocks that are
     the same on every page of the host, or with them where nothing else is
     there; lacking the region, the page's own."""
@@ -389,17 +429,17 @@ def read(page: str | None, path: tuple[str, ...] | None, constant: list[list] =
         by_tag: dict[str, list[set]] = {}
         for tag, texts in constant:
             by_tag.setdefault(tag, []).append(set(texts))
-        _in_region(tree, path, out, by_tag)
+        _in_region(tree, path, out, by_tag, own)
         if by_tag and not "".join(out).strip():
             out = []
-            _in_region(tree, path, out, {})
+            _in_region(tree, path, out, {}, own)
     if not "".join(out).strip():
-        own = region(generalize(tree))
+        mine = region(generalize(tree))
         out = []
-        if own:
-            _in_region(tree, own, out, {})
+        if mine:
+            _in_region(tree, mine, out, {}, frozenset())
         else:
-            _collect(tree, out, {})
+            _collect(tree, out, {}, frozenset())
     return " ".join(html.unescape("".join(out)).split())
 
 
@@ -456,9 +496,9 @@ def _regions(host, wrapper):
 
 
 @lru_cache(maxsize=1_000)
-def _plan(text: str) -> tuple[tuple[str, ...], list[list]]:
+def _plan(text: str) -> tuple[tuple[str, ...], list[list], frozenset[str]]:
     read_by = json.loads(text)
-    return tuple(read_by["path"] or ()), read_by["constant"]
+    return tuple(read_by["path"] or ()), read_by["constant"], frozenset(read_by["own"])
 
 
 def _reader(key, url, page, path):

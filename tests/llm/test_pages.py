@@ -1,5 +1,6 @@
 import hashlib
 import html
+import json
 import re
 
 from snapdeck.llm import html_wrappers as H
@@ -66,6 +67,18 @@ def test_constant_blocks_are_not_the_article(spark):
     assert got[20] == got[21] == "Tone first one then one the same notice " + ("terms and conditions " * 40).strip()
 
 
+def test_names_drop_no_parts_of_the_article():
+    page = (
+        "<article><h2 id='legal-basis'>a</h2><h2 id='search-space'>b</h2><section id='related-work'><p>c</section><h2 id='navarre'>d</h2>"
+        "<p id='navy'>e<section id='promotion'>f</section><div class='notice-period'>g</div><p class='share'>h</p>{}<div class='comments'>no {}</div></article>"
+    )
+    pages = [page.format("<div class='search'>i</div>", 1), page.format("", 2), page.format("<p>x", 3)]
+    assert H.read(page.format("", 4), None) == "a b c d e f g h"
+    read_by = H._plan(json.dumps(H.plan(wrapper(*pages))))
+    assert H.read(pages[0], read_by[0], own=read_by[2]) == "a b c d e f g h i"
+    assert H.read(pages[1], read_by[0], own=read_by[2]) == "a b c d e f g h"
+
+
 def test_articles_word_for_word(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     for r in H.extract(df).join(df.select("page_id", "html"), "page_id").collect():
