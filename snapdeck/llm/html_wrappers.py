@@ -7,7 +7,9 @@ inferred by aligning one page after another with the wrapper so far: runs of
 equal neighbours become a repeated group, what only one side has becomes
 optional, texts that differ become a slot. The alignment of two wrappers works
 the same, so tasks infer wrappers of their own pages and those are aligned
-again, per host and salt first, then per host.
+again, per host and salt first, then per host. Elements of one tag whose names
+differ from page to page become one element with the names they share, and a
+wrapper is bounded (MAX_NODES, MAX_CHILDREN), whatever the number of pages.
 
 Slots know how much text the pages had in them. The host's main region is the
 article or main element, the element of a telling name, or else the smallest
@@ -35,6 +37,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from hashlib import blake2b
 
 import pandas as pd
 import pyarrow as pa
@@ -94,19 +97,64 @@ ONCE, OPTIONAL, REPEATED, ANY = "", "?", "+", "*"
 # chars, seen] for text; text None is a slot. ``seen`` has the least digests, SEEN at
 # most, of the different pages that have the node.
 SEEN = 3
+#: Bounds of a wrapper: children of an element, all its nodes, characters of a
+#: name and of a text (longer ones end with a digest). What goes over them is
+#: joined in the wrapper; pages are read whole all the same.
+MAX_CHILDREN, MAX_NODES, MAX_NAME, MAX_TEXT = 100, 2_000, 60, 120
+#: At the end of a key, that further names differ between pages; and that each
+#: page's names are likely ones of main text.
+VARY, MAIN = "*", "~main"
 
 
 # -- pages to trees of tokens --------------------------------------------------
 
 
+def _short(text: str, most: int) -> str:
+    return text if len(text) <= most else text[:most] + "…" + blake2b(text.encode("utf-8", "replace"), digest_size=8).hexdigest()
+
+
 def _key(tag: str, attrs: str) -> str:
-    """The tag, and the names of class and role, and of id with a # before each."""
+    """The tag, and the names of class and role, and of id with a # before each;
+    html and body by their tag alone."""
     names: list[str] = []
-    if "=" in attrs:
+    if "=" in attrs and tag not in ("html", "body"):
         for kind, a, b, c in _ATTR.findall(attrs):
             mark = "#" if kind.lower() == "id" else ""
-            names += [mark + n for n in re.sub(r"\d+", "0", a or b or c).split()]
-    return " ".join([tag, *names])
+            names += [mark + _short(n, MAX_NAME) for n in re.sub(r"\d+", "0", a or b or c).split()]
+    return " ".join([tag, *[n for n in names if n not in (VARY, MAIN)]])
+
+
+@lru_cache(maxsize=100_000)
+def _fits(pattern: str | None, key: str | None) -> bool:
+    """Whether an element's key, or a pattern, is one of a pattern (or the same key)."""
+    if pattern == key:
+        return True
+    if pattern is None or key is None or not pattern.endswith(" " + VARY):
+        return False
+    tag, *names = pattern.split(" ")
+    its_tag, *its = key.split(" ")
+    if tag != its_tag or not its or _named(key):
+        return False
+    return {n for n in names if n not in (VARY, MAIN)} <= set(its) and _likely(key) == _likely(pattern)
+
+
+def _same(a: str | None, b: str | None) -> bool:
+    return a == b or _fits(a, b) or _fits(b, a)
+
+
+@lru_cache(maxsize=100_000)
+def _pattern(a: str | None, b: str | None) -> str | None:
+    """The key of both, or None for elements that don't go together: of
+    different tags, without names, or where the names tell them apart."""
+    if a is None or b is None:
+        return None
+    (tag, *names), (tag_b, *names_b) = a.split(" "), b.split(" ")
+    if tag != tag_b or not names or not names_b or _named(a) or _named(b) or _likely(a) != _likely(b):
+        return None
+    joint = " ".join([tag, *[n for n in dict.fromkeys(names) if n in names_b and n not in (VARY, MAIN)]])
+    if _likely(joint) != _likely(a):
+        joint += " " + MAIN
+    return f"{joint} {VARY}"
 
 
 def parse(page: str) -> list:
@@ -173,7 +221,8 @@ def _one(a: list, b: list) -> list:
     seen = a[5] if a[5] == b[5] else sorted({*a[5], *b[5]})[:SEEN]
     if a[0] is None:
         return [None, _both(a[1], b[1]), [], a[3] if a[3] == b[3] else None, a[4] + b[4], seen]
-    return [a[0], _both(a[1], b[1]), align(a[2], b[2]), None, 0, seen]
+    key = a[0] if _fits(a[0], b[0]) else b[0] if _fits(b[0], a[0]) else _pattern(a[0], b[0])
+    return [key, _both(a[1], b[1]), align(a[2], b[2]), None, 0, seen]
 
 
 def _fold(nodes: list) -> list:
@@ -203,34 +252,110 @@ def generalize(nodes: list, digest: int | None = None) -> list:
     for key, mark, children, text, chars, _ in nodes:
         if key is None:
             if chars:
-                out.append([None, mark, [], " ".join(text.split()), chars, [digest]])
+                out.append([None, mark, [], _short(" ".join(text.split()), MAX_TEXT), chars, [digest]])
         else:
             out.append([key, mark, generalize(children, digest), None, 0, [digest]])
-    return _fold(out)
+    return _few(_fold(out))
+
+
+def _chars(nodes: list) -> int:
+    return sum(n[4] if n[0] is None else 0 if _never(n[0]) else _chars(n[2]) for n in nodes)
+
+
+def _any_text(nodes: list) -> list:
+    """Nodes as one slot of their main text."""
+    return [None, ANY, [], None, _chars(nodes), sorted({d for n in nodes for d in n[5]})[:SEEN]]
+
+
+def _few(nodes: list) -> list:
+    """At most MAX_CHILDREN nodes: of more, those of a key become one that may
+    come at any place, and keys that few pages have become a slot."""
+    if len(nodes) <= MAX_CHILDREN:
+        return nodes
+    by_key: dict[str | None, list] = {}
+    for node in nodes:
+        if node[0] in by_key:
+            node = _one(by_key[node[0]], node)
+        by_key[node[0]] = [node[0], ANY if node[0] is not None else node[1], *node[2:]]
+    out = sorted(by_key.values(), key=lambda n: -len(n[5]))
+    half = MAX_CHILDREN // 2
+    return out if len(out) <= half else [*out[:half], _any_text(out[half:])]
+
+
+def trim(wrapper: list) -> list:
+    """At most MAX_NODES elements, those that more pages have and, of these,
+    the outer ones; others become slots of their text."""
+    ranks: list[tuple[int, int]] = []
+
+    def count(nodes: list, depth: int) -> None:
+        for node in nodes:
+            if node[0] is not None:
+                ranks.append((-len(node[5]), depth))
+                count(node[2], depth + 1)
+
+    count(wrapper, 0)
+    if len(ranks) <= MAX_NODES:
+        return wrapper
+    last, left = sorted(ranks)[MAX_NODES // 2], MAX_NODES // 2
+
+    def cut(nodes: list, depth: int) -> list:
+        nonlocal left
+        out = []
+        for node in nodes:
+            if node[0] is None:
+                out.append(node)
+            elif (-len(node[5]), depth) <= last and left > 0:
+                left -= 1
+                out.append([*node[:2], cut(node[2], depth + 1), *node[3:]])
+            else:
+                out.append(_any_text([node]) if _chars([node]) else [node[0], node[1], [], None, 0, node[5]])
+        return _few(_fold([n for n in out if n[0] is not None or n[4]]))
+
+    return cut(wrapper, 0)
 
 
 def align(a: list, b: list) -> list:
     """The wrapper of what either wrapper matches: the longest common
-    subsequence of keys stays, what is between becomes optional."""
+    subsequence of keys stays; of what is between, elements whose names vary
+    with the page go together, the rest becomes optional."""
     if [x[0] for x in a] == [y[0] for y in b]:
         return [_one(x, y) for x, y in zip(a, b)]
     n, m = len(a), len(b)
+    vary = any(x[0] is not None and x[0].endswith(" " + VARY) for x in (*a, *b))
+    equal = [[_same(x[0], y[0]) if vary else x[0] == y[0] for y in b] for x in a]
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
         for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(best[i + 1][j], best[i][j + 1])
-    out, i, j = [], 0, 0
+            best[i][j] = best[i + 1][j + 1] + 1 if equal[i][j] else max(best[i + 1][j], best[i][j + 1])
+    out: list = []
+    gap: list[tuple[list, bool]] = []  # nodes of neither or one side, in order
+
+    def close_gap() -> None:
+        for at, (x, of_a) in enumerate(gap):
+            if x is None:
+                continue
+            other = next((k for k in range(at + 1, len(gap)) if gap[k][0] and gap[k][1] != of_a and _pattern(x[0], gap[k][0][0])), None)
+            if other is None:
+                out.append(_maybe(x))
+            else:
+                out.append(_one(x, gap[other][0]))
+                gap[other] = (None, of_a)
+        gap.clear()
+
+    i = j = 0
     while i < n or j < m:
-        if i < n and j < m and a[i][0] == b[j][0]:
+        if i < n and j < m and equal[i][j]:
+            close_gap()
             out.append(_one(a[i], b[j]))
             i, j = i + 1, j + 1
         elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
-            out.append(_maybe(a[i]))
+            gap.append((a[i], True))
             i += 1
         else:
-            out.append(_maybe(b[j]))
+            gap.append((b[j], False))
             j += 1
-    return _fold(out)
+    close_gap()
+    return _few(_fold(out))
 
 
 def expression(wrapper: list) -> str:
@@ -265,6 +390,8 @@ def _likely(key: str) -> int:
     tag, _, names = key.partition(" ")
     if tag in ("article", "main"):
         return 2
+    if names.endswith(f"{MAIN} {VARY}") or names.endswith(MAIN):
+        return 1
     return 1 if tag in _CONTAINERS and tag not in ("body", "html") and names and _MAIN_NAMES.search(names) else 0
 
 
@@ -408,7 +535,7 @@ def _collect(nodes: list, out: list[str], constant: dict[str, list[set]], own: f
 
 def _in_region(nodes: list, path: tuple[str, ...], out: list[str], constant: dict[str, list[set]], own: frozenset[str]) -> None:
     for node in nodes:
-        if node[0] is None or node[0] != path[0]:
+        if node[0] is None or not _fits(path[0], node[0]):
             continue
         if len(path) == 1:
             _collect([node], out, constant, own)
@@ -457,7 +584,7 @@ def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             w = generalize(parse(page or ""), zlib.crc32((page or "").encode("utf-8", "replace")))
-            held[host] = align(held[host], w) if w and held.get(host) else w or held.get(host, [])
+            held[host] = trim(align(held[host], w) if w and held.get(host) else w or held.get(host, []))
         if len(held) > HOSTS_AT_ONCE:
             yield give()
             held = {}
@@ -470,7 +597,7 @@ def _align_group(pdf: pd.DataFrame) -> pd.DataFrame:
     out = json.loads(texts[0])
     for t in texts[1:]:
         w = json.loads(t)
-        out = align(out, w) if out and w else out or w
+        out = trim(align(out, w)) if out and w else out or w
     first = pdf.iloc[:1].copy()
     first["wrapper"] = json.dumps(out, ensure_ascii=False)
     return first

@@ -1,6 +1,7 @@
 import hashlib
 import html
 import json
+import random
 import re
 
 from snapdeck.llm import html_wrappers as H
@@ -79,6 +80,26 @@ def test_names_drop_no_parts_of_the_article():
     assert H.read(pages[1], read_by[0], own=read_by[2]) == "a b c d e f g h"
 
 
+def test_wrappers_are_bounded():
+    r, say = random.Random(3), lambda i: " ".join(f"w{(7 * i + k) % 97}{'abcdefgh'[(i * k) % 8]}" for k in range(20))
+    slug = lambda i: "".join(r.choices("bcdfghjklm", k=12))
+    page = "<body class='page {0}'><div class='wrap {0}' id='x-{0}'><h1>T {1}</h1><div class='{0}'><p>{1}<p>{1} b</div></div><div class='post-{0}'>z</div></body>"
+    host = [page.format(slug(i), say(i)) for i in range(300)]
+    small = len(json.dumps(wrapper(*host[:20])))
+    w = wrapper(*host)
+    assert len(json.dumps(w)) < 2 * small
+    for i in (0, 7, 299):
+        assert H.read(host[i], *H._plan(json.dumps(H.plan(w)))) == f"T {say(i)} {say(i)} {say(i)} b"
+    tags = "p h2 h3 ul ol pre table section blockquote dl".split()
+    mixed = ["".join(f"<{t} class='{slug(i)}'>{t} {i}</{t}>" for t in r.choices(tags, k=400)) for i in range(20)]
+    w = []
+    for m in mixed:
+        w = H.trim(H.align(w, H.generalize(H.parse(f"<div class='story'>{m}</div>"))) if w else H.generalize(H.parse(f"<div class='story'>{m}</div>")))
+    assert len(json.dumps(w)) < 60_000
+    whole = " ".join(re.sub("<[^>]*>", " ", mixed[3]).split())
+    assert H.read(f"<div class='story'>{mixed[3]}</div>", *H._plan(json.dumps(H.plan(w)))) == whole
+
+
 def test_articles_word_for_word(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     for r in H.extract(df).join(df.select("page_id", "html"), "page_id").collect():
