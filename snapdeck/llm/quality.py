@@ -3,9 +3,11 @@
 Two histograms of a document are held against references of its possible
 languages: shares of character classes, and shares of common words (with one
 bin for other words and one for signs that stand as words). The distance is
-the square root of the Jensen-Shannon divergence to base 2, from 0 to 1; the
-nearest language counts. A document is rejected if either distance is over its
-limit, or if the base rules fail. Documents with few words are left to the
+the square root of the Jensen-Shannon divergence to base 2, from 0 to 1. A
+document of a language with a word list is held against the nearest of these
+languages; one of another language against these and its own language's
+reference. It is rejected if either distance is over its limit, or if the base
+rules fail. Documents with few words are left to the
 base rules: their histograms say little.
 
 References are averages over all documents of a language that are long
@@ -13,8 +15,10 @@ enough, each document with the same weight.
 
 Defined results: a null text counts as empty; it has no words, so the base
 rules reject it. Repeated rows each get an output row, or stay. An empty table
-has no references and no rows. A language without a long enough document has
-no reference; with no reference at all only the base rules decide. Working
+has no references and no rows. A language with a word list has a reference if
+it has a long enough document, another one if it has ``reference_docs`` of
+them; of a language without a reference, or unknown (null), only the base rules
+decide. Working
 columns begin with ``__q_``; other columns may have any names.
 """
 
@@ -56,6 +60,7 @@ class Limits:
     guard_words: int = 50  # histograms of fewer words aren't compared
     char_distance: float = 0.30
     word_distance: float = 0.42
+    reference_docs: int = 20  # least long enough documents of a language without a word list
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -160,12 +165,16 @@ def with_shares(counted: DataFrame) -> DataFrame:
     )
 
 
-def references(counted: DataFrame, lang_col: str, limits: Limits) -> list[tuple[list[float], list[float]]]:
-    """(character shares, word shares) of each language that has long enough
-    documents: as many rows as there are languages in ``COMMON_WORDS`` at most."""
-    shares = with_shares(counted.filter(F.col("__q_n_words") >= limits.guard_words)).filter(
-        F.col(lang_col).isin(*COMMON_WORDS)
-    )
+#: (character shares, word shares) by language.
+References = dict[str, tuple[list[float], list[float]]]
+#: References of languages without a word list are broadcast up to so many.
+BROADCAST_LANGUAGES = 100_000
+
+
+def references(counted: DataFrame, lang_col: str, limits: Limits) -> References:
+    """The references of all languages with enough documents that are long
+    enough: one row a language."""
+    shares = with_shares(counted.filter(F.col("__q_n_words") >= limits.guard_words)).filter(F.col(lang_col).isNotNull())
     sums = lambda col, n: [
         F.sum(F.round(F.get(F.col(col), F.lit(i)) * SCALE).cast("long")).alias(f"{col}_{i}") for i in range(n)
     ]
@@ -173,49 +182,71 @@ def references(counted: DataFrame, lang_col: str, limits: Limits) -> list[tuple[
     rows = (
         shares.groupBy(lang_col)
         .agg(F.count("*").alias("n"), *sums("__q_char_shares", n_chars), *sums("__q_word_shares", n_words))
+        .filter(F.col(lang_col).isin(*COMMON_WORDS) | (F.col("n") >= limits.reference_docs))
         .orderBy(lang_col)
         .collect()
     )
-    return [
-        (
+    return {
+        r[lang_col]: (
             [r[f"__q_char_shares_{i}"] / (r["n"] * SCALE) for i in range(n_chars)],
             [r[f"__q_word_shares_{i}"] / (r["n"] * SCALE) for i in range(n_words)],
         )
         for r in rows
-    ]
+    }
 
 
-def _distance(shares: Column, reference: list[float]) -> Column:
+def _distance(shares: Column, reference: Column) -> Column:
     half = lambda x, y: F.when(x > 0, x * F.log2(2 * x / (x + y))).otherwise(F.lit(0.0))
-    terms = F.zip_with(shares, F.array(*map(F.lit, reference)), lambda p, q: (half(p, q) + half(q, p)) / 2)
+    terms = F.zip_with(shares, reference, lambda p, q: (half(p, q) + half(q, p)) / 2)
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)))
 
 
-def with_verdict(counted: DataFrame, refs: list[tuple[list[float], list[float]]], limits: Limits) -> DataFrame:
+def with_verdict(counted: DataFrame, refs: References, lang_col: str, limits: Limits) -> DataFrame:
     """``__q_base_failed``, the two distances and ``__q_kept`` beside the counts."""
-    near = lambda col, k: F.array_min(F.array(*[_distance(F.col(col), r[k]) for r in refs]))
+    listed = [r for lang, r in refs.items() if lang in COMMON_WORDS]
+    others = [(lang, *r) for lang, r in refs.items() if lang not in COMMON_WORDS]
     none = F.lit(None).cast("double")
-    n = F.col("__q_n_words")
+    n, kinds = F.col("__q_n_words"), (("char", limits.char_distance), ("word", limits.word_distance))
+    shared, own = with_shares(counted), F.lit(False)
+    if others:
+        side = counted.sparkSession.createDataFrame(
+            others, "__q_ref_lang string, __q_char_ref array<double>, __q_word_ref array<double>"
+        )
+        side = F.broadcast(side) if len(others) <= BROADCAST_LANGUAGES else side
+        shared = shared.join(side, F.col(lang_col) == F.col("__q_ref_lang"), "left")
+        own = F.col("__q_ref_lang").isNotNull()
+    compared = F.coalesce(F.col(lang_col).isin(*COMMON_WORDS), F.lit(False)) | own
+
+    def near(k: int, kind: str) -> Column:
+        found = F.array_min(F.array(*[_distance(F.col(f"__q_{kind}_shares"), F.array(*map(F.lit, r[k]))) for r in listed]))
+        return F.when(compared, found) if listed else none
+
+    distances = {f"__q_{kind}_listed": near(k, kind) for k, (kind, _) in enumerate(kinds)}
+    if others:
+        distances |= {
+            f"__q_{kind}_own": F.when(own, _distance(F.col(f"__q_{kind}_shares"), F.col(f"__q_{kind}_ref"))) for kind, _ in kinds
+        }
+
+    def within(which: str) -> Column:
+        ok = [F.coalesce(F.col(f"__q_{kind}_{which}") <= limit, F.lit(False)) for kind, limit in kinds]
+        return ok[0] & ok[1]
+
+    least = lambda kind: F.least(f"__q_{kind}_listed", f"__q_{kind}_own") if others else F.col(f"__q_{kind}_listed")
+    unknown = F.col("__q_char_distance").isNull()
     return (
-        with_shares(counted)
+        shared.withColumns(distances)
         .withColumns(
             {
                 "__q_base_failed": (n < limits.min_words)
                 | (100 * F.col("__q_n_repeat_words") > limits.repeat_percent * n),
-                "__q_char_distance": near("__q_char_shares", 0) if refs else none,
-                "__q_word_distance": near("__q_word_shares", 1) if refs else none,
+                "__q_char_distance": least("char"),
+                "__q_word_distance": least("word"),
             }
         )
         .withColumn(
             "__q_kept",
             ~F.col("__q_base_failed")
-            & (
-                (n < limits.guard_words)
-                | (
-                    (F.coalesce("__q_char_distance", F.lit(0.0)) <= limits.char_distance)
-                    & (F.coalesce("__q_word_distance", F.lit(0.0)) <= limits.word_distance)
-                )
-            ),
+            & ((n < limits.guard_words) | unknown | within("listed") | (within("own") if others else F.lit(False))),
         )
     )
 
@@ -243,7 +274,7 @@ def score(
     counted = (stage or to_shared_folder)(
         with_counts(narrow, "__q_text").select("__q_id", "__q_lang", *[f"__q_{c}" for c in _FEATURES]), "quality-counts"
     )
-    judged = with_verdict(counted, references(counted, "__q_lang", limits), limits)
+    judged = with_verdict(counted, references(counted, "__q_lang", limits), "__q_lang", limits)
     return judged.select(
         F.col("__q_id").alias(id_col),
         *[F.col(f"__q_{c}").alias(c) for c in (*_OUT, "char_distance", "word_distance")],
@@ -257,7 +288,7 @@ def keep(
     come from the same rows, in a pass of their own."""
     refs = references(with_counts(df, text_col), lang_col, limits)
     # the row number keeps the filter above the counts, which are thus computed once
-    judged = with_verdict(with_counts(df, text_col), refs, limits).withColumn(
+    judged = with_verdict(with_counts(df, text_col), refs, lang_col, limits).withColumn(
         "__q_row", F.monotonically_increasing_id()
     )
     return judged.filter("__q_kept AND __q_row >= 0").select(*[F.col(f"`{c}`") for c in df.columns])

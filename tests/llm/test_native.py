@@ -96,6 +96,20 @@ def test_quality_keeps_clean_and_drops_junk(spark, documents):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in got if r.kept)
 
 
+def test_quality_of_other_languages(spark, documents):
+    r = random.Random(4)
+    say = lambda abc, n: " ".join("".join(r.choices(abc, k=r.randint(2, 9))) for _ in range(n))
+    cyrillic, greek = "абвгдежзиклмнопрст", "αβγδεζηθικλμνξοπρστ"
+    rows = [(i, say(cyrillic, 80), "ru") for i in range(30)] + [(100 + i, say(greek, 80), "el") for i in range(3)]
+    rows += [(200, say(cyrillic, 80), None), (300, say("#$%|<>09", 80), "ru"), (301, say("#$%|<>09", 80), "en"), (302, say(cyrillic, 80), "en")]
+    df = documents.select("doc_id", "text", "lang").union(spark.createDataFrame([(10**9 + i, t, lang) for i, t, lang in rows], "doc_id long, text string, lang string"))
+    wrong = {10**9 + i for i in (300, 301, 302)}
+    new = {10**9 + i for i, _, _ in rows}
+    assert {x.doc_id for x in quality.score(df).collect() if x.kept} & new == new - wrong
+    kept = quality.keep(df)
+    assert kept.columns == df.columns and {x.doc_id for x in kept.collect()} & new == new - wrong
+
+
 def brute_chats(rows, block=256):
     chats = defaultdict(list)
     for c, t, role, text in rows:
