@@ -9,8 +9,10 @@ to a proper prefix of a longer one is removed by an anti-join on (length,
 hash). What stays is maximal, and is rendered.
 
 A conversation may be of any length: turns are worked on in blocks of turn
-numbers, and only block totals meet by conversation. A rendered conversation
-has one part for each block of turns, in order; parts joined are the whole.
+numbers, and a block that has more turns than numbers (null or repeated ones)
+in blocks by position, ranked without bringing a conversation into one task.
+Only block totals meet by conversation. A rendered conversation has one part
+for each block of turns, in order; parts joined are the whole.
 
 Defined results: null role and null text differ from empty ones in the
 comparison; rendered, a null role is "unknown", a null text is empty. Turns
@@ -26,8 +28,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from snapdeck.llm._common import fits_broadcast, stage
+from snapdeck.operators.ranking import row_number_within
 
-#: Turn numbers of one block, hence most turns of a rendered part (numbers being distinct).
+#: Turn numbers of one block, and most turns of a block and of a rendered part.
 BLOCK_TURNS = 256
 BROADCAST_BYTES = 64 << 20
 
@@ -53,6 +56,18 @@ def _turns(df: DataFrame, id_col: str, turn_col: str, role_col: str, text_col: s
 _ORDER = ("turn", "h1", "h2")
 
 
+def _in_blocks(turns: DataFrame, block: int) -> DataFrame:
+    """``block`` as (block of numbers, block of positions in it), and ``nth``,
+    the position in that. Equal turns are told apart by a row number, so that
+    many of them don't meet in one task either."""
+    rows = turns.withColumn("row", F.monotonically_increasing_id())
+    ranked = row_number_within(rows, ["key", "block"], [F.col(c) for c in (*_ORDER, "row")], name="rank").drop("row")
+    at = F.col("rank") - 1
+    return ranked.withColumns(
+        {"block": F.struct("block", F.floor(at / block).cast("long").alias("sub")), "nth": F.pmod(at, F.lit(block)) + 1}
+    ).drop("rank")
+
+
 def maximal(
     df: DataFrame,
     id_col: str = "conv_id",
@@ -62,13 +77,12 @@ def maximal(
     block: int = BLOCK_TURNS,
 ) -> DataFrame:
     """(key, conv_id, n_turns, n_copies) of each conversation that is kept."""
-    turns = _turns(df, id_col, turn_col, role_col, text_col, block).select("key", "conv_id", "block", *_ORDER)
+    turns = _in_blocks(_turns(df, id_col, turn_col, role_col, text_col, block).select("key", "conv_id", "block", *_ORDER), block)
     before = W.partitionBy("key").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     offsets = turns.groupBy("key", "block").agg(F.count("*").alias("n")).select(
         "key", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")
     )
-    in_block = W.partitionBy("key", "block").orderBy(*_ORDER)
-    placed = turns.join(offsets, ["key", "block"]).withColumn("pos", F.col("offset") + F.row_number().over(in_block))
+    placed = turns.join(offsets, ["key", "block"]).withColumn("pos", F.col("offset") + F.col("nth"))
     so_far = W.partitionBy("key", "block").orderBy("pos").rowsBetween(W.unboundedPreceding, W.currentRow)
     rolled = stage(
         placed.select(
@@ -139,23 +153,21 @@ def collapse_and_render(
     kept = stage(maximal(df, id_col, turn_col, role_col, text_col, block), "chat-kept")
     side = F.broadcast(kept) if fits_broadcast(kept, BROADCAST_BYTES) else kept
     turns = _turns(df, id_col, turn_col, role_col, text_col, block).drop("conv_id")
-    parts = (
-        turns.join(side, "key")
-        .groupBy("key", "block")
-        .agg(
-            F.first("conv_id").alias("conv_id"),
-            F.first("n_turns").alias("n_turns"),
-            F.first("n_copies").alias("n_copies"),
-            F.sort_array(
-                F.collect_list(F.struct(*_ORDER, rendered_turn(F.col("role"), F.col("text")).alias("shown")))
-            ).alias("turns"),
-        )
+    shown = turns.join(side, "key").select(
+        "key", "block", *_ORDER, "conv_id", "n_turns", "n_copies", rendered_turn(F.col("role"), F.col("text")).alias("shown")
     )
+    placed = _in_blocks(shown, block)
     order = W.partitionBy("key").orderBy("block")
-    return parts.select(
+    parts = (
+        placed.groupBy("key", "block")
+        .agg(*[F.first(c).alias(c) for c in ("conv_id", "n_turns", "n_copies")])
+        .withColumn("part", (F.row_number().over(order) - 1).cast("long"))
+    )
+    texts = placed.groupBy("key", "block").agg(F.sort_array(F.collect_list(F.struct("nth", "shown"))).alias("turns"))
+    return texts.join(parts, ["key", "block"]).select(
         F.col("conv_id").alias(id_col),
         "n_turns",
         "n_copies",
-        (F.row_number().over(order) - 1).cast("long").alias("part"),
+        "part",
         F.array_join(F.transform("turns", lambda t: t["shown"]), "").alias("text"),
     )

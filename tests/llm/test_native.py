@@ -144,6 +144,22 @@ def test_chats(spark):
     assert sorted(map(tuple, small.collect()), key=key) == sorted(brute_chats(rows, 4), key=key)
 
 
+def test_chats_with_null_and_repeated_numbers(spark):
+    rows = [(None, i % 8, "user", f"t{i}") for i in range(3000)] + [(1, None, "user", "same")] * 600 + [(2, None, "user", "same")] * 300
+    rows += [(3, 5, "bot", f"m{i % 4}") for i in range(700)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = sorted(chat_collapse.collapse_and_render(df).collect(), key=lambda r: (r.conv_id or 0, r.part))
+    assert {(r.conv_id, r.n_turns) for r in got} == {(None, 3000), (1, 600), (3, 700)}
+    assert all(r.text.count("<|im_start|>") <= 256 for r in got)
+    for c in (None, 1, 3):
+        parts = [r for r in got if r.conv_id == c]
+        assert [r.part for r in parts] == list(range(len(parts)))
+        shown = "".join(r.text for r in parts).split("<|im_end|>\n")[:-1]
+        assert Counter(shown) == Counter(f"<|im_start|>{r}\n{x}" for i, _, r, x in rows if i == c)
+    null = [int(n) % 8 for r in got if r.conv_id is None for n in re.findall(r"\nt(\d+)", r.text)]
+    assert null == sorted(null)
+
+
 def test_chat_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
     want = brute_chats([(r.conv_id, r.turn, r.role, r.text) for r in df.collect()])
