@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from snapdeck.operators.joins import row_bytes
 from snapdeck.session import scratch_path
 
 #: Rows that a Python worker turns into output at once. Documents can be long,
@@ -53,6 +54,26 @@ def fits_broadcast(df: DataFrame, max_bytes: int) -> bool:
     return (total or 0) <= max_bytes
 
 
+#: Bytes of a row in a broadcast relation besides its values.
+ROW_OVERHEAD = 80
+
+
+def join_measured(
+    big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", max_bytes: int = 64 << 20
+) -> DataFrame:
+    """``big`` joined to the staged ``small``, which is broadcast if its rows
+    (values and overhead) were measured to fit; else both are shuffled, and
+    AQE splits hot keys. Null keys meet each other."""
+    measure = F.sum(row_bytes(small.schema) + ROW_OVERHEAD).alias("b")
+    fits = (small.agg(measure).first()["b"] or 0) <= max_bytes
+    side = small.withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    on = None
+    for k in keys:
+        same = big[k].eqNullSafe(side[f"__k_{k}"])
+        on = same if on is None else on & same
+    return big.join(F.broadcast(side) if fits else side, on, how).drop(*[f"__k_{k}" for k in keys])
+
+
 def importable(df: DataFrame) -> DataFrame:
     """``df``, after telling the session's Python workers where this package
     lies: a driver that found it by ``sys.path`` alone has workers that don't.

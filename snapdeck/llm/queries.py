@@ -15,10 +15,13 @@ from snapdeck.llm import (
     html_wrappers,
     licenses,
     quality,
+    relative_lz,
     secret_scan,
     simhash,
+    spelling,
     token_counts,
     warc,
+    whitening,
 )
 from snapdeck.llm._common import table
 from snapdeck.llm.oracle import ORACLE
@@ -84,6 +87,23 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of 50 words that a smaller one has."""
+    parsed = relative_lz.deduplicate(table(spark, sf_dir, "documents"))
+    return parsed.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of all documents with its near words, form and root."""
+    vocabulary = spelling.count_words(table(spark, sf_dir, "documents"), alter=spelling.crc_deletion)
+    return spelling.group_variants(vocabulary)
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the four leading components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_collapse": op1_chat_collapse,
     "op2_byte_bpe": op2_byte_bpe,
@@ -95,6 +115,9 @@ QUERIES: dict[str, Query] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_simhash": op9_simhash,
     "op10_license_scan": op10_license_scan,
+    "op11_substring_dedup": op11_substring_dedup,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
