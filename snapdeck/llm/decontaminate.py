@@ -262,13 +262,14 @@ def find(
     )
 
 
-def drop_contaminated(
-    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters
-) -> DataFrame:
-    """The rows without any occurrence, with all their columns. Rows that
-    share an id with a contaminated row go with it; a contaminated row with a
-    null id takes the rows with a null id along."""
-    found = find(docs, items, id_col=id_col, text_col=text_col, **parameters)
-    bad = stage(found.filter("contaminated").select(F.col(id_col).alias("__bad")).distinct(), "winnowing-dropped")
+def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", **parameters) -> DataFrame:
+    """The rows without any occurrence, with all their columns. Texts decide,
+    not ids: a row goes exactly if its own text holds an occurrence."""
+    text = lambda c: F.coalesce(c, F.lit(""))
+    hashes = lambda c: F.struct(F.xxhash64(text(c)).alias("t1"), F.xxhash64(F.lit(1), text(c)).alias("t2"))
+    texts = docs.select(hashes(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
+    found = find(texts, items, id_col="key", text_col="text", **parameters)
+    bad = stage(found.filter("contaminated").select(F.col("key.t1").alias("__t1"), F.col("key.t2").alias("__t2")).distinct(), "winnowing-dropped")
     side = F.broadcast(bad) if fits_broadcast(bad, BROADCAST_BYTES) else bad
-    return docs.join(side, docs[id_col].eqNullSafe(side["__bad"]), "left_anti")
+    mine = hashes(docs[text_col])
+    return docs.join(side, (mine["t1"] == side["__t1"]) & (mine["t2"] == side["__t2"]), "left_anti")

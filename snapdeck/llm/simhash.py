@@ -18,8 +18,9 @@ fingerprints with at most ``max_bits`` differing bits joins them.
 
 Defined results: a null or empty text, or one of white space, has fingerprint
 zero and is linked like any other. Fewer words than a shingle: the whole
-sequence is the one shingle. Repeated rows each get an output row. A null id
-takes part; a component's id is its smallest id that isn't null. Columns other
+sequence is the one shingle. Repeated rows each get an output row (of
+``keep_representatives``: one). A null id takes part; a component's id is its
+smallest id that isn't null. Columns other
 than the id and text columns are not read.
 """
 
@@ -259,31 +260,63 @@ def components(links: DataFrame) -> DataFrame:
     return roots
 
 
+def _grouped(fps: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, root, component_id) for every fingerprint of ``fps(id, fp)``."""
+    nodes = stage(fps.groupBy("fp").agg(F.min("id").alias("least_id")), "simhash-nodes")
+    roots = components(near_links(nodes.select("fp"), max_bits))
+    linked = stage(_joined(nodes, roots, "fp"), "simhash-linked")  # of linked fingerprints only
+    least = stage(linked.groupBy("root").agg(F.min("least_id").alias("component_id")), "simhash-least")
+    moved = _joined(linked, least, "root").select("fp", "root", "component_id")
+    return nodes.join(moved, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "least_id").alias("component_id")
+    )
+
+
 def near_duplicates(
     df: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(id, fingerprint, component_id) for every row."""
-    fps = stage(fingerprints(df, shingle, id_col, text_col), "simhash-fingerprints")
-    nodes = stage(fps.groupBy("fp").agg(F.min(id_col).alias("least_id")), "simhash-nodes")
-    roots = components(near_links(nodes.select("fp"), max_bits))
-    linked = stage(_joined(nodes, roots, "fp"), "simhash-linked")  # of linked fingerprints only
-    least = stage(linked.groupBy("root").agg(F.min("least_id").alias("component_id")), "simhash-least")
-    moved = _joined(linked, least, "root").select("fp", "component_id")
-    of_node = nodes.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least_id").alias("component_id"))
+    fps = stage(fingerprints(df, shingle, id_col, text_col).withColumnRenamed(id_col, "id"), "simhash-fingerprints")
+    of_node = stage(_grouped(fps, max_bits).select("fp", "component_id"), "simhash-components")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return _joined(fps, stage(of_node, "simhash-components"), "fp").select(id_col, hexed, "component_id")
+    return _joined(fps, of_node, "fp").select(F.col("id").alias(id_col), hexed, "component_id")
 
 
 def keep_representatives(
     df: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row of each component: the one with its smallest id. Rows that
-    share an id are one document, of which one row stays."""
-    found = stage(near_duplicates(df, shingle, max_bits, id_col, text_col), "simhash-result")
-    win = found.filter(F.col(id_col).eqNullSafe(F.col("component_id")))
-    win = stage(win.groupBy(F.col(id_col).alias("__win")).agg((F.count("*") > 1).alias("__repeated")), "simhash-kept")
+    """One row of each component: the one with its smallest id, null ids last.
+
+    Rows are told apart by id and text, not by id: rows that share an id, or
+    have none, go only with those whose text is near. Of rows that have both
+    in common one stays, whichever their other columns are.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    content = df.select(
+        F.struct(
+            F.col(id_col).isNull().alias("without"),
+            F.col(id_col).alias("id"),
+            F.xxhash64(text).alias("t1"),
+            F.xxhash64(F.lit(1), text).alias("t2"),
+        ).alias("id"),
+        F.col(text_col).alias("text"),
+    )
+    fps = stage(fingerprints(content, shingle, "id", "text"), "simhash-fingerprints")
+    roots = stage(_grouped(fps, max_bits).select("fp", "root"), "simhash-components")
+    rows = _joined(fps, roots, "fp").groupBy("root", "id").agg(F.count("*").alias("n"))
+    win = rows.groupBy("root").agg(F.min(F.struct("id", "n")).alias("w")).select("w.id.id", "w.id.t1", "w.id.t2", "w.n")
+    names = {"id": "__w_id", "t1": "__w_t1", "t2": "__w_t2"}
+    win = stage(win.withColumnsRenamed(names | {"n": "__w_n"}), "simhash-kept")
     side = F.broadcast(win) if fits_broadcast(win, BROADCAST_BYTES) else win
-    kept = df.join(side, df[id_col].eqNullSafe(side["__win"]))
-    once = kept.filter(~F.col("__repeated")).select(*[df[c] for c in df.columns])
-    again = kept.filter("__repeated").select(*[df[c] for c in df.columns]).dropDuplicates([id_col])
-    return once.unionByName(again)
+    here = F.coalesce(df[text_col], F.lit(""))
+    met = df.join(
+        side,
+        df[id_col].eqNullSafe(side["__w_id"])
+        & (F.xxhash64(here) == side["__w_t1"])
+        & (F.xxhash64(F.lit(1), here) == side["__w_t2"]),
+    )
+    own = [df[c] for c in df.columns]
+    once = met.filter(F.col("__w_n") == 1).select(*own)
+    if win.filter("__w_n > 1").isEmpty():
+        return once
+    return once.unionByName(met.filter(F.col("__w_n") > 1).dropDuplicates(list(names.values())).select(*own))

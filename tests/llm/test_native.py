@@ -56,8 +56,11 @@ def test_winnowing_small_alphabet(spark, odd, none):
     plain = [(x.doc_id, x.text) for x in odd.collect()]
     assert hits(odd, bench) == sorted(brute_hits(plain, items), key=key)
     kept = decontaminate.drop_contaminated(odd, bench)
-    bad = {x[0] for x in brute_hits(plain, items) if x[5]}
-    assert kept.columns == odd.columns and sorted(str(x.doc_id) for x in kept.collect()) == sorted(str(d) for d, _ in plain if d not in bad)
+    clean = [row for row, x in zip(plain, brute_hits(plain, items)) if not x[5]]
+    assert kept.columns == odd.columns and sorted(map(str, ((x.doc_id, x.text) for x in kept.collect()))) == sorted(map(str, clean))
+    mixed = [(None, "w1 w2 w3"), (None, "clean"), (None, None), (4, "w1 w2 w3 x"), (4, "fine")]
+    left = decontaminate.drop_contaminated(spark.createDataFrame(mixed, "doc_id long, text string"), bench).collect()
+    assert sorted(map(str, map(tuple, left))) == sorted(map(str, (mixed[1], mixed[2], mixed[4])))
     assert hits(none, bench) == [] and decontaminate.drop_contaminated(none, bench).count() == 0
     assert not any(x[5] for x in hits(df, bench.filter("false")))
 

@@ -70,6 +70,19 @@ def test_odd_rows(odd, none):
     kept = simhash.keep_representatives(odd)
     assert kept.columns == odd.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in brute_components(rows)})
+
+
+def test_unrelated_rows_without_or_with_the_same_id_stay(spark):
+    """Five unrelated texts under ids null, null, null, 7, 7; copies of two."""
+    say = lambda k: " ".join(f"w{k}x{i * i}" for i in range(80))
+    rows = [(None, say(1), "a"), (None, say(2), "b"), (None, say(3), "c"), (7, say(4), "d"), (7, say(5), "e")]
+    df = spark.createDataFrame([*rows, (None, say(1), "z"), (9, say(4), "z"), (3, say(5), "z")], "doc_id long, text string, x string")
+    kept = simhash.keep_representatives(df)
+    assert sorted(r.text for r in kept.collect()) == sorted(r[1] for r in rows)
+    assert {r.doc_id for r in kept.collect() if r.text == say(5)} == {3} and {r.doc_id for r in kept.collect() if r.text == say(1)} == {None}
+
+
+def test_empty_table(none):
     assert simhash.keep_representatives(none).count() == 0
 
 
