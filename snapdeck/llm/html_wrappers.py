@@ -15,9 +15,12 @@ Slots know how much text the pages had in them. The host's main region is the
 article or main element, the element of a telling name, or else the smallest
 container, that holds a large share of the slot text outside of elements that
 are never main text (menus, headers, footers, sidebars, notices, adverts,
-forms, comments): by their tag, or containers by a whole name that more than
-one page of the host has (of a host with one page, any). Every page is then read by its host's region: all of it but
-blocks that the wrapper has on every page with the same text. That needs three
+forms, comments): by their tag, containers by a part of their name that is
+sure (comments, ads), or by a whole name that more than one page of the host
+has (of a host with one page, any). Every page is then read by its host's region: all of it but
+blocks that the wrapper has on every page with the same text, at the region's
+start or end (never headings, lists, tables, quotations or code, and nothing
+between slots). That needs three
 different pages of the host; with two, text that is the same on both doesn't
 choose the region, but is read, and if slots have less than a tenth of the
 text, the two are copies and all text counts. A page without the host's region
@@ -54,10 +57,13 @@ BROADCAST_BYTES = 64 << 20
 #: Elements nested deeper have their content beside them.
 MAX_DEPTH = 200
 
+# A tag ends at the next angle bracket outside of quotes, and no part of the
+# pattern is tried again from inside: the work is linear in the page, whatever
+# it holds.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|template|noscript|textarea)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|template|noscript|textarea)\b[^<>]*+>.*?(?:</(?P=raw)\s*+>|\Z)"
     r"|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)|<|[^<]+",
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9-]*+)(?P<attrs>(?:\"[^\"]*+\"|'[^']*+'|[^<>\"']++)*+)(?:>|(?=<)|\Z)|<|[^<]+",
     re.S | re.I,
 )
 _ATTR = re.compile(r"(?i)(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
@@ -87,6 +93,15 @@ _NEVER_NAME = re.compile(
     r"copyright|legal|complementary|contentinfo)"
     r"(?:[-_](?:bar|box|list|links?|buttons?|posts|items?|wrap|wrapper|container|area|block|panel|inner|form|0))*"
 )
+#: Parts of a name that alone say so, wherever they stand in it ("ad-slot",
+#: "user-comments-section"); but not before the words of the second pattern.
+_NEVER_PART = re.compile(
+    r"(?i)(?:^|[-_#])(?:ads?|adverts?|advertisements?|advertising|sponsored|sponsors?|promos?|comments?|disqus|breadcrumbs?|"
+    r"side-?bar|nav-?bar|newsletter|cookies?|pagination|masthead|sharing)(?=$|[-_])"
+)
+_PART_OF_TEXT = re.compile(r"(?i)(?:^|[-_#])(?:ad[-_](?:hoc|lib)|(?:with|has|no|without)[-_]\w+)(?=$|[-_])")
+#: Blocks that belong to the article also where they are the same on every page.
+_TEXT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 pre code ul ol li dl dt dd table tr td th figure figcaption blockquote summary".split())
 #: What can be a main region.
 _CONTAINERS = frozenset("html body article main section div center table".split())
 _MAIN_NAMES = re.compile(r"(?i)(?:^|[\s_#.-])(?:article|articlebody|post|entry|content|main|story|text|body)(?=$|[\s_.-])")
@@ -376,7 +391,19 @@ def _named(key: str) -> bool:
     tag, *names = key.split(" ")
     if tag not in _NAMED_TAGS:
         return False
-    return any(_NEVER_NAME.fullmatch(n.lstrip("#")) for n in names if not (tag == "section" and n[0] == "#"))
+    return any(_NEVER_NAME.fullmatch(n.lstrip("#")) or _told_apart(n) for n in names if not (tag == "section" and n[0] == "#"))
+
+
+def _told_apart(name: str) -> bool:
+    """Whether a part of the name says that the block is no main text."""
+    return bool(_NEVER_PART.search(name)) and not _PART_OF_TEXT.search(name)
+
+
+@lru_cache(maxsize=100_000)
+def _surely(key: str) -> bool:
+    """Whether a name's part says so: then the block goes on every host."""
+    tag, *names = key.split(" ")
+    return _named(key) and any(_told_apart(n) for n in names if not (tag == "section" and n[0] == "#"))
 
 
 def _never(key: str, own: frozenset[str] = frozenset()) -> bool:
@@ -402,13 +429,13 @@ def _n_seen(wrapper: list) -> int:
 
 def own_blocks(wrapper: list) -> frozenset[str]:
     """Keys of named blocks that only one of the host's several pages has. With
-    a page alone its names decide."""
+    a page alone its names decide, and so do names that are sure."""
     seen: dict[str, set[int]] = {}
 
     def walk(nodes: list) -> None:
         for node in nodes:
             if node[0] is not None and node[0].split(" ", 1)[0] not in _NEVER_TAGS:
-                if _named(node[0]):
+                if _named(node[0]) and not _surely(node[0]):
                     seen.setdefault(node[0], set()).update(node[5])
                 walk(node[2])
 
@@ -445,7 +472,7 @@ def _amount(nodes: list, slots: bool, own: frozenset[str], optional: bool = Fals
 
 def region(wrapper: list) -> tuple[str, ...] | None:
     """The path of keys of the main region: the article or main element with
-    most text if it has a quarter of it, else the element of a telling name
+    most text if it has more than half of it, else the element of a telling name
     with most text if it has two thirds, else the smallest container that has
     nine tenths and every h1 (the outermost of equals with a name). Text that
     is the same on every page of the host doesn't count."""
@@ -470,8 +497,8 @@ def region(wrapper: list) -> tuple[str, ...] | None:
         return total, titles
 
     total, titles = walk(wrapper, (), False)
-    for level, share in ((2, 0.25), (1, 2 / 3)):
-        likely = [f for f in found if f[0] == level and f[1] >= share * total]
+    for level, share in ((2, 1 / 2), (1, 2 / 3)):
+        likely = [f for f in found if f[0] == level and f[1] > share * total]
         if likely:
             return max(likely, key=lambda f: (f[1], -len(f[3])))[3]
     whole = [f for f in found if f[1] >= 0.9 * total and f[2] == titles]
@@ -491,24 +518,36 @@ def _texts(nodes: list) -> set[str]:
 
 def constants(wrapper: list, path: tuple[str, ...] | None) -> list[list]:
     """[tag, texts] of the outermost blocks below ``path`` that are on every page
-    of the host with the same text, known of hosts with SEEN different pages or more."""
-    found: list[list] = []
-
-    def walk(nodes: list, optional: bool, rest: tuple[str, ...]) -> bool:
-        same = True
+    of the host with the same text, known of hosts with SEEN different pages or
+    more. Only blocks before the first slot or after the last one count, and
+    none that holds a heading, a list, a table, a quotation or code: between
+    slots, and in those, equal text is the article's."""
+    found: list[tuple[int, list]] = []  # with the number of slots before
+    slots = 0
+
+    def walk(nodes: list, optional: bool, rest: tuple[str, ...]) -> tuple[bool, bool]:
+        """Whether all is the same on every page, and whether it can go."""
+        nonlocal slots
+        same = loose = True
         for key, mark, children, text, *_ in nodes:
             if rest and key != rest[0] or key is not None and _never(key):
                 continue
             maybe, at = optional or mark in (OPTIONAL, ANY), len(found)
-            here = text is not None if key is None else walk(children, maybe, rest[1:])
-            if not rest and key is not None and here and not maybe and key.split(" ")[0] in _BLOCKS and (texts := _texts(children)):
-                found[at:] = [[key.split(" ")[0], sorted(texts)]]
-            same = same and here and mark in (ONCE, REPEATED)
-        return same
+            if key is None:
+                here, free = text is not None, True
+                slots += not here
+            else:
+                here, free = walk(children, maybe, rest[1:])
+                tag = key.split(" ")[0]
+                free = free and tag not in _TEXT_TAGS
+                if not rest and here and free and not maybe and tag in _BLOCKS and (texts := _texts(children)):
+                    found[at:] = [(slots, [tag, sorted(texts)])]
+            same, loose = same and here and mark in (ONCE, REPEATED), loose and free
+        return same, loose
 
     if path and _n_seen(wrapper) >= SEEN and _by_slots(wrapper):
         walk(wrapper, False, path)
-    return found
+    return [block for before, block in found if before in (0, slots)]
 
 
 def plan(wrapper: list) -> dict:

@@ -34,16 +34,42 @@ VERSION = "WARC/1.1"
 #: Date of responses that have none.
 NO_DATE = "1970-01-01T00:00:00Z"
 
-_HIDDEN = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b.*?(?:</\1\s*>|\Z)")
+_HIDE = re.compile(r"(?i)<!--|<(script|style|template|noscript)\b")
+_ENDS = {tag: re.compile(rf"(?i)</{tag}\s*+>") for tag in ("script", "style", "template", "noscript")}
 _BLOCK = re.compile(
     r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|head|header|"
     r"hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>"
 )
 _TAG = re.compile(r"<[!/?a-zA-Z][^>]*>")
-_TITLE = re.compile(r"(?is)<title\b[^>]*>(.*?)</title")
-_LANG = re.compile(r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z0-9-]+)")
-_CHARSET = re.compile(r"(?i)<meta\b[^>]*?\bcharset\s*=\s*[\"']?([A-Za-z0-9_-]+)")
-_HREF = re.compile(r"(?i)<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+_OPEN_TITLE = re.compile(r"(?i)<title\b[^>]*>")
+_CLOSE_TITLE = re.compile(r"(?i)</title")
+_OPEN_TAG = re.compile(r"(?i)<(a|html|meta)\b([^>]*)>")
+_LANG = re.compile(r"(?i)\blang\s*+=\s*+[\"']?([A-Za-z0-9-]+)")
+_CHARSET = re.compile(r"(?i)\bcharset\s*+=\s*+[\"']?([A-Za-z0-9_-]+)")
+_HREF = re.compile(r"(?i)\bhref\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+
+
+def _tagged(page: str) -> tuple[str, str]:
+    """The page up to its last closing bracket, and the rest. In the first part
+    each search for a tag's end finds one, so patterns of tags are linear."""
+    at = page.rfind(">") + 1
+    return page[:at], page[at:]
+
+
+def _visible(page: str) -> str:
+    """The page without comments, scripts and styles; one left open hides what
+    follows. An opening tag's end is looked for once."""
+    out, at = [], 0
+    while m := _HIDE.search(page, at):
+        out.append(page[at : m.start()])
+        if m[1] is None:
+            end = page.find("-->", m.end())
+            at = len(page) if end < 0 else end + 3
+        else:
+            end = _ENDS[m[1].lower()].search(page, m.end())
+            at = end.end() if end else len(page)
+        out.append(" ")
+    return "".join(out) + page[at:]
 
 
 def digest(data: bytes) -> str:
@@ -56,20 +82,32 @@ def record_id(kind: str, source: str) -> str:
 
 def plain_text(page: str) -> str:
     """What a reader sees, a line for each block."""
-    text = html.unescape(_TAG.sub("", _BLOCK.sub("\n", _HIDDEN.sub(" ", page))))
+    tagged, rest = _tagged(_visible(page))
+    text = html.unescape(_TAG.sub("", _BLOCK.sub("\n", tagged)) + rest)
     lines = (" ".join(line.split()) for line in text.split("\n"))
     return "\n".join(line for line in lines if line)
 
 
+def _title(page: str) -> str | None:
+    start = _OPEN_TITLE.search(_tagged(page)[0])
+    end = start and _CLOSE_TITLE.search(page, start.end())
+    return " ".join(html.unescape(page[start.end() : end.start()]).split()) if end else None
+
+
 def metadata_fields(page: str, http_headers: str) -> str:
-    fields = [("title", " ".join(html.unescape(m.group(1)).split())) for m in [_TITLE.search(page)] if m]
-    fields += [("language", m.group(1)) for m in [_LANG.search(page)] if m]
-    fields += [("charset", m.group(1)) for m in [_CHARSET.search(page)] if m]
+    title = _title(page)
+    fields = [] if title is None else [("title", title)]
+    tags = [(m[1].lower(), m[2]) for m in _OPEN_TAG.finditer(_tagged(page)[0])]
+    for name, tag, pattern in (("language", "html", _LANG), ("charset", "meta", _CHARSET)):
+        values = (m.group(1) for t, attrs in tags if t == tag and (m := pattern.search(attrs)))
+        fields += [(name, v) for v in [next(values, None)] if v]
     for line in http_headers.split("\r\n")[1:]:
         name, colon, value = line.partition(":")
         if colon:
             fields.append((f"http-{name.strip().lower()}", value.strip()))
-    seen = dict.fromkeys(html.unescape(a or b or c).strip() for a, b, c in _HREF.findall(_HIDDEN.sub(" ", page)))
+    links = (m[2] for m in _OPEN_TAG.finditer(_tagged(_visible(page))[0]) if m[1].lower() == "a")
+    targets = (m for attrs in links if (m := _HREF.search(attrs)))
+    seen = dict.fromkeys(html.unescape(m[1] or m[2] or m[3] or "").strip() for m in targets)
     fields += [("outlink", f"{re.sub(r'\s', '%20', x)} L a/@href") for x in seen if x]
     return "".join(f"{k}: {v}\r\n" for k, v in fields)
 

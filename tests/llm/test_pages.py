@@ -148,3 +148,83 @@ def test_plain_text():
     assert warc.plain_text("<p>a<script>x</script> b</p><p>c &amp; d") == "a b\nc & d"
     assert hashlib.sha1(b"").hexdigest()  # digest of the empty block is defined
     assert warc.digest(b"") == "sha1:3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"
+
+
+def hosts_of(page, counts=(1, 2, 3, 50)):
+    """Rows of hosts with so many pages each, and the fillings."""
+    say = lambda i, k: " ".join(f"w{(31 * i + 7 * j + k) % 211}" for j in range(12 + i % 5))
+    rows, words = [], {}
+    for n in counts:
+        for i in range(n):
+            words[len(rows)] = [say(i, k) for k in range(4)]
+            rows.append((len(rows), f"http://n{n}.example/{i}", page.format(*words[len(rows)])))
+    return rows, words
+
+
+def check_hosts(spark, page, want):
+    rows, words = hosts_of(page)
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, w in words.items():
+        assert got[i] == want.format(*w), rows[i][1]
+
+
+def test_recipes_keep_their_headings(spark):
+    check_hosts(
+        spark,
+        "<body><nav>home</nav><div class='recipe'><h1>{0}</h1><p>{1}</p><h2>Ingredients</h2><ul><li>salt</li><li>{2}</li></ul>"
+        "<h2>Method</h2><p>{3}</p><p>Serve.</p><p>{1} again</p></div><footer>imprint</footer></body>",
+        "{0} {1} Ingredients salt {2} Method {3} Serve. {1} again",
+    )
+
+
+def test_questions_keep_their_headings_and_code(spark):
+    check_hosts(
+        spark,
+        "<body><main><h1>Question</h1><p>{0}</p><pre>import this</pre><h3>Answer</h3><p>{1}</p><p>{2}</p></main><aside>more</aside></body>",
+        "Question {0} import this Answer {1} {2}",
+    )
+
+
+def test_a_small_article_is_not_the_page(spark):
+    check_hosts(
+        spark,
+        "<body><div class='c'><article class='lead'><p>{0}</p></article><p>{1}</p><p>{2} {3}</p></div><footer>f</footer></body>",
+        "{0} {1} {2} {3}",
+    )
+
+
+def test_comments_and_adverts_inside_an_article(spark):
+    check_hosts(
+        spark,
+        "<body><article><h1>{0}</h1><p>{1}</p><div class='ad-slot'>buy {2}</div><div class='ad-hoc-notes'>{3}</div><p>{2}</p>"
+        "<div class='user-comments-section'><p>c {3}</p></div><div id='sponsored_links'>s</div></article></body>",
+        "{0} {1} {3} {2}",
+    )
+
+
+def test_hostile_pages_are_read_in_linear_time():
+    import time
+
+    parts = ["<p ", "<a ", "<title>", "<script ", "<script>", "<!--", "<a href=", "<html lang", "<meta ", "</", "<p x=\"", "<p '", "<![CDATA[", "<li>", "&", "<a \"'"]
+    for part in parts:
+        for tail in ("", '"', "'", "x\">"):
+            text = part * (1_000_000 // len(part)) + tail
+            took = []
+            for fn in (lambda t: list(H._TOKEN.finditer(t)), warc.plain_text, lambda t: warc.metadata_fields(t, "")):
+                start = time.process_time()
+                fn(text)
+                took.append(time.process_time() - start)
+            assert max(took) < 5, (part, tail, took)
+
+
+def test_metadata_fields():
+    page = (
+        "<!-- <a href=no> --><HTML class=x LANG='de-AT'><head><META http-equiv=x><meta charset=\"utf-8\"><title a>One &amp;\n two</title><title>no</title>"
+        "<script><a href='s'></script><a class=y href='/b?x=1&amp;y=2'>b</a><a href=\"c d\">c</a><A HREF=e>e</a><a href='/b?x=1&amp;y=2'>again</a><a>none</a><a href=''>"
+    )
+    got = warc.metadata_fields(page, "HTTP/1.1 200 OK\r\nServer: x:y \r\nbroken")
+    assert got.split("\r\n") == [
+        "title: One & two", "language: de-AT", "charset: utf-8", "http-server: x:y",
+        "outlink: /b?x=1&y=2 L a/@href", "outlink: c%20d L a/@href", "outlink: e L a/@href", "",
+    ]
+    assert warc.metadata_fields("", "") == "" and warc.metadata_fields("<title>open", "") == ""
