@@ -4,8 +4,9 @@ Texts and notices are compared as lower-case words joined by one space. A
 notice that occurs with at most k edits contains one of its k + 1 parts
 unchanged (pigeonhole), so exact searches for the parts locate the candidates;
 the regex library's bounded-error matching then verifies a small stretch
-around each and counts its edits. Besides that, fixed phrases are found as
-they stand.
+around each and counts its edits. The words that tell licenses apart (a name,
+a version, nc or sa) must stand in the match as they are. Besides that, fixed
+phrases are found as they stand.
 
 Defined results: a null text counts as empty; a text without words has no
 places, null first and last words, empty labels and score 0. Repeated rows
@@ -40,20 +41,44 @@ class Notice:
     text: str  # lower-case words joined by one space
     label: str
     edits: int  # most insertions, deletions and substitutions
+    #: words that tell this license from others: they stand in the match as
+    #: they are, in this order; edits only fall on the words around them
+    exact: str
+    #: a match followed by one of these words is another license
+    not_before: str = ""
 
 
+_MORE_CC = "nc nd sa noncommercial noderivatives noderivs sharealike"
+
 #: Notices that are found with a few edits.
 NOTICES = (
-    Notice("released under the mit license", "mit", 3),
-    Notice("permission is hereby granted free of charge to any person obtaining a copy of this software", "mit", 6),
-    Notice("licensed under the apache license version 2", "apache-2", 4),
-    Notice("licensed under cc by nc 4 0", "cc-by-nc", 2),
-    Notice("licensed under cc by sa 4 0", "cc-by-sa", 2),
-    Notice("creative commons attribution noncommercial", "cc-by-nc", 4),
-    Notice("licensed under the gnu general public license version 3", "gpl-3", 4),
-    Notice("gnu lesser general public license", "lgpl", 3),
-    Notice("subject to the terms of the mozilla public license", "mpl", 4),
-    Notice("redistribution and use in source and binary forms with or without modification", "bsd", 6),
+    Notice("released under the mit license", "mit", 3, "mit"),
+    Notice("licensed under the mit license", "mit", 3, "mit"),
+    Notice("permission is hereby granted free of charge to any person obtaining a copy of this software", "mit", 6, "free of charge"),
+    Notice("permission to use copy modify and or distribute this software for any purpose with or without fee", "isc", 6, "with or without fee"),
+    Notice("released under the isc license", "isc", 3, "isc"),
+    Notice("licensed under the apache license version 2", "apache-2", 4, "2"),
+    Notice("licensed under the apache license version 1 1", "apache-1.1", 4, "1 1"),
+    Notice("licensed under cc by 4 0", "cc-by", 2, "cc by 4", _MORE_CC),
+    Notice("licensed under cc by sa 4 0", "cc-by-sa", 2, "cc by sa"),
+    Notice("licensed under cc by nd 4 0", "cc-by-nd", 2, "cc by nd"),
+    Notice("licensed under cc by nc 4 0", "cc-by-nc", 2, "cc by nc 4", _MORE_CC),
+    Notice("licensed under cc by nc sa 4 0", "cc-by-nc-sa", 2, "cc by nc sa"),
+    Notice("licensed under cc by nc nd 4 0", "cc-by-nc-nd", 2, "cc by nc nd"),
+    Notice("creative commons attribution noncommercial", "cc-by-nc", 4, "noncommercial", _MORE_CC),
+    Notice("creative commons attribution noncommercial sharealike", "cc-by-nc-sa", 4, "noncommercial sharealike"),
+    Notice("creative commons attribution noncommercial noderivatives", "cc-by-nc-nd", 4, "noncommercial noderivatives"),
+    Notice("creative commons attribution sharealike", "cc-by-sa", 4, "attribution sharealike"),
+    Notice("creative commons attribution noderivatives", "cc-by-nd", 4, "attribution noderivatives"),
+    Notice("licensed under the gnu general public license version 3", "gpl-3", 4, "gnu 3"),
+    Notice("licensed under the gnu general public license version 2", "gpl-2", 4, "gnu 2"),
+    Notice("gnu affero general public license", "agpl", 3, "affero"),
+    Notice("gnu lesser general public license", "lgpl", 3, "lesser"),
+    Notice("subject to the terms of the mozilla public license", "mpl", 4, "mozilla"),
+    Notice("redistribution and use in source and binary forms with or without modification", "bsd", 6, "source binary"),
+    Notice("distributed under the boost software license", "boost", 4, "boost"),
+    Notice("this is free and unencumbered software released into the public domain", "unlicense", 4, "unencumbered"),
+    Notice("the eclipse public license", "epl", 2, "eclipse"),
 )
 
 # [^0-9A-Za-z\x80-] parts words; one table lower-cases A-Z on the way
@@ -110,7 +135,7 @@ class Scanner:
                     stretches.append([a, b])
             for a, b in stretches:
                 for m in pattern.finditer(flat, max(0, a), min(len(flat), b)):
-                    if m.end() > m.start():
+                    if m.end() > m.start() and self._decided(notice, flat, m.start(), m.end()):
                         out.append((m.start(), m.end(), notice.label, 1 - sum(m.fuzzy_counts) / n))
         out.sort(key=lambda f: (-f[3], f[0] - f[1], f))
         kept: list[tuple[int, int, str, float]] = []
@@ -123,6 +148,19 @@ class Scanner:
                 kept.append(f)
         return kept
 
+    @staticmethod
+    def _decided(notice: Notice, flat: str, start: int, end: int) -> bool:
+        """Whether the words that tell licenses apart stand in the match (in
+        whole words, in order), and none follows that makes it another one."""
+        first = flat.rfind(" ", 0, start + 1) + 1
+        last = flat.find(" ", end)
+        last = len(flat) if last < 0 else last
+        here = iter(flat[first:last].split(" "))
+        if not all(word in here for word in notice.exact.split()):
+            return False
+        after = flat[last + 1 : last + 41].split(" ", 1)[0]
+        return after not in notice.not_before.split()
+
     def scan(self, text: str | None) -> tuple:
         words = words_of(text)
         flat = b" ".join(words).decode("utf-8")

@@ -5,7 +5,8 @@ strings that look random: over each candidate string a window slides, its
 character counts kept up to date by one character in and one out, and its
 Shannon entropy is held against the limit of the window's character class.
 Windows over the limit merge into spans of kind ``entropy``. An allow-list
-suppresses those that match it whole; a span that a rule's span covers is not
+suppresses candidates that match it whole, and takes stretches of known form
+(UUIDs, published digests) out of them; a span that a rule's span covers is not
 reported twice.
 
 Offsets are code points, the end exclusive.
@@ -55,23 +56,41 @@ class EntropyRule:
     hex_bits: float = 2.9
     base36_bits: float = 3.6
     base64_bits: float = 3.8
-    #: a candidate that one of these matches whole is no secret
+    #: a candidate, or a span, that one of these matches whole is no secret
     allow: tuple[str, ...] = (
-        r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # a UUID
         r"[A-Za-z]+([-_/.][A-Za-z]+)*",  # words
         r"[0-9]+([-_/.+][0-9]+)*",  # numbers, dates, telephone numbers
         r"(.)\1*",  # rules of one character
-        r"sha(1|256|512)[-=_].*",  # published digests
-        r".*EXAMPLE.*",  # documentation
+    )
+    #: stretches of a candidate that are no secrets; what stands beside them is
+    #: scanned on its own. Each is of a fixed length, so nothing hides behind it.
+    allow_parts: tuple[str, ...] = (
+        r"(?<![0-9a-fA-F])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9a-fA-F])",  # a UUID
+        # published digests, by their lengths in hexadecimal and base 64
+        r"sha1[-=_](?:[0-9a-f]{40}(?![0-9a-zA-Z])|[A-Za-z0-9+/]{27}=)",
+        r"sha256[-=_](?:[0-9a-f]{64}(?![0-9a-zA-Z])|[A-Za-z0-9+/]{43}=)",
+        r"sha512[-=_](?:[0-9a-f]{128}(?![0-9a-zA-Z])|[A-Za-z0-9+/]{86}==)",
+        r"AKIA[A-Z0-9]{9}EXAMPLE(?![A-Za-z0-9])",  # keys of documentation
+        r"[A-Za-z0-9/+]{30}EXAMPLEKEY(?![A-Za-z0-9/+])",
     )
     _allow: re.Pattern = field(init=False, repr=False, compare=False)
+    _parts: re.Pattern = field(init=False, repr=False, compare=False)
 
     def __post_init__(self):
-        object.__setattr__(self, "_allow", re.compile("|".join(f"(?:{x})" for x in self.allow) or r"(?!)"))
+        for name, patterns in (("_allow", self.allow), ("_parts", self.allow_parts)):
+            object.__setattr__(self, name, re.compile("|".join(f"(?:{x})" for x in patterns) or r"(?!)"))
 
     def allowed(self, text: str) -> bool:
         return self._allow.fullmatch(text) is not None
 
+    def pieces(self, text: str) -> list[tuple[int, str]]:
+        """(offset, piece): the candidate without its allowed stretches."""
+        out, at = [], 0
+        for m in self._parts.finditer(text):
+            out.append((at, text[at : m.start()]))
+            at = m.end()
+        return [(a, p) for a, p in (*out, (at, text[at:])) if len(p) >= self.window]
+
 
 _CANDIDATE = "[A-Za-z0-9+/_=.-]"
 _LOWER, _UPPER, _DIGIT, _OTHER, _NOT_HEX = range(5)
@@ -143,12 +162,13 @@ def entropy_spans(text: str, base: Iterable[Span], rule: EntropyRule) -> list[Sp
 
     out = []
     for m in re.finditer(rf"(?<!{_CANDIDATE}){_CANDIDATE}{{{rule.window},}}", text):
-        if rule.allowed(m.group()):
-            continue
-        for a, b in entropy_windows(m.group(), rule):
-            a, b = a + m.start(), b + m.start()
-            if not covered(a, b) and not rule.allowed(text[a:b]):
-                out.append(("entropy", a, b))
+        for at, piece in rule.pieces(m.group()):
+            if rule.allowed(piece):
+                continue
+            for a, b in entropy_windows(piece, rule):
+                a, b = a + at + m.start(), b + at + m.start()
+                if not covered(a, b) and not rule.allowed(text[a:b]):
+                    out.append(("entropy", a, b))
     return out
 
 

@@ -26,6 +26,7 @@ from functools import lru_cache, partial
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
 
 from snapdeck.llm._common import TwoAgeCache, map_rows
 
@@ -53,6 +54,23 @@ def byte_symbols() -> list[str]:
     return [out[b] for b in range(256)]
 
 
+def newer_letters(spec: dict) -> str:
+    """Characters that this pattern engine takes for letters or digits and the
+    library doesn't (its Unicode tables are older), as ranges of a character
+    class. Only those that Python's own tables don't know are asked about."""
+    every = "".join(map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)]))
+    asked = [c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn"]
+    plain = Tokenizer.from_str(json.dumps(spec)).pre_tokenizer
+    out: list[list[int]] = []
+    for c in asked:
+        alone = len(plain.pre_tokenize_str("!" + c)) == 1  # goes with signs, so it is neither
+        if alone and out and out[-1][1] == ord(c) - 1:
+            out[-1][1] += 1
+        elif alone:
+            out.append([ord(c), ord(c)])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
+
+
 class PrefixCounter:
     """Counts for one tokenizer file (lower-cased, word-end BPE)."""
 
@@ -80,6 +98,13 @@ class PrefixCounter:
             self.entry[s] = self.entry.get(s, 0) | kind
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(pattern)
+        # letters and digits that the library doesn't know as such yet
+        self.unknown = regex.compile(f"[{newer}]") if (newer := newer_letters(spec)) else None
+        if self.unknown:
+            known = pattern
+            for name in (r"\p{L}", r"\p{N}"):
+                known = known.replace(name, f"[{name}--[{newer}]]")
+            self.known_words = regex.compile(f"(?V1){known}")
         special = [t["content"] for t in spec.get("added_tokens", [])]
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.symbols = byte_symbols()
@@ -172,7 +197,13 @@ class PrefixCounter:
         return self._table(word, every=False)[-1]
 
     def _piece_count(self, piece: str) -> int:
-        return sum(map(self.word, self.words.findall(piece)))
+        return sum(map(self.word, self._splitter(piece).findall(piece)))
+
+    def _splitter(self, text: str) -> regex.Pattern:
+        """The pattern of pre-tokens, with the library's letters."""
+        if self.unknown and not text.isascii() and self.unknown.search(text):
+            return self.known_words
+        return self.words
 
     def word_counts(self, word: str) -> list[int]:
         """For each character prefix of a pre-token, its tokens; a contraction
@@ -228,7 +259,7 @@ class PrefixCounter:
         for special, part in self.segments(text or ""):
             norm = self.normalize(part)
             at, total = 0, base
-            for m in self.words.finditer(norm):
+            for m in self._splitter(norm).finditer(norm):
                 out += [total] * (m.start() - at)
                 counts = self.word_counts(m.group())
                 out += [total + c for c in counts]
@@ -253,7 +284,7 @@ class PrefixCounter:
                     return length + max(k for k, c in enumerate(counts[:-1]) if total + c <= budget)
                 total += 1
             else:
-                for m in self.words.finditer(norm):
+                for m in self._splitter(norm).finditer(norm):
                     n = self.word(m.group())
                     if total + n > budget:
                         fits = [k for k, c in enumerate([0, *self.word_counts(m.group())]) if total + c <= budget]

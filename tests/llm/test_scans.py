@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 
 from hypothesis import given, settings
@@ -104,3 +105,66 @@ def test_notices_need_a_seed_and_an_edit_bound():
     sc = licenses.Scanner()
     assert sc.scan("this is an essay about licensed drivers and apache helicopters")[5] == ""
     assert sc.scan("licensed under the gnu generl public licence version 3")[5] == "gpl-3"
+
+
+def test_deciding_words_are_exact():
+    sc = licenses.Scanner()
+    label = lambda t: sc.scan(t)[5]
+    assert label("Licensed under the GNU General Public License, version 2") == "gpl-2"
+    assert label("licensed under the Gnu General Public License version 3.") == "gpl-3"
+    assert label("licensed under the GNU General Public License, version 1") == ""
+    assert label("licensed under the Apache License, Version 1.1") == "apache-1.1"
+    assert label("released under the isc license") == "isc" and label("released under the mlt license") == ""
+    for form in ("by", "by-sa", "by-nd", "by-nc-sa", "by-nc-nd"):
+        found = set(label(f"licensed under CC {form.upper()} 4.0 by us").split(",")) - {"cc-by-nc"}  # the phrase's own
+        assert found == {f"cc-{form}"}
+    assert label("licensed under CC BY-NC 4.0") == "cc-by-nc"
+    assert label("Creative Commons Attribution-NonCommercial-ShareAlike") == "cc-by-nc-sa"
+    assert label("Creative Commons Attribution NonCommerical") == "" and label("creative common attribution noncommercial") == "cc-by-nc"
+    assert label("GNU Lesser General Public License") == "lgpl" and label("GNU Affero General Public License") == "agpl"
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, old = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_notices_against_all_stretches():
+    """Small texts: a label is found if and only if a stretch is near enough
+    and has the deciding words; checked where one stretch alone could be it."""
+    r = random.Random(4)
+    sc = licenses.Scanner()
+    for notice in licenses.NOTICES:
+        for _ in range(12):
+            text = list(notice.text)
+            for _ in range(r.randrange(notice.edits + 3)):
+                k = r.randrange(len(text))
+                text[k : k + r.randrange(2)] = r.choice(["", "x", "e", "q"])
+            text = " ".join("".join(text).split())
+            flat = f"aa {text} zz"
+            hits = [f for f in sc.fuzzy(flat) if f[2] == notice.label]
+            for a, b, _, score in hits:  # what is reported is near enough
+                near = [n for n in licenses.NOTICES if n.label == notice.label and edit_distance(flat[a:b], n.text) <= n.edits]
+                assert near and score <= 1
+            words = iter(text.split(" "))
+            if edit_distance(text, notice.text) <= notice.edits and all(w in words for w in notice.exact.split()):
+                rivals = [f for f in sc.fuzzy(flat) if f[2] != notice.label]
+                assert hits or rivals, (notice, text)
+
+
+def test_allowed_stretches_hide_nothing_beside_them():
+    find = lambda t: secret_scan.find_spans(t, EntropyRule())[1]
+    secret = "q8Zr2LmP0xT5vKc9YwB3nHd7"
+    digest = "sha256-" + "Zm9vYmFyYmF6cXV4Zm9vYmFyYmF6cXV4Zm9vYmFyYmE="
+    assert len(digest) == 51 and find(digest) == [] and find("sha256-" + "0a" * 32) == [("hex", 7, 71)]
+    assert find(digest + secret) == [("entropy", 51, 75)]
+    assert any(k == "entropy" and a <= 0 and b >= 20 for k, a, b in find(secret + ".EXAMPLE"))
+    assert any(k == "entropy" for k, _, _ in find("EXAMPLE" + secret))
+    assert any(k == "entropy" for k, _, _ in find("sha256-" + secret))
+    uuid = "123e4567-E89B-12D3-A456-426614174000"
+    assert find(f"{uuid}/{secret}") == [("entropy", 37, 61)] or find(f"{uuid}/{secret}") == [("entropy", 36, 61)]
+    assert find("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY") == []

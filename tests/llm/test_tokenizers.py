@@ -91,3 +91,18 @@ def test_decode_frame(odd, byte_bpe):
     ids = bpe.encode(odd, RANKS, P.PATTERN)
     back = bpe.decode(ids, RANKS, P.PATTERN).collect()
     assert sorted(bytes(r.bytes) for r in back) == sorted((r.text or "").encode() for r in odd.collect())
+
+
+def test_every_code_point_counts_as_the_library_counts():
+    """Letters and digits that are newer than the library's tables included:
+    each code point between letters, a digit and a sign."""
+    path = P.path("word_bpe_49k.json")
+    library, mine = Tokenizer.from_file(path), token_counts.load(path)
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(every), 1 << 16):
+        part = every[at : at + (1 << 16)]
+        texts = [f"x{c}y 1{c}!" for c in part]
+        want = [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+        got = [mine.count(t) for t in texts]
+        wrong = [(hex(ord(c)), g, w) for c, g, w in zip(part, got, want) if g != w]
+        assert not wrong, wrong[:20]
