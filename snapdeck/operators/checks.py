@@ -2,8 +2,8 @@
 (or, for the latest-snapshot checks, any row at all) fails the build.
 
 Row-level tests of one table run in ONE aggregate pass (``row_level_suite``);
-key tests (unique, unique combination) need one shuffle each, and that
-shuffle is partially aggregated, so a hot key costs one row per map task.
+all keys of a table (unique, unique combination) share one shuffle of hashes,
+which is partially aggregated, so a hot key costs one row per map task.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapdeck.functions import freshness_status, seconds_between
+from snapdeck.operators.joins import BROADCAST_BYTES, join_small, materialize
 
 @dataclass(frozen=True)
 class RowTest:
@@ -74,6 +75,50 @@ def unique_combination(df: DataFrame, model: str, cols: Sequence[str], test: str
     )
 
 
+def _key_name(cols: Sequence[str]) -> str:
+    return "unique" if len(cols) == 1 else "unique_combination_of_columns"
+
+
+def _key_hashes(cols: Sequence[str]) -> tuple[Column, Column]:
+    """128 bits of a key in two lanes. Spark's hash passes over nulls, so which
+    columns are null is hashed too."""
+    nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in cols])
+    return F.xxhash64(nulls, *cols), F.xxhash64(F.lit(1), nulls, *cols)
+
+
+def repeated_key_hashes(df: DataFrame, keys: Sequence[Sequence[str]]) -> DataFrame:
+    """(key, a, b) of the key hashes that more than one row has, for all
+    ``keys`` of a table in ONE exchange of 20 bytes a row and key. A repeated
+    value combines map-side, however often it is there."""
+    each = []
+    for i, cols in enumerate(keys):
+        a, b = _key_hashes(cols)
+        # a null in a single column is no key
+        counted = F.col(cols[0]).isNotNull() if len(cols) == 1 else F.lit(True)
+        each.append(F.struct(F.when(counted, F.lit(i)).alias("key"), a.alias("a"), b.alias("b")))
+    one = F.explode(F.array(*each)) if len(each) > 1 else each[0]
+    hashed = df.select(one.alias("k")).select("k.*").filter(F.col("key").isNotNull())
+    return hashed.groupBy("key", "a", "b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).drop("n")
+
+
+def unique_suite(df: DataFrame, model: str, keys: Sequence[Sequence[str]], max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """C2/C4 for all ``keys`` of a table: how many values of each occur more
+    than once. Rows are read again, and compared by value, only for hashes
+    that repeat; a table without any takes one pass."""
+    hits = materialize(repeated_key_hashes(df, keys))
+    found = {r["key"] for r in hits.select("key").distinct().collect()}  # at most the number of keys
+    counts = dict.fromkeys(range(len(keys)), 0)
+    for i in sorted(found):
+        cols = list(keys[i])
+        a, b = _key_hashes(cols)
+        rows = df.select(*cols, a.alias("_a"), b.alias("_b"))
+        mine = hits.filter(F.col("key") == i).select(F.col("a").alias("_a"), F.col("b").alias("_b"))
+        same = join_small(rows, mine, ["_a", "_b"], "left_semi", max_bytes)
+        counts[i] = same.groupBy(*cols).count().filter(F.col("count") > 1).count()
+    rows = [(model, _key_name(cols), ",".join(cols), counts[i]) for i, cols in enumerate(keys)]
+    return df.sparkSession.createDataFrame(rows, "model string, test string, column_name string, failures long")
+
+
 def latest_slice(df: DataFrame, date_col: str = "snapshot_date") -> DataFrame:
     """Rows of the latest date, via a scalar subquery (no driver round trip)."""
     return df.filter(F.col(date_col) == df.select(F.max(date_col)).scalar())

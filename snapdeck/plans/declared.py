@@ -42,4 +42,5 @@ def not_null_results(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def unique_results(tables: dict[str, DataFrame]) -> DataFrame:
-    return _all([ck.unique_combination(df, name, [c]) for name, df in tables.items() for c in UNIQUE.get(name, [])])
+    """One exchange for each table, a row for each declaration."""
+    return _all([ck.unique_suite(df, name, [[c] for c in UNIQUE[name]]) for name, df in tables.items() if name in UNIQUE])
