@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from snapdeck.config import DEFAULT, Config
 from snapdeck.functions import canonical_label, ratio_or_null, ratio_or_zero, surrogate_key
 from snapdeck.operators.group_share import add_group_totals, add_group_totals_window
+from snapdeck.operators.by_range import row_frames
 from snapdeck.operators.joins import bounded_broadcast
 from snapdeck.operators.rolling import lag_rows, rolling_rows_avg
 
@@ -65,10 +66,13 @@ POOL_METRIC_COLUMNS = [
 ]
 
 
-def pool_metrics(stg: DataFrame, cfg: Config = DEFAULT, totals_form: str = "scale") -> DataFrame:
+def pool_metrics(stg: DataFrame, cfg: Config = DEFAULT, totals_form: str = "scale", frames: str = "pool") -> DataFrame:
     """M3: shares of venue and market totals, fee rate, turnover, 7-row average
     and week-on-week change per pool.
 
+    ``frames="range"`` cuts the pools' rows into ranges (with the rows before
+    handed over) instead of one task a pool, for snapshots many times a day.
+
     Plan: venue/day totals by partial aggregation + checked broadcast join
     (no shuffle of the pool rows by date), then ONE shuffle on pool_address
     shared by the rolling average and the lag.
@@ -82,9 +86,16 @@ def pool_metrics(stg: DataFrame, cfg: Config = DEFAULT, totals_form: str = "scal
     # rows per pool are bounded by the number of snapshot days; dex_name breaks
     # ties of a pool listed under two venues on one date (a fact-check failure)
     keys, order = ["pool_address"], ["snapshot_date", "dex_name"]
-    with_w = base.withColumn("volume_7d_avg", rolling_rows_avg(vol, keys, order).cast("double")).withColumn(
-        "_vol_7_ago", lag_rows(vol, keys, order, 7)
-    )
+    if frames == "range":
+        made = {
+            "volume_7d_avg": lambda w: F.avg(vol).over(w.rowsBetween(-6, Window.currentRow)).cast("double"),
+            "_vol_7_ago": lambda w: F.lag(vol, 7).over(w),
+        }
+        with_w = row_frames(base, keys, order, 7, made, max_bytes=cfg.broadcast_max_bytes)
+    else:
+        with_w = base.withColumn("volume_7d_avg", rolling_rows_avg(vol, keys, order).cast("double")).withColumn(
+            "_vol_7_ago", lag_rows(vol, keys, order, 7)
+        )
     return with_w.select(
         *POOL_METRIC_COLUMNS[:14],
         ratio_or_zero(vol, "dex_total_24h_volume", 100.0).alias("pool_share_of_dex_pct"),
