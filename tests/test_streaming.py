@@ -46,3 +46,28 @@ def test_late_rows_are_dropped(spark, scratch):
     got = spark.read.parquet(out).groupBy("window_start").agg(F.max("error_count").alias("n"))
     total = got.agg(F.sum("n")).first()[0]
     assert total == events.filter("event_type = 'error'").count() - late_errors
+
+
+def test_late_rows_are_counted_and_corrected(spark, scratch):
+    """Events that come after the watermark: the listener counts what the state
+    dropped, the corrections bring the events' windows."""
+    events = fx.table(spark, SF_SMALL, "events")
+    day = F.to_date("ts")
+    first_day = events.agg(F.min(day)).first()[0]
+    late, on_time = events.filter(day == first_day), events.filter(day > first_day)
+    made = alerts.replay(spark, on_time, scratch("late"), files_per_trigger=3, late=late)
+    assert 0 < made.dropped_rows <= late.count()
+    fixes = alerts.corrections(events, made.alerts).collect()
+    want = {r.window_start: r.error_count for r in alerts.hourly_error_counts(late).collect()}
+    assert {r.window_start: r.missed for r in fixes} == want and all(r.streamed_count == 0 for r in fixes)
+    assert sum(r.missed for r in fixes) == late.filter("event_type = 'error'").count() > 0
+    whole = alerts.replay(spark, events, scratch("whole"))
+    assert whole.dropped_rows == 0 and alerts.corrections(events, whole.alerts).count() == 0
+
+
+def test_files_are_in_time_order_whatever_the_days_hold(spark, scratch):
+    events = fx.table(spark, SF_SMALL, "events")
+    path = scratch("ordered")
+    assert alerts.land_events_in_order(events, path, 6) == 6
+    spans = [spark.read.parquet(f).agg(F.min("ts"), F.max("ts")).first() for f in sorted(alerts._files(spark, path))]
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
