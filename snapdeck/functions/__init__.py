@@ -12,7 +12,7 @@ from snapdeck.functions.calendar import (
 )
 from snapdeck.functions.keys import surrogate_key
 from snapdeck.functions.numeric import ratio_or_null, ratio_or_zero, safe_double
-from snapdeck.functions.text import canonical_label, contains_any, split_pair, table_type_label
+from snapdeck.functions.text import canonical_label, contains_any, split_pair, table_type_label, uri_parts
 
 __all__ = [
     "canonical_label",
@@ -30,5 +30,6 @@ __all__ = [
     "status_band",
     "surrogate_key",
     "table_type_label",
+    "uri_parts",
     "week_sunday",
 ]

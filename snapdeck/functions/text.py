@@ -45,6 +45,20 @@ def split_pair(c: Column | str) -> tuple[Column, Column]:
     return base, quote
 
 
+def uri_parts(c: Column | str) -> Column:
+    """a storage URI as struct(scheme, root, path): the store, its bucket
+    or host, and the object's path below it without a leading slash. A plain
+    path has no scheme and no root; NULL gives NULL fields."""
+    s = col(c)
+    scheme = F.nullif(F.regexp_extract(s, "^([A-Za-z][A-Za-z0-9+.-]*)://", 1), F.lit(""))
+    rest = F.when(scheme.isNull(), s).otherwise(F.substr(s, F.length(scheme) + 4))
+    root = F.when(scheme.isNotNull(), F.split(rest, "/", 2)[0])
+    path = F.when(scheme.isNull(), rest).otherwise(F.coalesce(F.get(F.split(rest, "/", 2), F.lit(1)), F.lit("")))
+    return F.struct(
+        F.lower(scheme).alias("scheme"), F.nullif(root, F.lit("")).alias("root"), F.regexp_replace(path, "^/+", "").alias("path")
+    )
+
+
 # Storage listing type codes -> labels (anything else is OTHER).
 TABLE_TYPE_LABELS = {1: "TABLE", 2: "VIEW"}
 

@@ -95,3 +95,12 @@ def test_surrogate_key_null_safe_and_stable(spark):
     assert all(k is not None and len(k) == 32 for k in keys) and keys[0] != keys[1]
     ref = duckdb.sql(f"select {key('a', 'b')} from (values ('x', null::varchar), (null::varchar, null::varchar)) t(a, b)").fetchall()
     assert keys == [r[0] for r in ref]
+
+
+def test_uri_parts(spark):
+    from snapdeck.functions import uri_parts
+
+    vals = ["gs://b/a/c.json", "S3A://b", "s3://b/", "file:///x/y", "/x/y", "x/y", "hdfs://h:8020//x", "", None]
+    got = [tuple(r) for r in one_col(spark, vals).select(uri_parts("v").alias("p")).select("p.*").collect()]
+    assert got == [("gs", "b", "a/c.json"), ("s3a", "b", ""), ("s3", "b", ""), ("file", None, "x/y"), (None, None, "x/y"),
+                   (None, None, "x/y"), ("hdfs", "h:8020", "x"), (None, None, ""), (None, None, None)]
