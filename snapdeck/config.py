@@ -56,7 +56,8 @@ class Config:
     # Largest number of rows a join side may have to be broadcast. Sides are
     # counted after materialization (see operators.joins.bounded_broadcast).
     broadcast_max_bytes: int = 64 << 20
-    # Table namespaces (the reference binds them from environment settings).
+    # Table namespaces, which a build binds its tables to (see plans.catalog).
+    bind_tables: bool = True
     raw_namespace: str = "snap_raw"
     staging_namespace: str = "snap_staging"
     marts_namespace: str = "snap_marts"

@@ -121,6 +121,7 @@ def pool_state(stg: DataFrame) -> DataFrame:
         F.sum("trailing_24h_volume_usd").alias("lifetime_observed_volume_usd"),
         F.sum("trailing_24h_fees_usd").alias("lifetime_observed_fees_usd"),
         F.size(F.collect_set("snapshot_date")).cast("long").alias("snapshot_days_count"),
+        F.count("trailing_24h_fees_usd").alias("_fee_rows"),
     )
 
 
@@ -133,6 +134,7 @@ def merge_pool_state(old: DataFrame, new: DataFrame) -> DataFrame:
         F.sum("lifetime_observed_volume_usd").cast("decimal(38,9)").alias("lifetime_observed_volume_usd"),
         F.sum("lifetime_observed_fees_usd").cast("decimal(38,9)").alias("lifetime_observed_fees_usd"),
         F.sum("snapshot_days_count").cast("long").alias("snapshot_days_count"),
+        F.sum("_fee_rows").cast("long").alias("_fee_rows"),
     )
 
 
@@ -153,7 +155,11 @@ def token_state(stg: DataFrame) -> DataFrame:
     """Per-token state of dim_token, in two steps: appearances reduce by
     (address, symbol) in hash aggregates of fixed-width values, then the
     latest symbol is picked over the few symbols that an address ever had."""
-    named = token_appearances(stg).groupBy("token_address", "token_symbol").agg(
+    return token_state_from(token_appearances(stg))
+
+
+def token_state_from(appearances: DataFrame) -> DataFrame:
+    named = appearances.groupBy("token_address", "token_symbol").agg(
         F.min("snapshot_date").alias("first_seen_date"),
         F.max("snapshot_date").alias("last_seen_date"),
         F.sum("is_base").alias("n_base"),

@@ -905,3 +905,6 @@ def q_pool_metrics_incremental(spark, sf_dir):
     s = materialize(stg(spark, sf_dir))
     since = F.date_sub(s.select(F.max("snapshot_date")).scalar(), 29)
     return models.pool_metrics_since(s, since, _cfg())
+
+
+from snapdeck.plans import registry_loads  # noqa: E402, F401 - registers its queries

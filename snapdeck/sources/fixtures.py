@@ -125,17 +125,30 @@ def fx2_protocols(spark: SparkSession, sf_dir: str) -> DataFrame:
 FIXTURE_PAGE_SIZE = 5
 
 
-def _venue_item(venue: str) -> Column:
+def _defect(every: int) -> Column:
+    """Marks one row in ``every``, by its supplier and day."""
+    return (F.substring("pool_address", 5, 20).cast("long") + F.unix_date("snapshot_date")) % every == 0
+
+
+def _venue_item(venue: str, defects: bool = False) -> Column:
     """One FX1 row as the venue's API pool object (FX3 encoding: Orca sends
-    measures as strings, Raydium as numbers, Meteora TVL as a string)."""
+    measures as strings, Raydium as numbers, Meteora TVL as a string).
+
+    FX8 (``defects``): some rows have no address, some a volume or a TVL that
+    is no number (all measures are strings then)."""
     vol, fees, tvl = F.col("trailing_24h_volume_usd"), F.col("trailing_24h_fees_usd"), F.col("tvl_usd")
+    address = F.col("pool_address")
+    if defects:
+        vol = F.when(_defect(29), F.lit("n/a")).otherwise(vol.cast("string"))
+        tvl = F.when(_defect(31), F.lit("1,000,000")).otherwise(tvl.cast("string"))
+        address = F.when(~_defect(23), address).otherwise(F.lit("" if venue == "orca" else None).cast("string"))
 
     def tok(sym: str, addr: str) -> Column:
         return F.struct(F.col(sym).alias("symbol"), F.col(addr).alias("address"))
 
     if venue == "raydium":
         return F.struct(
-            F.col("pool_address").alias("id"),
+            address.alias("id"),
             tok("base_token_symbol", "base_token_address").alias("mintA"),
             tok("quote_token_symbol", "quote_token_address").alias("mintB"),
             F.struct(vol.alias("volume"), fees.alias("volumeFee")).alias("day"),
@@ -143,14 +156,14 @@ def _venue_item(venue: str) -> Column:
         )
     if venue == "orca":
         return F.struct(
-            F.col("pool_address").alias("address"),
+            address.alias("address"),
             tok("base_token_symbol", "base_token_address").alias("tokenA"),
             tok("quote_token_symbol", "quote_token_address").alias("tokenB"),
             F.struct(F.struct(vol.cast("string").alias("volume"), fees.cast("string").alias("fees")).alias("24h")).alias("stats"),
             tvl.cast("string").alias("tvlUsdc"),
         )
     return F.struct(
-        F.col("pool_address").alias("pool_address"),
+        address.alias("pool_address"),
         F.concat(F.col("base_token_symbol"), F.lit("-"), F.col("quote_token_symbol")).alias("pool_name"),
         F.array(F.col("base_token_address"), F.col("quote_token_address")).alias("pool_token_mints"),
         vol.alias("trading_volume"),
@@ -159,8 +172,8 @@ def _venue_item(venue: str) -> Column:
     )
 
 
-def fx5_pages(spark: SparkSession, sf_dir: str, page_size: int = FIXTURE_PAGE_SIZE) -> DataFrame:
-    """FX5: landed pool pages (source, snapshot_date, page_no, body).
+def fx5_pages(spark: SparkSession, sf_dir: str, page_size: int = FIXTURE_PAGE_SIZE, defects: bool = False) -> DataFrame:
+    """FX5: landed pool pages (source, snapshot_date, page_no, body); FX8 with ``defects``.
 
     FX1 without NULL volumes, ordered per (venue, day) by volume desc then
     address, cut into pages of ``page_size``; each page carries its feed's
@@ -183,7 +196,7 @@ def fx5_pages(spark: SparkSession, sf_dir: str, page_size: int = FIXTURE_PAGE_SI
     slices, _ = bounded_broadcast(slices)
     out = []
     for venue in FIXTURE_VENUES:
-        rows = ranked.filter(F.col("dex_name") == venue).select("snapshot_date", "page_no", "pos", _venue_item(venue).alias("item"))
+        rows = ranked.filter(F.col("dex_name") == venue).select("snapshot_date", "page_no", "pos", _venue_item(venue, defects).alias("item"))
         pages = rows.groupBy("snapshot_date", "page_no").agg(F.sort_array(F.collect_list(F.struct("pos", "item"))).alias("_pi"))
         pages = pages.withColumn("items", F.transform("_pi", lambda x: x.getField("item"))).drop("_pi")
         pages = pages.withColumn("dex_name", F.lit(venue)).join(slices, ["dex_name", "snapshot_date"], "inner")
@@ -242,3 +255,30 @@ def fx4_market_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         market_slice_path(F.lit("raw"), F.col("snapshot_date")).alias("source_file"),
         F.to_json(F.struct("protocols")).alias("body"),
     )
+
+
+# ---------------------------------------------------------------------------
+# FX7: the pool table before and after some slices were loaded again
+# ---------------------------------------------------------------------------
+
+# Fixed values of the fixture design: a slice of the venue on every so many
+# days is new, loaded again with other volumes, or gone.
+RELOADED = {"new": (499, "orca"), "changed": (503, "raydium"), "gone": (509, "meteora")}
+
+
+def _reloaded(kind: str) -> Column:
+    every, venue = RELOADED[kind]
+    return (F.unix_date("snapshot_date") % every == 0) & (F.col("dex_name") == venue)
+
+
+def fx7_before(pools: DataFrame) -> DataFrame:
+    """FX1 without the new slices, and with twice the volume in the changed ones."""
+    volume = F.col("trailing_24h_volume_usd")
+    return pools.filter(~_reloaded("new")).withColumn(
+        "trailing_24h_volume_usd", F.when(_reloaded("changed"), volume * 2).otherwise(volume).cast("decimal(38,9)")
+    )
+
+
+def fx7_after(pools: DataFrame) -> DataFrame:
+    """FX1 without the slices that are gone."""
+    return pools.filter(~_reloaded("gone"))

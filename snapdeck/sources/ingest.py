@@ -10,9 +10,11 @@ executors parse pages in parallel.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from snapdeck.config import DEFAULT, Config
@@ -57,19 +59,28 @@ def parse_market_documents(docs: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     Input columns: body, snapshot_at, snapshot_date, source_file. Measures
     may be numbers or strings; both coerce through ``safe_double``.
     """
-    parsed = docs.select(
-        "snapshot_at", "snapshot_date", "source_file", F.explode(strict_json("body", schemas.MARKET_DOCUMENT, "unparsable market document").protocols).alias("p")
-    )
-    protocols = parsed.select(
+    return market_rows_from_protocols(market_protocols(docs), cfg)
+
+
+def market_protocols(docs: DataFrame) -> DataFrame:
+    """All protocols of the documents, tracked or not; ``n_unparsable`` counts
+    a protocol's measures that hold something other than a number."""
+    document = strict_json("body", schemas.MARKET_DOCUMENT, "unparsable market document")
+    p = docs.select("snapshot_at", "snapshot_date", "source_file", F.explode(document.protocols).alias("p"))
+    measures = ["total24h", "total7d", "totalAllTime"]
+    return p.select(
         "snapshot_at",
         "snapshot_date",
         F.coalesce(F.col("p.name"), F.lit("")).alias("protocol_name"),
-        safe_double("p.total24h").alias("total24h"),
-        safe_double("p.total7d").alias("total7d"),
-        safe_double("p.totalAllTime").alias("totalAllTime"),
+        *[safe_double(f"p.{m}").alias(m) for m in measures],
         "source_file",
+        sum((_unparsable(F.col(f"p.{m}"), safe_double(f"p.{m}")).cast("int") for m in measures), F.lit(0)).alias("n_unparsable"),
     )
-    return market_rows_from_protocols(protocols, cfg)
+
+
+def _unparsable(text: Column, number: Column) -> Column:
+    """A measure that is there and isn't a number (it counts as null)."""
+    return text.isNotNull() & number.isNull()
 
 
 # ---------------------------------------------------------------------------
@@ -93,12 +104,15 @@ def _last_volume(source: str, items: Column) -> Column:
 def parse_pages(pages: DataFrame, source: str) -> DataFrame:
     """Parse page bodies of one feed: (source, snapshot_date, page_no, items, meta...)."""
     pg = strict_json("body", schemas.POOL_PAGE[source], f"unparsable {source} page").alias("pg")
-    p = pages.filter(F.col("source") == source).select("source", "snapshot_date", "page_no", pg)
+    # the file that a page was read from, where the pages come from files
+    file = F.col("source_file") if "source_file" in pages.columns else F.lit(None).cast("string").alias("source_file")
+    p = pages.filter(F.col("source") == source).select("source", "snapshot_date", "page_no", file, pg)
+    page = [*SLICE, "page_no", "source_file"]
     if source == "raydium":
-        return p.select(*SLICE, "page_no", F.col("pg.data.data").alias("items"), F.col("pg.data.hasNextPage").alias("has_next"))
+        return p.select(*page, F.col("pg.data.data").alias("items"), F.col("pg.data.hasNextPage").alias("has_next"))
     if source == "orca":
-        return p.select(*SLICE, "page_no", F.col("pg.data").alias("items"), F.col("pg.meta.cursor.next").alias("cursor"))
-    return p.select(*SLICE, "page_no", F.col("pg.data").alias("items"), F.col("pg.total_count").alias("total_count"))
+        return p.select(*page, F.col("pg.data").alias("items"), F.col("pg.meta.cursor.next").alias("cursor"))
+    return p.select(*page, F.col("pg.data").alias("items"), F.col("pg.total_count").alias("total_count"))
 
 
 def page_meta(parsed: DataFrame, source: str, cfg: Config = DEFAULT, floor: float | None = None) -> DataFrame:
@@ -155,20 +169,24 @@ def kept_pages(status: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 
 
 def kept_items(parsed: DataFrame, kept: DataFrame, source: str) -> DataFrame:
-    """Items (source, snapshot_date, page_no, pos, item) of one feed's kept
-    pages: pages are dropped before their items unfold. Orca's are reduced to
-    the first occurrence of each address (I2); kept pages are a prefix, so
-    that is the first of all pages."""
+    """Items (source, snapshot_date, page_no, pos, source_file, item) of one
+    feed's kept pages: pages are dropped before their items unfold. Orca's are
+    reduced to the first occurrence of each address (I2); kept pages are a
+    prefix, so that is the first of all pages. Items without an address are
+    nobody's copy and stay (:func:`has_id` drops them, counted)."""
     pages = parsed.join(kept, [*SLICE, "page_no"], "left_semi")
-    items = pages.select(*SLICE, "page_no", F.posexplode("items").alias("pos", "item")).filter(F.col("item").isNotNull())
+    where = [*SLICE, "page_no", "pos", "source_file"]
+    items = pages.select(*SLICE, "page_no", "source_file", F.posexplode("items").alias("pos", "item")).filter(F.col("item").isNotNull())
     if source != "orca":
-        return items
-    # copies of one address combine map-side
-    key = F.col("item").getField("address")
-    first = items.filter(key.isNotNull() & (key != "")).groupBy(*SLICE, key.alias("_addr")).agg(
-        F.min_by(F.struct("page_no", "pos", "item"), F.struct("page_no", "pos")).alias("_f")
+        return items.select(*where, "item")
+    # copies of one address combine map-side; an item without one has a key of its own
+    address = F.col("item").getField("address")
+    named = address.isNotNull() & (address != "")
+    keys = [F.when(named, address).alias("_addr"), *[F.when(~named, F.col(c)).alias(f"_{c}") for c in ("page_no", "pos")]]
+    first = items.groupBy(*SLICE, *keys).agg(
+        F.min_by(F.struct("page_no", "pos", "source_file", "item"), F.struct("page_no", "pos")).alias("_f")
     )
-    return first.select(*SLICE, F.col("_f.page_no").alias("page_no"), F.col("_f.pos").alias("pos"), F.col("_f.item").alias("item"))
+    return first.select(*SLICE, *[F.col(f"_f.{c}").alias(c) for c in ("page_no", "pos", "source_file", "item")])
 
 
 def assemble_pages(pages: DataFrame, source: str, cfg: Config = DEFAULT, floor: float | None = None) -> tuple[DataFrame, DataFrame]:
@@ -183,46 +201,37 @@ def assemble_pages(pages: DataFrame, source: str, cfg: Config = DEFAULT, floor:
 # ---------------------------------------------------------------------------
 
 
-def normalize_items(items: DataFrame, source: str, keep: list[str] | None = None) -> DataFrame:
-    """Venue pool objects -> the common pool columns (measures as DOUBLE)."""
-    it = F.col("item")
+MEASURES = {"trailing_24h_volume_usd": "volume_text", "trailing_24h_fees_usd": "fees_text", "tvl_usd": "tvl_text"}
+
+
+def _pool_columns(it: Column, source: str) -> dict[str, Column]:
+    """The common columns of a venue's pool object; measures as they were sent."""
     if source == "raydium":
-        cols = {
-            "pool_address": it.getField("id"),
-            "base_token_symbol": it.getField("mintA").getField("symbol"),
-            "base_token_address": it.getField("mintA").getField("address"),
-            "quote_token_symbol": it.getField("mintB").getField("symbol"),
-            "quote_token_address": it.getField("mintB").getField("address"),
-            "trailing_24h_volume_usd": safe_double(it.getField("day").getField("volume")),
-            "trailing_24h_fees_usd": safe_double(it.getField("day").getField("volumeFee")),
-            "tvl_usd": safe_double(it.getField("tvl")),
-        }
+        base, quote, day = it.getField("mintA"), it.getField("mintB"), it.getField("day")
+        sent = (it.getField("id"), day.getField("volume"), day.getField("volumeFee"), it.getField("tvl"))
     elif source == "orca":
-        day = it.getField("stats").getField("24h")
-        cols = {
-            "pool_address": it.getField("address"),
-            "base_token_symbol": it.getField("tokenA").getField("symbol"),
-            "base_token_address": it.getField("tokenA").getField("address"),
-            "quote_token_symbol": it.getField("tokenB").getField("symbol"),
-            "quote_token_address": it.getField("tokenB").getField("address"),
-            "trailing_24h_volume_usd": safe_double(day.getField("volume")),
-            "trailing_24h_fees_usd": safe_double(day.getField("fees")),
-            "tvl_usd": safe_double(it.getField("tvlUsdc")),
-        }
+        base, quote, day = it.getField("tokenA"), it.getField("tokenB"), it.getField("stats").getField("24h")
+        sent = (it.getField("address"), day.getField("volume"), day.getField("fees"), it.getField("tvlUsdc"))
+    else:
+        base = quote = None
+        sent = (it.getField("pool_address"), it.getField("trading_volume"), it.getField("fee_volume"), it.getField("pool_tvl"))
+    if base is not None:
+        tokens = [t.getField(f) for t in (base, quote) for f in ("symbol", "address")]
     else:
-        base, quote = split_pair(it.getField("pool_name"))
-        mints = it.getField("pool_token_mints")
-        cols = {
-            "pool_address": it.getField("pool_address"),
-            "base_token_symbol": base,
-            "base_token_address": F.get(mints, 0),
-            "quote_token_symbol": quote,
-            "quote_token_address": F.get(mints, 1),
-            "trailing_24h_volume_usd": safe_double(it.getField("trading_volume")),
-            "trailing_24h_fees_usd": safe_double(it.getField("fee_volume")),
-            "tvl_usd": safe_double(it.getField("pool_tvl")),
-        }
-    return items.select(*SLICE, *(keep or []), *[c.alias(n) for n, c in cols.items()])
+        symbols, mints = split_pair(it.getField("pool_name")), it.getField("pool_token_mints")
+        tokens = [symbols[0], F.get(mints, 0), symbols[1], F.get(mints, 1)]
+    names = ["base_token_symbol", "base_token_address", "quote_token_symbol", "quote_token_address"]
+    return {"pool_address": sent[0], **dict(zip(names, tokens)), **dict(zip(MEASURES, sent[1:]))}
+
+
+def normalize_items(items: DataFrame, source: str, keep: list[str] | None = None, texts: bool = False) -> DataFrame:
+    """Venue pool objects -> the common pool columns (measures as DOUBLE; with
+    ``texts`` also as they were sent)."""
+    cols = _pool_columns(F.col("item"), source)
+    out = [(safe_double(c) if n in MEASURES else c).alias(n) for n, c in cols.items()]
+    if texts:
+        out += [cols[n].cast("string").alias(t) for n, t in MEASURES.items()]
+    return items.select(*SLICE, *(keep or []), *out)
 
 
 def has_id(c: str = "pool_address") -> Column:
@@ -232,14 +241,84 @@ def has_id(c: str = "pool_address") -> Column:
 
 def quality_floor(df: DataFrame, cfg: Config = DEFAULT, volume: str = "trailing_24h_volume_usd", tvl: str = "tvl_usd") -> DataFrame:
     """I8: keep rows with volume >= floor AND tvl >= floor; NULL counts as 0."""
-    return df.filter(
-        (F.coalesce(F.col(volume), F.lit(0)) >= F.lit(cfg.volume_floor)) & (F.coalesce(F.col(tvl), F.lit(0)) >= F.lit(cfg.tvl_floor))
+    return df.filter(above_floor(cfg, volume, tvl))
+
+
+def above_floor(cfg: Config = DEFAULT, volume: str = "trailing_24h_volume_usd", tvl: str = "tvl_usd") -> Column:
+    return (F.coalesce(F.col(volume), F.lit(0)) >= F.lit(cfg.volume_floor)) & (F.coalesce(F.col(tvl), F.lit(0)) >= F.lit(cfg.tvl_floor))
+
+
+# ---------------------------------------------------------------------------
+# Rejected rows
+# ---------------------------------------------------------------------------
+
+REASONS = ("missing_id", "unparsable_measure", "below_floor")
+REJECT_COLUMNS = [*SLICE, "page_no", "pos", "pool_address", "reason", *MEASURES.values(), "source_file"]
+
+
+def tag_rejects(rows: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """Adds ``reason``, why a row is not loaded (null: it is loaded), and
+    ``n_unparsable``, how many of its measures are there and not a number.
+
+    missing_id: the row has none. unparsable_measure: it falls below the floor
+    with a volume or TVL that couldn't be read. below_floor: it falls below
+    the floor by its numbers.
+    """
+    bad = {m: _unparsable(F.col(t), F.col(m)) for m, t in MEASURES.items()}
+    under = ~above_floor(cfg)
+    reason = (
+        F.when(~has_id(), "missing_id")
+        .when(under & (bad["trailing_24h_volume_usd"] | bad["tvl_usd"]), "unparsable_measure")
+        .when(under, "below_floor")
     )
+    return rows.withColumns({"reason": reason, "n_unparsable": sum((b.cast("int") for b in bad.values()), F.lit(0))})
+
+
+def reject_metrics(sources: Sequence[str]) -> list[Column]:
+    """Counts of tagged rows by source, for an Observation: rows, kept, one per
+    reason, and unparsable measures (kept rows' too)."""
+    out = []
+    for s in sources:
+        mine = F.col("source") == s
+        out.append(F.count_if(mine).alias(f"{s}.rows"))
+        out.append(F.count_if(mine & F.col("reason").isNull()).alias(f"{s}.kept"))
+        out += [F.count_if(mine & (F.coalesce("reason", F.lit("")) == r)).alias(f"{s}.{r}") for r in REASONS]
+        out.append(F.coalesce(F.sum(F.when(mine, F.col("n_unparsable"))), F.lit(0)).alias(f"{s}.unparsable_values"))
+    return out
+
+
+@dataclass
+class Ingested:
+    """What an ingest made of landed pages."""
+
+    rows: DataFrame  # raw rows
+    rejects: DataFrame  # REJECT_COLUMNS
+    counts: dict[str, dict[str, int]]  # by source
+
+
+def ingest_with_rejects(
+    pages: DataFrame, manifest: DataFrame, cfg: Config = DEFAULT, sources: tuple[str, ...] | None = None, source_file: Column | None = None
+) -> Ingested:
+    """I1-I5, I7-I9, I12, I13 with an account of every row: rows are tagged and
+    written once, counted in that same write, and read back as loaded rows and
+    as rejects."""
+    srcs = sources or tuple(cfg.pool_venues)
+    tagged = tag_rejects(_normalized(pages, srcs, cfg, ["page_no", "pos", "source_file"], texts=True), cfg)
+    obs = Observation("ingest")
+    tagged = materialize(tagged.observe(obs, *reject_metrics(srcs)))
+    counts: dict[str, dict[str, int]] = {s: {} for s in srcs}
+    for name, n in obs.get.items():
+        source, _, what = name.rpartition(".")
+        counts[source][what] = int(n)
+    kept = tagged.filter(F.col("reason").isNull())
+    rejects = tagged.filter(F.col("reason").isNotNull()).select(*REJECT_COLUMNS)
+    return Ingested(_stamped(kept, manifest, source_file, cfg), rejects, counts)
 
 
 def stamp(rows: DataFrame, manifest: DataFrame, source_file: Column, max_bytes: int = DEFAULT.broadcast_max_bytes) -> DataFrame:
     """snapshot_at from the slice manifest (the run that landed it),
-    venue literal and source path. The manifest has one row per slice."""
+    venue literal and source path: the row's own file, or ``source_file``
+    where pages don't come from files. The manifest has one row per slice."""
     m = manifest.select(*SLICE, F.col("snapshot_at").alias("_mat"))
     # one row per slice: broadcast after a size check, so a hot day's rows never shuffle
     j = join_small(rows, m, SLICE, "left", max_bytes=max_bytes)
@@ -248,7 +327,7 @@ def stamp(rows: DataFrame, manifest: DataFrame, source_file: Column, max_bytes:
         F.col("snapshot_date"),
         F.col("source").alias("dex_name"),
         *[F.col(c) for c in schemas.POOL_COLUMNS[3:11]],
-        source_file.alias("source_file"),
+        (F.coalesce("source_file", source_file) if "source_file" in rows.columns else source_file).alias("source_file"),
     )
 
 
@@ -266,14 +345,21 @@ def ingest_all_pools(
     items of the kept pages are normalized to the common columns, unioned,
     filtered (id, floor) and stamped once.
     """
-    from snapdeck.sources.lake import pool_slice_path
-
     srcs = sources or tuple(cfg.pool_venues)
-    parsed = {s: materialize(parse_pages(pages, s)) for s in srcs}  # each page is parsed once
+    kept = quality_floor(_normalized(pages, srcs, cfg, ["source_file"]).filter(has_id()), cfg)
+    return _stamped(kept, manifest, source_file, cfg)
+
+
+def _normalized(pages: DataFrame, sources: Sequence[str], cfg: Config, keep: list[str], texts: bool = False) -> DataFrame:
+    """All items of the kept pages of all feeds, in the common columns."""
+    parsed = {s: materialize(parse_pages(pages, s)) for s in sources}  # each page is parsed once
     metas = [page_meta(p, s, cfg) for s, p in parsed.items()]
     pages_kept = kept_pages(page_status(reduce(DataFrame.unionByName, metas), cfg), cfg)
-    rows = [normalize_items(kept_items(p, pages_kept, s), s) for s, p in parsed.items()]
-    kept = reduce(DataFrame.unionByName, rows)
-    kept = quality_floor(kept.filter(has_id()), cfg)
-    sf = source_file if source_file is not None else pool_slice_path(F.lit("raw"), F.col("source"), F.col("snapshot_date"))
-    return stamp(kept, manifest, sf, cfg.broadcast_max_bytes)
+    return reduce(DataFrame.unionByName, [normalize_items(kept_items(p, pages_kept, s), s, keep, texts) for s, p in parsed.items()])
+
+
+def _stamped(rows: DataFrame, manifest: DataFrame, source_file: Column | None, cfg: Config) -> DataFrame:
+    from snapdeck.sources.lake import pool_slice_path
+
+    path = source_file if source_file is not None else pool_slice_path(F.lit("raw"), F.col("source"), F.col("snapshot_date"))
+    return stamp(rows, manifest, path, cfg.broadcast_max_bytes)

@@ -57,6 +57,21 @@ def pool_slice_path_str(root: str, dex: str, date: dt.date) -> str:
 # ---------------------------------------------------------------------------
 
 
+def landed_slices(spark: SparkSession, lake_root: str) -> DataFrame:
+    """(source, snapshot_date) of the slices that the lake holds a file of, by
+    a listing of its folders: no file is read."""
+    found = []
+    for folder, source in ((POOLS_DIR, None), (MARKET_DIR, MARKET_FILE_PREFIX)):
+        if not has_rows_on_disk(spark, f"{lake_root}/{folder}"):
+            continue
+        files = spark.read.format("binaryFile").option("basePath", f"{lake_root}/{folder}").load(f"{lake_root}/{folder}")
+        dex = F.col("dex").cast("string") if source is None else F.lit(source)
+        found.append(files.select(dex.alias("source"), F.col("date").cast("date").alias("snapshot_date")).distinct())
+    if not found:
+        return spark.createDataFrame([], "source string, snapshot_date date")
+    return found[0].unionByName(found[1]) if len(found) > 1 else found[0]
+
+
 def land_pages(pages: DataFrame, lake_root: str, overwrite: bool = False) -> None:
     """S3: write landed pages as JSON lines under dex=/date= partitions.
 
@@ -65,8 +80,8 @@ def land_pages(pages: DataFrame, lake_root: str, overwrite: bool = False) -> Non
     are (write-once), whether or not a manifest lists them. With ``overwrite`` only the slices present in
     ``pages`` are replaced.
     """
-    if not overwrite and path_exists(pages.sparkSession, f"{lake_root}/{POOLS_DIR}"):
-        there = read_landed_pages(pages.sparkSession, lake_root).select("source", "snapshot_date").distinct()
+    if not overwrite:
+        there = landed_slices(pages.sparkSession, lake_root)
         pages = join_small(pages, there, ["source", "snapshot_date"], "left_anti")
     out = pages.select(F.col("source").alias("dex"), F.col("snapshot_date").alias("date"), "page_no", "body")
     n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -94,8 +109,8 @@ def read_landed_pages(spark: SparkSession, lake_root: str) -> DataFrame:
 def land_market_documents(docs: DataFrame, lake_root: str, overwrite: bool = False) -> None:
     """Land market documents, one file for each, under date= folders. Without
     ``overwrite``, dates that the lake already holds are left as they are."""
-    if not overwrite and path_exists(docs.sparkSession, f"{lake_root}/{MARKET_DIR}"):
-        there = read_market_documents(docs.sparkSession, lake_root).select("snapshot_date").distinct()
+    if not overwrite:
+        there = landed_slices(docs.sparkSession, lake_root).filter(F.col("source") == MARKET_FILE_PREFIX).select("snapshot_date")
         docs = join_small(docs, there, ["snapshot_date"], "left_anti")
     out = docs.select(F.col("snapshot_date").alias("date"), F.col("body").alias("value"))
     w = out.write.option("maxRecordsPerFile", 1).partitionBy("date")
@@ -105,9 +120,29 @@ def land_market_documents(docs: DataFrame, lake_root: str, overwrite: bool = Fal
         w.mode("append").text(f"{lake_root}/{MARKET_DIR}")
 
 
+# One JSON object: text other than quotes and closing braces, strings, and
+# closing braces that no new object and no end follows; then the one that ends
+# it. Inside valid JSON a comma or bracket stands between two objects, so a
+# brace that closes right before one that opens is where a document ends.
+# Possessive throughout: linear, without a stack.
+_DOCUMENT = r'(?s)(?:[^"}]++|"(?:[^"\\]++|\\.)*+"|\}(?!\s*+(?:\{|\z)))*+\}'
+
+
+def json_documents(text: Column) -> Column:
+    """The JSON objects that follow each other in a text, as an array of texts,
+    on one line or several. A blank text is one blank document; a text that
+    ends within an object, or has anything besides objects, fails the job."""
+    body = F.trim(F.coalesce(text, F.lit("")), F.lit(" \t\r\n\ufeff"))
+    parts = F.regexp_extract_all(body, F.lit(_DOCUMENT), F.lit(0))
+    covered = F.aggregate(parts, F.lit(0), lambda n, p: n + F.length(p)) == F.length(body)
+    cut = F.raise_error(F.lit("market file is cut, or holds text besides documents")).cast("array<string>")
+    return F.when(body == "", F.array(body)).when(covered, parts).otherwise(cut)
+
+
 def read_market_documents(spark: SparkSession, lake_root: str, snapshot_at: Column | None = None) -> DataFrame:
-    """S2 for the market feed: each file is one document, on one line or
-    several. ``snapshot_at`` is the run's stamp when given, else the current time."""
+    """S2 for the market feed: a row for each document of each file (a file may
+    hold several, one after the other). ``snapshot_at`` is the run's stamp when
+    given, else the current time."""
     # declared schema (the text plus the date partition): an empty landing
     # reads as an empty frame instead of failing partition discovery
     schema = T.StructType([T.StructField("value", T.StringType()), T.StructField("date", T.StringType())])
@@ -116,7 +151,7 @@ def read_market_documents(spark: SparkSession, lake_root: str, snapshot_at: Colu
         (snapshot_at if snapshot_at is not None else F.current_timestamp()).alias("snapshot_at"),
         F.col("date").cast("date").alias("snapshot_date"),
         F.col("_metadata.file_path").alias("source_file"),
-        F.col("value").alias("body"),
+        F.explode(json_documents(F.col("value"))).alias("body"),
     )
 
 
@@ -127,6 +162,48 @@ def page_record_count(source: Column, body: Column) -> Column:
     return F.when(source == "raydium", raydium).otherwise(others)
 
 
+# ---------------------------------------------------------------------------
+# Manifest: a log of landings and drops
+# ---------------------------------------------------------------------------
+
+MANIFEST = T.StructType(
+    [
+        T.StructField("source", T.StringType()),
+        T.StructField("snapshot_date", T.DateType()),
+        T.StructField("pages", T.LongType()),
+        T.StructField("raw_record_count", T.LongType()),
+        T.StructField("snapshot_at", T.TimestampType()),
+        T.StructField("event", T.StringType()),  # landed or dropped; null (older manifests): landed
+        T.StructField("recorded_at", T.TimestampType()),  # null: when it landed
+    ]
+)
+SLICE_COLS = ["source", "snapshot_date"]
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The log as written; an absent one is empty."""
+    if not has_rows_on_disk(spark, path):
+        return spark.createDataFrame([], MANIFEST)
+    return spark.read.schema(MANIFEST).parquet(path)
+
+
+def log_manifest(rows: DataFrame, path: str, event: str, recorded_at: Column | None = None) -> None:
+    """Append records; nothing in the log is changed."""
+    at = recorded_at if recorded_at is not None else F.current_timestamp()
+    rows = rows.withColumns({"event": F.lit(event), "recorded_at": at.cast("timestamp")})
+    have = {f.name: F.col(f.name) if f.name in rows.columns else F.lit(None) for f in MANIFEST.fields}
+    rows.select(*[have[f.name].cast(f.dataType).alias(f.name) for f in MANIFEST.fields]).write.mode("append").parquet(path)
+
+
+def manifest_current(log: DataFrame) -> DataFrame:
+    """The newest record of each slice, slices that were dropped left out. One
+    partial aggregate: a slice landed many times is one row a task."""
+    rest = [f.name for f in MANIFEST.fields if f.name not in SLICE_COLS]
+    at = F.coalesce("recorded_at", "snapshot_at")
+    newest = F.max_by(F.struct(*rest), F.struct(at, "snapshot_at", F.coalesce("event", F.lit("landed"))))
+    live = log.groupBy(*SLICE_COLS).agg(newest.alias("_n")).filter(F.coalesce("_n.event", F.lit("landed")) == "landed")
+    return live.select(*SLICE_COLS, *[F.col(f"_n.{c}").alias(c) for c in rest])
+
 
 def missing_slices(requested: DataFrame, manifest: DataFrame, keys: Sequence[str] = ("source", "snapshot_date"), max_bytes: int = DEFAULT.broadcast_max_bytes) -> DataFrame:
     """Requested slices that are not landed yet (anti join on the small manifest)."""
@@ -197,6 +274,18 @@ def has_rows_on_disk(spark: SparkSession, table_path: str) -> bool:
     return False
 
 
+def day_signatures(spark: SparkSession, table_path: str, partition_col: str = PARTITION_COL) -> DataFrame:
+    """(snapshot_date, n_files, signature): which data files each day of a
+    DAY-partitioned table has, by name, length and time. A listing done by
+    tasks; no file is opened."""
+    if not has_rows_on_disk(spark, table_path):
+        return spark.createDataFrame([], f"{partition_col} date, n_files long, signature decimal(38,0)")
+    files = spark.read.format("binaryFile").option("basePath", table_path).load(table_path)
+    one = F.xxhash64("path", "length", "modificationTime").cast("decimal(20,0)")
+    found = files.groupBy(F.col(partition_col).cast("date").alias(partition_col))
+    return found.agg(F.count(F.lit(1)).alias("n_files"), F.sum(one).cast("decimal(38,0)").alias("signature"))
+
+
 def load_slices(
     rows: DataFrame,
     table_path: str,
@@ -306,6 +395,46 @@ def expired_slices(manifest: DataFrame, as_of: Column, retention_days: int = DEF
     return manifest.filter(created <= F.date_sub(F.to_date(as_of), retention_days))
 
 
+def slice_folder(lake_root: Column) -> Column:
+    """The folder of a slice (source, snapshot_date) in the lake."""
+    day = F.concat(F.lit("/date="), F.col("snapshot_date").cast("string"))
+    pools = F.concat(lake_root, F.lit(f"/{POOLS_DIR}/dex="), F.col("source"), day)
+    return F.when(F.col("source") == MARKET_FILE_PREFIX, F.concat(lake_root, F.lit(f"/{MARKET_DIR}"), day)).otherwise(pools)
+
+
+def _delete_folders(batches):
+    """Deletes the folders of a batch where this store's client is at hand. A
+    folder that isn't there counts as deleted, so a task may run twice."""
+    import pyarrow as pa
+    from pyarrow import fs
+
+    for batch in batches:
+        done = []
+        for uri in batch.column(0).to_pylist():
+            try:
+                store, path = fs.FileSystem.from_uri(uri)
+                if store.get_file_info(path).type != fs.FileType.NotFound:
+                    store.delete_dir(path)
+                done.append(True)
+            except (pa.ArrowException, OSError, ValueError):
+                done.append(False)
+        yield pa.RecordBatch.from_pydict({"folder": batch.column(0), "deleted": pa.array(done, pa.bool_())})
+
+
+def delete_folders(folders: DataFrame, tasks: int = 64) -> int:
+    """Delete ``folders(folder)``, by tasks; what a task's file-system client
+    can't reach is deleted through the session's. Returns how many."""
+    spark = folders.sparkSession
+    local = F.regexp_replace("folder", "^file:/+|^/", "file:///")
+    asked = folders.select(local.alias("folder")).distinct()
+    n = asked.count()
+    if n:
+        done = materialize(asked.repartition(min(tasks, n)).mapInArrow(_delete_folders, "folder string, deleted boolean"))
+        for r in done.filter("NOT deleted").toLocalIterator():
+            delete_path(spark, r["folder"])
+    return n
+
+
 # ---------------------------------------------------------------------------
 # File-system helpers (Hadoop FS through the session, so any shared store works)
 # ---------------------------------------------------------------------------
@@ -325,3 +454,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def delete_path(spark: SparkSession, path: str) -> bool:
     p, fs = _fs(spark, path)
     return bool(fs.delete(p, True))
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its store's scheme."""
+    p, fs = _fs(spark, path)
+    return fs.makeQualified(p).toString().rstrip("/")

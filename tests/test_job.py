@@ -98,8 +98,7 @@ def test_incremental_build_equals_full(spark):
     b = spark.read.parquet(full.model_table("int_pool_metrics"))
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    sa = spark.read.parquet(inc.model_table(job.STATE_TABLE))
-    sb = spark.read.parquet(full.model_table(job.STATE_TABLE))
+    sa, sb = (job.state_store(spark, p).read("last_rows") for p in (inc, full))
     assert sa.exceptAll(sb).count() == 0 and sb.exceptAll(sa).count() == 0
 
 
@@ -190,3 +189,48 @@ def test_market_share_path(spark):
     assert r.rows_loaded["market_share"] > 0
     fct = spark.table("fct_dex_market_share_daily")
     assert fct.count() > 0 and set(x[0] for x in fct.select("dex_name").distinct().collect()) <= {"raydium", "orca", "meteora"}
+
+
+def test_tables_are_found_by_name(spark, landed):
+    """Names are bound to settings and found by another session."""
+    from snapdeck.plans import catalog
+
+    cfg = Config(staging_start=dt.date(2001, 1, 1), calendar_start=dt.date(2001, 10, 1), min_latest_rows=1, min_latest_venues=1,
+                 raw_namespace="t_raw", staging_namespace="t_staging", marts_namespace="t_marts")
+    as_of = dt.datetime(2001, 11, 2, 3, tzinfo=dt.timezone.utc)
+    job.run(spark, landed, run_date=DAYS[0], cfg=cfg, as_of=as_of)
+    other = spark.newSession()
+    for name in ("raw_dex_pools", "stg_dex_pools", "int_pool_metrics", "fct_pool_trailing_24h", "dim_pool", "dim_token", "dim_date"):
+        found = catalog.table(other, name, cfg)
+        path = landed.raw_table(name) if name.startswith("raw") else landed.model_table(name)
+        assert found.count() == spark.read.parquet(path).count() > 0, name
+    # a later build's days are there too
+    job.run(spark, landed, run_date=DAYS[1], cfg=cfg, as_of=as_of, incremental=True)
+    assert other.table("t_marts.fct_pool_trailing_24h").select("snapshot_date").distinct().count() == len(
+        {r[0] for r in spark.read.parquet(landed.raw_table("raw_dex_pools")).select("snapshot_date").distinct().collect()}
+    )
+
+
+def test_cli_lands_and_retains(spark, scratch):
+    import json
+
+    import snapdeck.__main__ as cli
+    from snapdeck.sources import lake
+
+    root = scratch("cli")
+    day = dt.date(2026, 6, 2)
+    body = json.dumps({"data": {"data": [{"id": "a", "day": {"volume": 5000, "volumeFee": 1}, "tvl": 9000}], "hasNextPage": False}})
+    lake.land_pages(spark.createDataFrame([("raydium", day, 0, body)], "source string, snapshot_date date, page_no long, body string"), f"{root}/inbox")
+    lake.land_market_documents(spark.createDataFrame([(day, '{"protocols": [{"name": "orca", "total24h": 3}]}')], "snapshot_date date, body string"), f"{root}/inbox")
+    stop = spark.stop
+    spark.stop = lambda: None  # keep the shared test session alive
+    try:
+        args = ["--lake", f"{root}/lake", "--raw", f"{root}/raw", "--models", f"{root}/models"]
+        assert cli.main(["land", *args, "--inbox", f"{root}/inbox"]) == 0
+        assert lake.landed_slices(spark, f"{root}/lake").count() == 2
+        assert cli.main(["run", *args, "--inbox", f"{root}/inbox", "--date", day.isoformat(), "--skip-transform", "--sources", "raydium"]) == 0
+        assert spark.read.parquet(f"{root}/raw/raw_dex_pools").count() == 1 == spark.read.parquet(f"{root}/raw/raw_dex_market_share").count()
+        assert spark.read.parquet(f"{root}/lake/_manifest").count() == 2  # the second landing listed nothing again
+        assert cli.main(["retain", *args, "--dry-run"]) == 0 and lake.landed_slices(spark, f"{root}/lake").count() == 2
+    finally:
+        spark.stop = stop
