@@ -50,9 +50,11 @@ from pyspark.sql import types as T
 
 from snapdeck.llm._common import fits_broadcast, importable, map_rows, stage
 
-#: Hosts whose wrappers a task holds at once; the rest are given out early.
-HOSTS_AT_ONCE = 2_000
-SALTS = 32
+#: Nodes of wrappers that a task holds at once; beyond them it gives them out early.
+NODES_AT_ONCE = 200_000
+#: Wrappers of a host are aligned over so many partitions, then over so many,
+#: and last over all: a group stays small up to hundreds of thousands of them.
+LEVELS = (64, 4_096)
 BROADCAST_BYTES = 64 << 20
 #: Elements nested deeper have their content beside them.
 MAX_DEPTH = 200
@@ -612,9 +614,15 @@ def read(
 # -- Spark ---------------------------------------------------------------------
 
 
+def _size(nodes: list) -> int:
+    return len(nodes) + sum(_size(n[2]) for n in nodes if n[2])
+
+
 def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(host, html) to a wrapper for each host of the task."""
     held: dict[str, list] = {}
+    sizes: dict[str, int] = {}
+    total = 0
 
     def give() -> pa.RecordBatch:
         texts = [json.dumps(w, ensure_ascii=False) for w in held.values()]
@@ -624,9 +632,11 @@ def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             w = generalize(parse(page or ""), zlib.crc32((page or "").encode("utf-8", "replace")))
             held[host] = trim(align(held[host], w) if w and held.get(host) else w or held.get(host, []))
-        if len(held) > HOSTS_AT_ONCE:
-            yield give()
-            held = {}
+            n = 1 + _size(held[host])
+            total, sizes[host] = total + n - sizes.get(host, 0), n
+            if total > NODES_AT_ONCE:
+                yield give()
+                held, sizes, total = {}, {}, 0
     if held:
         yield give()
 
@@ -651,9 +661,11 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     partial_ones = importable(pages).select(host_of(url_col).alias("host"), F.col(html_col).alias("html")).mapInArrow(
         _infer, "host string, wrapper string"
     )
-    salted = partial_ones.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-    by_salt = salted.groupBy("host", "salt").applyInPandas(_align_group, "host string, wrapper string, salt int")
-    return by_salt.select("host", "wrapper").groupBy("host").applyInPandas(_align_group, "host string, wrapper string")
+    made = partial_ones.withColumn("part", F.spark_partition_id())
+    for span in LEVELS:
+        group = F.floor(F.col("part") / span).alias("group")
+        made = made.groupBy("host", group).applyInPandas(_align_group, "host string, wrapper string, part int")
+    return made.select("host", "wrapper").groupBy("host").applyInPandas(_align_group, "host string, wrapper string")
 
 
 def _regions(host, wrapper):
