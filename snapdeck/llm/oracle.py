@@ -119,8 +119,71 @@ def _quality(limits: Limits = Limits()) -> str:
     """
 
 
+_REPEATS = r"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+        FROM documents),
+    words AS (SELECT rid, doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM docs),
+    windows AS (
+        SELECT rid, doc_id, p, md5(string_agg(word, ' ') OVER ahead) AS g, count(*) OVER ahead AS n
+        FROM words WINDOW ahead AS (PARTITION BY rid ORDER BY p ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+    firsts AS (SELECT g, min(doc_id) AS least FROM windows WHERE n = 50 GROUP BY g),
+    copied AS (SELECT rid, p FROM windows JOIN firsts USING (g) WHERE n = 50 AND (least < doc_id OR doc_id IS NULL AND least IS NOT NULL)),
+    marked AS (
+        SELECT words.rid, words.p, word,
+               max(copied.p) OVER (PARTITION BY words.rid ORDER BY words.p ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+        FROM words LEFT JOIN copied ON words.rid = copied.rid AND words.p = copied.p),
+    cut AS (
+        SELECT rid, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (WHERE NOT gone) AS kept
+        FROM marked GROUP BY rid)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+           sha256(coalesce(kept, '')) AS kept_sha256
+    FROM docs LEFT JOIN cut USING (rid)
+"""
+
+_VARIANTS = r"""
+    WITH RECURSIVE steps AS (
+        SELECT list(c ORDER BY k) AS crc FROM (
+            SELECT k, list_reduce([CAST(k AS UBIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+                                  lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c
+            FROM range(256) AS t(k))),
+    runs AS (
+        SELECT doc_id, w, count(*) AS n FROM (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS w
+            FROM documents)
+        GROUP BY ALL),
+    hashed AS (
+        SELECT w, n, xor(4294967295, list_reduce(
+            list_prepend(CAST(4294967295 AS UBIGINT), list_transform(range(octet_length(b)), lambda i: CAST('0x' || substr(hex(b), 2 * i + 1, 2) AS UBIGINT))),
+            lambda c, x: xor(c >> 8, crc[CAST(xor(c, x) & 255 AS INTEGER) + 1]))) AS h
+        FROM (SELECT w, n, encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w) AS b FROM runs), steps),
+    vocab AS (
+        SELECT w, CAST(sum(n) AS BIGINT) AS n FROM (
+            SELECT CASE WHEN h % 31 = 0 THEN w[1 : CAST(h % length(w) AS INTEGER)] || w[CAST(h % length(w) AS INTEGER) + 2 :] ELSE w END AS w, n
+            FROM hashed)
+        WHERE length(w) >= 7 GROUP BY w HAVING sum(n) >= 2),
+    cut AS (SELECT w, n, i, w[1 : i - 1] AS head, w[i + 1 :] AS tail FROM (SELECT w, n, unnest(range(1, length(w) + 1)) AS i FROM vocab)),
+    shorter AS (SELECT DISTINCT cut.w AS x, v.w AS y FROM cut JOIN vocab v ON v.w = head || tail),
+    near AS (
+        SELECT a.w AS x, b.w AS y FROM cut a JOIN cut b ON a.head = b.head AND a.tail = b.tail AND a.w <> b.w
+        UNION ALL SELECT x, y FROM shorter UNION ALL SELECT y, x FROM shorter),
+    best AS (
+        SELECT x, count(*) AS n_near, first(y ORDER BY n DESC, y) AS y, max(n) AS form_n
+        FROM near JOIN vocab ON w = y GROUP BY x),
+    formed AS (SELECT w, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * n THEN y END AS form,
+                      CASE WHEN form_n >= 10 * n THEN form_n END AS form_n FROM vocab LEFT JOIN best ON x = w),
+    walk AS (
+        SELECT w, w AS reached FROM formed
+        UNION ALL SELECT walk.w, form FROM walk JOIN formed ON formed.w = walk.reached WHERE form IS NOT NULL)
+    SELECT w AS word, form, root, n, n_near, form_n
+    FROM formed JOIN (SELECT walk.w, reached AS root FROM walk JOIN formed ON formed.w = reached WHERE form IS NULL) USING (w)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_chat_collapse": _CHATS,
     "op5_winnowing": _BENCHMARK,
     "op6_quality_divergence": _quality(),
+    "op11_substring_dedup": _REPEATS,
+    "op12_spelling_variants": _VARIANTS,
 }

@@ -3,6 +3,7 @@
 import corpus_pipeline
 import public_tokenizers
 import tiktoken
+from tiktoken.load import load_tiktoken_bpe
 from snapdeck.llm import quality, secret_scan, simhash
 
 from tests.llm.test_native import brute_hits, brute_quality
@@ -57,26 +58,19 @@ def test_each_stage_against_brute_force(spark):
     assert hit and rows(clean) == {d: t for d, t in rows(one).items() if d not in hit}
 
     safe = stages["secret_scan"](spark, clean, sf).cache()
-    spans = {r.doc_id: r.spans for r in secret_scan.scan(clean).collect()}
+    spans, new = {r.doc_id: r.spans for r in secret_scan.scan(clean).collect()}, rows(safe)
     for d, text in rows(clean).items():
         cut = sorted((int(a), int(b)) for _, a, b in (s.rsplit(":", 2) for s in spans[d].split(",") if s))
-        keeps, at = [], 0
-        for a, b in cut:
-            keeps.append(text[at:a])
+        at = where = 0
+        for a, b in [*cut, (len(text), len(text))]:  # what is outside of the spans is there, in order
+            outside = text[at:a]
+            where = new[d].index(outside, where) + len(outside)
             at = max(at, b)
-        parts = [*keeps, text[at:]]
-        left, where = rows(safe)[d] if not cut else None, 0
-        if not cut:
-            assert left == text
-        else:  # what is outside of the spans is there, in order; what is inside isn't
-            new = rows(safe)[d]
-            for p in parts:
-                where = new.index(p, where) + len(p)
-            assert all(text[a:b] not in new for a, b in cut)
+        assert (new[d] == text) == (not cut) and all(text[a:b] not in new[d] for a, b in cut)
 
     out = stages["byte_bpe"](spark, safe, sf).collect()
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    enc = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=tiktoken.load.load_tiktoken_bpe(path), special_tokens={})
+    enc = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_tiktoken_bpe(path), special_tokens={})
     texts = rows(safe)
     assert {r.doc_id: list(r.ids) for r in out} == {d: enc.encode_ordinary(t) for d, t in texts.items()}
     assert len(out) == len(texts)
