@@ -96,17 +96,26 @@ def pool_metrics(stg: DataFrame, cfg: Config = DEFAULT, totals_form: str = "scal
         with_w = base.withColumn("volume_7d_avg", rolling_rows_avg(vol, keys, order).cast("double")).withColumn(
             "_vol_7_ago", lag_rows(vol, keys, order, 7)
         )
-    return with_w.select(
+    return row_metrics(with_w).select(
         *POOL_METRIC_COLUMNS[:14],
         ratio_or_zero(vol, "dex_total_24h_volume", 100.0).alias("pool_share_of_dex_pct"),
         ratio_or_zero(vol, "market_total_24h_volume", 100.0).alias("pool_share_of_market_pct"),
-        ratio_or_zero("trailing_24h_fees_usd", vol, 100.0).alias("fee_rate_pct"),
-        ratio_or_zero(vol, "tvl_usd").alias("volume_to_tvl_ratio"),
+        "fee_rate_pct",
+        "volume_to_tvl_ratio",
         "volume_7d_avg",
         ratio_or_null(F.col(vol) - F.col("_vol_7_ago"), "_vol_7_ago", 100.0).alias("volume_wow_pct_change"),
     )
 
 
+def row_metrics(stg: DataFrame) -> DataFrame:
+    """The metrics of M3 that a row has by itself (fee rate, turnover): no
+    totals and no frames, so a filter on a day reaches the scan."""
+    vol = "trailing_24h_volume_usd"
+    return stg.withColumns(
+        {"fee_rate_pct": ratio_or_zero("trailing_24h_fees_usd", vol, 100.0), "volume_to_tvl_ratio": ratio_or_zero(vol, "tvl_usd")}
+    )
+
+
 def fct_pool(metrics: DataFrame) -> DataFrame:
     """M5: the pool fact, keyed for the star joins."""
     return metrics.select(

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapdeck import config as _c
-from snapdeck.functions import safe_double, split_pair
+from snapdeck.functions import safe_double, split_pair, surrogate_key
 from snapdeck.operators import checks as ck
 from snapdeck.operators.joins import materialize
 from snapdeck.plans import serving as sv
@@ -426,8 +426,9 @@ def q_status_tables(spark, sf_dir):
         {
             "raw_dex_pools": raw_pools(spark, sf_dir),
             "raw_dex_market_share": raw_market(spark, sf_dir),
-            "fct_pool_trailing_24h": fct_pool(spark, sf_dir),
-            "fct_dex_market_share_daily": fct_ms(spark, sf_dir),
+            # the facts have the rows of their staging tables (M3-M6 add columns only)
+            "fct_pool_trailing_24h": stg(spark, sf_dir),
+            "fct_dex_market_share_daily": stg_ms(spark, sf_dir),
         }
     )
 
@@ -458,7 +459,7 @@ _EFF_COLS = ["snapshot_date", "dex_name", "pool_address", "trailing_24h_volume_u
 )
 def q_top_pools_by_fees(spark, sf_dir):
     """V5 (J3, O5): top 10 pools by fees in the latest snapshot."""
-    return sv.top_pools_by_fees(fct_pool(spark, sf_dir), 10)
+    return sv.top_pools_by_fees(models.row_metrics(stg(spark, sf_dir)), 10)
 
 
 FEE_RATE_MIN_DAYS = 400
@@ -479,7 +480,9 @@ FEE_RATE_MIN_DAYS = 400
 def q_fee_rates(spark, sf_dir):
     """V6 (J5): fee rates of established pools (seen on >= 400 days)."""
     s = materialize(stg(spark, sf_dir))
-    return sv.fee_rates_established(fct_pool(spark, sf_dir, s), dims.dim_pool(s), FEE_RATE_MIN_DAYS)
+    # fee rates are row by row: no totals, no frames
+    rated = models.row_metrics(s).select(surrogate_key("pool_address").alias("pool_key"), "fee_rate_pct")
+    return sv.fee_rates_established(rated, dims.dim_pool(s), FEE_RATE_MIN_DAYS)
 
 
 @register(
@@ -489,7 +492,7 @@ def q_fee_rates(spark, sf_dir):
 )
 def q_capital_efficiency(spark, sf_dir):
     """V7 (J3, O5)."""
-    return sv.capital_efficiency(fct_pool(spark, sf_dir), 10)
+    return sv.capital_efficiency(models.row_metrics(stg(spark, sf_dir)), 10)
 
 
 @register(

@@ -14,11 +14,13 @@ from snapdeck.operators.by_range import row_frames
 from snapdeck.operators.joins import materialize
 from snapdeck.plans import catalog, dims, job, models, oracle as O
 from snapdeck.plans import increments as inc
+from snapdeck.plans import serving as sv
 from snapdeck.plans.registry import (
     AS_OF_TS,
     PM_DOUBLES,
     _cfg,
     _PAGES_CTES,
+    fct_ms,
     raw_market,
     raw_pools,
     register,
@@ -350,6 +352,28 @@ def q_error_alert_corrections(spark, sf_dir):
     return alerts.corrections(events, made.alerts)
 
 
+# --- status of stored tables (V2) ----------------------------------------------------------
+
+
+@register(
+    "status_tables_stored",
+    O.with_ctes(
+        "SELECT * FROM (SELECT 'stg_dex_pools' AS tbl, MAX(snapshot_date) AS last_snapshot, COUNT(*) AS rows_total FROM stg "
+        "UNION ALL SELECT 'raw_dex_market_share', MAX(snapshot_date), COUNT(*) FROM raw_ms "
+        "UNION ALL SELECT 'fct_dex_market_share_daily', MAX(snapshot_date), COUNT(*) FROM fct_ms) AS _t ORDER BY tbl",
+        O.FX1, O.STG, O.FX2, O.RAW_MS, O.STG_MS, O.MSM, O.FCT_MS,
+    ),
+)
+def q_status_tables_stored(spark, sf_dir):
+    """V2 (A8, U2, O3) over stored tables: counts and newest days from the
+    Parquet footers."""
+    root = scratch_path(spark, "stored")
+    made = {"stg_dex_pools": stg(spark, sf_dir), "raw_dex_market_share": raw_market(spark, sf_dir), "fct_dex_market_share_daily": fct_ms(spark, sf_dir)}
+    for name, df in made.items():
+        df.write.parquet(f"{root}/{name}")
+    return sv.stored_status(spark, {name: f"{root}/{name}" for name in made})
+
+
 # --- storage paths and names (F19, S12, S13) -----------------------------------------------
 
 

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapdeck.config import DEFAULT, Config
 from snapdeck.functions import hours_between, ratio_or_zero, status_band, table_type_label
 from snapdeck.operators.checks import latest_slice
+from snapdeck.sources import lake
 
 
 def hours_since_last_snapshot(raw_pools: DataFrame, as_of: Column, cfg: Config = DEFAULT) -> DataFrame:
@@ -36,6 +37,37 @@ def table_status(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).orderBy("tbl")
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session of the same context whose Parquet reader answers counts and
+    extremes from file footers (aggregate push-down of the V2 source)."""
+    own = spark.newSession()
+    listed = own.conf.get("spark.sql.sources.useV1SourceList").split(",")
+    own.conf.set("spark.sql.sources.useV1SourceList", ",".join(s for s in listed if s.strip() != "parquet"))
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own
+
+
+def footer_aggregate(spark: SparkSession, path: str, day_col: str = "snapshot_date") -> DataFrame:
+    """(last_snapshot, rows_total) of a stored table, from footers alone: no
+    row group is read. Days of a DAY-partitioned table are folder names, and
+    come from a listing."""
+    stored = footer_session(spark).read.parquet(path)
+    if not lake.is_partitioned_by(spark, path, day_col):
+        return stored.agg(F.max(day_col).alias("last_snapshot"), F.count("*").alias("rows_total"))
+    return stored.agg(F.count("*").alias("rows_total"))
+
+
+def stored_status(spark: SparkSession, tables: dict[str, str], day_col: str = "snapshot_date") -> DataFrame:
+    """V2 over stored tables (name -> path): newest snapshot date and row
+    count, without reading any row. One row a table reaches the driver."""
+    rows = []
+    for name, path in tables.items():
+        found = footer_aggregate(spark, path, day_col).first()
+        last = found["last_snapshot"] if "last_snapshot" in found else lake.day_signatures(spark, path, day_col).agg(F.max(day_col)).first()[0]
+        rows.append((name, last, found["rows_total"]))
+    return spark.createDataFrame(rows, "tbl string, last_snapshot date, rows_total long").orderBy("tbl")
+
+
 def rows_vs_7d(raw_pools: DataFrame) -> DataFrame:
     """V3: rows in the latest snapshot vs the rounded mean of the latest 7 daily counts."""
     daily = raw_pools.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("c"))

@@ -261,6 +261,12 @@ def read_table(spark: SparkSession, table_path: str, schema: T.StructType | None
     return r.parquet(table_path)
 
 
+def is_partitioned_by(spark: SparkSession, table_path: str, col: str) -> bool:
+    """Whether the table's folder holds partition folders of ``col``."""
+    p, fs = _fs(spark, table_path)
+    return any(st.isDirectory() and st.getPath().getName().startswith(f"{col}=") for st in fs.listStatus(p))
+
+
 def has_rows_on_disk(spark: SparkSession, table_path: str) -> bool:
     """The table folder exists and holds at least one data file."""
     if not path_exists(spark, table_path):
@@ -325,9 +331,11 @@ def load_slices(
         # so only the named date partitions are read (no shuffle of the table)
         affected = table.join(F.broadcast(dates) if small else dates, partition_col, "left_semi")
         if not overwrite:
-            present = affected.select(*keys).distinct()
-            skipped = join_small(incoming, present, keys, "left_semi", max_bytes=cfg.broadcast_max_bytes).count()
-            rows = join_small(rows, present, keys, "left_anti", max_bytes=cfg.broadcast_max_bytes)
+            # read from the table once, for the count and for the rows
+            present, _ = bounded_broadcast(affected.select(*keys).distinct(), cfg.broadcast_max_bytes)
+            skipped = incoming.join(present, keys, "left_semi").count()
+            if skipped:
+                rows = rows.join(present, keys, "left_anti").select(*rows.columns)
         else:
             # rows of the affected dates that belong to other slices; written
             # out first because the job then overwrites the folders it read

@@ -24,7 +24,7 @@ def same(x, y):
 
 @pytest.fixture(scope="module")
 def rows(spark):
-    out = fx.fx1_pools(spark, SF_SMALL).filter((F.col("snapshot_date") >= dt.date(2001, 8, 1)) & F.col("trailing_24h_volume_usd").isNotNull())
+    out = fx.fx1_pools(spark, SF_SMALL).filter((F.col("snapshot_date") >= dt.date(2001, 9, 10)) & F.col("trailing_24h_volume_usd").isNotNull())
     return out.cache()
 
 
@@ -114,7 +114,7 @@ def test_failed_check_leaves_the_published_table(spark, rows, built):
 def test_other_settings_ask_for_a_full_build(spark, built):
     mine, _, _ = built
     raw = spark.read.parquet(mine.raw_table("raw_dex_pools"))
-    later = Config(staging_start=dt.date(2001, 9, 1))
+    later = Config(staging_start=dt.date(2001, 9, 20))
     assert job.find_increment(spark, mine, raw, later) is None and job.find_increment(spark, mine, raw, CFG) is not None
 
 

@@ -62,3 +62,25 @@ def test_latest_slice_is_a_scalar_subquery_pushed_to_the_scan(spark, scratch):
 def test_totals_never_shuffle_rows_by_date(spark):
     p = plan(models.pool_metrics(staged(spark), fx.fixture_config()))
     assert not any(e.startswith("hashpartitioning(snapshot_date") for e in exchanges(p))
+
+
+def test_star_beyond_the_bound_keeps_the_buckets(spark, scratch):
+    """Pools over the broadcast bound: fact and pools are saved in buckets of
+    the pool key, and their join has no exchange."""
+    stg, cfg = staged(spark), fx.fixture_config()
+    fact = models.fct_pool(models.pool_metrics(stg, cfg))
+    pools, tokens, dates = dims.dim_pool(stg), materialize(dims.dim_token(stg)), materialize(dims.date_dim_for(fx.fx1_pools(spark, SF_SMALL), cfg))
+    want = star.star(fact, pools, tokens, dates, cfg)
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS t_star LOCATION '{scratch('ns')}'")
+    f = star.save_bucketed(fact, "t_star.fct", scratch("fct"), "pool_key", 4)
+    p = star.save_bucketed(pools, "t_star.pools", scratch("pools"), "pool_key", 4)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = star.join_dimension(f, p.select("pool_key", "pool_address"), "pool_key", "pool_key", "inner", 1, stored=True)
+        text = plan(joined)
+        assert "SortMergeJoin" in text and exchanges(text) == []
+        got = star.star(f, p, tokens, dates, cfg, stored=True)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

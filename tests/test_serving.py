@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from snapdeck.functions import canonical_label, contains_any
 from snapdeck.plans import serving as sv
+from snapdeck.sources import fixtures as fx
+
+from conftest import SF_SMALL
 
 AS_OF = dt.datetime(2026, 6, 10, 12, tzinfo=dt.timezone.utc)
 
@@ -48,3 +51,18 @@ def test_text_predicates_with_nulls(spark):
     df = spark.createDataFrame([(None,), ("Orca Whirlpools",), ("x",)], "n string")
     got = [tuple(r) for r in df.select(contains_any("n", ["orca"]), canonical_label("n", ["orca"])).collect()]
     assert got == [(False, None), (True, "orca"), (False, "x")]
+
+
+def test_stored_status_reads_footers_only(spark, scratch):
+    """Counts and newest days without a row group, of plain and DAY-partitioned tables."""
+    from snapdeck.sources import lake, schemas
+
+    raw = fx.fx1_pools(spark, SF_SMALL).filter("snapshot_date >= DATE'2001-08-01'")
+    plain, days = scratch("plain"), scratch("days")
+    lake.conform(raw, schemas.RAW_POOLS).write.parquet(plain)
+    lake.load_slices(raw, days, schema=schemas.RAW_POOLS)
+    want = raw.agg(F.max("snapshot_date"), F.count("*")).first()
+    got = {r.tbl: (r.last_snapshot, r.rows_total) for r in sv.stored_status(spark, {"a": plain, "b": days}).collect()}
+    assert got == {"a": tuple(want), "b": tuple(want)}
+    plan = sv.footer_aggregate(spark, plain)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(snapshot_date), COUNT(*)]" in plan
