@@ -11,7 +11,8 @@ words is a duplicate span, and its words go.
    is the index under which every block lies that could hold a window, and a
    block meets all reference blocks that matter, not all that there are.
 2. Whole blocks. Blocks of the same words are one reference block, told by
-   128 bits of their words, with the smallest document that has it. A block
+   128 bits (64 of the anchor's words, 64 of all), with the smallest document
+   that has it. A block
    found in a smaller document is copied whole; that's where nearly all of a
    factor comes from, and hot passages cost one row a task.
 3. Factor boundaries. A factor ends inside a block that differs from the other
@@ -117,7 +118,7 @@ def _sliding_min(a: np.ndarray, width: int) -> np.ndarray:
 
 
 def blocks_of(words: list[bytes], window: int = WINDOW, k: int = K) -> Iterator[tuple[np.ndarray, ...]]:
-    """Arrays (start, n_windows, anchor, c1, c2), in pieces: the blocks of a text."""
+    """Arrays (start, n_windows, anchor, content), in pieces: the blocks of a text."""
     total = len(words) - window + 1
     for first in range(0, total, WINDOWS_AT_ONCE):
         n = min(WINDOWS_AT_ONCE, total - first)
@@ -130,8 +131,8 @@ def blocks_of(words: list[bytes], window: int = WINDOW, k: int = K) -> Iterator[
         starts = np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1]])
         counts = np.diff(np.r_[starts, n])
         stops = starts + counts + window - 1
-        c1, c2 = (_mixed(rolling.of(lane, starts, stops)) for lane in (0, 1))
-        yield starts + first, counts, grams[anchors[starts]], c1, c2
+        # the anchor's hash is of the first lane, the content's of the second
+        yield starts + first, counts, grams[anchors[starts]], _mixed(rolling.of(1, starts, stops))
 
 
 def windows_of(words: list[bytes], start: int, count: int, window: int = WINDOW) -> Iterator[tuple[np.ndarray, ...]]:
@@ -189,7 +190,8 @@ def _emit_windows(schema: pa.Schema, window: int, batches: Iterator[pa.RecordBat
         for row, raw, spans in zip(keys, batch.column(3), batch.column(4)):
             words = split_words(raw.as_py())
             runs: list[list[int]] = []  # neighbouring blocks are hashed at once
-            for start, count in sorted((s["start"], s["count"]) for s in spans.as_py()):
+            flat = spans.as_py()
+            for start, count in zip(flat[::2], flat[1::2]):
                 if runs and runs[-1][0] + runs[-1][1] == start:
                     runs[-1][1] += count
                 else:
@@ -215,18 +217,34 @@ def parse(spans: list[dict], window: int = WINDOW) -> list[tuple]:
     return [(start, count + window - 1, ref, ref_start) for start, count, ref, ref_start in factors]
 
 
-def _cut(window: int, ident, raw: bytes, spans: list[dict] | None) -> tuple[tuple]:
-    words = split_words(raw)
-    factors = parse(spans or [], window)
+def covered(factors: list[tuple]) -> list[int]:
+    """The words that factors cover, as merged start, end, start, end, ..."""
+    out: list[int] = []
+    for start, n, *_ in factors:
+        if out and start <= out[-1]:
+            out[-1] = max(out[-1], start + n)
+        else:
+            out += [start, start + n]
+    return out
+
+
+def _parsed(window: int, ident, t1: int, t2: int, spans: list[dict]) -> tuple[tuple]:
+    names, factors = ("start", "n_words", "ref_id", "ref_start"), parse(spans, window)
+    return ((ident, t1, t2, covered(factors), [dict(zip(names, f)) for f in factors]),)
+
+
+def _cut(ident, raw: bytes, cuts: list[int] | None) -> tuple[tuple]:
+    words, cuts = split_words(raw), cuts or []
     kept, at = [], 0
-    for start, n, _, _ in factors:
-        if start > at:
-            kept.extend(words[at:start])
-        at = max(at, start + n)
+    for start, end in zip(cuts[::2], cuts[1::2]):
+        kept.extend(words[at:start])
+        at = end
     kept.extend(words[at:])
-    removed = len(words) - len(kept)
-    named = [dict(zip(("start", "n_words", "ref_id", "ref_start"), f)) for f in factors]
-    return ((ident, len(words), removed, b" ".join(kept).decode("utf-8"), named),)
+    return ((ident, len(words), len(words) - len(kept), b" ".join(kept).decode("utf-8"), cuts),)
+
+
+def _cutter():
+    return _cut
 
 
 # -- Spark ------------------------------------------------------------------
@@ -253,64 +271,92 @@ def _smaller() -> Column:
     return F.coalesce(F.col("ref.id") < F.col("id"), F.col("ref").isNotNull())
 
 
+#: Bytes up to which an index is broadcast. Small: indexes grow with the texts,
+#: and a plan that changes with the size can't be measured on less.
+INDEX_BYTES = 4 << 20
+
+
+def _joined(rows: DataFrame, index: DataFrame, keys: list[str]) -> DataFrame:
+    return join_measured(rows, index, keys, max_bytes=INDEX_BYTES)
+
+
 def copied_windows(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame:
     """(id, t1, t2, spans): for each row of ``_documents`` with windows that a
     smaller document has, these windows as runs (start, count, ref)."""
     kept = [f for f in docs.schema if f.name in ROW]
     of = lambda kind, *names: [T.StructField(n, kind) for n in names]
-    schema = T.StructType([*kept, *of(T.IntegerType(), "start", "count"), *of(T.LongType(), "anchor", "c1", "c2")])
+    schema = T.StructType([*kept, *of(T.IntegerType(), "start", "count"), *of(T.LongType(), "anchor", "content")])
     blocks = importable(docs).mapInArrow(partial(_emit_blocks, to_arrow_schema(schema), window, k), schema)
     blocks = stage(blocks, "relative-lz-blocks")
 
     # the index: under each anchor, the smallest document and whether the blocks differ
     index = blocks.groupBy("anchor").agg(
-        _pointer(),
-        F.count("*").alias("n"),
-        *[f(c).alias(f"{f.__name__}_{c}") for c in ("c1", "c2") for f in (F.min, F.max)],
-    )
-    index = index.filter("n > 1 AND ref IS NOT NULL").select(
-        "anchor", "ref", ((F.col("min_c1") != F.col("max_c1")) | (F.col("min_c2") != F.col("max_c2"))).alias("differ")
+        _pointer(), F.count("*").alias("n"), F.min("content").alias("least"), F.max("content").alias("most")
     )
-    met = stage(join_measured(blocks, stage(index, "relative-lz-index"), ["anchor"]), "relative-lz-met")
+    index = index.filter("n > 1 AND ref IS NOT NULL").select("anchor", "ref", (F.col("least") != F.col("most")).alias("differ"))
+    met = stage(_joined(blocks, stage(index, "relative-lz-index"), ["anchor"]), "relative-lz-met")
     copied = met.filter(~F.col("differ") & _smaller()).select(*ROW, "start", "count", "ref")
 
     # anchors with several reference blocks
     several = met.filter("differ").drop("ref", "differ")
-    classes = stage(several.groupBy("anchor", "c1", "c2").agg(_pointer()), "relative-lz-classes")
-    several = stage(join_measured(several, classes, ["anchor", "c1", "c2"]), "relative-lz-several")
+    classes = stage(several.groupBy("anchor", "content").agg(_pointer()), "relative-lz-classes")
+    several = stage(_joined(several, classes, ["anchor", "content"]), "relative-lz-several")
     copied = copied.unionByName(several.filter(_smaller()).select(*ROW, "start", "count", "ref"))
 
     # factor boundaries: the windows of each reference block's first document
-    first = several.filter(~_smaller()).groupBy(*ROW).agg(F.collect_set(F.struct("start", "count")).alias("spans"))
+    first = several.filter(~_smaller()).groupBy(*ROW).agg(F.array_sort(F.collect_set(F.struct("start", "count"))).alias("spans"))
+    first = first.withColumn("spans", F.flatten(F.transform("spans", lambda s: F.array(s["start"], s["count"]))))
     texts = join_measured(docs, stage(first, "relative-lz-first"), ROW).select(*ROW, "raw", "spans")
     schema = T.StructType([*kept, *of(T.IntegerType(), "start"), *of(T.LongType(), "c1", "c2")])
     windows = importable(texts).mapInArrow(partial(_emit_windows, to_arrow_schema(schema), window), schema)
     windows = stage(windows, "relative-lz-windows")
     least = windows.groupBy("c1", "c2").agg(_pointer(), F.count("*").alias("n")).filter("n > 1").drop("n")
-    again = join_measured(windows, stage(least, "relative-lz-least"), ["c1", "c2"]).filter(_smaller())
+    again = _joined(windows, stage(least, "relative-lz-least"), ["c1", "c2"]).filter(_smaller())
     copied = copied.unionByName(again.select(*ROW, "start", F.lit(1).alias("count"), "ref"))
     return copied.groupBy(*ROW).agg(F.collect_set(F.struct("start", "count", "ref")).alias("spans"))
 
 
+def _parses(docs: DataFrame, window: int, k: int) -> DataFrame:
+    """(id, t1, t2, cuts, factors): the parse of each row that has a factor."""
+    copied = copied_windows(docs, window, k)
+    ident = copied.schema["id"].dataType
+    factor = T.StructType(
+        [T.StructField(n, ident if n == "ref_id" else T.IntegerType()) for n in ("start", "n_words", "ref_id", "ref_start")]
+    )
+    schema = T.StructType(
+        [
+            *[f for f in copied.schema if f.name in ROW],
+            T.StructField("cuts", T.ArrayType(T.IntegerType())),
+            T.StructField("factors", T.ArrayType(factor)),
+        ]
+    )
+    return map_rows(copied, [*ROW, "spans"], schema, partial(partial, _parsed, window))
+
+
+def factors(
+    df: DataFrame, window: int = WINDOW, k: int = K, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(id, start, n_words, ref_id, ref_start): the factors of the documents, in
+    words from 0. Rows of one id and text are given once."""
+    parses = _parses(_documents(df, id_col, text_col), window, k)
+    return parses.select(F.col("id").alias(id_col), F.inline("factors"))
+
+
 def deduplicate(
     df: DataFrame, window: int = WINDOW, k: int = K, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, n_words, n_removed, kept, factors) for every row: ``kept`` are the
-    words outside of factors, joined by spaces; ``factors`` are (start, n_words,
-    ref_id, ref_start), in words from 0."""
+    """(id, n_words, n_removed, kept, cuts) for every row: ``kept`` are the
+    words outside of factors, joined by spaces; ``cuts`` are the words that
+    went, as start, end, start, end, ... from 0."""
     docs = _documents(df, id_col, text_col)
-    spans = stage(copied_windows(docs, window, k), "relative-lz-spans")
-    ident = df.schema[id_col].dataType
-    of = lambda kind, *names: [T.StructField(n, kind) for n in names]
-    factor = T.StructType(
-        [*of(T.IntegerType(), "start", "n_words"), T.StructField("ref_id", ident), *of(T.IntegerType(), "ref_start")]
-    )
+    cuts = stage(_parses(docs, window, k).select(*ROW, "cuts"), "relative-lz-cuts")
     schema = T.StructType(
         [
-            T.StructField(id_col, ident),
-            *of(T.LongType(), "n_words", "n_removed"),
+            T.StructField(id_col, df.schema[id_col].dataType),
+            T.StructField("n_words", T.LongType()),
+            T.StructField("n_removed", T.LongType()),
             T.StructField("kept", T.StringType()),
-            T.StructField("factors", T.ArrayType(factor)),
+            T.StructField("cuts", T.ArrayType(T.IntegerType())),
         ]
     )
-    return map_rows(join_measured(docs, spans, ROW, "left"), ["id", "raw", "spans"], schema, partial(partial, _cut, window))
+    return map_rows(join_measured(docs, cuts, ROW, "left"), ["id", "raw", "cuts"], schema, _cutter)

@@ -31,18 +31,21 @@ def brute(rows, window=50):
     return out
 
 
-def same(df, rows, window=50):
-    got = df.collect()
+def same(data, rows, **parameters):
+    window = parameters.get("window", 50)
+    got = relative_lz.deduplicate(data, **parameters).collect()
     key = lambda r: tuple(map(str, r))
     assert sorted(((*r[:4],) for r in got), key=key) == sorted(brute(rows, window), key=key)
     texts = {}
     for i, t in rows:
         texts.setdefault(i, []).append(words_of(t))
-    for r in got:  # factors are copies, and long enough
-        for f in r.factors:
-            assert f.n_words >= window and f.ref_id is not None and (r[0] is None or f.ref_id < r[0])
-            there = [w[f.ref_start : f.ref_start + f.n_words] for w in texts[f.ref_id]]
-            assert any(w[f.start : f.start + f.n_words] in there for w in texts[r[0]])
+    assert all(r.n_removed == sum(r.cuts[1::2]) - sum(r.cuts[::2]) for r in got)
+    found = relative_lz.factors(data, **parameters).collect()
+    assert {f.doc_id for f in found} == {r[0] for r in got if r.n_removed}
+    for f in found:  # factors are copies, and long enough
+        assert f.n_words >= window and f.ref_id is not None and (f.doc_id is None or f.ref_id < f.doc_id)
+        there = [w[f.ref_start : f.ref_start + f.n_words] for w in texts[f.ref_id]]
+        assert any(w[f.start : f.start + f.n_words] in there for w in texts[f.doc_id])
 
 
 def test_query_against_brute_force(spark, documents):
@@ -55,7 +58,7 @@ def test_query_against_brute_force(spark, documents):
 
 def test_odd_rows(odd, none):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
-    same(relative_lz.deduplicate(odd), rows)
+    same(odd, rows)
     assert relative_lz.deduplicate(none).collect() == []
 
 
@@ -80,8 +83,8 @@ def test_shared_passages(spark, letters):
                     w[rng.randrange(len(w))] = word()
         rows.append((rng.choice([None, i, i, i, i // 2, -i]), rng.choice([" ", "\n", "\t "]).join(w)))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    same(relative_lz.deduplicate(df), rows)
-    same(relative_lz.deduplicate(df, window=12, k=4), rows, 12)
+    same(df, rows)
+    same(df, rows, window=12, k=4)
 
 
 def test_blocks_end_where_pieces_end(monkeypatch):
@@ -99,4 +102,4 @@ def test_text_of_several_pieces(spark, monkeypatch):
     rng = random.Random(6)
     long = " ".join(str(rng.randrange(10**6)) for _ in range(150_000))
     rows = [(1, long), (2, "x " + long), (3, long[:2000])]
-    same(relative_lz.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")), rows)
+    same(spark.createDataFrame(rows, "doc_id long, text string"), rows)
