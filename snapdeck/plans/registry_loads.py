@@ -30,6 +30,7 @@ from snapdeck.session import scratch_path
 from snapdeck.sources import fixtures as fx
 from snapdeck.sources import ingest as ing
 from snapdeck.sources import lake
+from snapdeck.sources import schemas as sch
 from snapdeck.streaming import alerts
 
 # --- slices loaded again (S11, R3, M3, D3, D4) ------------------------------
@@ -424,3 +425,75 @@ def q_tables_by_name(spark, sf_dir):
     other = spark.newSession()
     counts = [(*full.split("."), other.table(full).count()) for full in catalog.bind(spark, paths, _cfg())]
     return spark.createDataFrame(counts, "namespace string, name string, n_rows long")
+
+
+# --- probes and deletions of slices (S9, S10) -------------------------------------------------
+
+
+@register(
+    "slice_delete",
+    O.with_ctes(
+        "SELECT f.snapshot_date, f.dex_name, COUNT(*) AS n_rows, TRUE AS whole "
+        "FROM fx1 f, (SELECT MIN(snapshot_date) AS first_day, MAX(snapshot_date) AS last_day, "
+        "MIN(dex_name) FILTER (WHERE snapshot_date = (SELECT MIN(snapshot_date) FROM fx1)) AS first_dex FROM fx1) b "
+        "WHERE f.snapshot_date <> last_day AND NOT (f.snapshot_date = first_day AND f.dex_name = first_dex) "
+        "GROUP BY f.snapshot_date, f.dex_name",
+        O.FX1,
+    ),
+)
+def q_slice_delete(spark, sf_dir):
+    """The first day loses one venue, the last day goes whole; what is
+    left, by slice. ``whole``: the probe agrees with the rows."""
+    raw = materialize(raw_pools(spark, sf_dir))
+    path = scratch_path(spark, "raw_dex_pools")
+    lake.load_slices(raw, path, schema=sch.RAW_POOLS)
+    first, last = raw.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
+    venue = raw.filter(F.col("snapshot_date") == F.lit(first)).agg(F.min("dex_name")).first()[0]
+    had = lake.slice_exists(spark, path, first, venue) and lake.slice_exists(spark, path, last)
+    lake.delete_slice(spark, path, first, venue)
+    lake.delete_slice(spark, path, last)
+    left = lake.slice_exists(spark, path, first, venue) or lake.slice_exists(spark, path, last)
+    rest = spark.read.parquet(path).groupBy("snapshot_date", "dex_name").agg(F.count(F.lit(1)).alias("n_rows"))
+    return rest.withColumn("whole", F.lit(had and not left))
+
+
+# --- a check that fires, and exact measures (C7, M1, D3) -----------------------------------------
+
+
+@register(
+    "check_latest_without_a_venue",
+    O.with_ctes(
+        O.latest_distinct_sql("gap", "dex_name", 3),
+        O.FX1, O.STG,
+        "gap AS (SELECT * FROM stg WHERE NOT (dex_name = 'orca' AND snapshot_date > (SELECT MAX(snapshot_date) FROM stg) - 30))",
+    ),
+)
+def q_check_latest_without_a_venue(spark, sf_dir):
+    """Orca's feed stopped 30 days ago, so the latest snapshot misses it."""
+    s = materialize(stg(spark, sf_dir))
+    since = F.date_sub(s.select(F.max("snapshot_date")).scalar(), 30)
+    return ck.latest_min_distinct(s.filter(~((F.col("dex_name") == "orca") & (F.col("snapshot_date") > since))), "dex_name", 3)
+
+
+@register(
+    "exact_measures",
+    O.with_ctes(
+        "SELECT pool_address, snapshot_date, CAST(trailing_24h_volume_usd AS VARCHAR) AS volume, CAST(trailing_24h_fees_usd AS VARCHAR) AS fees, "
+        "CAST(tvl_usd AS VARCHAR) AS tvl FROM stg UNION ALL "
+        "SELECT pool_address, NULL, CAST(lifetime_observed_volume_usd AS VARCHAR), CAST(lifetime_observed_fees_usd AS VARCHAR), NULL FROM dim_pool",
+        O.FX1, O.STG, O.DIM_POOL,
+    ),
+)
+def q_exact_measures(spark, sf_dir):
+    """M1, D3: decimal(38,9) measures and lifetime sums digit by digit."""
+    s = materialize(stg(spark, sf_dir))
+    text = lambda c: F.col(c).cast("string")
+    rows = s.select("pool_address", "snapshot_date", text("trailing_24h_volume_usd").alias("volume"), text("trailing_24h_fees_usd").alias("fees"), text("tvl_usd").alias("tvl"))
+    life = dims.dim_pool(s).select(
+        "pool_address",
+        F.lit(None).cast("date").alias("snapshot_date"),
+        text("lifetime_observed_volume_usd").alias("volume"),
+        text("lifetime_observed_fees_usd").alias("fees"),
+        F.lit(None).cast("string").alias("tvl"),
+    )
+    return rows.unionByName(life)

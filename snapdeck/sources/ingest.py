@@ -91,7 +91,7 @@ SLICE = ["source", "snapshot_date"]
 
 
 def _last_volume(source: str, items: Column) -> Column:
-    last = F.element_at(items, -1)
+    last = F.get(items, F.size(items) - 1)  # null of a page without items
     if source == "raydium":
         v = last.getField("day").getField("volume")
     elif source == "orca":
@@ -103,7 +103,10 @@ def _last_volume(source: str, items: Column) -> Column:
 
 def parse_pages(pages: DataFrame, source: str) -> DataFrame:
     """Parse page bodies of one feed: (source, snapshot_date, page_no, items, meta...)."""
-    pg = strict_json("body", schemas.POOL_PAGE[source], f"unparsable {source} page").alias("pg")
+    # the condition stands in the expression too: filters that Spark infers from
+    # the items may run before the one on the source, over other feeds' pages
+    body = strict_json("body", schemas.POOL_PAGE[source], f"unparsable {source} page")
+    pg = F.when(F.col("source") == source, body).alias("pg")
     # the file that a page was read from, where the pages come from files
     file = F.col("source_file") if "source_file" in pages.columns else F.lit(None).cast("string").alias("source_file")
     p = pages.filter(F.col("source") == source).select("source", "snapshot_date", "page_no", file, pg)
@@ -115,7 +118,20 @@ def parse_pages(pages: DataFrame, source: str) -> DataFrame:
     return p.select(*page, F.col("pg.data").alias("items"), F.col("pg.total_count").alias("total_count"))
 
 
+def page_heads(parsed: DataFrame, source: str) -> DataFrame:
+    """What the stop rules need of a page: its key, number of items and last
+    volume, and what the feed says about going on (Orca: its addresses too)."""
+    n_items = F.coalesce(F.size("items"), F.lit(0)).alias("n_items")
+    more = {"raydium": ["has_next"], "orca": ["cursor", F.col("items.address").alias("addresses")], "meteora": ["total_count"]}
+    return parsed.select(*SLICE, "page_no", n_items, _last_volume(source, F.col("items")).alias("last_volume"), *more[source])
+
+
 def page_meta(parsed: DataFrame, source: str, cfg: Config = DEFAULT, floor: float | None = None) -> DataFrame:
+    """Per-page stop flags of one feed's parsed pages (see ``page_flags``)."""
+    return page_flags(page_heads(parsed, source), source, cfg, floor)
+
+
+def page_flags(heads: DataFrame, source: str, cfg: Config = DEFAULT, floor: float | None = None) -> DataFrame:
     """Per-page stop flags of one feed: (source, snapshot_date, page_no, n_items, is_stop).
 
     A feed stops after the first page whose last pool is below the volume
@@ -123,17 +139,16 @@ def page_meta(parsed: DataFrame, source: str, cfg: Config = DEFAULT, floor: floa
     (Meteora), has no cursor or adds no new pool (Orca).
     """
     floor = cfg.volume_floor if floor is None else floor
-    n_items = F.coalesce(F.size("items"), F.lit(0))
-    below = (n_items > 0) & (_last_volume(source, F.col("items")) < floor)
+    below = (F.col("n_items") > 0) & (F.col("last_volume") < floor)
 
     if source == "orca":
         # first page where each address appears; a page's "new" count is the
         # number of addresses first seen on it (prefix-consistent with a
         # page-by-page seen-set). Only addresses and page numbers are shuffled.
-        addresses = parsed.select(*SLICE, "page_no", F.explode(F.col("items.address")).alias("_addr"))
+        addresses = heads.select(*SLICE, "page_no", F.explode("addresses").alias("_addr"))
         first = addresses.filter(F.col("_addr") != "").groupBy(*SLICE, "_addr").agg(F.min("page_no").alias("page_no"))
         new_per_page = first.groupBy(*SLICE, "page_no").agg(F.count(F.lit(1)).alias("_new"))
-        meta = parsed.select(*SLICE, "page_no", n_items.alias("n_items"), below.alias("_below"), "cursor").join(
+        meta = heads.select(*SLICE, "page_no", "n_items", below.alias("_below"), "cursor").join(
             new_per_page, [*SLICE, "page_no"], "left"
         )
         stop = F.col("_below") | F.col("cursor").isNull() | (F.col("cursor") == "") | (F.coalesce(F.col("_new"), F.lit(0)) == 0)
@@ -141,12 +156,12 @@ def page_meta(parsed: DataFrame, source: str, cfg: Config = DEFAULT, floor: floa
     if source == "meteora":
         # page-level rows only (one per page): the running count is cheap
         w = Window.partitionBy(*SLICE).orderBy("page_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        meta = parsed.select(*SLICE, "page_no", n_items.alias("n_items"), below.alias("_below"), "total_count")
+        meta = heads.select(*SLICE, "page_no", "n_items", below.alias("_below"), "total_count")
         meta = meta.withColumn("_seen", F.sum("n_items").over(w))
         return meta.withColumn("is_stop", F.col("_below") | (F.col("_seen") >= F.coalesce(F.col("total_count"), F.lit(0)))).drop(
             "_below", "total_count", "_seen"
         )
-    return parsed.select(*SLICE, "page_no", n_items.alias("n_items"), (below | ~F.coalesce(F.col("has_next"), F.lit(False))).alias("is_stop"))
+    return heads.select(*SLICE, "page_no", "n_items", (below | ~F.coalesce(F.col("has_next"), F.lit(False))).alias("is_stop"))
 
 
 def page_status(meta: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
@@ -168,12 +183,12 @@ def kept_pages(status: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     return bounded_broadcast(status.filter("kept").select(*SLICE, "page_no"), cfg.broadcast_max_bytes)[0]
 
 
-def kept_items(parsed: DataFrame, kept: DataFrame, source: str) -> DataFrame:
+def kept_items(parsed: DataFrame, kept: DataFrame, source: str, nameless: bool = False) -> DataFrame:
     """Items (source, snapshot_date, page_no, pos, source_file, item) of one
     feed's kept pages: pages are dropped before their items unfold. Orca's are
     reduced to the first occurrence of each address (I2); kept pages are a
     prefix, so that is the first of all pages. Items without an address are
-    nobody's copy and stay (:func:`has_id` drops them, counted)."""
+    nobody's copy: they stay with ``nameless`` (to be counted), else go."""
     pages = parsed.join(kept, [*SLICE, "page_no"], "left_semi")
     where = [*SLICE, "page_no", "pos", "source_file"]
     items = pages.select(*SLICE, "page_no", "source_file", F.posexplode("items").alias("pos", "item")).filter(F.col("item").isNotNull())
@@ -182,6 +197,8 @@ def kept_items(parsed: DataFrame, kept: DataFrame, source: str) -> DataFrame:
     # copies of one address combine map-side; an item without one has a key of its own
     address = F.col("item").getField("address")
     named = address.isNotNull() & (address != "")
+    if not nameless:
+        items = items.filter(named)
     keys = [F.when(named, address).alias("_addr"), *[F.when(~named, F.col(c)).alias(f"_{c}") for c in ("page_no", "pos")]]
     first = items.groupBy(*SLICE, *keys).agg(
         F.min_by(F.struct("page_no", "pos", "source_file", "item"), F.struct("page_no", "pos")).alias("_f")
@@ -191,8 +208,10 @@ def kept_items(parsed: DataFrame, kept: DataFrame, source: str) -> DataFrame:
 
 def assemble_pages(pages: DataFrame, source: str, cfg: Config = DEFAULT, floor: float | None = None) -> tuple[DataFrame, DataFrame]:
     """I1 (+ I2 for Orca) for one feed: (page_status, kept items)."""
-    parsed = materialize(parse_pages(pages, source))  # parsed once, for the stops and the items
-    status = page_status(page_meta(parsed, source, cfg, floor), cfg)
+    parsed = parse_pages(pages, source)
+    # all pages are parsed for their heads (a few bytes a page are written);
+    # the kept ones again for their items, which are not written in between
+    status = page_status(page_flags(materialize(page_heads(parsed, source)), source, cfg, floor), cfg)
     return status, kept_items(parsed, kept_pages(status, cfg), source)
 
 
@@ -352,10 +371,11 @@ def ingest_all_pools(
 
 def _normalized(pages: DataFrame, sources: Sequence[str], cfg: Config, keep: list[str], texts: bool = False) -> DataFrame:
     """All items of the kept pages of all feeds, in the common columns."""
-    parsed = {s: materialize(parse_pages(pages, s)) for s in sources}  # each page is parsed once
-    metas = [page_meta(p, s, cfg) for s, p in parsed.items()]
+    parsed = {s: parse_pages(pages, s) for s in sources}
+    # all pages are parsed for their heads, the kept ones again for their items
+    metas = [page_flags(materialize(page_heads(p, s)), s, cfg) for s, p in parsed.items()]
     pages_kept = kept_pages(page_status(reduce(DataFrame.unionByName, metas), cfg), cfg)
-    return reduce(DataFrame.unionByName, [normalize_items(kept_items(p, pages_kept, s), s, keep, texts) for s, p in parsed.items()])
+    return reduce(DataFrame.unionByName, [normalize_items(kept_items(p, pages_kept, s, nameless=texts), s, keep, texts) for s, p in parsed.items()])
 
 
 def _stamped(rows: DataFrame, manifest: DataFrame, source_file: Column | None, cfg: Config) -> DataFrame:
