@@ -86,6 +86,44 @@ def importable(df: DataFrame) -> DataFrame:
     return df
 
 
+class _Holder:
+    """The one large object that a worker keeps between tasks."""
+
+    def __init__(self) -> None:
+        self.key: Any = None
+        self.value: Any = None
+        self.asked = False
+
+    def get(self, key: Any, build: Callable[[], Any]) -> Any:
+        self.asked = True
+        if self.key != key:
+            self.key = self.value = None  # before the next one is built
+            self.key, self.value = key, build()
+        return self.value
+
+    def starting(self, make: Callable[[], Any]) -> Any:
+        """What ``make`` returns for a task. A task that doesn't ask for the
+        object, one of another operator, lets it go."""
+        self.asked = False
+        fn = make()
+        if not self.asked:
+            self.key = self.value = None
+        return fn
+
+
+_holder = _Holder()
+
+
+def held(key: Any, build: Callable[[], Any]) -> Any:
+    """A vocabulary with its caches: built once a worker, kept between the
+    tasks of its operator, and given up when another one's tasks come."""
+    return _holder.get(key, build)
+
+
+def starting(make: Callable[[], Any]) -> Any:
+    return _holder.starting(make)
+
+
 def map_rows(
     df: DataFrame,
     columns: Sequence[str],
@@ -100,7 +138,7 @@ def map_rows(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fn = make()
+        fn = starting(make)
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(at, SLICE_ROWS)

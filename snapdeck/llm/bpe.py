@@ -22,14 +22,14 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterable
-from functools import lru_cache, partial
+from functools import partial
 from heapq import heappop, heappush
 
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from snapdeck.llm._common import TwoAgeCache, map_rows
+from snapdeck.llm._common import TwoAgeCache, held, map_rows
 
 #: Buckets per leaf word of the bitmap.
 LEAF_BITS = 256
@@ -121,12 +121,12 @@ def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class ByteBpe:
     """A rank file and a split pattern: text to ids, ids to bytes."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cache_entries: int = CACHE_ENTRIES):
         self.ranks = ranks
         self.split = regex.compile(pattern)
         self.bytes_of = {r: b for b, r in ranks.items()}
         self.text_of = {r: str(r) for r in self.bytes_of}
-        self.cached = TwoAgeCache(self._piece, CACHE_ENTRIES, CACHE_PIECE_CHARS)
+        self.cached = TwoAgeCache(self._piece, cache_entries, CACHE_PIECE_CHARS)
 
     def _piece(self, piece: str) -> tuple[int, ...]:
         return tuple(i for m in self.split.findall(piece) for i in merge_bytes(m.encode("utf-8"), self.ranks))
@@ -151,16 +151,19 @@ class ByteBpe:
         return " ".join(map(self.text_of.__getitem__, ids))
 
 
-@lru_cache(maxsize=4)
-def load(path: str, pattern: str) -> ByteBpe:
-    """The codec of a rank file; kept by a worker between tasks."""
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-    return ByteBpe(ranks, pattern)
+def load(path: str, pattern: str, cache_entries: int = CACHE_ENTRIES) -> ByteBpe:
+    """The codec of a rank file; kept by a worker between its tasks."""
 
+    def build() -> ByteBpe:
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+        return ByteBpe(ranks, pattern, cache_entries)
 
-def _encoder(path: str, pattern: str):
-    bpe = load(path, pattern)
+    return held(("bpe", path, pattern, cache_entries), build)
+
+
+def _encoder(path: str, pattern: str, cache_entries: int):
+    bpe = load(path, pattern, cache_entries)
     return lambda key, text: ((key, bpe.encode(text)),)
 
 
@@ -186,11 +189,19 @@ def _round_trip(path: str, pattern: str):
     return one
 
 
-def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids): the token ids of every whole text."""
+def encode(
+    df: DataFrame,
+    path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    cache_entries: int = CACHE_ENTRIES,
+) -> DataFrame:
+    """(id, ids): the token ids of every whole text. ``cache_entries``: pieces
+    that a worker remembers (some 230 bytes each); fewer cost time, not results."""
     key = df.schema[id_col]
     schema = T.StructType([key, T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return map_rows(df, [id_col, text_col], schema, partial(_encoder, path, pattern))
+    return map_rows(df, [id_col, text_col], schema, partial(_encoder, path, pattern, cache_entries))
 
 
 def decode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

@@ -21,14 +21,14 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from functools import lru_cache, partial
+from functools import partial
 
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from snapdeck.llm._common import TwoAgeCache, map_rows
+from snapdeck.llm._common import TwoAgeCache, held, map_rows
 
 PIECE_ENTRIES, WORD_ENTRIES = 1_500_000, 1_000_000
 CACHE_CHARS = 48
@@ -101,6 +101,7 @@ class PrefixCounter:
         # letters and digits that the library doesn't know as such yet
         self.unknown = regex.compile(f"[{newer}]") if (newer := newer_letters(spec)) else None
         if self.unknown:
+            self.least_unknown = min(regex.findall(self.unknown.pattern, "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))))
             known = pattern
             for name in (r"\p{L}", r"\p{N}"):
                 known = known.replace(name, f"[{name}--[{newer}]]")
@@ -201,9 +202,9 @@ class PrefixCounter:
 
     def _splitter(self, text: str) -> regex.Pattern:
         """The pattern of pre-tokens, with the library's letters."""
-        if self.unknown and not text.isascii() and self.unknown.search(text):
-            return self.known_words
-        return self.words
+        if self.unknown is None or text.isascii() or max(text) < self.least_unknown:
+            return self.words
+        return self.known_words if self.unknown.search(text) else self.words
 
     def word_counts(self, word: str) -> list[int]:
         """For each character prefix of a pre-token, its tokens; a contraction
@@ -294,10 +295,14 @@ class PrefixCounter:
         return length
 
 
-@lru_cache(maxsize=2)
 def load(path: str) -> PrefixCounter:
-    with open(path, encoding="utf-8") as f:
-        return PrefixCounter(json.load(f))
+    """The counter of a tokenizer file; kept by a worker between its tasks."""
+
+    def build() -> PrefixCounter:
+        with open(path, encoding="utf-8") as f:
+            return PrefixCounter(json.load(f))
+
+    return held(("token_counts", path), build)
 
 
 def _counter(path: str, budget: int):
