@@ -43,8 +43,10 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, ids): token ids of every document that is left."""
-    return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    """(doc_id, ids): token ids of every document that is left. The workers'
+    caches are small: executors still hold what the stages before needed."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.encode(docs, path, public_tokenizers.PATTERN, cache_entries=250_000)
 
 
 STAGES = [

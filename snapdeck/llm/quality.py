@@ -60,7 +60,7 @@ class Limits:
     guard_words: int = 50  # histograms of fewer words aren't compared
     char_distance: float = 0.30
     word_distance: float = 0.42
-    reference_docs: int = 20  # least long enough documents of a language without a word list
+    reference_docs: int = 1  # least long enough documents of a language without a word list
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -284,11 +284,23 @@ def score(
 def keep(
     df: DataFrame, limits: Limits = Limits(), text_col: str = "text", lang_col: str = "lang"
 ) -> DataFrame:
-    """The rows that the rules keep, with all their columns. The references
-    come from the same rows, in a pass of their own."""
-    refs = references(with_counts(df, text_col), lang_col, limits)
-    # the row number keeps the filter above the counts, which are thus computed once
-    judged = with_verdict(with_counts(df, text_col), refs, lang_col, limits).withColumn(
-        "__q_row", F.monotonically_increasing_id()
+    """The rows that the rules keep, with all their columns.
+
+    Counts are taken once, staged by text and language; the references and
+    the verdict come from them, and rows whose text and language were rejected
+    go. (A verdict depends on nothing else, so repeated rows share it.)
+    """
+    from snapdeck.llm._common import join_measured, stage
+
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    key = {"__q_t1": F.xxhash64(text), "__q_t2": F.xxhash64(F.lit(1), text)}
+    narrow = df.select(F.col(lang_col).alias("__q_lang"), F.col(text_col).alias("__q_text")).withColumns(
+        {k: F.xxhash64(*salt, F.coalesce("__q_text", F.lit(""))) for k, salt in (("__q_t1", ()), ("__q_t2", (F.lit(1),)))}
+    )
+    counted = stage(
+        with_counts(narrow, "__q_text").select("__q_lang", *key, *[f"__q_{c}" for c in _FEATURES]), "quality-counts"
     )
-    return judged.filter("__q_kept AND __q_row >= 0").select(*[F.col(f"`{c}`") for c in df.columns])
+    judged = with_verdict(counted, references(counted, "__q_lang", limits), "__q_lang", limits)
+    rejected = stage(judged.filter("NOT __q_kept").select("__q_lang", *key).distinct(), "quality-rejected")
+    keyed = df.withColumns(key | {"__q_lang": F.col(lang_col)})
+    return join_measured(keyed, rejected, ["__q_lang", *key], "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
