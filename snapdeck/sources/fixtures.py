@@ -8,7 +8,9 @@ repeats verbatim, so every model downstream can be checked end to end.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snapdeck.config import Config
@@ -60,8 +62,9 @@ def _pick(index: Column, values: list[str]) -> Column:
     return expr
 
 
-def fx1_pools(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FX1: one raw pool row per (supplier, ship date), measures decimal(38,9).
+def _fx1_measured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(s_suppkey, snapshot_date) groups of line items with their sums, and the
+    supplier's columns that FX1 is made from: a few numbers a row.
 
     Pre-aggregates lineitem to (supplier, day) before the supplier join, so
     the join sees one row per group instead of one per line item.
@@ -75,27 +78,39 @@ def fx1_pools(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(price * disc * tax).alias("_fees"),
     )
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
-    j = daily.join(sup, daily.l_suppkey == sup.s_suppkey)
-    d = F.col("snapshot_date")
-    k = F.col("s_suppkey")
+    return daily.join(sup, daily.l_suppkey == sup.s_suppkey).drop("l_suppkey")
+
+
+#: What ``_fx1_columns`` reads besides the day.
+_FX1_FROM = ["s_suppkey", "s_nationkey", "s_acctbal", "_vol", "_fees"]
+
+
+def _fx1_columns(c: Callable[[str], Column]) -> dict[str, Column]:
+    """The FX1 columns over the ones of ``_fx1_measured``, which ``c`` names."""
+    d, k = c("snapshot_date"), c("s_suppkey")
     yr = F.year(d).cast("string")
     dex = _pick(k % 3, FIXTURE_VENUES)
-    nation = F.col("s_nationkey").cast("string")
+    nation = c("s_nationkey").cast("string")
     qmod = (k % 5).cast("string")
-    return j.select(
-        run_stamp(d).alias("snapshot_at"),
-        d.alias("snapshot_date"),
-        dex.alias("dex_name"),
-        F.concat(F.lit("POOL"), k.cast("string")).alias("pool_address"),
-        F.concat(F.lit("SYM"), nation, F.lit("_"), yr).alias("base_token_symbol"),
-        F.when(k % 17 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("MINT"), nation)).alias("base_token_address"),
-        F.concat(F.lit("SYM"), qmod, F.lit("_"), yr).alias("quote_token_symbol"),
-        F.concat(F.lit("MINT"), qmod).alias("quote_token_address"),
-        F.when((k % 10 == 9) & (F.dayofmonth(d) == 15), F.lit(None)).otherwise(_dec("_vol", 38, 9)).cast("decimal(38,9)").alias("trailing_24h_volume_usd"),
-        _dec("_fees", 38, 9).alias("trailing_24h_fees_usd"),
-        _dec(_dec("s_acctbal", 18, 2), 38, 9).alias("tvl_usd"),
-        F.concat(F.lit("fx/dex="), dex, F.lit("/date="), d.cast("string")).alias("source_file"),
-    )
+    return {
+        "snapshot_at": run_stamp(d),
+        "snapshot_date": d,
+        "dex_name": dex,
+        "pool_address": F.concat(F.lit("POOL"), k.cast("string")),
+        "base_token_symbol": F.concat(F.lit("SYM"), nation, F.lit("_"), yr),
+        "base_token_address": F.when(k % 17 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("MINT"), nation)),
+        "quote_token_symbol": F.concat(F.lit("SYM"), qmod, F.lit("_"), yr),
+        "quote_token_address": F.concat(F.lit("MINT"), qmod),
+        "trailing_24h_volume_usd": F.when((k % 10 == 9) & (F.dayofmonth(d) == 15), F.lit(None)).otherwise(_dec(c("_vol"), 38, 9)).cast("decimal(38,9)"),
+        "trailing_24h_fees_usd": _dec(c("_fees"), 38, 9),
+        "tvl_usd": _dec(_dec(c("s_acctbal"), 18, 2), 38, 9),
+        "source_file": F.concat(F.lit("fx/dex="), dex, F.lit("/date="), d.cast("string")),
+    }
+
+
+def fx1_pools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX1: one raw pool row per (supplier, ship date), measures decimal(38,9)."""
+    return _fx1_measured(spark, sf_dir).select(*[c.alias(n) for n, c in _fx1_columns(F.col).items()])
 
 
 def fx2_protocols(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,26 +140,27 @@ def fx2_protocols(spark: SparkSession, sf_dir: str) -> DataFrame:
 FIXTURE_PAGE_SIZE = 5
 
 
-def _defect(every: int) -> Column:
-    """Marks one row in ``every``, by its supplier and day."""
-    return (F.substring("pool_address", 5, 20).cast("long") + F.unix_date("snapshot_date")) % every == 0
+#: Rows up to which a slice is ranked and cut into pages by one task.
+FIXTURE_SLICE_ROWS = 1 << 20
 
 
-def _venue_item(venue: str, defects: bool = False) -> Column:
+def _venue_item(venue: str, c: dict[str, Column], defects: bool = False) -> Column:
     """One FX1 row as the venue's API pool object (FX3 encoding: Orca sends
     measures as strings, Raydium as numbers, Meteora TVL as a string).
 
     FX8 (``defects``): some rows have no address, some a volume or a TVL that
     is no number (all measures are strings then)."""
-    vol, fees, tvl = F.col("trailing_24h_volume_usd"), F.col("trailing_24h_fees_usd"), F.col("tvl_usd")
-    address = F.col("pool_address")
+    vol, fees, tvl = c["trailing_24h_volume_usd"], c["trailing_24h_fees_usd"], c["tvl_usd"]
+    address = c["pool_address"]
     if defects:
-        vol = F.when(_defect(29), F.lit("n/a")).otherwise(vol.cast("string"))
-        tvl = F.when(_defect(31), F.lit("1,000,000")).otherwise(tvl.cast("string"))
-        address = F.when(~_defect(23), address).otherwise(F.lit("" if venue == "orca" else None).cast("string"))
+        # marks one row in so many, by its supplier and day
+        marked = lambda every: (F.substring(c["pool_address"], 5, 20).cast("long") + F.unix_date(c["snapshot_date"])) % every == 0
+        vol = F.when(marked(29), F.lit("n/a")).otherwise(vol.cast("string"))
+        tvl = F.when(marked(31), F.lit("1,000,000")).otherwise(tvl.cast("string"))
+        address = F.when(~marked(23), address).otherwise(F.lit("" if venue == "orca" else None).cast("string"))
 
     def tok(sym: str, addr: str) -> Column:
-        return F.struct(F.col(sym).alias("symbol"), F.col(addr).alias("address"))
+        return F.struct(c[sym].alias("symbol"), c[addr].alias("address"))
 
     if venue == "raydium":
         return F.struct(
@@ -164,56 +180,91 @@ def _venue_item(venue: str, defects: bool = False) -> Column:
         )
     return F.struct(
         address.alias("pool_address"),
-        F.concat(F.col("base_token_symbol"), F.lit("-"), F.col("quote_token_symbol")).alias("pool_name"),
-        F.array(F.col("base_token_address"), F.col("quote_token_address")).alias("pool_token_mints"),
+        F.concat(c["base_token_symbol"], F.lit("-"), c["quote_token_symbol"]).alias("pool_name"),
+        F.array(c["base_token_address"], c["quote_token_address"]).alias("pool_token_mints"),
         vol.alias("trading_volume"),
         fees.alias("fee_volume"),
         tvl.cast("string").alias("pool_tvl"),
     )
 
 
-def fx5_pages(spark: SparkSession, sf_dir: str, page_size: int = FIXTURE_PAGE_SIZE, defects: bool = False) -> DataFrame:
+def _page_body(venue: str, defects: bool) -> Column:
+    """A page's JSON with its feed's paging metadata, from (snapshot_date,
+    page_no, n_pools, last_page, items of ``_FX1_FROM``)."""
+
+    def item(x: Column) -> Column:
+        return _venue_item(venue, _fx1_columns(lambda n: F.col(n) if n == "snapshot_date" else x.getField(n)), defects)
+
+    data = F.transform("items", item).alias("data")
+    if venue == "raydium":
+        return F.to_json(F.struct(F.struct(data, (F.col("page_no") < F.col("last_page")).alias("hasNextPage")).alias("data")))
+    if venue == "orca":
+        cursor = F.struct(F.struct(F.concat(F.lit("c"), (F.col("page_no") + 1).cast("string")).alias("next")).alias("cursor"))
+        return F.to_json(F.struct(data, cursor.alias("meta")))
+    return F.to_json(F.struct(data, F.col("n_pools").alias("total_count")))
+
+
+def fx5_pages(
+    spark: SparkSession, sf_dir: str, page_size: int = FIXTURE_PAGE_SIZE, defects: bool = False, slice_rows: int = FIXTURE_SLICE_ROWS
+) -> DataFrame:
     """FX5: landed pool pages (source, snapshot_date, page_no, body); FX8 with ``defects``.
 
     FX1 without NULL volumes, ordered per (venue, day) by volume desc then
     address, cut into pages of ``page_size``; each page carries its feed's
     paging metadata, and Orca's last page is landed twice (the API repeats
-    its last cursor). Positions come from the skew-safe ranking, and a page
-    is collected from at most ``page_size`` rows.
+    its last cursor).
+
+    The rows are shuffled once, as the few numbers that FX1 is made from: a
+    slice's rows are ranked and each page's first row gathers the next ones.
+    Slices of more than ``slice_rows`` rows get their positions from the
+    skew-safe ranking instead, and a page is collected from at most
+    ``page_size`` rows.
     """
     from snapdeck.operators.joins import bounded_broadcast, materialize
     from snapdeck.operators.ranking import row_number_within
 
-    # read by the range sampler, the ranking and the slice counts: compute once
-    pools = materialize(fx1_pools(spark, sf_dir).filter(F.col("trailing_24h_volume_usd").isNotNull()))
-    ranked = row_number_within(pools, ["dex_name", "snapshot_date"], [F.desc("trailing_24h_volume_usd"), F.asc("pool_address")])
-    ranked = ranked.withColumn("page_no", F.floor((F.col("rn") - 1) / page_size).cast("long")).withColumn(
-        "pos", ((F.col("rn") - 1) % page_size).cast("int")
+    made = _fx1_columns(F.col)
+    there = made["trailing_24h_volume_usd"].isNotNull() & made["dex_name"].isNotNull() & F.col("snapshot_date").isNotNull()
+    # read by the slice counts and the ranking: compute once
+    pools = materialize(_fx1_measured(spark, sf_dir).filter(there)).withColumn("dex_name", made["dex_name"])
+    keys = ["snapshot_date", "dex_name"]
+    # as doubles first: the same order, and few rows are left to compare as decimals
+    volume = made["trailing_24h_volume_usd"]
+    order = [volume.cast("double").desc(), volume.desc(), made["pool_address"].asc()]
+    row = F.struct(*_FX1_FROM)
+    page_no = F.floor((F.col("rn") - 1) / page_size).cast("long").alias("page_no")
+
+    big = materialize(pools.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_pools")).filter(F.col("n_pools") > slice_rows))
+    split = not big.isEmpty()
+    side = bounded_broadcast(big)[0] if split else None
+    in_slice = Window.partitionBy(*keys).orderBy(*order)
+    # laid out before the structs and sort keys are made, so that they don't travel
+    laid = (pools.join(side, keys, "left_anti") if split else pools).repartition(*keys)
+    ranked = laid.select(
+        *keys,
+        F.row_number().over(in_slice).alias("rn"),
+        F.count(F.lit(1)).over(in_slice.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("n_pools"),
+        row.alias("_i0"),
+        *[F.lead(row, i).over(in_slice).alias(f"_i{i}") for i in range(1, page_size)],
+    )
+    following = F.array(*[F.col(f"_i{i}") for i in range(page_size)])
+    pages = ranked.filter((F.col("rn") - 1) % page_size == 0).select(
+        *keys, page_no, "n_pools", F.filter(following, lambda x: x.isNotNull()).alias("items")
     )
-    slices = pools.groupBy("dex_name", "snapshot_date").agg(F.count(F.lit(1)).alias("n_pools"))
-    slices = slices.withColumn("last_page", F.floor((F.col("n_pools") - 1) / page_size).cast("long"))
-    # one row per (venue, day): size-checked once, broadcast to every venue's pages
-    slices, _ = bounded_broadcast(slices)
-    out = []
+    if split:
+        rows = row_number_within(pools.join(side, keys, "left_semi"), keys, order)
+        found = rows.groupBy(*keys, page_no).agg(F.sort_array(F.collect_list(F.struct("rn", row.alias("item")))).alias("_pi"))
+        found = found.join(side, keys).withColumn("items", F.transform("_pi", lambda x: x.getField("item")))
+        pages = pages.unionByName(found.select(*pages.columns))
+    pages = pages.withColumn("last_page", F.floor((F.col("n_pools") - 1) / page_size).cast("long"))
+    body = None
     for venue in FIXTURE_VENUES:
-        rows = ranked.filter(F.col("dex_name") == venue).select("snapshot_date", "page_no", "pos", _venue_item(venue, defects).alias("item"))
-        pages = rows.groupBy("snapshot_date", "page_no").agg(F.sort_array(F.collect_list(F.struct("pos", "item"))).alias("_pi"))
-        pages = pages.withColumn("items", F.transform("_pi", lambda x: x.getField("item"))).drop("_pi")
-        pages = pages.withColumn("dex_name", F.lit(venue)).join(slices, ["dex_name", "snapshot_date"], "inner")
-        if venue == "raydium":
-            body = F.struct(F.struct(F.col("items").alias("data"), (F.col("page_no") < F.col("last_page")).alias("hasNextPage")).alias("data"))
-        elif venue == "orca":
-            cursor = F.struct(F.struct(F.concat(F.lit("c"), (F.col("page_no") + 1).cast("string")).alias("next")).alias("cursor"))
-            body = F.struct(F.col("items").alias("data"), cursor.alias("meta"))
-        else:
-            body = F.struct(F.col("items").alias("data"), F.col("n_pools").alias("total_count"))
-        landed = pages.select(F.lit(venue).alias("source"), "snapshot_date", "page_no", F.to_json(body).alias("body"), "last_page")
-        if venue == "orca":
-            # the repeated last page: same items and cursor, next page number
-            repeat = landed.filter(F.col("page_no") == F.col("last_page")).withColumn("page_no", F.col("page_no") + 1)
-            landed = landed.unionByName(repeat)
-        out.append(landed.drop("last_page"))
-    return out[0].unionByName(out[1]).unionByName(out[2])
+        body = (F.when if body is None else body.when)(F.col("dex_name") == venue, _page_body(venue, defects))
+    # Orca's repeated last page: same items and cursor, next page number
+    repeated = (F.col("dex_name") == "orca") & (F.col("page_no") == F.col("last_page"))
+    numbers = F.when(repeated, F.array("page_no", F.col("page_no") + 1)).otherwise(F.array("page_no"))
+    landed = pages.select(F.col("dex_name").alias("source"), "snapshot_date", body.alias("body"), numbers.alias("_numbers"))
+    return landed.select("source", "snapshot_date", F.explode("_numbers").alias("page_no"), "body")
 
 
 def manifest_from_pages(pages: DataFrame) -> DataFrame:

@@ -128,7 +128,8 @@ def page_heads(parsed: DataFrame, source: str) -> DataFrame:
 
 def page_meta(parsed: DataFrame, source: str, cfg: Config = DEFAULT, floor: float | None = None) -> DataFrame:
     """Per-page stop flags of one feed's parsed pages (see ``page_flags``)."""
-    return page_flags(page_heads(parsed, source), source, cfg, floor)
+    # Orca's heads are read twice there: pages are parsed once
+    return page_flags(materialize(page_heads(parsed, source)), source, cfg, floor)
 
 
 def page_flags(heads: DataFrame, source: str, cfg: Config = DEFAULT, floor: float | None = None) -> DataFrame:
@@ -183,27 +184,58 @@ def kept_pages(status: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     return bounded_broadcast(status.filter("kept").select(*SLICE, "page_no"), cfg.broadcast_max_bytes)[0]
 
 
-def kept_items(parsed: DataFrame, kept: DataFrame, source: str, nameless: bool = False) -> DataFrame:
+def pages_with_copies(heads: DataFrame, kept: DataFrame) -> DataFrame:
+    """(slice, page_no) of one Orca feed's kept pages that hold an address which
+    is there more than once, or that are there more than once themselves. From
+    the pages' heads: keys are shuffled, not the items."""
+    page = [*SLICE, "page_no"]
+    heads = heads.join(kept, page, "left_semi")
+    named = heads.select(*page, F.explode("addresses").alias("_addr")).filter(F.col("_addr") != "")
+    found = named.groupBy(*SLICE, "_addr").agg(F.count(F.lit(1)).alias("_n"), F.collect_set("page_no").alias("_pages")).filter(F.col("_n") > 1)
+    twice = heads.groupBy(*page).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    return found.select(*SLICE, F.explode("_pages").alias("page_no")).unionByName(twice.select(*page)).distinct()
+
+
+def kept_items(
+    parsed: DataFrame, kept: DataFrame, source: str, nameless: bool = False, heads: DataFrame | None = None, cfg: Config = DEFAULT
+) -> DataFrame:
     """Items (source, snapshot_date, page_no, pos, source_file, item) of one
     feed's kept pages: pages are dropped before their items unfold. Orca's are
     reduced to the first occurrence of each address (I2); kept pages are a
     prefix, so that is the first of all pages. Items without an address are
-    nobody's copy: they stay with ``nameless`` (to be counted), else go."""
+    nobody's copy: they stay with ``nameless`` (to be counted), else go.
+
+    With Orca's ``heads`` only pages that hold copies have their items shuffled."""
     pages = parsed.join(kept, [*SLICE, "page_no"], "left_semi")
     where = [*SLICE, "page_no", "pos", "source_file"]
-    items = pages.select(*SLICE, "page_no", "source_file", F.posexplode("items").alias("pos", "item")).filter(F.col("item").isNotNull())
+
+    def unfold(pages: DataFrame) -> DataFrame:
+        # outer: of the inner form Spark infers a filter on the items that parses
+        # every page below the join, dropped or not; rows without an item go here
+        return pages.select(*SLICE, "page_no", "source_file", F.posexplode_outer("items").alias("pos", "item")).filter(F.col("item").isNotNull())
+
     if source != "orca":
-        return items.select(*where, "item")
+        return unfold(pages).select(*where, "item")
     # copies of one address combine map-side; an item without one has a key of its own
     address = F.col("item").getField("address")
     named = address.isNotNull() & (address != "")
-    if not nameless:
-        items = items.filter(named)
-    keys = [F.when(named, address).alias("_addr"), *[F.when(~named, F.col(c)).alias(f"_{c}") for c in ("page_no", "pos")]]
-    first = items.groupBy(*SLICE, *keys).agg(
-        F.min_by(F.struct("page_no", "pos", "source_file", "item"), F.struct("page_no", "pos")).alias("_f")
-    )
-    return first.select(*SLICE, *[F.col(f"_f.{c}").alias(c) for c in ("page_no", "pos", "source_file", "item")])
+
+    def wanted(pages: DataFrame) -> DataFrame:
+        return unfold(pages) if nameless else unfold(pages).filter(named)
+
+    def first(items: DataFrame) -> DataFrame:
+        keys = [F.when(named, address).alias("_addr"), *[F.when(~named, F.col(c)).alias(f"_{c}") for c in ("page_no", "pos")]]
+        found = items.groupBy(*SLICE, *keys).agg(
+            F.min_by(F.struct("page_no", "pos", "source_file", "item"), F.struct("page_no", "pos")).alias("_f")
+        )
+        return found.select(*SLICE, *[F.col(f"_f.{c}").alias(c) for c in ("page_no", "pos", "source_file", "item")])
+
+    if heads is None:
+        return first(wanted(pages))
+    copies, _ = bounded_broadcast(pages_with_copies(heads, kept), cfg.broadcast_max_bytes)
+    page = [*SLICE, "page_no"]
+    once, some = wanted(pages.join(copies, page, "left_anti")), wanted(pages.join(copies, page, "left_semi"))
+    return once.select(*where, "item").unionByName(first(some))
 
 
 def assemble_pages(pages: DataFrame, source: str, cfg: Config = DEFAULT, floor: float | None = None) -> tuple[DataFrame, DataFrame]:
@@ -211,8 +243,9 @@ def assemble_pages(pages: DataFrame, source: str, cfg: Config = DEFAULT, floor:
     parsed = parse_pages(pages, source)
     # all pages are parsed for their heads (a few bytes a page are written);
     # the kept ones again for their items, which are not written in between
-    status = page_status(page_flags(materialize(page_heads(parsed, source)), source, cfg, floor), cfg)
-    return status, kept_items(parsed, kept_pages(status, cfg), source)
+    heads = materialize(page_heads(parsed, source))
+    status = page_status(page_flags(heads, source, cfg, floor), cfg)
+    return status, kept_items(parsed, kept_pages(status, cfg), source, heads=heads, cfg=cfg)
 
 
 # ---------------------------------------------------------------------------
@@ -373,9 +406,11 @@ def _normalized(pages: DataFrame, sources: Sequence[str], cfg: Config, keep: lis
     """All items of the kept pages of all feeds, in the common columns."""
     parsed = {s: parse_pages(pages, s) for s in sources}
     # all pages are parsed for their heads, the kept ones again for their items
-    metas = [page_flags(materialize(page_heads(p, s)), s, cfg) for s, p in parsed.items()]
+    heads = {s: materialize(page_heads(p, s)) for s, p in parsed.items()}
+    metas = [page_flags(h, s, cfg) for s, h in heads.items()]
     pages_kept = kept_pages(page_status(reduce(DataFrame.unionByName, metas), cfg), cfg)
-    return reduce(DataFrame.unionByName, [normalize_items(kept_items(p, pages_kept, s, nameless=texts), s, keep, texts) for s, p in parsed.items()])
+    items = {s: kept_items(p, pages_kept, s, nameless=texts, heads=heads[s], cfg=cfg) for s, p in parsed.items()}
+    return reduce(DataFrame.unionByName, [normalize_items(rows, s, keep, texts) for s, rows in items.items()])
 
 
 def _stamped(rows: DataFrame, manifest: DataFrame, source_file: Column | None, cfg: Config) -> DataFrame:
