@@ -782,7 +782,8 @@ def q_slice_load_overwrite(spark, sf_dir):
 
 def _landed(spark, sf_dir):
     root = scratch_path(spark, "lake")
-    lake.land_pages(fx.fx5_pages(spark, sf_dir), root)
+    # the range sample and the write read them
+    lake.land_pages(materialize(fx.fx5_pages(spark, sf_dir)), root)
     return lake.read_landed_pages(spark, root)
 
 

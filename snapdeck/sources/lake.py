@@ -85,7 +85,9 @@ def land_pages(pages: DataFrame, lake_root: str, overwrite: bool = False) -> Non
         pages = join_small(pages, there, ["source", "snapshot_date"], "left_anti")
     out = pages.select(F.col("source").alias("dex"), F.col("snapshot_date").alias("date"), "page_no", "body")
     n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    w = out.repartitionByRange(n, "dex", "date", "page_no").sortWithinPartitions("dex", "date", "page_no").write
+    # page bodies are JSON in JSON and repeat their field names: gzip leaves a
+    # tenth of them, and any reader of the folder still takes them as they are
+    w = out.repartitionByRange(n, "dex", "date", "page_no").sortWithinPartitions("dex", "date", "page_no").write.option("compression", "gzip")
     if overwrite:
         w.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dex", "date").json(f"{lake_root}/{POOLS_DIR}")
     else:
