@@ -754,10 +754,10 @@ _STALE_SQL = """stale AS (
 def q_slice_load_skip(spark, sf_dir):
     """An older load holds raydium/orca; reloading every slice
     without overwrite skips those and appends only meteora's."""
-    raw = raw_pools(spark, sf_dir)
+    raw = materialize(raw_pools(spark, sf_dir))  # both loads take their rows from it
     path = scratch_path(spark, "raw_dex_pools")
-    lake.load_slices(_stale(raw).filter(F.col("dex_name").isin("raydium", "orca")), path, overwrite=False, schema=sch.RAW_POOLS)
-    lake.load_slices(raw, path, overwrite=False, schema=sch.RAW_POOLS)
+    lake.load_slices(_stale(raw).filter(F.col("dex_name").isin("raydium", "orca")), path, overwrite=False, schema=sch.RAW_POOLS, stored=True)
+    lake.load_slices(raw, path, overwrite=False, schema=sch.RAW_POOLS, stored=True)
     return spark.read.parquet(path).select(*sch.POOL_COLUMNS)
 
 
@@ -773,10 +773,10 @@ def q_slice_load_skip(spark, sf_dir):
 def q_slice_load_overwrite(spark, sf_dir):
     """Overwrite replaces exactly the reloaded (raydium) slices; the
     other venues' slices stay as they were."""
-    raw = raw_pools(spark, sf_dir)
+    raw = materialize(raw_pools(spark, sf_dir))  # both loads take their rows from it
     path = scratch_path(spark, "raw_dex_pools")
-    lake.load_slices(_stale(raw), path, overwrite=False, schema=sch.RAW_POOLS)
-    lake.load_slices(raw.filter(F.col("dex_name") == "raydium"), path, overwrite=True, schema=sch.RAW_POOLS)
+    lake.load_slices(_stale(raw), path, overwrite=False, schema=sch.RAW_POOLS, stored=True)
+    lake.load_slices(raw.filter(F.col("dex_name") == "raydium"), path, overwrite=True, schema=sch.RAW_POOLS, stored=True)
     return spark.read.parquet(path).select(*sch.POOL_COLUMNS)
 
 
@@ -844,7 +844,8 @@ def q_status_storage(spark, sf_dir):
     tables a load wrote; views hold no bytes. How many bytes depends on the
     writer, so the query shows whether there are any."""
     root = scratch_path(spark, "warehouse")
-    lake.load_slices(raw_pools(spark, sf_dir), f"{root}/raw_dex_pools", schema=sch.RAW_POOLS)
+    raw = materialize(raw_pools(spark, sf_dir))  # the load and the view's totals read it
+    lake.load_slices(raw, f"{root}/raw_dex_pools", schema=sch.RAW_POOLS, stored=True)
     lake.load_slices(
         raw_market(spark, sf_dir), f"{root}/raw_dex_market_share", slice_keys=("snapshot_date",), cluster=("dex_name",), schema=sch.RAW_MARKET_SHARE
     )
@@ -854,7 +855,7 @@ def q_status_storage(spark, sf_dir):
             ("snap_raw", "raw_dex_pools"): f"{root}/raw_dex_pools",
             ("snap_raw", "raw_dex_market_share"): f"{root}/raw_dex_market_share",
         },
-        {("snap_marts", "fct_pool_trailing_24h"): fct_pool(spark, sf_dir), ("snap_marts", "fct_dex_market_share_daily"): fct_ms(spark, sf_dir)},
+        {("snap_marts", "fct_pool_trailing_24h"): fct_pool(spark, sf_dir, models.stg_pools(raw, _cfg())), ("snap_marts", "fct_dex_market_share_daily"): fct_ms(spark, sf_dir)},
     )
     return stored.withColumn("has_bytes", F.col("bytes") > 0).drop("bytes")
 

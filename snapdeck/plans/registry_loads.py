@@ -446,7 +446,7 @@ def q_slice_delete(spark, sf_dir):
     left, by slice. ``whole``: the probe agrees with the rows."""
     raw = materialize(raw_pools(spark, sf_dir))
     path = scratch_path(spark, "raw_dex_pools")
-    lake.load_slices(raw, path, schema=sch.RAW_POOLS)
+    lake.load_slices(raw, path, schema=sch.RAW_POOLS, stored=True)
     first, last = raw.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
     venue = raw.filter(F.col("snapshot_date") == F.lit(first)).agg(F.min("dex_name")).first()[0]
     had = lake.slice_exists(spark, path, first, venue) and lake.slice_exists(spark, path, last)

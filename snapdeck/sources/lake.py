@@ -303,6 +303,7 @@ def load_slices(
     cluster: Sequence[str] = ("dex_name", "pool_address"),
     schema: T.StructType | None = None,
     cfg: Config = DEFAULT,
+    stored: bool = False,
 ) -> dict[str, int]:
     """S11 for every (date, venue) slice in ``rows``.
 
@@ -314,6 +315,8 @@ def load_slices(
     - slice absent: appended.
 
     Only the date partitions named by ``rows`` are read (partition pruning).
+    ``stored``: the rows are a projection of stored files other than the
+    table's, cheap to read again, and aren't written once more in between.
     Returns ``{"rows_loaded", "slices_skipped"}`` (R5), counted with an
     Observation during the write.
     """
@@ -321,7 +324,7 @@ def load_slices(
     if schema is not None:
         rows = enforce_required(conform(rows, schema), schema)
     # read for the slice keys, the range sample and the write: computed once
-    rows = materialize(rows)
+    rows = rows if stored else materialize(rows)
     keys = list(slice_keys)
     skipped = 0
     keep: DataFrame | None = None
