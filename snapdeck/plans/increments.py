@@ -124,9 +124,10 @@ def metrics_of_days(stg: DataFrame, days: DataFrame, cfg: Config = DEFAULT) -> D
         return models.pool_metrics(stg.limit(0), cfg)
     pools, _ = bounded_broadcast(of_days(stg.select(DAY, "pool_address"), days, cfg=cfg).select("pool_address").distinct(), cfg.broadcast_max_bytes)
     current = stg.filter((F.col(DAY) >= F.lit(lo)) & (F.col(DAY) <= F.lit(hi))).join(pools, "pool_address", "left_semi")
-    prior = models.last_rows_per_pool(stg.filter(F.col(DAY) < F.lit(lo)).join(pools, "pool_address", "left_semi"), FRAME)
+    # a few rows a pool, stored: the totals and the windows both read them
+    prior = materialize(models.last_rows_per_pool(stg.filter(F.col(DAY) < F.lit(lo)).join(pools, "pool_address", "left_semi"), FRAME))
     # totals of the days in between are of those pools only, and not returned
-    return of_days(models.pool_metrics(materialize(current.unionByName(prior)), cfg), days, cfg=cfg)
+    return of_days(models.pool_metrics(current.unionByName(prior), cfg), days, cfg=cfg)
 
 
 # ---------------------------------------------------------------------------

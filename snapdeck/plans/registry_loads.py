@@ -39,8 +39,8 @@ from snapdeck.streaming import alerts
 def _reload(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Staging before and after (FX7)."""
     raw = materialize(raw_pools(spark, sf_dir))
-    before, after = fx.fx7_before(raw), fx.fx7_after(raw)
-    return materialize(models.stg_pools(before, _cfg())), materialize(models.stg_pools(after, _cfg()))
+    # projections of the stored rows, which aren't stored twice more
+    return models.stg_pools(fx.fx7_before(raw), _cfg()), models.stg_pools(fx.fx7_after(raw), _cfg())
 
 
 def _changes(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -124,7 +124,7 @@ def q_pool_metrics_reloaded(spark, sf_dir):
     old, new = _reload(spark, sf_dir)
     days, before, after = _dirty(old, new)
     again = materialize(days.unionByName(inc.carried_days(before, after, new)).distinct())
-    kept = inc.of_days(materialize(models.pool_metrics(old, _cfg())), again, "left_anti")
+    kept = inc.of_days(models.pool_metrics(old, _cfg()), again, "left_anti")
     return kept.select(*models.POOL_METRIC_COLUMNS).unionByName(
         inc.metrics_of_days(new, again, _cfg()).select(*models.POOL_METRIC_COLUMNS)
     )
